@@ -58,11 +58,10 @@ def render_grid(px, width):
         s = v.cast("string")
         padded = F.when(F.length(s) >= 3, s).otherwise(F.lpad(s, 3, " "))
         return F.concat(padded, F.lit(" "))
-    cells = F.transform(px, cell)
-    last_row = (F.size(px) / F.lit(width)).cast("int") - F.lit(1)
+    last_row = F.call_function("div", F.size(px), F.lit(width)).cast("int") - F.lit(1)
     lines = F.transform(
         F.sequence(F.lit(0), last_row),
-        lambda r: F.array_join(F.slice(cells, r * F.lit(width) + F.lit(1), F.lit(width)), ""),
+        lambda r: F.array_join(F.transform(F.slice(px, r * F.lit(width) + F.lit(1), F.lit(width)), cell), ""),
     )
     return F.array_join(lines, "\n")
 

@@ -1,17 +1,28 @@
 """Repeatable shuffles, samples, shards and minibatches.
 
 A global position normally needs one total order, hence one task. Here the order key is an md5 hash, so its
-first four hex digits cut the rows into 65,536 even ranges known in advance. Each range is numbered by its own
-window partition and shifted by the row count of the ranges before it. The counts table has at most 65,536
-rows whatever the data size, which is why it may be summed in one task and broadcast.
+first hex digits cut the rows into even ranges known in advance. Each range is numbered by its own window
+partition and shifted by the row count of the ranges before it. The counts table has one row per range, at most
+16**MAX_DIGITS whatever the data size, which is why it may be summed in one task and broadcast.
 
 Key columns must identify a row.
 """
 
+import math
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-RANGE_DIGITS = 4
+MAX_DIGITS = 5
+
+
+def range_digits(spark):
+    """Enough ranges for about 16 per shuffle partition, so that hashing them to tasks stays even.
+
+    Positions do not depend on this number.
+    """
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(MAX_DIGITS, max(2, math.ceil(math.log(16 * partitions, 16))))
 
 
 def order_key(keys, seed=42, epoch=0):
@@ -28,7 +39,7 @@ def epoch_order(df, keys, seed=42, epoch=0, pos="pos", total=None):
     """Add each row's place (from 0) in the shuffled order of this epoch; optionally also the row count."""
     hashed = (
         df.withColumn("_key", order_key(keys, seed, epoch))
-        .withColumn("_range", F.substring("_key", 1, RANGE_DIGITS))
+        .withColumn("_range", F.substring("_key", 1, range_digits(df.sparkSession)))
     )
     counts = hashed.groupBy("_range").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -66,7 +77,7 @@ def shard(df, keys, world, seed=42, epoch=0, mode="split", pad=True):
     if mode != "split":
         raise ValueError(f"unknown mode {mode!r}")
     if pad:
-        last = F.ceil(F.col("_rows") / F.lit(world)) * F.lit(world) - F.lit(1)
+        last = F.call_function("div", F.col("_rows") + F.lit(world - 1), F.lit(world)) * F.lit(world) - F.lit(1)
         # Places pos, pos + rows, pos + 2 * rows ... that fall inside the padded length.
         placed = placed.select("*", F.explode(F.sequence("pos", last, F.col("_rows"))).alias("_place"))
     else:
@@ -75,7 +86,7 @@ def shard(df, keys, world, seed=42, epoch=0, mode="split", pad=True):
         placed.withColumn("is_padding", F.col("_place") >= F.col("_rows"))
         .withColumn("pos", F.col("_place"))
         .withColumn("rank", F.pmod("pos", F.lit(world)).cast("int"))
-        .withColumn("pos_in_rank", F.floor(F.col("pos") / F.lit(world)))
+        .withColumn("pos_in_rank", F.call_function("div", F.col("pos"), F.lit(world)))
         .drop("_place", "_rows")
     )
 
@@ -83,6 +94,6 @@ def shard(df, keys, world, seed=42, epoch=0, mode="split", pad=True):
 def minibatch(sharded, size=64):
     """Cut each rank's rows into batches of `size`; the short last batch is kept."""
     return (
-        sharded.withColumn("batch_idx", F.floor(F.col("pos_in_rank") / F.lit(size)))
+        sharded.withColumn("batch_idx", F.call_function("div", F.col("pos_in_rank"), F.lit(size)))
         .withColumn("slot", F.pmod("pos_in_rank", F.lit(size)).cast("int"))
     )

@@ -2,7 +2,7 @@
 
 A plain window over (run, rank) would put one rank's whole log into one task. The helpers below cut the order
 column into spans, run the window inside a span and add the totals of the spans before it, so a rank that holds
-a third of all rows still spreads over many tasks.
+a third of all rows still spreads over many tasks. The span totals are small: one row per SPAN rows or less.
 """
 
 import math
@@ -11,55 +11,70 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 SPAN = 65536
+RANK = ["run_id", "rank"]
 
 
-def running_totals(df, keys, order, sums, span=SPAN):
-    """Add running sums. `order` ends with a whole-number column that is unique within the columns before it;
-    `sums` maps an output name to the Column to add up."""
-    keys, order = list(keys), list(order)
-    cut = order[:-1] + ["_span"]
-    group = keys + cut
-    rows = df.withColumn("_span", F.floor(F.col(order[-1]) / F.lit(span)))
-    for name, value in sums.items():
-        rows = rows.withColumn(f"_v_{name}", value)
-    totals = rows.groupBy(*group).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
-    earlier = Window.partitionBy(*keys).orderBy(*cut).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *group,
-        *[F.sum(f"_t_{n}").over(earlier).alias(f"_o_{n}") for n in sums],
+def _by_span(df, keys, order, sums, restart=None, span=SPAN):
+    """Rows with running sums, the span totals, and the columns that join the two.
+
+    `order` ends with a whole-number column that is unique within the columns before it. `sums` maps an output
+    name to the Column to add up. A name in `restart` starts again with every new value of the given leading
+    order columns; all other sums run through a key.
+    """
+    restart = restart or {}
+    cut = list(order[:-1]) + ["_span"]
+    group = list(keys) + cut
+    last = order[-1]
+    rows = df.withColumn("_span", F.call_function("div", F.col(last), F.lit(span)))
+    totals = rows.groupBy(*group).agg(
+        F.max(last).alias("_last"), *[F.sum(value).alias(f"_t_{n}") for n, value in sums.items()]
     )
-    inside = Window.partitionBy(*group).orderBy(order[-1]).rowsBetween(Window.unboundedPreceding, 0)
+    for n in sums:
+        again = restart.get(n, [])
+        earlier = (
+            Window.partitionBy(*keys, *again).orderBy(*[c for c in cut if c not in again])
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        totals = totals.withColumn(f"_o_{n}", F.sum(f"_t_{n}").over(earlier))
+    inside = Window.partitionBy(*group).orderBy(last).rowsBetween(Window.unboundedPreceding, 0)
     local = rows.select(
-        *df.columns, "_span",
-        *[F.sum(f"_v_{n}").over(inside).alias(f"_l_{n}") for n in sums],
-    )
-    joined = local.join(offsets, group)
-    return joined.select(
-        *[joined[c] for c in df.columns],
-        *[
-            F.when(F.col(f"_o_{n}").isNull(), F.col(f"_l_{n}"))
-            .otherwise(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n)
-            for n in sums
-        ],
+        *df.columns, "_span", *[F.sum(value).over(inside).alias(f"_l_{n}") for n, value in sums.items()]
     )
+    return local, totals, group
+
+
+def _running(name):
+    """Total before the span plus total inside it; the first span has nothing before it."""
+    before, inside = F.col(f"_o_{name}"), F.col(f"_l_{name}")
+    return F.when(before.isNull(), inside).otherwise(before + inside).alias(name)
+
+
+def running_totals(df, keys, order, sums, restart=None, span=SPAN):
+    """Add the running sums of `_by_span` to the rows."""
+    local, totals, group = _by_span(df, keys, order, sums, restart, span)
+    offsets = totals.select(*group, *[f"_o_{n}" for n in sums])
+    return local.join(offsets, group).select(*df.columns, *[_running(n) for n in sums])
+
+
+def _correct():
+    return {"cum_correct": F.col("n_correct").cast("long"), "cum_samples": F.col("n_samples").cast("long")}
+
+
+def _percent():
+    return F.lit(100.0) * F.col("cum_correct") / F.col("cum_samples")
 
 
 def running_accuracy(log, span=SPAN):
     """Percent of correct samples so far; starts again at every epoch."""
-    totals = running_totals(
-        log, ["run_id", "rank", "epoch"], ["batch_idx"],
-        {"cum_correct": F.col("n_correct").cast("long"), "cum_samples": F.col("n_samples").cast("long")}, span,
-    )
-    return totals.withColumn(
-        "accuracy", F.lit(100.0) * F.col("cum_correct") / F.col("cum_samples")
-    )
+    totals = running_totals(log, RANK + ["epoch"], ["batch_idx"], _correct(), span=span)
+    return totals.withColumn("accuracy", _percent())
 
 
 def running_loss(log, span=SPAN):
     """Total loss and number of batches of a rank over all epochs so far."""
     return running_totals(
-        log, ["run_id", "rank"], ["epoch", "batch_idx"],
-        {"total_loss": F.col("loss"), "total_batches": F.lit(1).cast("long")}, span,
+        log, RANK, ["epoch", "batch_idx"],
+        {"total_loss": F.col("loss"), "total_batches": F.lit(1).cast("long")}, span=span,
     )
 
 
@@ -76,29 +91,28 @@ def smooth_loss(log, alpha=0.1, span=SPAN):
     per_row = -math.log(decay)
     chunk = max(1, min(SPAN, int(100 * math.log(10) / per_row)))
     lookback = math.ceil(745.0 / (per_row * chunk)) + 1
-    keys = ["run_id", "rank"]
 
-    rows = running_totals(log, keys, ["epoch", "batch_idx"], {"_t": F.lit(1).cast("long")}, span)
+    rows = running_totals(log, RANK, ["epoch", "batch_idx"], {"_t": F.lit(1).cast("long")}, span=span)
     rows = (
-        rows.withColumn("_chunk", F.floor((F.col("_t") - 1) / F.lit(chunk)))
+        rows.withColumn("_chunk", F.call_function("div", F.col("_t") - 1, F.lit(chunk)))
         .withColumn("_i", F.pmod(F.col("_t") - 1, F.lit(chunk)).cast("double"))
     )
-    inside = Window.partitionBy(*keys, "_chunk").orderBy("_t").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*RANK, "_chunk").orderBy("_t").rowsBetween(Window.unboundedPreceding, 0)
     weighted = F.lit(alpha) * F.col("loss") * F.pow(F.lit(decay), -F.col("_i"))
     local = rows.withColumn("_s", F.sum(weighted).over(inside) * F.pow(F.lit(decay), F.col("_i")))
 
     # Only the last chunk of a rank can be short, and nothing follows it.
     ends = (
         rows.withColumn("_w", F.lit(alpha) * F.col("loss") * F.pow(F.lit(decay), F.lit(chunk - 1.0) - F.col("_i")))
-        .groupBy(*keys, "_chunk").agg(F.sum("_w").alias("_end"))
+        .groupBy(*RANK, "_chunk").agg(F.sum("_w").alias("_end"))
     )
-    past = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(-lookback, -1)
+    past = Window.partitionBy(*RANK).orderBy("_chunk").rowsBetween(-lookback, -1)
     carried = F.aggregate(
         F.collect_list("_end").over(past), F.lit(0.0), lambda acc, e: acc * F.lit(decay ** chunk) + e
     )
-    states = ends.select(*keys, "_chunk", carried.alias("_carry"))
-    return local.join(states, keys + ["_chunk"]).select(
-        *[local[c] for c in log.columns],
+    states = ends.select(*RANK, "_chunk", carried.alias("_carry"))
+    return local.join(states, RANK + ["_chunk"]).select(
+        *log.columns,
         (F.col("_s") + F.pow(F.lit(decay), F.col("_i") + 1) * F.col("_carry")).alias("smoothed"),
     )
 
@@ -106,22 +120,41 @@ def smooth_loss(log, alpha=0.1, span=SPAN):
 def curves(log, repeat_epoch_point=False, span=SPAN):
     """Loss and accuracy points of every rank in drawing order, one row per point (`point` counts from 0).
 
-    repeat_epoch_point adds one more accuracy point per epoch that repeats the epoch's last value; its loss is
-    null. One row per point rather than one list per rank, because a list would gather a rank in one task.
+    repeat_epoch_point adds one more accuracy point after each epoch that repeats the epoch's last value; its
+    loss is null and its batch_idx one past the last. One row per point rather than one list per rank, because
+    a list would gather a rank in one task.
     """
-    keys = ["run_id", "rank"]
-    base = running_accuracy(log, span).select(*keys, "epoch", "batch_idx", "loss", "accuracy")
-    points = base.withColumn("kind", F.lit("batch"))
-    if repeat_epoch_point:
-        lasts = base.groupBy(*keys, "epoch").agg(
-            F.max("batch_idx").alias("_last"), F.max_by("accuracy", "batch_idx").alias("accuracy")
+    local, totals, group = _by_span(
+        log.select(*RANK, "epoch", "batch_idx", "loss", "n_correct", "n_samples"), RANK, ["epoch", "batch_idx"],
+        _correct() | {"_n": F.lit(1).cast("long")},
+        restart={"cum_correct": ["epoch"], "cum_samples": ["epoch"]}, span=span,
+    )
+    epochs = Window.partitionBy(*RANK).orderBy("epoch")
+    offsets = totals.select(
+        *group, "_o_cum_correct", "_o_cum_samples", "_o__n",
+        (F.dense_rank().over(epochs) - 1).cast("long").alias("_epochs_before"),
+        F.max("_last").over(Window.partitionBy(*RANK, "epoch")).alias("_epoch_end"),
+    )
+    points = local.join(offsets, group).select(
+        *RANK, "epoch", "batch_idx", "loss", _running("cum_correct"), _running("cum_samples"), _running("_n"),
+        "_epochs_before", "_epoch_end",
+    ).withColumn("accuracy", _percent())
+    if not repeat_epoch_point:
+        return points.select(
+            *RANK, "epoch", "batch_idx", "loss", "accuracy", F.lit("batch").alias("kind"),
+            (F.col("_n") - 1).alias("point"),
         )
-        points = points.unionByName(lasts.select(
-            *keys, "epoch", (F.col("_last") + 1).alias("batch_idx"), F.lit(None).cast("double").alias("loss"),
-            "accuracy", F.lit("epoch").alias("kind"),
-        ))
-    numbered = running_totals(points, keys, ["epoch", "batch_idx"], {"_n": F.lit(1).cast("long")}, span)
-    return numbered.withColumn("point", F.col("_n") - 1).drop("_n")
+    place = F.col("_n") - 1 + F.col("_epochs_before")
+
+    def point(kind, batch_idx, loss, at):
+        return F.struct(
+            F.lit(kind).alias("kind"), batch_idx.alias("batch_idx"), loss.alias("loss"), at.alias("point")
+        )
+
+    batch = point("batch", F.col("batch_idx"), F.col("loss"), place)
+    repeat = point("epoch", F.col("batch_idx") + 1, F.lit(None).cast("double"), place + 1)
+    both = F.when(F.col("batch_idx") == F.col("_epoch_end"), F.array(batch, repeat)).otherwise(F.array(batch))
+    return points.select(*RANK, "epoch", "accuracy", F.inline(both))
 
 
 def progress_rows(log, k=50):

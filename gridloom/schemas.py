@@ -20,13 +20,6 @@ TRAIN_LOG = T.StructType([
     T.StructField("ts", T.TimestampType()),
 ])
 
-PARAMS = T.StructType([
-    T.StructField("kind", T.StringType(), False),
-    T.StructField("name", T.StringType(), False),
-    T.StructField("shape", T.ArrayType(T.IntegerType(), False)),
-    T.StructField("vals", T.ArrayType(T.FloatType(), False)),
-])
-
 MANIFEST = T.StructType([
     T.StructField("run_id", T.StringType(), False),
     T.StructField("epoch", T.IntegerType(), False),

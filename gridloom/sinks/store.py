@@ -1,65 +1,75 @@
 """Checkpoints, published versions and training logs as parquet folders on a shared file system.
 
-Layout under a root folder:
-    params/run_id=R/epoch=E/save_id=S      one row per tensor
-    checkpoint/run_id=R/epoch=E/save_id=S  one row, written last: a save counts only once this row exists
-    versions/<time-stamped name>           published copies
+Every run has a folder root/<run_id>, so opening a run never lists the others. A save is one parquet file under
+<run folder>/checkpoint/epoch=E/save_id=S: a manifest row and one row per tensor. The file appears as a whole when
+its write job commits, so a save is either there or not.
 """
 
 import uuid
 from datetime import datetime, timezone
 
 import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from gridloom import schemas
 
+SAVE = pa.schema([
+    ("kind", pa.string()), ("name", pa.string()), ("shape", pa.list_(pa.int32())), ("vals", pa.list_(pa.float32())),
+    ("loss", pa.float64()), ("seed", pa.int64()), ("saved_at", pa.timestamp("us", tz="UTC")),
+])
+SAVE_DDL = (
+    "kind string, name string, shape array<int>, vals array<float>, loss double, seed bigint, saved_at timestamp"
+)
+KEYS_DDL = "epoch int, save_id string"
 
-def _rows(kind, arrays):
+
+def _tensors(kind, arrays):
     return [
-        (kind, name, [int(d) for d in a.shape], a.astype(np.float32).ravel().tolist())
+        {"kind": kind, "name": name, "shape": list(a.shape), "vals": a.astype(np.float32).ravel()}
         for name, a in arrays.items()
     ]
 
 
-def _read(spark, path, schema, keys):
-    """Rows below `path`, or None if nothing was ever written there."""
-    typed = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
-    typed += "".join(f", {k} {t}" for k, t in keys.items())
-    try:
-        return spark.read.schema(typed).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
-KEYS = {"run_id": "string", "epoch": "int", "save_id": "string"}
+def _write_save(spark, folder, params, opt, loss, seed):
+    manifest = {
+        "kind": "manifest", "loss": None if loss is None else float(loss), "seed": int(seed),
+        "saved_at": datetime.now(timezone.utc),
+    }
+    rows = [manifest] + _tensors("model", params) + _tensors("optimizer", opt)
+    table = pa.Table.from_pylist(rows, schema=SAVE)
+    spark.createDataFrame(table).coalesce(1).write.mode("overwrite").parquet(folder)
 
 
 def save_checkpoint(spark, root, run_id, epoch, params, opt=None, loss=0.0, seed=42, save_id=None):
-    """Write the model and optimizer arrays, then the manifest row. Returns the id of this save.
+    """Write model and optimizer arrays, loss and seed. Returns the id of this save.
 
     Saving an epoch again adds a newer save; readers take the newest.
     """
     save_id = save_id or uuid.uuid4().hex
-    here = f"run_id={run_id}/epoch={epoch}/save_id={save_id}"
-    rows = _rows("model", params) + _rows("optimizer", opt or {})
-    spark.createDataFrame(rows, schemas.PARAMS).coalesce(1).write.mode("overwrite").parquet(f"{root}/params/{here}")
-    spark.createDataFrame(
-        [(None if loss is None else float(loss), int(seed), datetime.now(timezone.utc))],
-        "loss double, seed bigint, saved_at timestamp",
-    ).coalesce(1).write.mode("overwrite").parquet(f"{root}/checkpoint/{here}")
+    _write_save(
+        spark, f"{root}/{run_id}/checkpoint/epoch={epoch}/save_id={save_id}", params, opt or {}, loss, seed
+    )
     return save_id
 
 
-def checkpoints(spark, root):
-    """Manifest rows of all finished saves, or None."""
-    from pyspark.sql import types as T
+def _saves(spark, root, run_id):
+    """Rows of all saves of a run, or None if nothing was ever saved."""
+    try:
+        return spark.read.schema(f"{SAVE_DDL}, {KEYS_DDL}").parquet(f"{root}/{run_id}/checkpoint")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
-    fields = T.StructType([f for f in schemas.MANIFEST.fields if f.name not in KEYS])
-    return _read(spark, f"{root}/checkpoint", fields, KEYS)
+
+def checkpoints(spark, root, run_id):
+    """One row per save (schemas.MANIFEST), or None if nothing was ever saved."""
+    saves = _saves(spark, root, run_id)
+    return saves and saves.filter(F.col("kind") == "manifest").select(
+        F.lit(run_id).alias("run_id"), "epoch", "save_id", "loss", "seed", "saved_at"
+    )
 
 
 def load_checkpoint(spark, root, run_id):
@@ -67,21 +77,22 @@ def load_checkpoint(spark, root, run_id):
 
     Without a checkpoint: start_epoch 0, loss 0.0, seed None and no arrays.
     """
-    fresh = {"start_epoch": 0, "loss": 0.0, "seed": None, "params": None, "opt": None, "save_id": None}
-    saved = checkpoints(spark, root)
     newest = None
-    if saved is not None:
-        newest = saved.filter(F.col("run_id") == run_id).agg(
+    saves = _saves(spark, root, run_id)
+    if saves is not None:
+        newest = saves.filter(F.col("kind") == "manifest").agg(
             F.max_by(F.struct("epoch", "save_id", "loss", "seed"), F.struct("epoch", "saved_at")).alias("c")
         ).first().c
     if newest is None:
-        return fresh
-    tensors = _read(spark, f"{root}/params", schemas.PARAMS, KEYS).filter(
-        (F.col("run_id") == run_id) & (F.col("epoch") == newest.epoch) & (F.col("save_id") == newest.save_id)
-    )
+        return {"start_epoch": 0, "loss": 0.0, "seed": None, "params": None, "opt": None, "save_id": None}
+    tensors = saves.filter(
+        (F.col("epoch") == newest.epoch) & (F.col("save_id") == newest.save_id)
+        & F.col("kind").isin("model", "optimizer")
+    ).select("kind", "name", "shape", "vals").toArrow()
     arrays = {"model": {}, "optimizer": {}}
-    for r in tensors.collect():
-        arrays[r.kind][r["name"]] = np.array(r.vals, np.float32).reshape(r["shape"])
+    for kind, name, shape, vals in zip(*(tensors.column(i) for i in range(4))):
+        values = vals.values.to_numpy(zero_copy_only=False)
+        arrays[kind.as_py()][name.as_py()] = values.reshape(shape.as_py()).copy()
     return {
         "start_epoch": newest.epoch + 1, "loss": newest.loss if newest.loss is not None else 0.0,
         "seed": newest.seed, "params": arrays["model"], "opt": arrays["optimizer"], "save_id": newest.save_id,
@@ -99,15 +110,8 @@ def publish_version(spark, root, run_id, at=None, prefix="model_checkpoint"):
         return None
     stamp = (at or datetime.now(timezone.utc)).strftime("%Y%m%d_%H%M%S")
     target = f"{root}/versions/{prefix}_{stamp}"
-    rows = _rows("model", latest["params"]) + _rows("optimizer", latest["opt"])
-    (
-        spark.createDataFrame(rows, schemas.PARAMS)
-        .select(
-            F.lit(run_id).alias("run_id"), F.lit(latest["start_epoch"] - 1).alias("epoch"),
-            F.lit(latest["loss"]).alias("loss"), F.lit(latest["seed"]).alias("seed"), "*",
-        )
-        .coalesce(1).write.mode("overwrite").parquet(target)
-    )
+    folder = f"{target}/run_id={run_id}/epoch={latest['start_epoch'] - 1}"
+    _write_save(spark, folder, latest["params"], latest["opt"], latest["loss"], latest["seed"])
     return target
 
 

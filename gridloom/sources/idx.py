@@ -1,22 +1,22 @@
 """IDX binary files as a Spark data source.
 
 All records of an IDX file have the same size, so a file is cut into record ranges and every task reads only
-its own bytes. The row number is the record's place in the file; no numbering pass is needed.
+its own bytes. The row number is the record's place in the file; no numbering pass is needed. Given a label
+file beside the image file, a task reads the same record range from both, which pairs them by position without
+a join or a shuffle.
 
     spark.dataSource.register(IdxDataSource)
     spark.read.format("idx").option("kind", "images").load(path)
+    spark.read.format("idx").option("labels", label_path).load(image_path)
 """
 
 import struct
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from gridloom.operators.pairing import pair_by_position
-
-# Fixed values of the format: big-endian header, magic number per kind, header length in bytes.
+# Fixed values of the format: magic number per kind; the big-endian header is 16 or 8 bytes long.
 MAGIC = {"images": 2051, "labels": 2049}
 HEADER = {"images": 16, "labels": 8}
 
@@ -34,11 +34,10 @@ def _open(path):
     """Random-access file on whatever file system the path names."""
     from pyarrow import fs
 
-    if "://" not in path:
-        path = path.removeprefix("file:")
-        return fs.LocalFileSystem().open_input_file(path)
-    system, inner = fs.FileSystem.from_uri(path)
-    return system.open_input_file(inner)
+    if "://" in path:
+        system, inner = fs.FileSystem.from_uri(path)
+        return system.open_input_file(inner)
+    return fs.LocalFileSystem().open_input_file(path.removeprefix("file:"))
 
 
 def _header(path, kind):
@@ -57,78 +56,99 @@ def _header(path, kind):
     return count, record
 
 
+def _bytes(f, kind, record, first, n):
+    """n records from `first` on, as int32 (Spark's byte is signed)."""
+    f.seek(HEADER[kind] + first * record)
+    return np.frombuffer(f.read(n * record), np.uint8).astype(np.int32)
+
+
 class RecordRange(InputPartition):
-    def __init__(self, path, first, last, record):
-        self.path, self.first, self.last, self.record = path, first, last, record
+    def __init__(self, first, last, record):
+        self.first, self.last, self.record = first, last, record
 
 
 class IdxReader(DataSourceReader):
-    def __init__(self, kind, path, split, range_bytes):
-        self.kind, self.path, self.split, self.range_bytes = kind, path, split, range_bytes
+    """`files` maps kind to path: images, labels, or both."""
+
+    def __init__(self, files, split, range_bytes):
+        self.files, self.split, self.range_bytes = files, split, range_bytes
 
     def partitions(self):
-        count, record = _header(self.path, self.kind)
+        headers = {kind: _header(path, kind) for kind, path in self.files.items()}
+        counts = {kind: count for kind, (count, _) in headers.items()}
+        if len(set(counts.values())) > 1:
+            raise ValueError(f"cannot pair {counts['images']} images with {counts['labels']} labels")
+        count, record = headers.get("images") or headers["labels"]
         step = max(1, self.range_bytes // record)
         return [
-            RecordRange(self.path, first, min(first + step, count), record)
-            for first in range(0, count, step)
-        ] or [RecordRange(self.path, 0, 0, record)]
+            RecordRange(first, min(first + step, count), record) for first in range(0, count, step)
+        ] or [RecordRange(0, 0, record)]
 
     def read(self, part):
         per_batch = max(1, BATCH_BYTES // part.record)
-        with _open(part.path) as f:
-            f.seek(HEADER[self.kind] + part.first * part.record)
+        handles = {kind: _open(path) for kind, path in self.files.items()}
+        try:
             for first in range(part.first, part.last, per_batch):
                 n = min(per_batch, part.last - first)
-                cells = np.frombuffer(f.read(n * part.record), np.uint8).astype(np.int32)
-                if self.kind == "images":
+                columns = {
+                    "split": pa.array([self.split] * n, pa.string()),
+                    "idx": pa.array(np.arange(first, first + n, dtype=np.int64)),
+                }
+                if "labels" in handles:
+                    columns["label"] = pa.array(_bytes(handles["labels"], "labels", 1, first, n))
+                if "images" in handles:
+                    cells = _bytes(handles["images"], "images", part.record, first, n)
                     offsets = np.arange(n + 1, dtype=np.int32) * part.record
-                    value = pa.ListArray.from_arrays(pa.array(offsets), pa.array(cells))
-                    name = "px"
-                else:
-                    value, name = pa.array(cells), "label"
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([self.split] * n, pa.string()),
-                     pa.array(np.arange(first, first + n, dtype=np.int64)), value],
-                    names=["split", "idx", name],
-                )
+                    columns["px"] = pa.ListArray.from_arrays(pa.array(offsets), pa.array(cells))
+                yield pa.RecordBatch.from_pydict(columns)
+        finally:
+            for f in handles.values():
+                f.close()
 
 
 class IdxDataSource(DataSource):
+    """Options: kind ("images" or "labels"), labels (path of the label file to pair with), split, rangeBytes."""
+
     @classmethod
     def name(cls):
         return "idx"
 
-    def _kind(self):
+    def _files(self):
         kind = self.options.get("kind", "images")
         if kind not in MAGIC:
             raise ValueError(f"unknown kind {kind!r}")
-        return kind
+        files = {kind: self.options["path"]}
+        if self.options.get("labels"):
+            files["labels"] = self.options["labels"]
+        return files
 
     def schema(self):
-        last = "px array<int>" if self._kind() == "images" else "label int"
-        return f"split string, idx bigint, {last}"
+        files = self._files()
+        return (
+            "split string, idx bigint"
+            + (", label int" if "labels" in files else "") + (", px array<int>" if "images" in files else "")
+        )
 
     def reader(self, schema):
         return IdxReader(
-            self._kind(), self.options["path"], self.options.get("split", "train"),
-            int(self.options.get("rangeBytes", RANGE_BYTES)),
+            self._files(), self.options.get("split", "train"), int(self.options.get("rangeBytes", RANGE_BYTES))
         )
 
 
-def read_idx(spark, path, kind, split="train", range_bytes=RANGE_BYTES):
+def read_idx(spark, path, kind="images", labels=None, split="train", range_bytes=RANGE_BYTES):
     spark.dataSource.register(IdxDataSource)
-    return (
-        spark.read.format("idx").option("kind", kind).option("split", split)
-        .option("rangeBytes", range_bytes).load(path)
+    source = (
+        spark.read.format("idx").option("kind", kind).option("split", split).option("rangeBytes", range_bytes)
     )
+    if labels:
+        source = source.option("labels", labels)
+    return source.load(path)
 
 
 def read_idx_split(spark, folder, range_bytes=RANGE_BYTES):
     """All four files of a data set folder as (split, idx, label, px)."""
-    parts = []
-    for split, (image_file, label_file) in FILES.items():
-        images = read_idx(spark, f"{folder}/{image_file}", "images", split, range_bytes)
-        labels = read_idx(spark, f"{folder}/{label_file}", "labels", split, range_bytes)
-        parts.append(pair_by_position(images, labels))
-    return parts[0].unionByName(parts[1]).select("split", F.col("idx"), "label", "px")
+    train, test = (
+        read_idx(spark, f"{folder}/{images}", labels=f"{folder}/{labels}", split=split, range_bytes=range_bytes)
+        for split, (images, labels) in FILES.items()
+    )
+    return train.unionByName(test)

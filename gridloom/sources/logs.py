@@ -6,35 +6,40 @@ from pyspark.sql import functions as F
 #   Rank r, Epoch e, Batch b, Loss x
 #   Rank r, PID p with n samples, Epoch e, Batch b, Loss x
 #   Rank r - Epoch e, Loss x, Accuracy y%
-NUMBER = r"(-?[0-9.]+(?:[eE][-+]?[0-9]+)?|nan|inf|-inf)"
-BATCH_LINE = r"Rank (\d+)(?:, PID \d+ with (\d+) samples)?, Epoch (\d+), Batch (\d+), Loss " + NUMBER
-EPOCH_LINE = r"Rank (\d+) - Epoch (\d+), Loss " + NUMBER + r", Accuracy " + NUMBER + "%"
+NUMBER = r"(-?[0-9.]+(?:[eE][-+]?[0-9]+)?|nan|-?inf)"
+LINE = (
+    r"^.*?Rank ([0-9]+)(?:"
+    rf"(?:, PID [0-9]+ with ([0-9]+) samples)?, Epoch ([0-9]+), Batch ([0-9]+), Loss {NUMBER}"
+    rf"| - Epoch ([0-9]+), Loss {NUMBER}, Accuracy {NUMBER}%"
+    r").*$"
+)
+MARK = "\u0001"
 
 
 def parse_training_log(lines, value="value"):
     """(kind, rank, epoch, batch_idx, n_samples, loss, accuracy); lines of no known shape are left out.
 
-    kind is "batch" or "epoch". Columns a shape does not carry are null.
+    kind is "batch" or "epoch". Columns a shape does not carry are null. One replacement pulls all fields of a
+    line out at once.
     """
-    text = F.col(value)
     others = [c for c in lines.columns if c != value]
-    is_batch, is_epoch = text.rlike(BATCH_LINE), text.rlike(EPOCH_LINE)
+    fields = F.regexp_replace(value, LINE, MARK.join(["", "$1", "$2", "$3", "$4", "$5", "$6", "$7", "$8"]))
+    found = lines.filter(F.contains(value, F.lit("Rank "))).select(
+        *others, F.split(fields, MARK).alias("_f")
+    ).filter(F.size("_f") == 9)
 
-    def batch(i):
-        return F.when(is_batch, F.regexp_extract(text, BATCH_LINE, i))
+    def field(i):
+        return F.nullif(F.get("_f", F.lit(i)), F.lit(""))
 
-    def epoch(i):
-        return F.when(is_epoch, F.regexp_extract(text, EPOCH_LINE, i))
-
-    return lines.filter(is_batch | is_epoch).select(
+    return found.select(
         *others,
-        F.when(is_batch, "batch").otherwise("epoch").alias("kind"),
-        F.coalesce(batch(1), epoch(1)).cast("int").alias("rank"),
-        F.coalesce(batch(3), epoch(2)).cast("int").alias("epoch"),
-        batch(4).cast("long").alias("batch_idx"),
-        F.nullif(batch(2), F.lit("")).cast("int").alias("n_samples"),
-        F.coalesce(batch(5), epoch(3)).cast("double").alias("loss"),
-        epoch(4).cast("double").alias("accuracy"),
+        F.when(field(4).isNotNull(), "batch").otherwise("epoch").alias("kind"),
+        field(1).cast("int").alias("rank"),
+        F.coalesce(field(3), field(6)).cast("int").alias("epoch"),
+        field(4).cast("long").alias("batch_idx"),
+        field(2).cast("int").alias("n_samples"),
+        F.coalesce(field(5), field(7)).cast("double").alias("loss"),
+        field(8).cast("double").alias("accuracy"),
     )
 
 

@@ -48,20 +48,23 @@ def parse_labeled_lines(lines, n_pixels=None, values="int", mode="fail"):
     cells = F.slice("_f", F.lit(2), F.greatest(F.size("_f") - 1, F.lit(0)))
     right_width = F.lit(True) if n_pixels is None else F.size("_f") == n_pixels + 1
     if mode == "fail":
-        checked = fields
-        if n_pixels is not None:
-            problem = F.raise_error(F.format_string("expected %d fields: %.80s", F.lit(n_pixels + 1), F.col("value")))
-            checked = fields.filter(F.when(right_width, True).otherwise(problem.cast("boolean")))
-        return checked.select(
-            *other, F.get("_f", F.lit(0)).cast("int").alias("label"),
-            F.transform(cells, lambda c: c.cast(values)).alias("px"),
+        def checked(value, kind):
+            if n_pixels is None:
+                return value.cast(kind)
+            text = F.format_string("expected %d fields: %.80s", F.lit(n_pixels + 1), F.col("value"))
+            return F.when(right_width, value.cast(kind)).otherwise(F.raise_error(text).cast(kind))
+
+        # The width check sits inside both columns: as a filter it would be pushed below the split and repeat it.
+        return fields.select(
+            *other, checked(F.get("_f", F.lit(0)), "int").alias("label"),
+            checked(cells, f"array<{values}>").alias("px"),
         )
     if mode != "quarantine":
         raise ValueError(f"unknown mode {mode!r}")
     tried = fields.select(
         *other, "value", right_width.alias("_width"),
         F.get("_f", F.lit(0)).try_cast("int").alias("_label"),
-        F.transform(cells, lambda c: c.try_cast(values)).alias("_px"),
+        cells.try_cast(f"array<{values}>").alias("_px"),
     ).withColumn(
         "error",
         F.when(~F.col("_width"), "width")

@@ -1,24 +1,24 @@
 """Data-parallel training as Spark jobs.
 
-One job per epoch: the rows are shuffled, dealt to `world` ranks, moved to one partition per rank and streamed
-through mapInArrow in minibatches. A rank is a task, so its rows never sit in memory together.
+The rows are shuffled per epoch and dealt to `world` ranks.
 
-sync="epoch"  ranks train on their own and their parameters are averaged once per epoch. Tasks are independent
-              and a lost one is simply run again. This is the form for large clusters.
-sync="step"   gradients are averaged over ranks at every step. Ranks run as one barrier stage and exchange
-              gradients through the task context; a lost task restarts the stage.
+sync="epoch"  One job per epoch. Each rank's rows go to one partition and stream through mapInArrow in
+              minibatches, so they never sit in memory together; the ranks' parameters are averaged once per
+              epoch. Tasks are independent and a lost one is simply run again. The form for large clusters.
+sync="step"   One job per step: every rank computes the gradient of its minibatch, the gradients are averaged and
+              one update follows. Exact data-parallel steps at the price of a job each.
 
-Data never reaches the driver; averaged parameters do.
+Parameters and gradients of all ranks come to the driver only while together they stay below GATHER_LIMIT;
+beyond that they are averaged in Spark first, one group per chunk of parameters with one row per rank. Rows never
+reach the driver.
 """
 
-import base64
 import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 import numpy as np
 import pyarrow as pa
-from pyspark import BarrierTaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +30,8 @@ from gridloom.training.arch import Arch, init_params, sgd
 from gridloom.training.model import featurize, share_arrays
 
 CHUNK = 16384
-EXCHANGE_LIMIT = 64 << 20
+BLOCK_STEPS = 128
+GATHER_LIMIT = 64 << 20
 
 OUTPUT = (
     "kind string, rank int, batch_idx bigint, n_samples int, n_correct int, loss double, ts timestamp, "
@@ -41,6 +42,7 @@ ARROW_OUTPUT = pa.schema([
     ("n_correct", pa.int32()), ("loss", pa.float64()), ("ts", pa.timestamp("us", tz="UTC")),
     ("name", pa.string()), ("shape", pa.list_(pa.int32())), ("chunk", pa.int32()), ("vals", pa.list_(pa.float32())),
 ])
+LOG_COLUMNS = ["kind", "rank", "batch_idx", "n_samples", "n_correct", "loss", "ts"]
 
 
 @dataclass
@@ -52,11 +54,65 @@ class FitResult:
     root: str
 
 
+@dataclass(frozen=True)
+class Settings:
+    """What a task needs besides its rows and the shared parameters."""
+    net: Arch
+    opt: dict
+    batch: int
+    seed: int
+    epoch: int
+    denom: float
+    train_only: tuple | None
+
+
+def _record(kind, rank, step, n, correct, loss):
+    return {
+        "kind": kind, "rank": rank, "batch_idx": step, "n_samples": n, "n_correct": correct, "loss": loss,
+        "ts": datetime.now(timezone.utc),
+    }
+
+
+def _chunks(kind, rank, arrays):
+    for name, a in arrays.items():
+        flat = a.astype(np.float32).ravel()
+        for c, at in enumerate(range(0, len(flat), CHUNK)):
+            yield {
+                "kind": kind, "rank": rank, "name": name, "shape": list(a.shape), "chunk": c,
+                "vals": flat[at:at + CHUNK],
+            }
+
+
+def _gradients(cfg, params, rank, step, x, y):
+    """Log record, gradients and batch-norm statistics of one minibatch."""
+    net = cfg.net
+    x = x.astype(np.float32).reshape(-1, net.channels, net.height, net.width) / np.float32(cfg.denom)
+    rng = np.random.default_rng([cfg.seed, cfg.epoch, rank, step])
+    scores, tape, stats = kernels.forward(net.layers, params, x, rng)
+    loss, g = kernels.cross_entropy(scores, y)
+    grads = kernels.backward(net.layers, params, tape, g)
+    if cfg.train_only:
+        grads = {n: v for n, v in grads.items() if n.startswith(cfg.train_only)}
+    return _record("log", rank, step, len(y), int((scores.argmax(axis=1) == y).sum()), loss), grads, stats
+
+
+def _mix_statistics(params, stats):
+    """Running figures take a tenth of the new value; the variance in its unbiased form."""
+    for name, (mean, var, n) in stats.items():
+        for key, new in (("running_mean", mean), ("running_var", var * (n / max(n - 1, 1)))):
+            old = params[f"{name}.{key}"]
+            params[f"{name}.{key}"] = (0.9 * old + 0.1 * new).astype(old.dtype)
+
+
+# --- one job per epoch ---------------------------------------------------------------------------------------
+
 def _minibatches(batches, size, width):
     """(rank, matrix, labels) of exactly `size` rows each, the last one shorter."""
-    xs, ys, held = [], [], 0
+    xs, ys, held, rank = [], [], 0, None
     for batch in batches:
-        rank = batch.column(0)[0].as_py() if len(batch) else None
+        if not len(batch):
+            continue
+        rank = batch.column(0)[0].as_py()
         x, y = layers.to_matrix(batch.column(1), width), batch.column(2).to_numpy(zero_copy_only=False)
         while len(y):
             take = min(size - held, len(y))
@@ -70,111 +126,163 @@ def _minibatches(batches, size, width):
         yield rank, np.concatenate(xs), np.concatenate(ys)
 
 
-def _mean_over_ranks(vector):
-    """Average one float32 vector over the tasks of a barrier stage, adding in rank order."""
-    context = BarrierTaskContext.get()
-    sent = context.allGather(base64.b64encode(vector.tobytes()).decode())
-    total = np.zeros(len(vector), np.float64)
-    for message in sent:
-        total += np.frombuffer(base64.b64decode(message), np.float32)
-    return (total / len(sent)).astype(np.float32)
-
-
-def _average_gradients(grads):
-    names = sorted(grads)
-    mean = _mean_over_ranks(np.concatenate([grads[n].astype(np.float32).ravel() for n in names]))
-    out, at = {}, 0
-    for n in names:
-        out[n] = mean[at:at + grads[n].size].reshape(grads[n].shape)
-        at += grads[n].size
-    return out
-
-
-def _rank_task(net, shared, opt, size, seed, epoch, denom, sync, train_only):
-    """The function one rank runs over its stream of rows."""
-    width = net.channels * net.height * net.width
-
-    def rows(records):
-        return pa.RecordBatch.from_pylist(records, schema=ARROW_OUTPUT)
+def _rank_task(cfg, shared):
+    """Train on one rank's stream of rows; emit the log, then the final parameters."""
+    width = cfg.net.channels * cfg.net.height * cfg.net.width
 
     def run(batches):
         params = {n: a.copy() for n, a in shared.value["model"].items()}
         state = {n: a.copy() for n, a in shared.value["optimizer"].items()}
         rank, log = None, []
-        for step, (rank, x, y) in enumerate(_minibatches(batches, size, width)):
-            x = x.astype(np.float32).reshape(-1, net.channels, net.height, net.width) / np.float32(denom)
-            rng = np.random.default_rng([seed, epoch, rank, step])
-            scores, tape, stats = kernels.forward(net.layers, params, x, rng)
-            loss, g = kernels.cross_entropy(scores, y)
-            grads = kernels.backward(net.layers, params, tape, g)
-            if train_only:
-                grads = {n: v for n, v in grads.items() if n.startswith(train_only)}
-            if sync == "step":
-                grads = _average_gradients(grads)
-            kernels.update(opt, params, grads, state)
-            for name, (mean, var, n) in stats.items():
-                # The running variance takes the unbiased form; a tenth of the new value is mixed in.
-                for key, new in (("running_mean", mean), ("running_var", var * n / max(n - 1, 1))):
-                    old = params[f"{name}.{key}"]
-                    params[f"{name}.{key}"] = (0.9 * old + 0.1 * new).astype(old.dtype)
-            log.append({
-                "kind": "log", "rank": rank, "batch_idx": step, "n_samples": len(y),
-                "n_correct": int((scores.argmax(axis=1) == y).sum()), "loss": loss, "ts": datetime.now(timezone.utc),
-            })
+        for step, (rank, x, y) in enumerate(_minibatches(batches, cfg.batch, width)):
+            record, grads, stats = _gradients(cfg, params, rank, step, x, y)
+            kernels.update(cfg.opt, params, grads, state)
+            _mix_statistics(params, stats)
+            log.append(record)
             if len(log) == 1000:
-                yield rows(log)
+                yield pa.RecordBatch.from_pylist(log, schema=ARROW_OUTPUT)
                 log = []
-        if log:
-            yield rows(log)
         if rank is None:
             return
+        last = {"kind": "last", "rank": rank, "name": "loss", "shape": [], "chunk": 0, "loss": record["loss"], "vals": []}
+        yield pa.RecordBatch.from_pylist(log + [last], schema=ARROW_OUTPUT)
         for kind, arrays in (("model", params), ("optimizer", state)):
-            for name, a in arrays.items():
-                flat = a.astype(np.float32).ravel()
-                for c, at in enumerate(range(0, len(flat), CHUNK)):
-                    yield rows([{
-                        "kind": kind, "rank": rank, "name": name, "shape": list(a.shape), "chunk": c,
-                        "vals": flat[at:at + CHUNK],
-                    }])
+            for row in _chunks(kind, rank, arrays):
+                yield pa.RecordBatch.from_pylist([row], schema=ARROW_OUTPUT)
 
     return run
 
 
-def _mean_chunk(pdf):
-    pdf = pdf.sort_values("rank")
-    mean = np.mean(np.stack(pdf["vals"].to_list()).astype(np.float64), axis=0).astype(np.float32)
-    return pdf.head(1)[["kind", "name", "shape", "chunk"]].assign(vals=[mean])
+def _mean_chunk(table):
+    """Average over ranks, added up in rank order; the other columns are those of the lowest rank."""
+    table = table.sort_by("rank")
+    mean = np.mean([v.values.to_numpy() for v in table.column("vals")], axis=0, dtype=np.float64)
+    first = table.slice(0, 1)
+    return first.set_column(
+        first.schema.get_field_index("vals"), "vals", pa.array([mean.astype(np.float32)], pa.list_(pa.float32()))
+    )
 
 
-def _collect_params(written, sync):
-    """Model and optimizer arrays of the epoch. Averaging runs in Spark, one group per parameter chunk."""
-    parts = written.filter(F.col("kind").isin("model", "optimizer")).select(
-        "kind", "rank", "name", "shape", "chunk", "vals"
+def _average(rows, world, model, limit=None):
+    """Mean over ranks of every parameter chunk, as arrays by kind and name, plus all other rows."""
+    gathered = 2 * world * sum(a.nbytes for a in model.values())
+    if gathered > (GATHER_LIMIT if limit is None else limit):
+        rows = rows.groupBy("kind", "name", "chunk").applyInArrow(_mean_chunk, rows.schema)
+    table = rows.toArrow().sort_by([("name", "ascending"), ("chunk", "ascending"), ("rank", "ascending")])
+    chunks, others = {}, []
+    small = table.drop_columns("vals").to_pylist()
+    for r, vals in zip(small, table.column("vals")):
+        if r["kind"] in ("model", "optimizer", "gradient"):
+            chunks.setdefault((r["kind"], r["name"], tuple(r["shape"])), {}).setdefault(r["chunk"], []).append(
+                vals.values.to_numpy()
+            )
+        else:
+            others.append(r | {"vals": vals.values.to_numpy() if vals.is_valid else None})
+    arrays = {}
+    for (kind, name, shape), by_chunk in chunks.items():
+        means = [np.mean(v, axis=0, dtype=np.float64).astype(np.float32) for v in by_chunk.values()]
+        arrays.setdefault(kind, {})[name] = np.concatenate(means).reshape(shape)
+    return arrays, others
+
+
+def _epoch_job(spark, cfg, dealt, world, state, out):
+    shared = share_arrays(spark, state)
+    ordered = (
+        dealt.select("rank", "pos_in_rank", "x", "y").repartitionById(world, F.col("rank"))
+        .sortWithinPartitions("pos_in_rank").select("rank", "x", "y")
     )
-    if sync == "step":
-        parts = parts.filter(F.col("rank") == 0).drop("rank")
-    else:
-        parts = parts.groupBy("kind", "name", "chunk").applyInPandas(
-            _mean_chunk, "kind string, name string, shape array<int>, chunk int, vals array<float>"
-        )
-    found = {}
-    for r in sorted(parts.collect(), key=lambda r: r.chunk):
-        found.setdefault((r.kind, r["name"], tuple(r["shape"])), []).append(np.array(r.vals, np.float32))
-    out = {"model": {}, "optimizer": {}}
-    for (kind, name, shape), pieces in found.items():
-        out[kind][name] = np.concatenate(pieces).reshape(shape)
-    return out
+    # Written out because both the log and the parameters are read from it.
+    ordered.mapInArrow(_rank_task(cfg, shared), OUTPUT).write.parquet(out)
+    shared.unpersist()
+    written = spark.read.schema(OUTPUT).parquet(out).filter(F.col("kind") != "log")
+    averaged, lasts = _average(
+        written.select("kind", "rank", "name", "shape", "chunk", "loss", "vals"), world, state["model"]
+    )
+    return {"model": averaged["model"], "optimizer": averaged.get("optimizer", {})}, lasts[0]["loss"]
+
+
+# --- one job per step ----------------------------------------------------------------------------------------
+
+def _step_task(cfg, shared):
+    """Gradient of one minibatch; a partition holds at most one rank's rows of the step."""
+    width = cfg.net.channels * cfg.net.height * cfg.net.width
+
+    def run(batches):
+        held = [b for b in batches if len(b)]
+        if not held:
+            return
+        table = pa.Table.from_batches(held).combine_chunks()
+        rank, step = table.column("rank")[0].as_py(), table.column("batch_idx")[0].as_py()
+        x, y = layers.to_matrix(table.column("x").chunk(0), width), table.column("y").to_numpy()
+        record, grads, stats = _gradients(cfg, shared.value["model"], rank, step, x, y)
+        rows = [record | {"name": f"log {rank}", "chunk": 0, "vals": []}]
+        rows += _chunks("gradient", rank, grads)
+        if rank == 0:
+            for name, (mean, var, n) in stats.items():
+                rows.append({"kind": "statistics", "rank": rank, "name": name, "chunk": n, "vals": [*mean, *var]})
+        yield pa.RecordBatch.from_pylist(rows, schema=ARROW_OUTPUT)
+
+    return run
 
 
+def _statistics(rows):
+    """Batch-norm figures of rank 0 (means, then variances), by layer."""
+    found = {}
+    for r in rows:
+        if r["kind"] == "statistics":
+            mean, var = np.split(np.asarray(r["vals"]), 2)
+            found[r["name"]] = (mean, var, r["chunk"])
+    return found
+
+
+def _step_jobs(spark, cfg, dealt, world, state, out, folder):
+    """All steps of an epoch. The dealt rows are written once, cut into blocks of steps, and each block is kept
+    in memory while its steps run."""
+    rows = (
+        ordering.minibatch(dealt, cfg.batch)
+        .withColumn("block", F.call_function("div", F.col("batch_idx"), F.lit(BLOCK_STEPS)))
+        .select("block", "rank", "batch_idx", "slot", "x", "y")
+    )
+    (
+        rows.repartition("block", "rank").sortWithinPartitions("block", "batch_idx")
+        .write.mode("overwrite").partitionBy("block").parquet(folder)
+    )
+    stored = spark.read.schema(rows.schema).parquet(folder)
+    n_steps = (stored.agg(F.max("batch_idx").alias("n")).first().n or 0) + 1
+    params, opt_state, last = dict(state["model"]), dict(state["optimizer"]), None
+    for first in range(0, n_steps, BLOCK_STEPS):
+        block = (
+            stored.filter(F.col("block") == first // BLOCK_STEPS).repartitionById(world, F.col("rank"))
+            .sortWithinPartitions("batch_idx", "slot").select("rank", "batch_idx", "x", "y").persist()
+        )
+        records = []
+        for step in range(first, min(first + BLOCK_STEPS, n_steps)):
+            shared = share_arrays(spark, {"model": params})
+            found = block.filter(F.col("batch_idx") == step).mapInArrow(_step_task(cfg, shared), OUTPUT)
+            grads, others = _average(found, world, params)
+            shared.unpersist()
+            kernels.update(cfg.opt, params, grads["gradient"], opt_state)
+            log = sorted((r for r in others if r["kind"] == "log"), key=lambda r: r["rank"])
+            _mix_statistics(params, _statistics(others))
+            records += log
+            last = log[0]["loss"]
+        block.unpersist()
+        table = pa.Table.from_pylist(records, schema=ARROW_OUTPUT)
+        spark.createDataFrame(table).write.mode("append").parquet(out)
+    return {"model": params, "optimizer": opt_state}, last
+
+
+# --- runs ----------------------------------------------------------------------------------------------------
+
 def fit(
     examples, net, *, keys=("split", "idx"), world=1, batch=64, epochs=1, opt=None, seed=42, sync="epoch",
     denom=255.0, source="px", label="label", root=None, run_id=None, params=None, train_only=None,
 ):
     """Train `net` and return its parameters and the per-batch log.
 
-    A checkpoint is saved after every epoch under root/run_id; calling fit again with the same run_id goes on
-    after the last finished epoch, and does nothing if all epochs are done. A resumed run keeps the seed it was
-    started with. train_only: name prefixes of the parameters to train; the others stay frozen.
+    A checkpoint is saved after every epoch under root; calling fit again with the same run_id goes on after the
+    last finished epoch, and does nothing if all epochs are done. A resumed run keeps the seed it was started
+    with. train_only: name prefixes of the parameters to train; the others stay frozen.
     """
     if sync not in ("epoch", "step"):
         raise ValueError(f"unknown sync {sync!r}")
@@ -182,71 +290,60 @@ def fit(
     root = root or f"{shared_dir(spark)}/runs"
     run_id = run_id or uuid.uuid4().hex
     opt = opt or sgd()
-    train_only = tuple(train_only) if train_only else None
 
     saved = store.load_checkpoint(spark, root, run_id)
     if saved["params"] is not None:
         state, seed = {"model": saved["params"], "optimizer": saved["opt"]}, saved["seed"]
     else:
         state = {"model": params or init_params(net, seed), "optimizer": {}}
-    exchanged = world * 4 * sum(a.nbytes for a in state["model"].values()) // 3
-    if sync == "step" and exchanged > EXCHANGE_LIMIT:
-        raise ValueError(f'{exchanged} bytes of gradients per step are too many; use sync="epoch"')
 
     needed = examples.select(*keys, F.col(source).alias("x"), F.col(label).cast("int").alias("y"))
     for epoch in range(saved["start_epoch"], epochs):
         save_id = uuid.uuid4().hex
-        dealt = (
-            ordering.shard(needed, list(keys), world, seed, epoch)
-            .select("rank", "pos_in_rank", "x", "y")
-            .repartitionById(world, F.col("rank"))
-            .sortWithinPartitions("pos_in_rank")
-            .select("rank", "x", "y")
-        )
-        shared = share_arrays(spark, state)
-        task = _rank_task(net, shared, opt, batch, seed, epoch, denom, sync, train_only)
-        out = f"{root}/epochs/run_id={run_id}/epoch={epoch}/save_id={save_id}"
-        dealt.mapInArrow(task, OUTPUT, barrier=sync == "step").write.partitionBy("kind").parquet(out)
-        written = spark.read.schema(OUTPUT).parquet(out)
-        state = _collect_params(written, sync)
-        last = written.filter((F.col("kind") == "log") & (F.col("rank") == 0)).agg(
-            F.max_by("loss", "batch_idx").alias("loss")
-        ).first().loss
-        store.save_checkpoint(
-            spark, root, run_id, epoch, state["model"], state["optimizer"], last, seed, save_id
-        )
-        shared.unpersist()
+        out = f"{root}/{run_id}/epochs/epoch={epoch}/save_id={save_id}"
+        cfg = Settings(net, opt, batch, seed, epoch, denom, tuple(train_only) if train_only else None)
+        dealt = ordering.shard(needed, list(keys), world, seed, epoch)
+        if sync == "epoch":
+            state, loss = _epoch_job(spark, cfg, dealt, world, state, out)
+        else:
+            state, loss = _step_jobs(spark, cfg, dealt, world, state, out, f"{root}/{run_id}/dealt")
+        store.save_checkpoint(spark, root, run_id, epoch, state["model"], state["optimizer"], loss, seed, save_id)
     return FitResult(run_id, state["model"], state["optimizer"], fit_log(spark, root, run_id), root)
 
 
 def fit_log(spark, root, run_id):
     """Per-batch records of a run, from finished epochs only."""
-    written = spark.read.schema(
-        OUTPUT + ", run_id string, epoch int, save_id string"
-    ).parquet(f"{root}/epochs").filter((F.col("run_id") == run_id) & (F.col("kind") == "log"))
-    done = store.checkpoints(spark, root).filter(F.col("run_id") == run_id).groupBy("run_id", "epoch").agg(
+    written = spark.read.schema(f"{OUTPUT}, {store.KEYS_DDL}").parquet(
+        f"{root}/{run_id}/epochs"
+    ).filter(F.col("kind") == "log")
+    finished = store.checkpoints(spark, root, run_id).groupBy("epoch").agg(
         F.max_by("save_id", "saved_at").alias("save_id")
     )
-    return written.join(F.broadcast(done), ["run_id", "epoch", "save_id"], "left_semi").select(
-        "run_id", "rank", "epoch", "batch_idx", "n_samples", "n_correct", "loss", "ts"
+    return written.join(finished, ["epoch", "save_id"], "left_semi").select(
+        F.lit(run_id).alias("run_id"), "rank", "epoch", "batch_idx", "n_samples", "n_correct", "loss", "ts"
     )
 
 
-def fit_head(examples, net, params, n_layers, *, keys=("split", "idx"), label="label", classes=10, source="px",
-             denom=255.0, root=None, run_id=None, **options):
-    """Transfer learning: frozen features are computed once, written out and reused by every epoch of the head."""
+def fit_head(
+    examples, net, params, n_layers, *, keys=("split", "idx"), label="label", classes=10, source="px", denom=255.0,
+    root=None, run_id=None, **options,
+):
+    """Transfer learning: frozen features are computed once, written out and reused by every epoch of the head.
+
+    Returns the head's layout and its FitResult.
+    """
     spark = examples.sparkSession
     root = root or f"{shared_dir(spark)}/runs"
     run_id = run_id or uuid.uuid4().hex
-    folder = f"{root}/features/{run_id}"
+    folder = f"{root}/{run_id}/features"
     featurize(
         examples.select(*keys, label, source), net, params, n_layers, source, denom
     ).select(*keys, label, "features").write.mode("overwrite").parquet(folder)
-    features = spark.read.parquet(folder)
-    shape = (1, net.channels, net.height, net.width)
-    probe, _, _ = kernels.forward(net.layers[:n_layers], params, np.zeros(shape, np.float32))
-    head = Arch((("flatten",), ("dense", "fc", classes)), 1, probe.size)
+    probe = np.zeros((1, net.channels, net.height, net.width), np.float32)
+    width = kernels.forward(net.layers[:n_layers], params, probe)[0].size
+    head = Arch((("flatten",), ("dense", "fc", classes)), 1, width)
     options.setdefault("opt", sgd(lr=0.001))
     return head, fit(
-        features, head, keys=keys, label=label, source="features", denom=1.0, root=root, run_id=run_id, **options
+        spark.read.parquet(folder), head, keys=keys, label=label, source="features", denom=1.0, root=root,
+        run_id=run_id, **options,
     )
