@@ -11,22 +11,6 @@ def silu(x):
     return F.transform(x, lambda v: v / (F.lit(1.0) + F.exp(-v)))
 
 
-def max_pool2d(x, height, width, channels=1):
-    """2x2 pooling with stride 2 over a flat channel-first image; an odd last row or column is dropped."""
-    oh, ow = height // 2, width // 2
-
-    def cell(p):
-        c = F.floor(p / F.lit(oh * ow))
-        r = F.floor(F.pmod(p, F.lit(oh * ow)) / F.lit(ow))
-        at = (c * F.lit(height * width) + r * F.lit(2 * width) + F.pmod(p, F.lit(ow)) * F.lit(2)).cast("int")
-        return F.greatest(
-            F.get(x, at), F.get(x, at + F.lit(1)),
-            F.get(x, at + F.lit(width)), F.get(x, at + F.lit(width + 1)),
-        )
-
-    return F.transform(F.sequence(F.lit(0), F.lit(channels * oh * ow - 1)), cell)
-
-
 def batch_norm(x, stats, area, eps=1e-5):
     """Normalise with fixed per-channel figures; stats is a list of (mean, var, gamma, beta) per channel."""
     mean, var, gamma, beta = (F.array(*[F.lit(float(s[i])) for s in stats]) for i in range(4))

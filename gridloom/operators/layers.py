@@ -1,8 +1,8 @@
-"""Convolution and dense layers over array columns, class means and batch-norm statistics.
+"""Convolution, pooling and dense layers over array columns, class sums and batch-norm statistics.
 
-The two layers run as NumPy matrix products on whole Arrow batches: interpreted array lambdas would evaluate
-every multiplication on its own. Pooling, activations, batch-norm and dropout are column expressions
-(functions/scores.py).
+These run as NumPy steps on Arrow batches, because array lambdas are interpreted cell by cell: on 28x28 images the
+pooling below is about five times faster than the same rule as a column expression, scan included. Element-wise
+steps (activations, batch-norm, dropout) are column expressions in functions/scores.py.
 """
 
 import numpy as np
@@ -13,6 +13,13 @@ from pyspark.sql import types as T
 from gridloom.training import kernels
 
 
+ROWS_AT_ONCE = 64  # a convolution unfolds every row to nine times its size; this many stay in cache
+ELEMENTS = {
+    "int": (pa.int32(), T.IntegerType()), "bigint": (pa.int64(), T.LongType()),
+    "float": (pa.float32(), T.FloatType()), "double": (pa.float64(), T.DoubleType()),
+}
+
+
 def to_matrix(column, width=None):
     """Arrow list column to a 2-D array without a Python object per cell."""
     if column.null_count:
@@ -32,18 +39,18 @@ def to_lists(matrix, arrow_type):
 
 
 def map_arrays(df, fn, source, out, element, width=None):
-    """Append `out` = fn(matrix of `source`), one row in, one row out, batch by batch."""
-    arrow_type = {"bigint": pa.int64(), "float": pa.float32(), "double": pa.float64()}[element]
+    """Append `out` = fn(matrix of `source`), one row in, one row out, ROWS_AT_ONCE rows at a time."""
+    arrow_type, element_type = ELEMENTS[element]
     at = df.columns.index(source)
 
     def run(batches):
         for batch in batches:
-            result = to_lists(fn(to_matrix(batch.column(at), width)), arrow_type)
-            yield pa.RecordBatch.from_arrays(
-                batch.columns + [result], names=batch.schema.names + [out]
-            )
+            if len(batch):
+                x = to_matrix(batch.column(at), width)
+                parts = [fn(x[i:i + ROWS_AT_ONCE]) for i in range(0, len(x), ROWS_AT_ONCE)]
+                result = to_lists(np.concatenate(parts), arrow_type)
+                yield pa.RecordBatch.from_arrays(batch.columns + [result], names=batch.schema.names + [out])
 
-    element_type = {"bigint": T.LongType(), "float": T.FloatType(), "double": T.DoubleType()}[element]
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.ArrayType(element_type, False))])
     return df.mapInArrow(run, schema)
 
@@ -53,6 +60,11 @@ def _exact(arrays):
     return all(np.issubdtype(np.asarray(a).dtype, np.integer) for a in arrays)
 
 
+def _flat(images):
+    """(row, height, width, channel) to flat channel-first rows."""
+    return images.transpose(0, 3, 1, 2).reshape(len(images), -1)
+
+
 def conv2d(df, weights, bias, height, width, pad=0, source="px", out="conv"):
     """3x3-style convolution, stride 1. weights: out x in x k x k; the image is flat, channel first."""
     weights, bias = np.asarray(weights), np.asarray(bias)
@@ -61,12 +73,22 @@ def conv2d(df, weights, bias, height, width, pad=0, source="px", out="conv"):
     w, b, channels = weights.astype(dtype), bias.astype(dtype), weights.shape[1]
 
     def run(x):
-        y, _ = kernels.conv(x.astype(dtype).reshape(-1, channels, height, width), w, b, pad)
-        return y.reshape(len(x), int(np.prod(y.shape[1:])))
+        images = x.astype(dtype).reshape(-1, channels, height, width).transpose(0, 2, 3, 1)
+        return _flat(kernels.conv(images, w, b, pad)[0])
 
     return map_arrays(df, run, source, out, "bigint" if exact else "double", channels * height * width)
 
 
+def max_pool2d(df, height, width, channels=1, source="px", out="pooled"):
+    """2x2 pooling with stride 2 of a flat channel-first image; an odd last row or column is dropped."""
+    element = df.schema[source].dataType.elementType.simpleString()
+
+    def run(x):
+        return _flat(kernels.pool(x.reshape(-1, channels, height, width).transpose(0, 2, 3, 1)))
+
+    return map_arrays(df, run, source, out, element, channels * height * width)
+
+
 def dense(df, weights, bias, source="px", out="dense"):
     """weights (out x in) times the vector, plus bias."""
     weights, bias = np.asarray(weights), np.asarray(bias)
@@ -81,22 +103,25 @@ def dense(df, weights, bias, source="px", out="dense"):
 def batch_norm_fit(df, channels, area, source="x"):
     """Mean and population variance per channel over all rows and all places of the channel.
 
-    Each row is first reduced to one (sum, sum of squares) per channel, so only `channels` small records per
-    row reach the aggregation, which combines them on the map side.
+    A task hands over (count, mean, squared deviations) per channel and batch; the aggregation joins them.
     """
-    def part(c):
-        cells = F.slice(source, c * F.lit(area) + F.lit(1), F.lit(area))
-        return F.struct(
-            c.alias("channel"),
-            F.aggregate(cells, F.lit(0.0), lambda a, v: a + v).alias("s"),
-            F.aggregate(cells, F.lit(0.0), lambda a, v: a + v * v).alias("q"),
-        )
-
-    parts = df.select(F.inline(F.transform(F.sequence(F.lit(0), F.lit(channels - 1)), part)))
-    n = F.count("*") * F.lit(area)
-    mean = F.sum("s") / n
+    def run(batches):
+        for batch in batches:
+            x = to_matrix(batch.column(0), channels * area).astype(np.float64).reshape(-1, channels, area)
+            if not len(x):
+                continue
+            mean = x.mean(axis=(0, 2))
+            spread = ((x - mean[:, None]) ** 2).sum(axis=(0, 2))
+            yield pa.RecordBatch.from_pydict({
+                "channel": pa.array(range(channels), pa.int32()), "n": pa.array([len(x) * area] * channels, pa.int64()),
+                "m": pa.array(mean), "s": pa.array(spread),
+            })
+
+    parts = df.select(source).mapInArrow(run, "channel int, n bigint, m double, s double")
+    n, total = F.sum("n"), F.sum(F.col("n") * F.col("m"))
     return parts.groupBy("channel").agg(
-        mean.alias("mean"), (F.sum("q") / n - mean * mean).alias("variance")
+        (total / n).alias("mean"),
+        ((F.sum("s") + F.sum(F.col("n") * F.col("m") * F.col("m")) - total * total / n) / n).alias("variance"),
     )
 
 

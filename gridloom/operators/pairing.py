@@ -1,7 +1,11 @@
 """Join two sequences by position."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+# A block's entry takes about 150 bytes.
+BROADCAST_BLOCKS = 500_000
+
 
 def pair_by_position(images, labels, keys=("split", "idx"), strict=True):
     """One row per position with the image and its label.
@@ -26,10 +30,11 @@ def with_file_position(df, group="split", out="idx"):
 
     Needs the hidden columns of a file source. Rows of one input block share (path, block start) and are read
     in order, so a count per block is enough: the numbering of a block starts where the blocks before it end.
-    Only the counts (one row per block) are ordered across the whole input.
+    Only the counts (one row per block) are ordered. They are broadcast if the scan cannot have more than
+    BROADCAST_BLOCKS blocks, so that the rows themselves are not shuffled; otherwise it is a plain join.
     """
-    from pyspark.sql import Window
-
+    # A file ends at most one block early, and a partition holds no more bytes than a full block.
+    at_most = df.rdd.getNumPartitions() + len(df.inputFiles())
     tagged = df.select(
         "*",
         F.col("_metadata.file_path").alias("_path"),
@@ -41,6 +46,8 @@ def with_file_position(df, group="split", out="idx"):
     )
     before = Window.partitionBy(group).orderBy("_path", "_start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    if at_most <= BROADCAST_BLOCKS:
+        offsets = F.broadcast(offsets)
     return (
         tagged.join(offsets, [group, "_path", "_start"])
         .withColumn(out, F.col("_before") + F.col("_mid") - F.col("_first"))

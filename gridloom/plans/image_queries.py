@@ -36,12 +36,12 @@ def q_pixels(spark, sf):
 
 @query("q_label_projection", f"WITH {IMAGES_SQL} SELECT label FROM img")
 def q_label_projection(spark, sf):
-    return images(spark, sf).select("label")
+    return tables.labels(images(spark, sf))
 
 
 @query("q_feature_projection", f"WITH {IMAGES_SQL} SELECT split, idx, px FROM img")
 def q_feature_projection(spark, sf):
-    return images(spark, sf).drop("label")
+    return tables.features(images(spark, sf))
 
 
 @query("q_scale_pixels", f"""WITH {IMAGES_SQL}
@@ -288,10 +288,9 @@ def _pool_sql(height, width):
 @query("q_max_pool", f"""WITH {IMAGES_SQL}
 SELECT idx, {_pool_sql(8, 8)} AS pooled, {_pool_sql(7, 9)} AS pooled_odd FROM img""")
 def q_max_pool(spark, sf):
-    return images(spark, sf).select(
-        "idx", scores.max_pool2d(F.col("px"), 8, 8).alias("pooled"),
-        scores.max_pool2d(F.col("px"), 7, 9).alias("pooled_odd"),
-    )
+    even = layers.max_pool2d(images(spark, sf).select("idx", "px"), SIDE, SIDE)
+    odd = even.withColumn("px", F.slice("px", 1, 63))
+    return layers.max_pool2d(odd, 7, 9, out="pooled_odd").drop("px")
 
 
 WEIGHTS = [[(3 * i + 7 * j) % 11 - 5 for j in range(N)] for i in range(10)]

@@ -29,6 +29,16 @@ def drop_header_containing(lines, word="label"):
     return lines.filter(~F.contains(F.col("value"), F.lit(word)))
 
 
+def labels(df, label="label"):
+    """The label column alone; on a columnar source nothing else is read."""
+    return df.select(label)
+
+
+def features(df, label="label"):
+    """Everything but the label."""
+    return df.drop(label)
+
+
 def drop_skipped(df, columns=("label", "px")):
     """Drop records a parser marked as skipped (null)."""
     return df.na.drop(subset=list(columns))

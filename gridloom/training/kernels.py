@@ -1,61 +1,75 @@
-"""Forward and backward steps of the layers on one in-memory minibatch (NumPy, used inside tasks)."""
+"""Forward and backward steps of the layers on one in-memory minibatch (NumPy, used inside tasks).
+
+Images are held as (row, height, width, channel) so that a convolution is one matrix product whose operands and
+result need no transposition.
+"""
 
 import numpy as np
 
 
+def _windows(x, k, pad):
+    """The k x k surroundings of every place, one row each, channels innermost."""
+    if pad:
+        x = np.pad(x, ((0, 0), (pad, pad), (pad, pad), (0, 0)))
+    windows = np.lib.stride_tricks.sliding_window_view(x, (k, k), axis=(1, 2))
+    n, oh, ow, c = windows.shape[:4]
+    return windows.transpose(0, 1, 2, 4, 5, 3).reshape(n * oh * ow, k * k * c), (n, oh, ow)
+
+
+def _weight_matrix(w):
+    """(out, in, k, k) as (k * k * in, out)."""
+    return np.ascontiguousarray(w.transpose(2, 3, 1, 0)).reshape(-1, len(w))
+
+
 def conv(x, w, b, pad):
-    """Stride-1 convolution of (n, c, h, w) as one matrix product over k x k windows."""
-    k = w.shape[2]
-    padded = np.pad(x, ((0, 0), (0, 0), (pad, pad), (pad, pad)))
-    windows = np.lib.stride_tricks.sliding_window_view(padded, (k, k), axis=(2, 3))
-    n, c, oh, ow = windows.shape[:4]
-    cols = windows.transpose(0, 2, 3, 1, 4, 5).reshape(n * oh * ow, c * k * k)
-    y = cols @ w.reshape(len(w), -1).T + b
-    return y.reshape(n, oh, ow, len(w)).transpose(0, 3, 1, 2), cols
+    """Stride-1 convolution, and the windows for the backward step."""
+    cols, places = _windows(x, w.shape[2], pad)
+    y = cols @ _weight_matrix(w)
+    y += b
+    return y.reshape(*places, len(w)), cols
 
 
 def conv_back(g, x_shape, w, cols, pad):
-    n, c, h, wd = x_shape
+    n, h, wd, c = x_shape
     o, _, k, _ = w.shape
-    oh, ow = g.shape[2:]
-    rows = g.transpose(0, 2, 3, 1).reshape(-1, o)
-    dcols = (rows @ w.reshape(o, -1)).reshape(n, oh, ow, c, k, k)
-    dx = np.zeros((n, c, h + 2 * pad, wd + 2 * pad), g.dtype)
+    oh, ow = g.shape[1:3]
+    rows = g.reshape(-1, o)
+    dcols = (rows @ _weight_matrix(w).T).reshape(n, oh, ow, k, k, c)
+    dx = np.zeros((n, h + 2 * pad, wd + 2 * pad, c), g.dtype)
     for i in range(k):
         for j in range(k):
-            dx[:, :, i:i + oh, j:j + ow] += dcols[:, :, :, :, i, j].transpose(0, 3, 1, 2)
-    return dx[:, :, pad:pad + h, pad:pad + wd], (rows.T @ cols).reshape(w.shape), rows.sum(axis=0)
+            dx[:, i:i + oh, j:j + ow] += dcols[:, :, :, i, j]
+    dw = (cols.T @ rows).reshape(k, k, c, o).transpose(3, 2, 0, 1)
+    return dx[:, pad:pad + h, pad:pad + wd], dw, rows.sum(axis=0)
 
 
-def pool(x):
-    """2x2, stride 2; an odd tail is dropped. Also the place of each maximum (first one on ties)."""
-    n, c, h, w = x.shape
-    oh, ow = h // 2, w // 2
-    cells = x[:, :, :2 * oh, :2 * ow].reshape(n, c, oh, 2, ow, 2).transpose(0, 1, 2, 4, 3, 5)
-    cells = cells.reshape(n, c, oh, ow, 4)
-    at = cells.argmax(axis=4)[..., None]
-    return np.take_along_axis(cells, at, 4)[..., 0], at
-
-
-def pool_back(g, x_shape, at):
-    n, c, h, w = x_shape
-    oh, ow = g.shape[2:]
-    cells = np.zeros((n, c, oh, ow, 4), g.dtype)
-    np.put_along_axis(cells, at, g[..., None], 4)
-    dx = np.zeros(x_shape, g.dtype)
-    dx[:, :, :2 * oh, :2 * ow] = (
-        cells.reshape(n, c, oh, ow, 2, 2).transpose(0, 1, 2, 4, 3, 5).reshape(n, c, 2 * oh, 2 * ow)
-    )
-    return dx
+def _corners(x):
+    """The four cells of every 2x2 field; an odd last row or column takes no part."""
+    h, w = x.shape[1] // 2 * 2, x.shape[2] // 2 * 2
+    return [x[:, i:h:2, j:w:2] for i in (0, 1) for j in (0, 1)]
 
 
-def sigmoid(x):
-    return 1 / (1 + np.exp(-x))
+def pool(x):
+    """Largest value of every 2x2 field, stride 2."""
+    a, b, c, d = _corners(x)
+    return np.maximum(np.maximum(a, b), np.maximum(c, d))
+
+
+def pool_back(g, x, y):
+    """The gradient goes to the first cell that holds the maximum."""
+    dx = np.zeros(x.shape, g.dtype)
+    left = np.ones(y.shape, bool)
+    for source, target in zip(_corners(x), _corners(dx)):
+        hit = left & (source == y)
+        target[hit] = g[hit]
+        left &= ~hit
+    return dx
 
 
 def forward(layers, params, x, rng=None, eps=1e-5):
-    """Scores, plus what `backward` needs. With rng: training mode (batch statistics, dropout)."""
+    """Scores of channel-first images, plus what `backward` needs. With rng: training mode (batch statistics, dropout)."""
     tape, batch_stats = [], {}
+    x = x.transpose(0, 2, 3, 1)
     for kind, *args in layers:
         saved = None
         if kind == "conv":
@@ -64,26 +78,31 @@ def forward(layers, params, x, rng=None, eps=1e-5):
             saved = (x.shape, cols)
         elif kind == "batch_norm":
             name = args[0]
-            shape = (1, -1, 1, 1)
+            weight, bias = params[f"{name}.weight"], params[f"{name}.bias"]
             if rng is None:
-                mean, var = params[f"{name}.running_mean"], params[f"{name}.running_var"]
+                slope = weight / np.sqrt(params[f"{name}.running_var"] + eps).astype(x.dtype)
+                y = x * slope
+                y += bias - params[f"{name}.running_mean"] * slope
             else:
-                mean, var = x.mean(axis=(0, 2, 3)), x.var(axis=(0, 2, 3))
-                batch_stats[name] = (mean, var, x.size // x.shape[1])
-            scale = 1 / np.sqrt(var + eps)
-            centred = (x - mean.reshape(shape)) * scale.reshape(shape).astype(x.dtype)
-            y = centred * params[f"{name}.weight"].reshape(shape) + params[f"{name}.bias"].reshape(shape)
-            saved = (centred, scale)
+                mean, var = x.mean(axis=(0, 1, 2)), x.var(axis=(0, 1, 2))
+                batch_stats[name] = (mean, var, x.size // x.shape[3])
+                scale = (1 / np.sqrt(var + eps)).astype(x.dtype)
+                centred = (x - mean) * scale
+                y = centred * weight + bias
+                saved = (centred, scale)
         elif kind == "relu":
             y, saved = np.maximum(x, 0), x > 0
         elif kind == "silu":
-            s = sigmoid(x)
-            y, saved = x * s, s * (1 + x * (1 - s))
+            grown = np.exp(-x)
+            grown += 1
+            y = x / grown
+            saved = None if rng is None else (1 + x - y) / grown
         elif kind == "pool":
-            y, at = pool(x)
-            saved = (x.shape, at)
+            y = pool(x)
+            saved = (x, y)
         elif kind == "flatten":
-            y, saved = x.reshape(len(x), -1), x.shape
+            # Flat vectors are channel first.
+            y, saved = x.transpose(0, 3, 1, 2).reshape(len(x), -1), x.shape
         elif kind == "dropout":
             keep = 1 if rng is None else (rng.random(x.shape) >= args[0]).astype(x.dtype) / x.dtype.type(1 - args[0])
             y, saved = x * keep, keep
@@ -91,7 +110,8 @@ def forward(layers, params, x, rng=None, eps=1e-5):
             y, saved = x @ params[f"{args[0]}.weight"].T + params[f"{args[0]}.bias"], x
         else:
             raise ValueError(f"unknown layer {kind!r}")
-        tape.append(saved)
+        if rng is not None:
+            tape.append(saved)
         x = y
     return x, tape, batch_stats
 
@@ -106,18 +126,19 @@ def backward(layers, params, tape, g):
             g, grads[f"{args[0]}.weight"], grads[f"{args[0]}.bias"] = conv_back(g, shape, w, cols, args[2])
         elif kind == "batch_norm":
             centred, scale = saved
-            axes, shape = (0, 2, 3), (1, -1, 1, 1)
+            axes = (0, 1, 2)
             grads[f"{args[0]}.weight"] = (g * centred).sum(axis=axes)
             grads[f"{args[0]}.bias"] = g.sum(axis=axes)
-            h = g * params[f"{args[0]}.weight"].reshape(shape)
+            h = g * params[f"{args[0]}.weight"]
             spread = h - h.mean(axis=axes, keepdims=True) - centred * (h * centred).mean(axis=axes, keepdims=True)
-            g = spread * scale.reshape(shape).astype(g.dtype)
+            g = spread * scale
         elif kind in ("relu", "silu", "dropout"):
             g = g * saved
         elif kind == "pool":
             g = pool_back(g, *saved)
         elif kind == "flatten":
-            g = g.reshape(saved)
+            n, height, width, channels = saved
+            g = g.reshape(n, channels, height, width).transpose(0, 2, 3, 1)
         elif kind == "dense":
             grads[f"{args[0]}.weight"], grads[f"{args[0]}.bias"] = g.T @ saved, g.sum(axis=0)
             g = g @ params[f"{args[0]}.weight"]

@@ -1,13 +1,11 @@
 """Batch prediction, evaluation and frozen feature extraction."""
 
-import numpy as np
 from pyspark.sql import functions as F
 
 from gridloom.functions import pixels
 from gridloom.operators import layers, metrics
 from gridloom.training import kernels
 
-ROWS_AT_ONCE = 256
 MODEL_LIMIT = 2 << 30
 
 
@@ -26,12 +24,8 @@ def _forward(df, net, params, source, out, denom, element, n_layers=None):
     shape = (-1, net.channels, net.height, net.width)
 
     def run(x):
-        parts = []
-        for i in range(0, len(x), ROWS_AT_ONCE):
-            part = x[i:i + ROWS_AT_ONCE].astype(dtype).reshape(shape) / dtype.type(denom)
-            y, _, _ = kernels.forward(steps, shared.value["model"], part)
-            parts.append(y.reshape(len(part), -1))
-        return np.concatenate(parts) if parts else np.zeros((0, 1), dtype)
+        images = x.astype(dtype).reshape(shape) / dtype.type(denom)
+        return kernels.forward(steps, shared.value["model"], images)[0]
 
     return layers.map_arrays(df, run, source, out, element, net.channels * net.height * net.width)
 
@@ -43,7 +37,7 @@ def predict(df, net, params, source="px", denom=255.0, element="float"):
 
 
 def featurize(df, net, params, n_layers, source="px", denom=255.0):
-    """Run the first n_layers of a frozen network; adds `features`."""
+    """Run the first n_layers of a frozen network, ending with a flat layer; adds `features`."""
     return _forward(df, net, params, source, "features", denom, "float", n_layers)
 
 

@@ -55,17 +55,6 @@ def test_version_name(spark):
     assert got == "m_20240203_040506.pth"
 
 
-def test_pool_drops_the_odd_tail(spark):
-    # 3 x 5 image: only the first 2 rows and 4 columns take part.
-    x = [1, 2, 3, 4, 99, 5, 6, 7, 8, 99, 99, 99, 99, 99, 99]
-    assert one(spark, scores.max_pool2d(F.col("x"), 3, 5), x=x) == [6, 8]
-
-
-def test_pool_of_two_channels(spark):
-    x = [1, 2, 3, 4, 8, 7, 6, 5]
-    assert one(spark, scores.max_pool2d(F.col("x"), 2, 2, channels=2), x=x) == [4, 8]
-
-
 def test_activations(spark):
     assert one(spark, scores.relu(F.col("x")), x=[-1.0, 2.0]) == [0.0, 2.0]
     assert one(spark, scores.silu(F.col("x")), x=[2.0]) == pytest.approx([2 / (1 + math.exp(-2))])

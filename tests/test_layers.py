@@ -35,6 +35,15 @@ def test_conv_matches_the_definition(spark, pad):
         assert r.conv == naive_conv(images[r.id], w, b, pad).ravel().tolist()
 
 
+def test_pool_operator(spark):
+    # 3 x 5 image: only the first 2 rows and 4 columns take part.
+    x = np.array([[1, 2, 3, 4, 99, 5, 6, 7, 8, 99, 99, 99, 99, 99, 99]])
+    assert layers.max_pool2d(frame(spark, x), 3, 5).first().pooled == [6, 8]
+    two = np.array([[1, 2, 3, 4, 8, 7, 6, 5]])
+    assert layers.max_pool2d(frame(spark, two), 2, 2, channels=2).first().pooled == [4, 8]
+    assert layers.max_pool2d(frame(spark, two * 0.5, "double"), 2, 2, channels=2).first().pooled == [2.0, 4.0]
+
+
 def test_dense_is_exact_on_whole_numbers(spark):
     x = np.array([[1, 2, 3], [4, 5, 6]])
     got = {r.id: r.dense for r in layers.dense(frame(spark, x), [[1, 0, -1], [2, 2, 2]], [10, 0]).collect()}
@@ -67,10 +76,15 @@ def test_class_sums_with_a_hot_label(spark):
 
 # --- kernels -------------------------------------------------------------------------------------------------
 
-def test_pool_drops_the_odd_tail():
-    x = np.arange(49).reshape(1, 1, 7, 7)
-    y, _ = kernels.pool(x)
-    assert y.shape == (1, 1, 3, 3) and y[0, 0, 2, 2] == 5 * 7 + 5
+def test_pool_kernel_drops_the_odd_tail():
+    y = kernels.pool(np.arange(49).reshape(1, 7, 7, 1))
+    assert y.shape == (1, 3, 3, 1) and y[0, 2, 2, 0] == 5 * 7 + 5
+
+
+def test_pool_gradient_goes_to_the_first_maximum():
+    x = np.array([[5.0, 5.0], [1.0, 5.0]]).reshape(1, 2, 2, 1)
+    dx = kernels.pool_back(np.array([[[[3.0]]]]), x, kernels.pool(x))
+    assert dx.ravel().tolist() == [3.0, 0.0, 0.0, 0.0]
 
 
 @pytest.mark.parametrize("name, count", [("A", 693962), ("B", 421642), ("C", 421834), ("D", 422474)])

@@ -101,6 +101,7 @@ def test_file_position_follows_files_and_lines(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert [i for i, _ in rows] == list(range(1200))
+    assert "hashpartitioning(split#" not in df._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
     assert [v for _, v in rows] == sorted(v for _, v in rows)
 
 
