@@ -14,6 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from gridloom import schemas
+from gridloom.operators.running import SPAN
 
 SAVE = pa.schema([
     ("kind", pa.string()), ("name", pa.string()), ("shape", pa.list_(pa.int32())), ("vals", pa.list_(pa.float32())),
@@ -116,8 +117,12 @@ def publish_version(spark, root, run_id, at=None, prefix="model_checkpoint"):
 
 
 def append_train_log(log, path):
-    """Append batch records, one folder per run and rank."""
-    log.write.partitionBy("run_id", "rank").mode("append").parquet(path)
+    """Append batch records, one folder per run and rank.
+
+    Rows are brought together by folder and span of batches: few files, and a long rank still has many writers.
+    """
+    span = F.call_function("div", F.col("batch_idx"), F.lit(SPAN))
+    log.repartition("run_id", "rank", span).write.partitionBy("run_id", "rank").mode("append").parquet(path)
 
 
 def read_train_log(spark, path):

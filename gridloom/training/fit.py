@@ -112,7 +112,10 @@ def _minibatches(batches, size, width):
     for batch in batches:
         if not len(batch):
             continue
-        rank = batch.column(0)[0].as_py()
+        ranks = batch.column(0).to_numpy(zero_copy_only=False)
+        if (ranks != (ranks[0] if rank is None else rank)).any():
+            raise RuntimeError("a partition holds rows of more than one rank")
+        rank = int(ranks[0])
         x, y = layers.to_matrix(batch.column(1), width), batch.column(2).to_numpy(zero_copy_only=False)
         while len(y):
             take = min(size - held, len(y))

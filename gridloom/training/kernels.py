@@ -29,17 +29,19 @@ def conv(x, w, b, pad):
     return y.reshape(*places, len(w)), cols
 
 
-def conv_back(g, x_shape, w, cols, pad):
+def conv_back(g, x_shape, w, cols, pad, need_dx=True):
     n, h, wd, c = x_shape
     o, _, k, _ = w.shape
     oh, ow = g.shape[1:3]
     rows = g.reshape(-1, o)
+    dw = (cols.T @ rows).reshape(k, k, c, o).transpose(3, 2, 0, 1)
+    if not need_dx:
+        return None, dw, rows.sum(axis=0)
     dcols = (rows @ _weight_matrix(w).T).reshape(n, oh, ow, k, k, c)
     dx = np.zeros((n, h + 2 * pad, wd + 2 * pad, c), g.dtype)
     for i in range(k):
         for j in range(k):
             dx[:, i:i + oh, j:j + ow] += dcols[:, :, :, i, j]
-    dw = (cols.T @ rows).reshape(k, k, c, o).transpose(3, 2, 0, 1)
     return dx[:, pad:pad + h, pad:pad + wd], dw, rows.sum(axis=0)
 
 
@@ -58,11 +60,11 @@ def pool(x):
 def pool_back(g, x, y):
     """The gradient goes to the first cell that holds the maximum."""
     dx = np.zeros(x.shape, g.dtype)
-    left = np.ones(y.shape, bool)
+    taken = np.zeros(y.shape, bool)
     for source, target in zip(_corners(x), _corners(dx)):
-        hit = left & (source == y)
-        target[hit] = g[hit]
-        left &= ~hit
+        hit = source == y
+        np.multiply(g, hit & ~taken, out=target)
+        taken |= hit
     return dx
 
 
@@ -119,19 +121,23 @@ def forward(layers, params, x, rng=None, eps=1e-5):
 def backward(layers, params, tape, g):
     """Gradients by parameter name, given the gradient of the loss with respect to the scores."""
     grads = {}
-    for (kind, *args), saved in zip(reversed(layers), reversed(tape)):
+    for i, saved in reversed(list(enumerate(tape))):
+        kind, *args = layers[i]
         if kind == "conv":
             shape, cols = saved
             w = params[f"{args[0]}.weight"]
-            g, grads[f"{args[0]}.weight"], grads[f"{args[0]}.bias"] = conv_back(g, shape, w, cols, args[2])
+            g, grads[f"{args[0]}.weight"], grads[f"{args[0]}.bias"] = conv_back(
+                g, shape, w, cols, args[2], need_dx=i > 0
+            )
         elif kind == "batch_norm":
             centred, scale = saved
-            axes = (0, 1, 2)
-            grads[f"{args[0]}.weight"] = (g * centred).sum(axis=axes)
-            grads[f"{args[0]}.bias"] = g.sum(axis=axes)
-            h = g * params[f"{args[0]}.weight"]
-            spread = h - h.mean(axis=axes, keepdims=True) - centred * (h * centred).mean(axis=axes, keepdims=True)
-            g = spread * scale
+            n = g.size // g.shape[3]
+            slope, shift = (g * centred).sum(axis=(0, 1, 2)), g.sum(axis=(0, 1, 2))
+            grads[f"{args[0]}.weight"], grads[f"{args[0]}.bias"] = slope, shift
+            # The batch mean and variance depend on the input too; both enter through the sums above.
+            pull = centred * (slope / n)
+            pull += shift / n
+            g = (g - pull) * (params[f"{args[0]}.weight"] * scale)
         elif kind in ("relu", "silu", "dropout"):
             g = g * saved
         elif kind == "pool":
