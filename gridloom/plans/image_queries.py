@@ -401,6 +401,37 @@ def q_predict_template(spark, sf):
     return predict_template(spark, sf).select(*KEYS, "label", "pred")
 
 
+CNN_WEIGHT = "((5 * k.range + 3 * place) % 7 - 3)"
+
+
+def _cnn_sql():
+    """Two filters (the kernel, and the kernel plus one), ReLU, pooling, dense layer, arg-max."""
+    terms = " + ".join(
+        f"({KERNEL[i][j]} + f.range) * px[(r.range + {i}) * {SIDE} + c.range + {j + 1}]" for i in range(3) for j in range(3)
+    )
+    return f"""WITH {IMAGES_SQL},
+conv AS (SELECT idx, f.range AS f, r.range AS r, c.range AS c, greatest(0, {terms} - 300) AS v
+         FROM img, range(2) f, range({SIDE - 2}) r, range({SIDE - 2}) c),
+pooled AS (SELECT idx, f * 9 + (r // 2) * 3 + c // 2 AS place, max(v) AS v FROM conv GROUP BY 1, 2),
+score AS (SELECT idx, k.range AS c, CAST(sum(v * {CNN_WEIGHT}) AS BIGINT) AS s FROM pooled, range(10) k GROUP BY 1, 2)
+SELECT idx, CAST(arg_max(c, s * 100 - c) AS INTEGER) AS pred, list(s::DOUBLE ORDER BY c) AS scores FROM score GROUP BY idx"""
+
+
+@query("q_predict_cnn", _cnn_sql())
+def q_predict_cnn(spark, sf):
+    """A small network with whole-number weights, so that every score is exact."""
+    net = Arch((
+        ("conv", "conv", 2, 0), ("relu",), ("pool",), ("flatten",), ("dense", "fc", 10),
+    ), SIDE, SIDE)
+    params = {
+        "conv.weight": np.array([[KERNEL], [np.array(KERNEL) + 1]], float), "conv.bias": np.full(2, -300.0),
+        "fc.weight": np.array([[(5 * c + 3 * k) % 7 - 3 for k in range(18)] for c in range(10)], float),
+        "fc.bias": np.zeros(10),
+    }
+    predicted = model.predict(images(spark, sf).select("idx", "px"), net, params, denom=1.0, element="double")
+    return predicted.select("idx", "pred", "scores")
+
+
 @query("q_class_sums", f"""WITH {IMAGES_SQL}, cells AS (SELECT label, unnest(px) AS v, unnest(range({N})) AS j FROM img)
 SELECT label, CAST(j AS INTEGER) AS pos, CAST(sum(v) AS BIGINT) AS total, count(*) AS n FROM cells GROUP BY 1, 2""")
 def q_class_sums(spark, sf):

@@ -1,12 +1,19 @@
-"""Registered training queries. Their results are floating-point training runs, so they have no SQL twin."""
+"""Registered training queries.
 
+A whole run depends on floating-point details, so most have no SQL twin. The first step from zero parameters does: with
+equal scores its gradient is a plain mean over all rows. Its weights are multiples of 1 / (255 n), which never fall half-way
+between two numbers of four decimals for the row counts n of the test tables.
+"""
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from gridloom.operators import metrics
-from gridloom.plans.views import SIDE, images
+from gridloom.plans.views import IMAGES_SQL, SIDE, images
 from gridloom.training import arch, fit, model
 
-QUERIES = {}
+QUERIES, ORACLE = {}, {}
+N = SIDE * SIDE
 
 
 def query(fn):
@@ -14,6 +21,30 @@ def query(fn):
     return fn
 
 
+FIRST_STEP_SQL = f"""WITH {IMAGES_SQL},
+cells AS (SELECT label, unnest(px) / 255.0::DOUBLE AS v, unnest(range({N})) AS pos FROM img)
+SELECT CAST(c.range AS INTEGER) AS class, CAST(pos AS INTEGER) AS pos,
+       round(-10.0::DOUBLE * avg((0.1::DOUBLE - CAST(label = c.range AS INTEGER)) * v), 4) + 0.0::DOUBLE AS weight
+FROM cells, range(10) c GROUP BY 1, 2"""
+
+
+def _first_step(spark, sf, sync):
+    """Four ranks, one batch each, from zero parameters with learning rate 10."""
+    net = arch.arch("softmax", SIDE, SIDE)
+    zeros = {name: np.zeros(shape, np.float32) for name, shape, _ in arch.param_shapes(net)}
+    done = fit.fit(
+        images(spark, sf), net, world=4, batch=1 << 30, opt=arch.sgd(lr=10.0, momentum=0.0), params=zeros, sync=sync
+    )
+    weights = [(c, p, float(w)) for (c, p), w in np.ndenumerate(done.params["fc.weight"])]
+    table = spark.createDataFrame(weights, "class int, pos int, weight double")
+    return table.withColumn("weight", F.round("weight", 4) + 0.0)
+
+
+for _sync in ("epoch", "step"):
+    QUERIES[f"q_fit_first_step_{_sync}"] = lambda spark, sf, sync=_sync: _first_step(spark, sf, sync)
+    ORACLE[f"q_fit_first_step_{_sync}"] = FIRST_STEP_SQL
+
+
 def _log(result):
     return result.log.drop("run_id", "ts").withColumn("loss", F.round("loss", 4))
 
