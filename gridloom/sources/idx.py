@@ -1,9 +1,9 @@
 """IDX binary files as a Spark data source.
 
 All records of an IDX file have the same size, so a file is cut into record ranges and every task reads only
-its own bytes. The row number is the record's place in the file; no numbering pass is needed. Given a label
-file beside the image file, a task reads the same record range from both, which pairs them by position without
-a join or a shuffle.
+its own bytes. The row number is the record's place in the file (files of a folder or of a comma-separated list
+follow one another by name); no numbering pass is needed. Given label files beside the image files, a task reads the
+same record range from both, which pairs them by position without a join or a shuffle.
 
     spark.dataSource.register(IdxDataSource)
     spark.read.format("idx").option("kind", "images").load(path)
@@ -27,17 +27,39 @@ FILES = {
 }
 
 RANGE_BYTES = 64 << 20
+MAX_RANGES = 100_000
 BATCH_BYTES = 1 << 20
 
 
-def _open(path):
-    """Random-access file on whatever file system the path names."""
+def _locate(path):
+    """File system and inner path of whatever the path names."""
     from pyarrow import fs
 
     if "://" in path:
-        system, inner = fs.FileSystem.from_uri(path)
-        return system.open_input_file(inner)
-    return fs.LocalFileSystem().open_input_file(path.removeprefix("file:"))
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path.removeprefix("file:")
+
+
+def _open(path):
+    system, inner = _locate(path)
+    return system.open_input_file(inner)
+
+
+def _files(paths):
+    """Single files of a comma-separated list of files and folders; a folder's files are sorted by name."""
+    from pyarrow import fs
+
+    found = []
+    for path in paths.split(","):
+        system, inner = _locate(path)
+        if system.get_file_info(inner).type != fs.FileType.Directory:
+            found.append(path)
+            continue
+        names = sorted(
+            f.base_name for f in system.get_file_info(fs.FileSelector(inner)) if f.type == fs.FileType.File
+        )
+        found += [f"{path.rstrip('/')}/{name}" for name in names if name[0] not in "._"]
+    return found
 
 
 def _header(path, kind):
@@ -63,36 +85,48 @@ def _bytes(f, kind, record, first, n):
 
 
 class RecordRange(InputPartition):
-    def __init__(self, first, last, record):
-        self.first, self.last, self.record = first, last, record
+    """Records first..last-1 of a file (of an image file and its label file); row numbers start at `base`."""
+
+    def __init__(self, files, base, first, last, record):
+        self.files, self.base, self.first, self.last, self.record = files, base, first, last, record
 
 
 class IdxReader(DataSourceReader):
-    """`files` maps kind to path: images, labels, or both."""
+    """`paths` maps kind to path: images, labels, or both."""
 
-    def __init__(self, files, split, range_bytes):
-        self.files, self.split, self.range_bytes = files, split, range_bytes
+    def __init__(self, paths, split, range_bytes):
+        self.paths, self.split, self.range_bytes = paths, split, range_bytes
 
     def partitions(self):
-        headers = {kind: _header(path, kind) for kind, path in self.files.items()}
-        counts = {kind: count for kind, (count, _) in headers.items()}
-        if len(set(counts.values())) > 1:
-            raise ValueError(f"cannot pair {counts['images']} images with {counts['labels']} labels")
-        count, record = headers.get("images") or headers["labels"]
-        step = max(1, self.range_bytes // record)
+        lists = {kind: _files(path) for kind, path in self.paths.items()}
+        if len({len(files) for files in lists.values()}) > 1:
+            raise ValueError(f"cannot pair {len(lists['images'])} image files with {len(lists['labels'])} label files")
+        found, base = [], 0
+        for files in ({kind: f for kind, f in zip(lists, row)} for row in zip(*lists.values())):
+            headers = {kind: _header(path, kind) for kind, path in files.items()}
+            counts = {kind: count for kind, (count, _) in headers.items()}
+            if len(set(counts.values())) > 1:
+                raise ValueError(f"cannot pair {counts['images']} images with {counts['labels']} labels")
+            count, record = headers.get("images") or headers["labels"]
+            found.append((files, base, count, record))
+            base += count
+        range_bytes = max(self.range_bytes, sum(count * record for _, _, count, record in found) // MAX_RANGES)
         return [
-            RecordRange(first, min(first + step, count), record) for first in range(0, count, step)
-        ] or [RecordRange(0, 0, record)]
+            RecordRange(files, base, first, min(first + step, count), record)
+            for files, base, count, record in found
+            for step in [max(1, range_bytes // record)]
+            for first in range(0, max(count, 1), step)
+        ]
 
     def read(self, part):
         per_batch = max(1, BATCH_BYTES // part.record)
-        handles = {kind: _open(path) for kind, path in self.files.items()}
+        handles = {kind: _open(path) for kind, path in part.files.items()}
         try:
             for first in range(part.first, part.last, per_batch):
                 n = min(per_batch, part.last - first)
                 columns = {
                     "split": pa.array([self.split] * n, pa.string()),
-                    "idx": pa.array(np.arange(first, first + n, dtype=np.int64)),
+                    "idx": pa.array(np.arange(part.base + first, part.base + first + n, dtype=np.int64)),
                 }
                 if "labels" in handles:
                     columns["label"] = pa.array(_bytes(handles["labels"], "labels", 1, first, n))
@@ -113,25 +147,25 @@ class IdxDataSource(DataSource):
     def name(cls):
         return "idx"
 
-    def _files(self):
+    def _paths(self):
         kind = self.options.get("kind", "images")
         if kind not in MAGIC:
             raise ValueError(f"unknown kind {kind!r}")
-        files = {kind: self.options["path"]}
+        paths = {kind: self.options["path"]}
         if self.options.get("labels"):
-            files["labels"] = self.options["labels"]
-        return files
+            paths["labels"] = self.options["labels"]
+        return paths
 
     def schema(self):
-        files = self._files()
+        paths = self._paths()
         return (
             "split string, idx bigint"
-            + (", label int" if "labels" in files else "") + (", px array<int>" if "images" in files else "")
+            + (", label int" if "labels" in paths else "") + (", px array<int>" if "images" in paths else "")
         )
 
     def reader(self, schema):
         return IdxReader(
-            self._files(), self.options.get("split", "train"), int(self.options.get("rangeBytes", RANGE_BYTES))
+            self._paths(), self.options.get("split", "train"), int(self.options.get("rangeBytes", RANGE_BYTES))
         )
 
 

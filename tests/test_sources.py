@@ -202,6 +202,27 @@ def test_idx_pairing_refuses_unequal_counts(spark, tmp_path):
         idx.read_idx(spark, idx_images(tmp_path / "img", 7), labels=idx_labels(tmp_path / "lab", 6)).collect()
 
 
+def test_idx_folders_follow_one_another(spark, tmp_path):
+    for kind in ("img", "lab"):
+        (tmp_path / kind).mkdir()
+    for f, n in enumerate((30, 5, 12)):
+        idx_images(tmp_path / "img" / f"part-{f}", n)
+        idx_labels(tmp_path / "lab" / f"part-{f}", n)
+    (tmp_path / "img" / "_SUCCESS").write_text("")
+    df = idx.read_idx(spark, str(tmp_path / "img"), labels=str(tmp_path / "lab"), range_bytes=90)
+    rows = sorted(df.collect(), key=lambda r: r.idx)
+    assert [r.idx for r in rows] == list(range(47))
+    assert [r.label for r in rows] == [i % 10 for n in (30, 5, 12) for i in range(n)]
+    listed = ",".join(str(tmp_path / "img" / f"part-{f}") for f in (2, 0))
+    assert idx.read_idx(spark, listed).count() == 42
+    with pytest.raises(JOB_FAILED, match="cannot pair 2 image files with 3 label files"):
+        idx.read_idx(spark, listed, labels=str(tmp_path / "lab")).collect()
+
+
+def test_idx_without_records(spark, tmp_path):
+    assert idx.read_idx(spark, idx_labels(tmp_path / "lab", 0), "labels").collect() == []
+
+
 def test_idx_split(spark, tmp_path):
     for (images, labels), n in zip(idx.FILES.values(), (60, 10)):
         idx_images(tmp_path / images, n)
