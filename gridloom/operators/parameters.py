@@ -29,7 +29,10 @@ def replica_check(params, atol=1e-4, rtol=1e-5):
 
 
 def param_summary(params):
-    """Number of tensors and of elements per name, and in total (name is null)."""
+    """Number of tensors and of elements per name, and in total (name is null); the shape too if there is one."""
+    shape = []
+    if "shape" in params.columns:
+        shape = [F.when(F.grouping("name") == 0, F.max("shape")).alias("shape")]
     return params.rollup("name").agg(
-        F.count("*").alias("n_tensors"), F.sum(F.size("vals")).alias("n_params")
+        *shape, F.count("*").alias("n_tensors"), F.sum(F.size("vals")).alias("n_params")
     )

@@ -2,9 +2,10 @@
 
 import uuid
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from gridloom.operators import pairing
+from gridloom.operators import layers, pairing
 from gridloom.plans.views import IMAGES_SQL, LOG_SQL, SIDE, images, text_lines, train_log
 from gridloom.session import shared_dir
 from gridloom.sinks import store
@@ -77,3 +78,32 @@ def q_train_log_store(spark, sf):
     folder = _folder(spark, "train_log")
     store.append_train_log(train_log(spark, sf).withColumn("ts", F.col("ts").cast("timestamp")), folder)
     return store.read_train_log(spark, folder).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+CLASS_SUMS_SQL = f"""WITH {IMAGES_SQL}, cells AS (SELECT label, unnest(px) AS v, unnest(range({N})) AS pos FROM img)
+SELECT 'class ' || label AS name, CAST(pos AS INTEGER) AS pos, CAST(sum(v) AS FLOAT) AS v FROM cells GROUP BY ALL"""
+
+
+def _save_class_sums(spark, sf, root):
+    """Two saves of one run; the second holds the class sums as its parameters."""
+    arrays = {}
+    for r in layers.class_sums(images(spark, sf)).collect():
+        arrays.setdefault(f"class {r.label}", np.zeros(N, np.float32))[r.pos] = r.total
+    store.save_checkpoint(spark, root, "sums", 0, {n: a * 0 for n, a in arrays.items()})
+    store.save_checkpoint(spark, root, "sums", 1, arrays)
+
+
+@query("q_checkpoint_store", CLASS_SUMS_SQL)
+def q_checkpoint_store(spark, sf):
+    root = _folder(spark, "runs")
+    _save_class_sums(spark, sf, root)
+    saved = store.read_params(spark, root, "sums", store.load_checkpoint(spark, root, "sums")["start_epoch"] - 1)
+    return saved.select("name", F.posexplode("vals").alias("pos", "v"))
+
+
+@query("q_publish_version", CLASS_SUMS_SQL)
+def q_publish_version(spark, sf):
+    root = _folder(spark, "runs")
+    _save_class_sums(spark, sf, root)
+    published = spark.read.parquet(store.publish_version(spark, root, "sums"))
+    return published.filter(F.col("kind") == "model").select("name", F.posexplode("vals").alias("pos", "v"))

@@ -133,7 +133,9 @@ def q_log_parse(spark, sf):
     head = F.concat(F.lit("2024-01-01 00:00:00,000 - INFO - Rank "), "rank")
     text = F.array(
         F.concat(head, F.lit(", Epoch "), "epoch", F.lit(", Batch "), "batch_idx", F.lit(", Loss "), "loss"),
-        F.concat(head, F.lit(" - Epoch "), "epoch", F.lit(", Loss "), "loss", F.lit(", Accuracy "), "n_correct", F.lit(".00%")),
+        F.concat(
+            head, F.lit(" - Epoch "), "epoch", F.lit(", Loss "), "loss", F.lit(", Accuracy "), "n_correct", F.lit(".00%")
+        ),
         F.concat(F.lit("training goes on after "), "batch_idx"),
     )
     return logs.parse_training_log(log.select(F.col("batch_idx").alias("line"), F.explode(text).alias("value")))

@@ -2,13 +2,6 @@
 
 from pyspark.sql import types as T
 
-EXAMPLE = T.StructType([
-    T.StructField("split", T.StringType(), False),
-    T.StructField("idx", T.LongType(), False),
-    T.StructField("label", T.IntegerType()),
-    T.StructField("px", T.ArrayType(T.IntegerType(), False)),
-])
-
 TRAIN_LOG = T.StructType([
     T.StructField("run_id", T.StringType(), False),
     T.StructField("rank", T.IntegerType(), False),
@@ -20,15 +13,6 @@ TRAIN_LOG = T.StructType([
     T.StructField("ts", T.TimestampType()),
 ])
 
-MANIFEST = T.StructType([
-    T.StructField("run_id", T.StringType(), False),
-    T.StructField("epoch", T.IntegerType(), False),
-    T.StructField("save_id", T.StringType(), False),
-    T.StructField("loss", T.DoubleType()),
-    T.StructField("seed", T.LongType()),
-    T.StructField("saved_at", T.TimestampType()),
-])
-
 
 def wide_csv(n_pixels, label="label"):
     """Header-row CSV: the label column, then one integer column per pixel."""

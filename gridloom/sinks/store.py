@@ -66,7 +66,7 @@ def _saves(spark, root, run_id):
 
 
 def checkpoints(spark, root, run_id):
-    """One row per save (schemas.MANIFEST), or None if nothing was ever saved."""
+    """One row per save (run_id, epoch, save_id, loss, seed, saved_at), or None if nothing was ever saved."""
     saves = _saves(spark, root, run_id)
     return saves and saves.filter(F.col("kind") == "manifest").select(
         F.lit(run_id).alias("run_id"), "epoch", "save_id", "loss", "seed", "saved_at"
@@ -100,6 +100,13 @@ def load_checkpoint(spark, root, run_id):
     }
 
 
+def read_params(spark, root, run_id, epoch, kind="model"):
+    """The arrays of an epoch's newest save as a table (name, shape, vals)."""
+    saves = _saves(spark, root, run_id).filter(F.col("epoch") == epoch)
+    newest = saves.filter(F.col("kind") == "manifest").agg(F.max_by("save_id", "saved_at").alias("s")).first().s
+    return saves.filter((F.col("save_id") == newest) & (F.col("kind") == kind)).select("name", "shape", "vals")
+
+
 def publish_version(spark, root, run_id, at=None, prefix="model_checkpoint"):
     """Copy the newest checkpoint to a time-stamped folder. Returns its path, or None if there is no checkpoint.
 

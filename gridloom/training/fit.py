@@ -327,6 +327,17 @@ def fit_log(spark, root, run_id):
     )
 
 
+def replicas(spark, root, run_id, epoch):
+    """What every rank ended an epoch with, before averaging (sync="epoch" only): name, rank, vals.
+
+    Long parameters come in chunks, `name/chunk`. Made for parameters.replica_check.
+    """
+    written = spark.read.schema(f"{OUTPUT}, {store.KEYS_DDL}").parquet(f"{root}/{run_id}/epochs")
+    return written.filter((F.col("epoch") == epoch) & (F.col("kind") == "model")).select(
+        F.concat_ws("/", "name", "chunk").alias("name"), "rank", "vals"
+    )
+
+
 def fit_head(
     examples, net, params, n_layers, *, keys=("split", "idx"), label="label", classes=10, source="px", denom=255.0,
     root=None, run_id=None, **options,

@@ -1,7 +1,6 @@
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from gridloom.operators import layers
 from gridloom.training import arch, kernels

@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from gridloom import schemas
+from gridloom.operators import parameters
 from gridloom.sinks import store
 
 PARAMS = {"w": np.arange(6, dtype=np.float32).reshape(2, 3), "b": np.array([0.5], np.float32)}
@@ -20,6 +21,14 @@ def test_round_trip_and_resume_point(spark, tmp_path):
     assert (b["start_epoch"], b["loss"], b["seed"]) == (6, 0.0, 8)
 
 
+def test_saved_parameters_as_a_table(spark, tmp_path):
+    root = str(tmp_path)
+    store.save_checkpoint(spark, root, "a", 0, PARAMS)
+    store.save_checkpoint(spark, root, "a", 0, PARAMS, {"momentum/w": PARAMS["w"]})
+    rows = parameters.param_summary(store.read_params(spark, root, "a", 0)).collect()
+    assert {(r.name, tuple(r.shape or ()), r.n_params) for r in rows} == {("w", (2, 3), 6), ("b", (1,), 1), (None, (), 7)}
+
+
 def test_no_checkpoint_starts_from_scratch(spark, tmp_path):
     got = store.load_checkpoint(spark, str(tmp_path / "nothing"), "a")
     assert (got["start_epoch"], got["loss"], got["params"]) == (0, 0.0, None)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from gridloom.operators import metrics
+from gridloom.operators import metrics, parameters
 from gridloom.training import arch, fit, kernels, model
 
 CLASSES = 4
@@ -86,6 +86,15 @@ def test_log_covers_every_padded_row(train):
     assert metrics.epoch_loss(log).count() == 5
 
 
+def test_replicas_differ_by_what_each_rank_saw(spark, train, tmp_path):
+    done = fit.fit(train, net("softmax"), world=3, root=str(tmp_path), run_id="a")
+    rows = {r.name: r for r in parameters.replica_check(fit.replicas(spark, str(tmp_path), "a", 0)).collect()}
+    assert rows["fc.weight/0"].n_replicas == 3 and not rows["fc.weight/0"].consistent
+    one = fit.fit(train, net("softmax"), world=1, root=str(tmp_path), run_id="b")
+    rows = parameters.replica_check(fit.replicas(spark, str(tmp_path), "b", 0)).collect()
+    assert all(r.consistent for r in rows) and done.params.keys() == one.params.keys()
+
+
 def test_more_ranks_than_rows(train):
     done = fit.fit(train.orderBy("idx").limit(3), net("softmax"), world=8, batch=4)
     assert done.log.agg(F.sum("n_samples")).first()[0] == 8
