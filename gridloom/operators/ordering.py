@@ -1,28 +1,18 @@
 """Repeatable shuffles, samples, shards and minibatches.
 
 A global position normally needs one total order, hence one task. Here the order key is an md5 hash, so its
-first hex digits cut the rows into even ranges known in advance. Each range is numbered by its own window
-partition and shifted by the row count of the ranges before it. The counts table has one row per range, at most
-16**MAX_DIGITS whatever the data size, which is why it may be summed in one task and broadcast.
+first hex digits cut the rows into even ranges known in advance, one per shuffle partition. Each partition sorts and
+numbers its own rows and is shifted by the row count of the partitions before it. The counts table has one row per
+partition, at most 65,536 whatever the data size, which is why it may be summed in one task and broadcast.
 
 Key columns must identify a row.
 """
 
-import math
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-MAX_DIGITS = 5
-
-
-def range_digits(spark):
-    """Enough ranges for about 16 per shuffle partition, so that hashing them to tasks stays even.
-
-    Positions do not depend on this number.
-    """
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(MAX_DIGITS, max(2, math.ceil(math.log(16 * partitions, 16))))
+PREFIXES = 65536  # values of the four leading hex digits
+ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the place in the partition in its lower 33 bits
 
 
 def order_key(keys, seed=42, epoch=0):
@@ -36,27 +26,32 @@ def sample_k(df, keys, k=10, seed=42):
 
 
 def epoch_order(df, keys, seed=42, epoch=0, pos="pos", total=None):
-    """Add each row's place (from 0) in the shuffled order of this epoch; optionally also the row count."""
+    """Add each row's place (from 0) in the shuffled order of this epoch; optionally also the row count.
+
+    Places do not depend on the number of partitions.
+    """
+    parts = min(PREFIXES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    prefix = F.conv(F.substring("_key", 1, 4), 16, 10).cast("bigint")
     hashed = (
         df.withColumn("_key", order_key(keys, seed, epoch))
-        .withColumn("_range", F.substring("_key", 1, range_digits(df.sparkSession)))
+        .withColumn("_part", F.call_function("div", prefix * F.lit(parts), F.lit(PREFIXES)).cast("int"))
     )
-    counts = hashed.groupBy("_range").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = hashed.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        "_range",
+        "_part",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
         F.sum("_n").over(Window.partitionBy()).alias("_total"),
     )
-    inside = Window.partitionBy("_range").orderBy("_key", *keys)
     placed = (
-        hashed.withColumn("_inside", F.row_number().over(inside) - 1)
-        .join(F.broadcast(offsets), "_range")
+        hashed.repartitionById(parts, F.col("_part")).sortWithinPartitions("_key", *keys)
+        .withColumn("_inside", F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS)))
+        .join(F.broadcast(offsets), "_part")
         .withColumn(pos, F.col("_before") + F.col("_inside"))
     )
     if total:
         placed = placed.withColumn(total, F.col("_total"))
-    return placed.drop("_key", "_range", "_inside", "_before", "_total")
+    return placed.drop("_key", "_part", "_inside", "_before", "_total")
 
 
 def shard(df, keys, world, seed=42, epoch=0, mode="split", pad=True):

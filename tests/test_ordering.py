@@ -32,17 +32,31 @@ def test_order_depends_on_seed_and_epoch_only(spark):
     assert base != places(ordering.epoch_order(rows(spark, 300), ["idx"], 2, 0))
 
 
-def test_order_does_not_depend_on_the_number_of_ranges(spark):
-    base = places(ordering.epoch_order(rows(spark, 500), ["idx"]))
+@pytest.mark.parametrize("partitions", ["1", "7", "300"])
+def test_order_does_not_depend_on_the_number_of_partitions(spark, partitions):
+    base = ordering.epoch_order(rows(spark, 2000), ["idx"])
+    want = places(base)
     old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "300")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
-        assert ordering.range_digits(spark) == 4
-        assert places(ordering.epoch_order(rows(spark, 500), ["idx"])) == base
+        df = ordering.epoch_order(rows(spark, 2000), ["idx"])
+        assert df.rdd.getNumPartitions() == int(partitions)
+        assert places(df) == want == expected(2000, 42, 0)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
+def test_places_survive_what_is_planned_on_top(spark):
+    """Joins and aggregations above must not remove the sort below the numbering."""
+    placed = ordering.epoch_order(rows(spark, 500), ["idx"])
+    want = expected(500, 42, 0)
+    joined = placed.join(rows(spark, 500).withColumn("x", F.col("idx") * 2), "idx")
+    assert places(joined) == want
+    sums = placed.groupBy((F.col("idx") % 3).alias("g")).agg(F.sum("pos").alias("s")).collect()
+    assert {r.g: r.s for r in sums} == {g: sum(p for i, p in want.items() if i % 3 == g) for g in range(3)}
+    assert [r.idx for r in placed.orderBy("pos").limit(5).collect()] == sorted(want, key=want.get)[:5]
+
+
 def test_no_window_sees_all_rows(spark):
     """The only single-partition exchange carries the counts, not the rows."""
     df = ordering.epoch_order(rows(spark, 100).withColumn("payload", F.lit("x")), ["idx"])
