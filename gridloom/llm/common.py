@@ -16,8 +16,9 @@ def read(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(spark, df, kind):
+def written(df, kind):
     """df as a table in the shared folder: cuts the lineage, survives lost executors."""
+    spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm/{kind}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
