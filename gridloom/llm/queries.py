@@ -1,6 +1,6 @@
 """Registered queries of this subpackage and the SQL of those that SQL can express."""
 
-from gridloom.llm import bpe, contamination, html_text, near_dup, packed, token_counts, toxicity, url_rules
+from gridloom.llm import bpe, contamination, html_text, near_dup, packed, substrings, token_counts, toxicity, url_rules
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1,
@@ -11,6 +11,7 @@ QUERIES = {
     "op7_main_text": html_text.op7,
     "op8_packed_ids": packed.op8,
     "op9_url_rules": url_rules.op9,
+    "op10_suffix_trees": substrings.op10,
 }
 
 ORACLE = {"op9_url_rules": url_rules.OP9_SQL}
