@@ -22,7 +22,7 @@ from gridloom.llm.common import Pieces, even_bounds, lists, read, slices, texts
 from gridloom.session import shared_dir
 
 MAGIC, VERSION, HEAD = b"GLTB", 1, "<4sHHIQ"
-BLOCK = "part int, block int, first_doc long, last_doc long, n_docs int, n_tokens long, payload binary"
+BLOCK = "part int, block int, before long, first_doc long, last_doc long, n_docs int, n_tokens long, payload binary"
 
 
 def width_of(vocabulary_size):
@@ -102,8 +102,10 @@ class WordEncoder:
         self.odd = re.compile("|".join(["[\x1c-\x1f]", *map(re.escape, added)]))
         self.known = Pieces(self._pieces)
 
-    def _pieces(self, pieces):
-        ids = [np.asarray(e.ids, np.int32) for e in self.library.encode_batch(pieces, add_special_tokens=False)]
+    def _pieces(self, pieces, most=4096):
+        ids = []
+        for i in range(0, len(pieces), most):  # the library's results are large
+            ids += [np.asarray(e.ids, np.int32) for e in self.library.encode_batch(pieces[i:i + most], add_special_tokens=False)]
         return np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids))
 
     def split(self, text):
@@ -132,55 +134,80 @@ class WordEncoder:
 
 def encode(docs, tokenizer_path, end_id, id_col="doc_id", text_col="text"):
     """doc_id and ids: the ids of each whole text with end_id behind them. Null and empty texts have end_id only."""
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return _source(docs, id_col, text_col).mapInArrow(_encoding(tokenizer_path, end_id), "doc_id long, ids array<int>")
 
+
+def _source(docs, id_col, text_col):
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
+def _encoding(tokenizer_path, end_id):
     def run(batches):
         encoder = WordEncoder(tokenizer_path)
         for part in slices(batches):
             flat, n = encoder.ids(texts(part), end_id)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists(flat, n, pa.int32())], ["doc_id", "ids"])
 
-    return source.mapInArrow(run, "doc_id long, ids array<int>")
+    return run
 
 
-def write(encoded, path, width, bounds, block_tokens=1 << 19):
-    """Writes doc_id and ids as blocks in ascending doc_id order; rows of one doc_id keep no particular order.
-
-    Ids are packed before the only shuffle, which deals them by the ranges that the ascending doc_ids in bounds cut. Every
-    row needs a doc_id. part numbers the ranges, block the blocks inside one; a block ends after the document that fills it.
-    """
+def _narrowing(width, bounds):
+    """doc_id and ids to part, doc_id, n and the packed ids; bounds cut doc_ids into parts."""
     bounds = np.asarray(bounds, np.int64)
 
-    def narrow(batches):
+    def run(batches):
         for batch in batches:
             rows = batch.column("ids")
             n = np.asarray(rows.value_lengths().fill_null(0))
             flat = np.asarray(rows.flatten(), np.int32)
-            cut = np.cumsum(n)
             if batch.column("doc_id").null_count:
                 raise ValueError("a row has no doc_id")
-            data = [pack(flat[e - k:e], width) for e, k in zip(cut, n)]
+            data = [pack(flat[e - k:e], width) for e, k in zip(np.cumsum(n), n)]
             part = np.searchsorted(bounds, batch.column("doc_id").to_numpy(), side="right").astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(part), batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(data, pa.binary())],
                 ["part", "doc_id", "n", "packed"])
 
+    return run
+
+
+PACKED = "part int, doc_id long, n int, packed binary"
+
+
+def write(encoded, path, width, bounds, block_tokens=1 << 18):
+    """Writes doc_id and ids as blocks in ascending doc_id order; rows of one doc_id keep no particular order.
+
+    Ids are packed before the only shuffle, which deals them by the ranges that the ascending doc_ids in bounds cut. Every
+    row needs a doc_id. part numbers the ranges, block the blocks inside one, before counts the part's tokens in earlier
+    blocks; a block ends after the document that fills it.
+    """
+    _write(encoded.mapInArrow(_narrowing(width, bounds), PACKED), path, width, len(bounds) + 1, block_tokens)
+
+
+def write_texts(docs, path, tokenizer_path, end_id, width, bounds, id_col="doc_id", text_col="text", block_tokens=1 << 18):
+    """encode() and write() in one pass over the texts."""
+    encoding, narrowing = _encoding(tokenizer_path, end_id), _narrowing(width, bounds)
+    packed = _source(docs, id_col, text_col).mapInArrow(lambda batches: narrowing(encoding(batches)), PACKED)
+    _write(packed, path, width, len(bounds) + 1, block_tokens)
+
+
+def _write(packed, path, width, parts, block_tokens):
     def block(batches):
-        part, number, held, ids, counts, flat = None, 0, 0, [], [], []
+        part, number, before, held, ids, counts, flat = None, 0, 0, 0, [], [], []
 
         def flush():
             payload = make_block(ids, counts, np.concatenate(flat), width)
-            row = [[part], [number], [ids[0]], [ids[-1]], [len(ids)], [sum(counts)], [payload]]
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+            row = [[part], [number], [before], [ids[0]], [ids[-1]], [len(ids)], [held], [payload]]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
             return pa.RecordBatch.from_arrays(
-                [pa.array(v, k) for v, k in zip(row, kinds)],
-                ["part", "block", "first_doc", "last_doc", "n_docs", "n_tokens", "payload"])
+                [pa.array(v, k) for v, k in zip(row, kinds)], [x.split()[0] for x in BLOCK.split(", ")])
 
         for batch in batches:
             for now, doc, n, data in zip(*(batch.column(c).to_pylist() for c in ("part", "doc_id", "n", "packed"))):
                 if ids and (held >= block_tokens or now != part):
                     yield flush()
-                    number, held, ids, counts, flat = number + 1, 0, [], [], []
+                    number, before = (number + 1, before + held) if now == part else (0, 0)
+                    held, ids, counts, flat = 0, [], [], []
                 part, held = now, held + n
                 ids.append(doc)
                 counts.append(n)
@@ -188,21 +215,19 @@ def write(encoded, path, width, bounds, block_tokens=1 << 19):
         if ids:
             yield flush()
 
-    packed = encoded.mapInArrow(narrow, "part int, doc_id long, n int, packed binary")
-    parts = packed.repartitionById(len(bounds) + 1, "part").sortWithinPartitions("doc_id")
-    parts.mapInArrow(block, BLOCK).write.parquet(path)
+    dealt = packed.repartitionById(parts, "part").sortWithinPartitions("part", "doc_id")
+    dealt.mapInArrow(block, BLOCK).write.parquet(path)
 
 
 def read_back(spark, path):
     """doc_id, start (ids of all documents before it), n_tokens and ids_crc32 of every document in the blocks."""
     blocks = spark.read.schema(BLOCK).parquet(path)
     sizes = blocks.groupBy("part").agg(F.sum("n_tokens").alias("size"))
-    # one row per range of documents, not per document
-    before = sizes.select("part", F.coalesce(F.sum("size").over(
-        Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before_part"))
-    inside = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    places = blocks.select("part", "block", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)).alias("before"))
-    places = places.join(before, "part").select("part", "block", (F.col("before_part") + F.col("before")).alias("base"))
+    # one row per part: as many as the writer was given bounds, however many documents there are
+    earlier = F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select("part", F.coalesce(earlier, F.lit(0)).alias("earlier"))
+    placed = blocks.select("part", "before", "payload").join(F.broadcast(sizes), "part")
+    placed = placed.select((F.col("earlier") + F.col("before")).alias("base"), "payload")
 
     def digest(batches):
         for batch in batches:
@@ -214,8 +239,7 @@ def read_back(spark, path):
                     [pa.array(b.doc_ids), pa.array(base + b.offsets[:-1]), pa.array(np.diff(b.offsets)), pa.array(crc, pa.int64())],
                     ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    joined = blocks.select("part", "block", "payload").join(places, ["part", "block"]).select("base", "payload")
-    return joined.mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return placed.mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op8(spark, sf_dir):
@@ -224,6 +248,6 @@ def op8(spark, sf_dir):
 
     path = f"{shared_dir(spark)}/llm/tokens-{uuid.uuid4().hex}"
     docs = read(spark, sf_dir, "documents")
-    encoded = encode(docs, public_tokenizers.path("word_bpe_49k.json"), 2)
-    write(encoded, path, width_of(49_408), even_bounds(docs, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    bounds = even_bounds(docs, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    write_texts(docs, path, public_tokenizers.path("word_bpe_49k.json"), 2, width_of(49_408), bounds)
     return read_back(spark, path)
