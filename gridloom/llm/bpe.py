@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import Pieces, lists, ranges, read, slices, texts
+from gridloom.llm.common import Pieces, by_words, lists, read, slices, texts
 
 #: Words longer than this contract all equal pairs of a round together, which gives the same tokens in fewer rounds.
 LONG = 256
@@ -117,15 +117,7 @@ class Encoder:
     def pieces(self, pieces):
         """Ids of text pieces: each is cut by the pattern, equal words are encoded once."""
         rows = [self.pattern.findall(p) for p in pieces]
-        place = {w: i for i, w in enumerate(dict.fromkeys(w for row in rows for w in row))}
-        flat, n = self.words([w.encode("utf-8") for w in place])
-        starts = np.cumsum(n) - n
-        of = np.fromiter((place[w] for row in rows for w in row), np.int64)
-        per = np.fromiter(map(len, rows), np.int64, len(rows))
-        lengths = n[of]
-        total = np.concatenate([[0], np.cumsum(lengths)])
-        ends = np.cumsum(per)
-        return flat[ranges(starts[of], lengths)], total[ends] - total[ends - per]
+        return by_words(rows, lambda words: self.words([w.encode("utf-8") for w in words]))
 
 
 def encode(docs, vocabulary, pattern, id_col="doc_id", text_col="text"):

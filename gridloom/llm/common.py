@@ -1,5 +1,6 @@
 """Reading, slicing and numbering shared by the text operators."""
 
+import itertools
 import uuid
 
 import numpy as np
@@ -60,6 +61,18 @@ def ranges(starts, lengths):
     return np.repeat(np.asarray(starts, np.int64) - before, lengths) + np.arange(lengths.sum())
 
 
+def by_words(rows, encode):
+    """Ids of rows of words, in order, and their number per row; encode gets each different word once."""
+    place = {w: i for i, w in enumerate(dict.fromkeys(itertools.chain.from_iterable(rows)))}
+    flat, n = encode(list(place))
+    starts = np.cumsum(n) - n
+    per = np.fromiter(map(len, rows), np.int64, len(rows))
+    of = np.fromiter(map(place.__getitem__, itertools.chain.from_iterable(rows)), np.int64, per.sum())
+    total = np.concatenate([[0], np.cumsum(n[of])])
+    ends = np.cumsum(per)
+    return flat[ranges(starts[of], n[of])], total[ends] - total[ends - per]
+
+
 class Pieces:
     """Ids of text pieces, remembered inside one task; forgets all once `most` pieces are held."""
 
@@ -88,14 +101,14 @@ class Pieces:
         """rows: a list of pieces per text. All ids in order, and their number per text."""
         if len(self.place) > self.most:
             self._clear()
-        new = list(dict.fromkeys(p for row in rows for p in row if p not in self.place))
+        new = [p for p in dict.fromkeys(itertools.chain.from_iterable(rows)) if p not in self.place]
         if new:
             self._add(new)
         if not self.place:
             return np.empty(0, np.int32), np.zeros(len(rows), np.int64)
         self.starts, self.sizes = [np.concatenate(self.starts)], [np.concatenate(self.sizes)]
         n = np.fromiter(map(len, rows), np.int64, len(rows))
-        at = np.fromiter((i for row in rows for i in map(self.place.__getitem__, row)), np.int64, n.sum())
+        at = np.fromiter(map(self.place.__getitem__, itertools.chain.from_iterable(rows)), np.int64, n.sum())
         lengths = self.sizes[0][at]
         total = np.concatenate([[0], np.cumsum(lengths)])
         ends = np.cumsum(n)

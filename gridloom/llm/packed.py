@@ -8,7 +8,8 @@ Layout of a block, little-endian: magic 'GLTB', version u16, width u16, document
 its id i64 and per document and one more its offset u64; then the bit fields, least significant bit first.
 """
 
-import re
+import json
+import os
 import struct
 import uuid
 import zlib
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import Pieces, even_bounds, lists, read, slices, texts
+from gridloom.llm.common import Pieces, by_words, even_bounds, lists, read, slices, texts
 from gridloom.session import shared_dir
 
 MAGIC, VERSION, HEAD = b"GLTB", 1, "<4sHHIQ"
@@ -85,28 +86,50 @@ class Block:
 class WordEncoder:
     """Ids of a text by a tokenizer file, from ids of its white-space separated pieces.
 
-    Holds only for tokenizers that drop white space and lower-case character by character, which is checked. Texts of
+    Holds only for tokenizers that drop white space, lower-case character by character, split by a pattern and mark word
+    ends, which is checked. Texts of
     characters up to U+00FF are lower-cased by Python; others, and texts with the name of an added token, go through the
     library as a whole.
     """
 
     def __init__(self, path):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        import regex
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            given = json.load(f)
+        splits = [x["pattern"]["Regex"] for x in given["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split"]
+        suffix = given["model"]["end_of_word_suffix"]
+        if len(splits) != 1 or not suffix:
+            raise ValueError("the tokenizer needs one split pattern and marked word ends")
+        self.pattern = regex.compile(splits[0])
+        vocabulary = self.library.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         probe = "It's a  Test\nÉTÉ, 42 (x) y"
         parts = [i for p in probe.lower().split() for i in self.library.encode(p, add_special_tokens=False).ids]
         if self.library.encode(probe, add_special_tokens=False).ids != parts:
             raise ValueError("the tokenizer does not work on white-space separated pieces")
         added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.odd = re.compile("|".join(["[\x1c-\x1f]", *map(re.escape, added)]))
+        self.odd = ["\x1c", "\x1d", "\x1e", "\x1f", *added]
         self.known = Pieces(self._pieces)
 
-    def _pieces(self, pieces, most=4096):
-        ids = []
-        for i in range(0, len(pieces), most):  # the library's results are large
-            ids += [np.asarray(e.ids, np.int32) for e in self.library.encode_batch(pieces[i:i + most], add_special_tokens=False)]
-        return np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids))
+    def _pieces(self, pieces):
+        return by_words([self.pattern.findall(p) for p in pieces], self._words)
+
+    def _words(self, words, most=4096):
+        """The words go through the library as one text; each ends with a token that ends a word."""
+        flat, sizes = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+        for i in range(0, len(words), most):
+            part = words[i:i + most]
+            ids = np.asarray(self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int32)
+            sizes.append(np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1))
+            if len(sizes[-1]) != len(part):
+                raise ValueError("the tokenizer's words are not the pattern's")
+            flat.append(ids)
+        return np.concatenate(flat), np.concatenate(sizes)
 
     def split(self, text):
         """Pieces whose ids, in order, are the text's; None if the library must see the whole text."""
@@ -114,7 +137,7 @@ class WordEncoder:
             text.encode("latin-1")
         except UnicodeEncodeError:
             return None
-        return None if self.odd.search(text) else text.lower().split()
+        return None if any(x in text for x in self.odd) else text.lower().split()
 
     def ids(self, texts, end):
         """Ids of all texts, each with end behind it, and their number per text."""
