@@ -148,26 +148,40 @@ def decontaminate(docs, benchmark, id_col="doc_id", text_col="text", item_col="i
     of the longest verbatim match with its item and first word (0, -1, -1 without one; ties: smallest item, first place). Repeated
     rows are judged each; other columns are left out. An empty benchmark leaves every document clean.
     """
-    df = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.struct(F.col(id_col).cast("long").alias(id_col)).alias("row"), F.col(text_col).cast("string").alias("text"))
+    found = _over(rows, benchmark, item_col, item_text_col, length, share, VERDICT)
+    return found.select(f"row.{id_col}", *[c for c in found.columns if c != "row"])
+
+
+def clean(docs, benchmark, text_col="text", item_col="item_id", item_text_col="text", length=13, share=20):
+    """The rows of docs that decontaminate() does not call contaminated, with their columns; without a shuffle."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).cast("string").alias("text"))
+    return _over(rows, benchmark, item_col, item_text_col, length, share, CLEAN).select("row.*")
+
+
+#: What a pass returns behind the column row: what was found so far, the verdict, or only the clean rows.
+STATE = ", text string, cover binary, items array<long>, longest long, longest_item long, longest_at long"
+VERDICT = (
+    ", n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<long>, "
+    "longest long, longest_item long, longest_at long")
+CLEAN = ""
+
+
+def _over(rows, benchmark, item_col, item_text_col, length, share, last):
+    """One pass over rows (row, text) for each block of the benchmark; the last one gives what `last` asks for."""
+    row = "row " + rows.schema["row"].dataType.simpleString()
     following = blocks(benchmark, item_col, item_text_col)
     block = next(following)
     for later in following:
-        # more than one block: what was found goes on with the text, one block at a time
-        df = written(df.mapInArrow(_pass(docs, block, length, share, STATE), STATE), "contamination")
+        # what was found goes on with the text, so one block at a time is broadcast
+        rows = written(rows.mapInArrow(_pass(rows, block, length, share, STATE), row + STATE), "contamination")
         block = later
-    return df.mapInArrow(_pass(docs, block, length, share, RESULT), RESULT).withColumnRenamed("doc_id", id_col)
-
-
-RESULT = (
-    "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
-    "items array<long>, longest long, longest_item long, longest_at long")
-STATE = "doc_id long, text string, cover binary, items array<long>, longest long, longest_item long, longest_at long"
+    return rows.mapInArrow(_pass(rows, block, length, share, last), row + last)
 
 
-def _pass(docs, block, length, share, schema):
-    """Looks up one block of items; schema says whether to hand on what was found or to give the verdict."""
-    shared = docs.sparkSession.sparkContext.broadcast(vars(Windows(*block, length)))
-    names = [x.split()[0] for x in schema.split(", ")]
+def _pass(rows, block, length, share, wanted):
+    shared = rows.sparkSession.sparkContext.broadcast(vars(Windows(*block, length)))
+    names = [x.split()[0] for x in wanted.split(", ")[1:]]
 
     def run(batches):
         windows = SimpleNamespace(**shared.value)
@@ -179,20 +193,25 @@ def _pass(docs, block, length, share, schema):
                 held = [np.unpackbits(np.frombuffer(c, np.uint8), count=n) for c, n in zip(part.column("cover").to_pylist(), words.counts)]
                 cover = cover | np.concatenate(held).astype(bool)
                 items = [np.append(a, np.asarray(b, np.int64)) for a, b in zip(items, part.column("items").to_pylist())]
-                was = [part.column(c).to_numpy() for c in names[-3:]]
+                was = [part.column(c).to_numpy() for c in ("longest", "longest_item", "longest_at")]
                 better = (longest[0] > was[0]) | ((longest[0] == was[0]) & (longest[1] < was[1]))
                 longest = [np.where(better, a, b) for a, b in zip(longest, was)]
-            if schema == STATE:
-                bits = [np.packbits(cover[a:b]).tobytes() for a, b in zip(words.first, ends)]
-                found = [part.column("text"), pa.array(bits, pa.binary())]
+            total = np.concatenate([[0], np.cumsum(cover)])
+            n_hit = total[ends] - total[words.first]
+            bad = (n_hit > 0) & (share * n_hit >= words.counts)
+            if wanted == CLEAN:
+                yield part.select(["row"]).filter(pa.array(~bad))
+                continue
+            found = dict(zip(("longest", "longest_item", "longest_at"), map(pa.array, longest)), text=part.column("text"))
+            found["items"] = pa.array([np.unique(x).tolist() for x in items], pa.list_(pa.int64()))
+            if wanted == STATE:
+                found["cover"] = pa.array([np.packbits(cover[a:b]).tobytes() for a, b in zip(words.first, ends)], pa.binary())
             else:
-                total = np.concatenate([[0], np.cumsum(cover)])
-                n_hit = total[ends] - total[words.first]
                 digest = [hashlib.sha256(",".join(sorted(map(str, x.tolist()))).encode()).hexdigest() for x in items]
-                bad = (n_hit > 0) & (share * n_hit >= words.counts)
-                found = [pa.array(x) for x in (words.counts, n_hit, [len(x) for x in items])] + [pa.array(digest, pa.string()), pa.array(bad)]
-            items = pa.array([np.sort(x).tolist() for x in items], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *found, items, *map(pa.array, longest)], names)
+                found |= {
+                    "n_words": pa.array(words.counts), "n_hit": pa.array(n_hit), "n_items": pa.array([len(x) for x in items]),
+                    "items_sha256": pa.array(digest, pa.string()), "contaminated": pa.array(bad)}
+            yield pa.RecordBatch.from_arrays([part.column("row"), *(found[x] for x in names)], ["row", *names])
 
     return run
 

@@ -1,10 +1,11 @@
 """Registered queries of this subpackage and the SQL of those that SQL can express."""
 
-from gridloom.llm import bpe, contamination, html_text, near_dup, packed, substrings, token_counts, toxicity, url_rules
+from gridloom.llm import bpe, contamination, fingerprints, html_text, near_dup, packed, substrings, token_counts, toxicity, url_rules
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1,
     "op2_decontaminate": contamination.op2,
+    "op3_weighted_sampling": fingerprints.op3,
     "op4_token_counts": token_counts.op4,
     "op5_toxic_segments": toxicity.op5,
     "op6_minhash_join": near_dup.op6,

@@ -182,9 +182,25 @@ def remove_repeats(docs, id_col="doc_id", text_col="text", length=50, prefix=12,
     smaller than each other; a row with a null id keeps all words and takes none from others. group: about the most
     suffixes in one subtree. Other columns are left out.
     """
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return _remove(source, length, prefix, group).select(F.col("doc_id").alias(id_col), "n_words", "n_removed", "kept")
+
+
+def without_repeats(docs, id_col="doc_id", text_col="text", length=50, prefix=12, group=4096):
+    """docs with its columns, where a text that lost words is its kept words joined by one space; other texts stay as they are."""
+    source = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+        F.struct(*[c for c in docs.columns if c != text_col]).alias("row"))
+    kept = _remove(source, length, prefix, group)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text")).alias(text_col)
+    return kept.select("row.*", text).select(docs.columns)
+
+
+def _remove(source, length, prefix, group):
+    """source (doc_id, text and perhaps row) with n_words, n_removed and kept."""
     if not 0 < prefix <= length or length - prefix > 62:
         raise ValueError("prefix must be at most length and at least length - 62")
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    columns = source.columns
     source = source.withColumn("h", F.xxhash64("text"))
     # the one shuffle of texts: three steps below read the same exchange
     rows = source.filter("doc_id IS NOT NULL")
@@ -206,7 +222,7 @@ def remove_repeats(docs, id_col="doc_id", text_col="text", length=50, prefix=12,
                 [pa.array(g), part.column("doc_id").take(pa.array(text)), part.column("h").take(pa.array(text)), pa.array(spot)],
                 ["g", "doc_id", "h", "spot"])
 
-    anchors = rows.join(copies, "doc_id", "left").select("doc_id", "text", "h", "copy").mapInArrow(
+    anchors = rows.join(copies, "doc_id", "left").select(*columns, "h", "copy").mapInArrow(
         place, "g long, doc_id long, h long, spot long")
     shared = anchors.groupBy("g").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n"))
     shared = shared.filter("lo < hi").select("g", F.ceil(F.col("n") / group).cast("int").alias("parts"))
@@ -217,7 +233,7 @@ def remove_repeats(docs, id_col="doc_id", text_col="text", length=50, prefix=12,
         names = ["g", "salt", "parts", "doc_id", "h", "place", "n_before", "words"]
         for part in slices(batches):
             w = Words(texts(part), SPACES)
-            columns = [[] for _ in kinds]
+            out = [[] for _ in kinds]
             for doc, h, marks, start in zip(*(part.column(c).to_pylist() for c in ("doc_id", "h", "marks")), w.first):
                 salt = int(mix(np.array([doc]).view(np.uint64))[0] >> np.uint64(1))
                 for m in marks:
@@ -225,11 +241,11 @@ def remove_repeats(docs, id_col="doc_id", text_col="text", length=50, prefix=12,
                         at, before, after = m["spot"] >> 16, m["spot"] >> 8 & 255, m["spot"] & 255
                         # whole range of windows that have this anchor
                         words = w.values[start + at - before:start + at - after + length].tobytes()
-                        for column, value in zip(columns, (m["g"], salt % m["parts"], m["parts"], doc, h, at, before, words)):
+                        for column, value in zip(out, (m["g"], salt % m["parts"], m["parts"], doc, h, at, before, words)):
                             column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
 
-    suffixes = rows.join(marked, "doc_id").select("doc_id", "text", "h", "marks").mapInArrow(
+    suffixes = rows.join(marked, "doc_id").select(*columns, "h", "marks").mapInArrow(
         cut_out, "g long, salt long, parts int, doc_id long, h long, place long, n_before int, words binary")
     grouped = suffixes.repartition("g", "salt").sortWithinPartitions("g", "salt")
     local = grouped.mapInArrow(lambda b: repeated_windows(b, length), "doc_id long, h long, place long, mask long, w1 long, w2 long")
@@ -242,8 +258,8 @@ def remove_repeats(docs, id_col="doc_id", text_col="text", length=50, prefix=12,
     def strip(batches):
         for part in slices(batches):
             n, removed, kept = [], [], []
-            columns = [part.column(c).to_pylist() for c in ("h", "copy", "gone")]
-            for text, h, copy, windows in zip(texts(part), *columns):
+            known = [part.column(c).to_pylist() for c in ("h", "copy", "gone")]
+            for text, h, copy, windows in zip(texts(part), *known):
                 words = text.encode("utf-8").split()
                 n.append(len(words))
                 if copy and h in copy and len(words) >= length:
@@ -255,14 +271,14 @@ def remove_repeats(docs, id_col="doc_id", text_col="text", length=50, prefix=12,
                 removed.append(n[-1] - len(words))
                 kept.append(b" ".join(words))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
-                ["doc_id", "n_words", "n_removed", "kept"])
+                [*(part.column(c) for c in columns), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
+                 pa.array(kept, pa.binary()).cast(pa.string())], [*columns, "n_words", "n_removed", "kept"])
 
-    joined = rows.join(copies.join(gone, "doc_id", "full"), "doc_id", "left").select("doc_id", "text", "h", "copy", "gone")
-    nobody = source.filter("doc_id IS NULL").select("doc_id", "text", "h", F.lit(None).cast("array<bigint>").alias("copy"), F.lit(None).cast(
+    joined = rows.join(copies.join(gone, "doc_id", "full"), "doc_id", "left").select(*columns, "h", "copy", "gone")
+    nobody = source.filter("doc_id IS NULL").select(*columns, "h", F.lit(None).cast("array<bigint>").alias("copy"), F.lit(None).cast(
         "array<struct<h:bigint,place:bigint,mask:bigint>>").alias("gone"))
-    out = joined.unionByName(nobody).mapInArrow(strip, "doc_id long, n_words long, n_removed long, kept string")
-    return out.withColumnRenamed("doc_id", id_col)
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in source.schema if f.name != "h"]
+    return joined.unionByName(nobody).mapInArrow(strip, ", ".join([*kinds, "n_words long, n_removed long, kept string"]))
 
 
 def op10(spark, sf_dir):
