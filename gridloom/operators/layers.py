@@ -25,7 +25,10 @@ def to_matrix(column, width=None):
     if column.null_count:
         raise ValueError("null array")
     n = len(column)
-    flat = column.flatten().to_numpy(zero_copy_only=False)
+    flat = column.flatten()
+    if flat.null_count:
+        raise ValueError("null value in an array")
+    flat = flat.to_numpy(zero_copy_only=False)
     lengths = np.diff(column.offsets.to_numpy())
     width = width or (int(lengths[0]) if n else 0)
     if n and (lengths != width).any():
@@ -118,10 +121,11 @@ def batch_norm_fit(df, channels, area, source="x"):
             })
 
     parts = df.select(source).mapInArrow(run, "channel int, n bigint, m double, s double")
-    n, total = F.sum("n"), F.sum(F.col("n") * F.col("m"))
-    return parts.groupBy("channel").agg(
-        (total / n).alias("mean"),
-        ((F.sum("s") + F.sum(F.col("n") * F.col("m") * F.col("m")) - total * total / n) / n).alias("variance"),
+    means = parts.groupBy("channel").agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("mean"))
+    # one row per channel; deviations of the batch means, as a difference of squares would cancel
+    apart = F.col("m") - F.col("mean")
+    return parts.join(F.broadcast(means), "channel").groupBy("channel", "mean").agg(
+        (F.sum(F.col("s") + F.col("n") * apart * apart) / F.sum("n")).alias("variance")
     )
 
 

@@ -28,21 +28,46 @@ def accuracy(pred, unit="percent", by=(), label="label", predicted="pred"):
     )
 
 
-def confusion_matrix(pred, k=10, pivot=False, label="label", predicted="pred", by=()):
+OUTSIDE = -1  # cell of rows whose truth or prediction is null or no class
+
+
+def folded_cells(pred, k, label="label", predicted="pred", by=()):
+    """Per group one map `_cells` from truth * k + predicted (or OUTSIDE) to the row count; every row is in one cell.
+
+    Beside it `_rows`, all rows of the group, and `_right`, those with truth = prediction, class or not.
+    """
+    truth, guess = F.col(label).cast("int"), F.col(predicted).cast("int")
+    inside = truth.between(0, k - 1) & guess.between(0, k - 1)
+    cell = F.when(inside, truth * F.lit(k) + guess).otherwise(F.lit(OUTSIDE))
+    right = F.sum(F.when(F.col(label) == F.col(predicted), 1).otherwise(0))
+    counts = pred.groupBy(*by, cell.alias("_cell")).agg(F.count("*").alias("_n"), right.alias("_hit"))
+    return counts.groupBy(*by).agg(
+        F.map_from_entries(F.collect_list(F.struct("_cell", "_n"))).alias("_cells"),
+        F.sum("_n").alias("_rows"), F.sum("_hit").alias("_right"),
+    )
+
+
+def confusion_matrix(pred, k=10, pivot=False, label="label", predicted="pred", by=(), outside="fail"):
     """Counts for every (truth, predicted) pair of classes 0..k-1, zero cells included.
 
-    After the aggregation a group has at most k*k counts; they are folded into one map per group, from which
+    A row whose truth or prediction is null or not in 0..k-1 has no cell. outside="fail" stops the job at one,
+    outside="count" adds the column `n_outside`, the number of such rows in the group.
+
+    After the aggregation a group has at most k*k + 1 counts; they are folded into one map per group, from which
     all cells are read back. So the empty cells cost neither a join nor a second scan.
     """
+    if outside not in ("fail", "count"):
+        raise ValueError(f"unknown rule {outside!r} for rows outside the classes")
     by = list(by)
-    truth, guess = F.col(label).cast("int"), F.col(predicted).cast("int")
-    counts = (
-        pred.filter(truth.between(0, k - 1) & guess.between(0, k - 1))
-        .groupBy(*by, (truth * F.lit(k) + guess).alias("_cell")).agg(F.count("*").alias("_n"))
-    )
-    folded = counts.groupBy(*by).agg(
-        F.map_from_entries(F.collect_list(F.struct("_cell", "_n"))).alias("_cells")
-    )
+    folded = folded_cells(pred, k, label, predicted, by)
+    lost = F.coalesce(F.try_element_at("_cells", F.lit(OUTSIDE)), F.lit(0).cast("long"))
+    if outside == "fail":
+        said = F.format_string("%d rows outside the classes 0..%d", lost, F.lit(k - 1))
+        folded = folded.withColumn(
+            "_cells", F.when(lost == 0, F.col("_cells")).otherwise(F.raise_error(said).cast("map<int,bigint>")))
+    else:
+        folded = folded.withColumn("n_outside", lost)
+        by = by + ["n_outside"]
     every = folded.select(
         *by, "_cells", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("truth")
     )

@@ -25,18 +25,21 @@ def sample_k(df, keys, k=10, seed=42):
     return df.withColumn("_key", order_key(keys, seed)).orderBy("_key", *keys).limit(k).drop("_key")
 
 
-def epoch_order(df, keys, seed=42, epoch=0, pos="pos", total=None):
+def epoch_order(df, keys, seed=42, epoch=0, pos="pos", total=None, parts=None):
     """Add each row's place (from 0) in the shuffled order of this epoch; optionally also the row count.
 
-    Places do not depend on the number of partitions.
+    Places do not depend on the number of partitions, `parts` (by default the session's shuffle partitions). One
+    of more than 2 ** 33 rows fails the job.
     """
-    parts = min(PREFIXES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = min(PREFIXES, parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     prefix = F.conv(F.substring("_key", 1, 4), 16, 10).cast("bigint")
     hashed = (
         df.withColumn("_key", order_key(keys, seed, epoch))
         .withColumn("_part", F.call_function("div", prefix * F.lit(parts), F.lit(PREFIXES)).cast("int"))
     )
     counts = hashed.groupBy("_part").agg(F.count("*").alias("_n"))
+    counts = counts.withColumn("_n", F.when(F.col("_n") <= ROW_BITS, F.col("_n")).otherwise(
+        F.raise_error(F.lit("a partition has too many rows, give more parts")).cast("bigint")))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         "_part",

@@ -3,26 +3,26 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-# A block's entry takes about 150 bytes.
-BROADCAST_BLOCKS = 500_000
-
-
 def pair_by_position(images, labels, keys=("split", "idx"), strict=True):
     """One row per position with the image and its label.
 
-    Positions come from the readers, so no numbering pass is needed and a hot label cannot skew the join.
-    strict: an image without a label, or the reverse, fails the job. Otherwise such rows are left out.
+    Positions come from the readers, so no numbering pass is needed and a hot label cannot skew the join. Images are
+    joined from the left, so that labels may be broadcast if they turn out small.
+    strict: an image without a label, a label without an image and a position that occurs twice on one side are errors,
+    found by a subquery that counts the keys alone, and fail the job. Otherwise rows without a partner are left out and repeated
+    positions give every combination.
     """
     keys = list(keys)
-    left = images.withColumn("_image", F.lit(True))
-    right = labels.withColumn("_label", F.lit(True))
-    if not strict:
-        return left.join(right, keys).drop("_image", "_label")
-    where = F.concat_ws("/", *[F.col(k).cast("string") for k in keys])
-    lonely = F.when(F.col("_image").isNull(), F.lit("label without image at "))
-    lonely = lonely.when(F.col("_label").isNull(), F.lit("image without label at "))
-    matched = F.when(lonely.isNotNull(), F.raise_error(F.concat(lonely, where)).cast("boolean")).otherwise(True)
-    return left.join(right, keys, "full_outer").filter(matched).drop("_image", "_label")
+    if strict:
+        sides = images.select(*keys, F.lit(1).alias("_i"), F.lit(0).alias("_l")).unionByName(
+            labels.select(*keys, F.lit(0).alias("_i"), F.lit(1).alias("_l")))
+        bad = sides.groupBy(*keys).agg(F.sum("_i").alias("_i"), F.sum("_l").alias("_l")).filter("_i <> 1 OR _l <> 1")
+        what = F.when(F.col("_l") == 0, "image without label at ").when(F.col("_i") == 0, "label without image at ")
+        said = F.concat(what.otherwise("repeated position "), F.concat_ws("/", *[F.col(k).cast("string") for k in keys]))
+        first = bad.agg(F.min(said).alias("said")).scalar()
+        fine = F.when(first.isNotNull(), F.raise_error(first).cast("boolean")).otherwise(True)
+        return images.join(labels, keys).filter(fine)
+    return images.join(labels, keys)
 
 
 def with_file_position(df, group="split", out="idx"):
@@ -30,11 +30,9 @@ def with_file_position(df, group="split", out="idx"):
 
     Needs the hidden columns of a file source. Rows of one input block share (path, block start) and are read
     in order, so a count per block is enough: the numbering of a block starts where the blocks before it end.
-    Only the counts (one row per block) are ordered. They are broadcast if the scan cannot have more than
-    BROADCAST_BLOCKS blocks, so that the rows themselves are not shuffled; otherwise it is a plain join.
+    Only the counts (one row per block) are ordered. Their join with the rows is left to the planner, which broadcasts them
+    if they are small, so that the rows themselves are not shuffled.
     """
-    # A file ends at most one block early, and a partition holds no more bytes than a full block.
-    at_most = df.rdd.getNumPartitions() + len(df.inputFiles())
     tagged = df.select(
         "*",
         F.col("_metadata.file_path").alias("_path"),
@@ -46,8 +44,6 @@ def with_file_position(df, group="split", out="idx"):
     )
     before = Window.partitionBy(group).orderBy("_path", "_start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    if at_most <= BROADCAST_BLOCKS:
-        offsets = F.broadcast(offsets)
     return (
         tagged.join(offsets, [group, "_path", "_start"])
         .withColumn(out, F.col("_before") + F.col("_mid") - F.col("_first"))

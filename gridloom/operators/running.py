@@ -7,8 +7,11 @@ a third of all rows still spreads over many tasks. The span totals are small: on
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SPAN = 65536
 RANK = ["run_id", "rank"]
@@ -81,40 +84,57 @@ def running_loss(log, span=SPAN):
 def smooth_loss(log, alpha=0.1, span=SPAN):
     """Exponential smoothing s = alpha * loss + (1 - alpha) * s per (run, rank), from s = 0.
 
-    With d = 1 - alpha and t the row number, s_t is a running sum of loss_i * d**(t - i). Rows are cut into
-    chunks short enough for d**chunk to stay far from the limits of a double; a chunk takes over the state
-    the chunks before it ended with. Older chunks whose weight is zero in double arithmetic are left out.
+    Rows are cut into spans of batch numbers inside an epoch. A span's own recurrence runs from 0 in one task; it ends with
+    a state and passes on (1 - alpha) ** rows of the state before it. The states before the spans come from the same
+    recurrence over one row per span, so nothing is left out, however old: a NaN or an infinite loss stays.
     """
     if not 0.0 < alpha < 1.0:
         raise ValueError("alpha must lie between 0 and 1")
-    decay = 1.0 - alpha
-    per_row = -math.log(decay)
-    chunk = max(1, min(SPAN, int(100 * math.log(10) / per_row)))
-    lookback = math.ceil(745.0 / (per_row * chunk)) + 1
-
-    rows = running_totals(log, RANK, ["epoch", "batch_idx"], {"_t": F.lit(1).cast("long")}, span=span)
-    rows = (
-        rows.withColumn("_chunk", F.call_function("div", F.col("_t") - 1, F.lit(chunk)))
-        .withColumn("_i", F.pmod(F.col("_t") - 1, F.lit(chunk)).cast("double"))
-    )
-    inside = Window.partitionBy(*RANK, "_chunk").orderBy("_t").rowsBetween(Window.unboundedPreceding, 0)
-    weighted = F.lit(alpha) * F.col("loss") * F.pow(F.lit(decay), -F.col("_i"))
-    local = rows.withColumn("_s", F.sum(weighted).over(inside) * F.pow(F.lit(decay), F.col("_i")))
-
-    # Only the last chunk of a rank can be short, and nothing follows it.
-    ends = (
-        rows.withColumn("_w", F.lit(alpha) * F.col("loss") * F.pow(F.lit(decay), F.lit(chunk - 1.0) - F.col("_i")))
-        .groupBy(*RANK, "_chunk").agg(F.sum("_w").alias("_end"))
-    )
-    past = Window.partitionBy(*RANK).orderBy("_chunk").rowsBetween(-lookback, -1)
-    carried = F.aggregate(
-        F.collect_list("_end").over(past), F.lit(0.0), lambda acc, e: acc * F.lit(decay ** chunk) + e
-    )
-    states = ends.select(*RANK, "_chunk", carried.alias("_carry"))
-    return local.join(states, RANK + ["_chunk"]).select(
-        *log.columns,
-        (F.col("_s") + F.pow(F.lit(decay), F.col("_i") + 1) * F.col("_carry")).alias("smoothed"),
-    )
+    decay, keys = 1.0 - alpha, RANK + ["epoch", "_span"]
+    rows = log.withColumn("_span", F.call_function("div", F.col("batch_idx"), F.lit(min(span, SPAN))))
+
+    def fold(table):
+        table = table.sort_by("batch_idx")
+        return table, _recurrence(table.column("loss").to_numpy(zero_copy_only=False), alpha, decay)
+
+    def inside(table):
+        table, s = fold(table)
+        return table.append_column("_s", pa.array(s)).append_column("_i", pa.array(np.arange(1.0, len(s) + 1)))
+
+    def end(table):
+        first, s = table.select(keys).slice(0, 1), fold(table)[1]
+        return first.append_column("_n", pa.array([len(s)], pa.int64())).append_column("_end", pa.array(s[-1:]))
+
+    def carry(table):
+        table, state, before = table.sort_by([("epoch", "ascending"), ("_span", "ascending")]), 0.0, []
+        for n, own in zip(table.column("_n").to_pylist(), table.column("_end").to_pylist()):
+            before.append(state)
+            state = own + _left_of(state, decay ** n)
+        return table.select(keys).append_column("_before", pa.array(before, pa.float64()))
+
+    key_types = [f for f in rows.schema.fields if f.name in keys]
+    double = [T.StructField(n, T.DoubleType()) for n in ("_s", "_i")]
+    local = rows.groupBy(*keys).applyInArrow(inside, T.StructType(rows.schema.fields + double))
+    ends = rows.select(*keys, "batch_idx", "loss").groupBy(*keys).applyInArrow(
+        end, T.StructType([next(f for f in key_types if f.name == k) for k in keys] + [T.StructField("_n", T.LongType()), T.StructField("_end", T.DoubleType())]))
+    # one row per span of up to SPAN rows
+    states = ends.groupBy(*RANK).applyInArrow(
+        carry, T.StructType([next(f for f in key_types if f.name == k) for k in keys] + [T.StructField("_before", T.DoubleType())]))
+    left = F.when(F.abs("_before") == float("inf"), F.col("_before")).otherwise(F.col("_before") * F.pow(F.lit(decay), F.col("_i")))
+    return local.join(states, keys).select(*log.columns, (F.col("_s") + left).alias("smoothed"))
+
+
+def _recurrence(x, alpha, decay):
+    s, out = 0.0, np.empty(len(x))
+    for i, v in enumerate(x.tolist()):
+        s = alpha * v + decay * s
+        out[i] = s
+    return out
+
+
+def _left_of(state, weight):
+    """What is left of a state; an infinite one never fades."""
+    return state if math.isinf(state) else state * weight
 
 
 def curves(log, repeat_epoch_point=False, span=SPAN):

@@ -375,11 +375,11 @@ def q_cross_entropy(spark, sf):
 def predict_template(spark, sf):
     """Nearest class mean in whole numbers: the smallest |x - t|^2 is the largest 2 t.x - |t|^2, a dense layer.
 
-    Only the model (classes x pixels) comes to the driver.
+    The means are those of the train split, a class without a train row has mean 0. Only the model (classes x pixels) comes to the driver.
     """
     data = images(spark, sf)
     means = np.zeros((10, N), np.int64)
-    for r in layers.class_sums(data).collect():
+    for r in layers.class_sums(data.filter("split = 'train'")).collect():
         means[r.label, r.pos] = r.total // r.n
     net = Arch((("flatten",), ("dense", "fc", 10)), SIDE, SIDE)
     params = {"fc.weight": 2.0 * means, "fc.bias": -(means ** 2).sum(axis=1).astype(float)}
@@ -387,8 +387,10 @@ def predict_template(spark, sf):
 
 
 PREDICT_SQL = f"""{IMAGES_SQL},
-cells AS (SELECT idx, label, unnest(px) AS v, unnest(range({N})) AS j FROM img),
-template AS (SELECT label AS c, j, sum(v) // count(*) AS t FROM cells GROUP BY 1, 2),
+cells AS (SELECT split, idx, label, unnest(px) AS v, unnest(range({N})) AS j FROM img),
+seen AS (SELECT label, j, sum(v) // count(*) AS t FROM cells WHERE split = 'train' GROUP BY 1, 2),
+template AS (SELECT c.range AS c, j.range AS j, coalesce(t, 0) AS t
+             FROM range(10) c CROSS JOIN range({N}) j LEFT JOIN seen ON seen.label = c.range AND seen.j = j.range),
 score AS (SELECT idx, c, CAST(sum(2 * t * v - t * t) AS BIGINT) AS s FROM cells JOIN template USING (j) GROUP BY 1, 2),
 best AS (SELECT idx, arg_max(c, s * 100 - c) AS pred FROM score GROUP BY idx),
 predicted AS (SELECT img.*, pred FROM img JOIN best USING (idx))"""
@@ -463,9 +465,10 @@ def q_confusion_pivot(spark, sf):
 
 @query("q_evaluate", f"""WITH {PREDICT_SQL},
 totals AS (SELECT split, count(*) AS n_rows, round(100.0::DOUBLE * sum(CAST(label = pred AS INTEGER)) / count(*), 6)
-           AS accuracy FROM predicted GROUP BY split)
+           AS accuracy, count(*) FILTER (label NOT BETWEEN 0 AND 9 OR pred NOT BETWEEN 0 AND 9) AS n_outside
+           FROM predicted GROUP BY split)
 SELECT t.split, CAST(g.truth AS INTEGER) AS truth, CAST(g.predicted AS INTEGER) AS predicted, count(p.idx) AS n,
-       t.n_rows, t.accuracy
+       t.n_rows, t.accuracy, t.n_outside
 FROM totals t CROSS JOIN {GRID_SQL} g
 LEFT JOIN predicted p ON p.split = t.split AND p.label = g.truth AND p.pred = g.predicted GROUP BY ALL""")
 def q_evaluate(spark, sf):

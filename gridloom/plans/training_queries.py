@@ -65,7 +65,7 @@ def q_fit_step_sync(spark, sf):
 def q_fit_then_evaluate(spark, sf):
     """Three convolutions with batch-norm and dropout, then confusion counts per split."""
     data, net = images(spark, sf), arch.arch("D", SIDE, SIDE)
-    trained = fit.fit(data, net, world=4)
+    trained = fit.fit(data.filter("split = 'train'"), net, world=4)
     return model.evaluate(model.predict(data, net, trained.params))
 
 
@@ -75,7 +75,7 @@ def q_featurize_fit_head(spark, sf):
     data, net = images(spark, sf), arch.arch("C", SIDE, SIDE)
     frozen = arch.init_params(net)
     upto = [layer[0] for layer in net.layers].index("flatten") + 1
-    head, trained = fit.fit_head(data, net, frozen, upto, world=2)
+    head, trained = fit.fit_head(data.filter("split = 'train'"), net, frozen, upto, world=2)
     features = model.featurize(data, net, frozen, upto)
     predicted = model.predict(features, head, trained.params, source="features", denom=1.0)
     return metrics.label_histogram(predicted, "pred")

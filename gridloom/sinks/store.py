@@ -110,7 +110,8 @@ def read_params(spark, root, run_id, epoch, kind="model"):
 def publish_version(spark, root, run_id, at=None, prefix="model_checkpoint"):
     """Copy the newest checkpoint to a time-stamped folder. Returns its path, or None if there is no checkpoint.
 
-    The checkpoint itself stays, so a published run can still be resumed.
+    The checkpoint itself stays, so a published run can still be resumed. A folder of that name, as of a version published
+    in the same second, is an error: two versions would be read as one.
     """
     latest = load_checkpoint(spark, root, run_id)
     if latest["params"] is None:
@@ -118,6 +119,13 @@ def publish_version(spark, root, run_id, at=None, prefix="model_checkpoint"):
         return None
     stamp = (at or datetime.now(timezone.utc)).strftime("%Y%m%d_%H%M%S")
     target = f"{root}/versions/{prefix}_{stamp}"
+    try:
+        spark.read.parquet(target)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    else:
+        raise FileExistsError(target)
     folder = f"{target}/run_id={run_id}/epoch={latest['start_epoch'] - 1}"
     _write_save(spark, folder, latest["params"], latest["opt"], latest["loss"], latest["seed"])
     return target

@@ -1,21 +1,51 @@
 """Labelled CSV, labelled text lines, whole data sets, listings and previews."""
 
+import csv
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridloom import schemas
 from gridloom.functions import pixels
 
 
-def read_labeled_csv(spark, path, side=28, label="label"):
-    """CSV with a header row. The schema is given, so there is no inference pass over the data."""
-    wide = spark.read.schema(schemas.wide_csv(side * side, label)).option("header", True)
-    return pack_wide(wide.option("mode", "FAILFAST").csv(path), label)
+def first_line(spark, path):
+    """First line of the first file by name that has one, else None; reads no other file."""
+    for name in sorted(spark.read.text(path).inputFiles()):
+        line = spark.read.text(name).first()
+        if line is not None:
+            return line.value
+    return None
+
 
+def read_labeled_csv(spark, path, side=28, label="label", extra=()):
+    """CSV with a header row: the column named `label` and side * side pixel columns, in header order.
 
-def pack_wide(wide, label="label"):
-    """One label column plus pixel columns to (label, px)."""
-    return wide.select(
-        F.col(label).alias("label"), pixels.pack([c for c in wide.columns if c != label]).alias("px")
+    The names come from the first file's header, so the label may stand anywhere; a file with another header, a wrong
+    number of columns, a bad or an empty cell fails the job. There is no inference pass over the data. extra: columns
+    of the file source to keep, such as _metadata.
+    """
+    line = first_line(spark, path)
+    if line is None:
+        return pack_wide(spark.createDataFrame([], schemas.wide_csv(side * side, label)), label)
+    names = next(csv.reader([line]))
+    if names.count(label) != 1 or len(names) != side * side + 1 or len(set(names)) != len(names):
+        raise ValueError(f"expected one column {label!r} and {side * side} others, found {len(names)}: {names[:5]}")
+    wide = spark.read.schema(T.StructType([T.StructField(n, T.IntegerType()) for n in names]))
+    wide = wide.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
+    return pack_wide(wide.select(*[F.col(f"`{n}`") for n in names], *extra), label, extra)
+
+
+def pack_wide(wide, label="label", extra=()):
+    """One label column plus pixel columns to (label, px); a null cell fails the job."""
+    held = [c.split(".")[-1] for c in extra]
+    cells = [c for c in wide.columns if c != label and c not in held]
+    packed = wide.select(F.col(f"`{label}`").alias("label"), pixels.pack([f"`{c}`" for c in cells]).alias("px"), *held)
+    # each column checks itself, so that reading the label alone reads nothing else
+    empty = F.exists("px", lambda v: v.isNull())
+    return packed.select(
+        F.coalesce("label", F.raise_error(F.lit("empty label cell")).cast("int")).alias("label"),
+        F.when(empty, F.raise_error(F.lit("empty pixel cell")).cast("array<int>")).otherwise(F.col("px")).alias("px"), *held,
     )
 
 
@@ -89,11 +119,14 @@ def parse_labeled_lines(lines, n_pixels=None, values="int", mode="fail"):
 
 
 def read_labeled_text(spark, path, header="first_line", n_pixels=None, values="int", mode="fail"):
-    """Labelled text lines; header is "first_line", "contains_label" or "none"."""
+    """Labelled text lines; header is "first_line", "contains_label" or "none".
+
+    "first_line" drops every line equal to the first line of the first file by name.
+    """
     lines = spark.read.text(path)
     if header == "first_line":
-        first = lines.first()
-        lines = drop_header_equal(lines, first.value) if first else lines
+        first = first_line(spark, path)
+        lines = lines if first is None else drop_header_equal(lines, first)
     elif header == "contains_label":
         lines = drop_header_containing(lines)
     elif header != "none":

@@ -36,6 +36,11 @@ def arch(name, height=28, width=28, classes=10):
     return Arch(tuple(layouts[name]), height, width)
 
 
+def n_classes(net):
+    """Width of the last dense layer."""
+    return [layer[2] for layer in net.layers if layer[0] == "dense"][-1]
+
+
 def param_shapes(net):
     """(name, shape, inputs per output unit) of every trained parameter, in layer order."""
     shape, found = (net.channels, net.height, net.width), []

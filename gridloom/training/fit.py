@@ -26,7 +26,7 @@ from gridloom.operators import layers, ordering
 from gridloom.session import shared_dir
 from gridloom.sinks import store
 from gridloom.training import kernels
-from gridloom.training.arch import Arch, init_params, sgd
+from gridloom.training.arch import Arch, init_params, n_classes, sgd
 from gridloom.training.model import featurize, share_arrays
 
 CHUNK = 16384
@@ -285,7 +285,8 @@ def fit(
 
     A checkpoint is saved after every epoch under root; calling fit again with the same run_id goes on after the
     last finished epoch, and does nothing if all epochs are done. A resumed run keeps the seed it was started
-    with. train_only: name prefixes of the parameters to train; the others stay frozen.
+    with. A label outside the classes of the last layer fails the job; no rows are an error. The model is broadcast, so
+    one of more than model.MODEL_LIMIT bytes is refused. train_only: name prefixes of the parameters to train; the others stay frozen.
     """
     if sync not in ("epoch", "step"):
         raise ValueError(f"unknown sync {sync!r}")
@@ -300,7 +301,13 @@ def fit(
     else:
         state = {"model": params or init_params(net, seed), "optimizer": {}}
 
-    needed = examples.select(*keys, F.col(source).alias("x"), F.col(label).cast("int").alias("y"))
+    classes = n_classes(net)
+    y = F.col(label).cast("int")
+    known = F.when(y.between(0, classes - 1), y).otherwise(F.raise_error(F.concat(
+        F.lit(f"label not in 0..{classes - 1}: "), F.coalesce(F.col(label).cast("string"), F.lit("null")))).cast("int"))
+    needed = examples.select(*keys, F.col(source).alias("x"), known.alias("y"))
+    if saved["start_epoch"] < epochs and examples.isEmpty():
+        raise ValueError("no rows to train on")
     for epoch in range(saved["start_epoch"], epochs):
         save_id = uuid.uuid4().hex
         out = f"{root}/{run_id}/epochs/epoch={epoch}/save_id={save_id}"
@@ -330,9 +337,14 @@ def fit_log(spark, root, run_id):
 def replicas(spark, root, run_id, epoch):
     """What every rank ended an epoch with, before averaging (sync="epoch" only): name, rank, vals.
 
-    Long parameters come in chunks, `name/chunk`. Made for parameters.replica_check.
+    Long parameters come in chunks, `name/chunk`. Made for parameters.replica_check. Only the epoch's newest finished
+    save counts; what an attempt left that was lost before its checkpoint does not.
     """
     written = spark.read.schema(f"{OUTPUT}, {store.KEYS_DDL}").parquet(f"{root}/{run_id}/epochs")
+    finished = store.checkpoints(spark, root, run_id).groupBy("epoch").agg(
+        F.max_by("save_id", "saved_at").alias("save_id")
+    )
+    written = written.join(F.broadcast(finished), ["epoch", "save_id"], "left_semi")  # one row per epoch
     return written.filter((F.col("epoch") == epoch) & (F.col("kind") == "model")).select(
         F.concat_ws("/", "name", "chunk").alias("name"), "rank", "vals"
     )

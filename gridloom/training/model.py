@@ -31,7 +31,10 @@ def _forward(df, net, params, source, out, denom, element, n_layers=None):
 
 
 def predict(df, net, params, source="px", denom=255.0, element="float"):
-    """Add `scores` and `pred` (arg-max, lowest class on ties). Evaluation mode; the model is not changed."""
+    """Add `scores` and `pred` (arg-max, lowest class on ties). Evaluation mode; the model is not changed.
+
+    The model is broadcast; one of more than MODEL_LIMIT bytes is refused.
+    """
     scored = _forward(df, net, params, source, "scores", denom, element)
     return scored.withColumn("pred", pixels.argmax(F.col("scores")))
 
@@ -44,14 +47,18 @@ def featurize(df, net, params, n_layers, source="px", denom=255.0):
 def evaluate(pred, k=10):
     """Per split: confusion counts with the split's row count and accuracy (percent) beside them.
 
-    Everything follows from the k*k confusion counts, so predictions are read once.
+    n_rows and accuracy count every row; n_outside is the number of rows without a cell, because truth or
+    prediction is null or not in 0..k-1. Predictions are read once, and what is read back are k*k + 1 counts.
     """
-    from pyspark.sql import Window
-
-    cells = metrics.confusion_matrix(pred, k, by=["split"])
-    split = Window.partitionBy("split")
-    total = F.sum("n").over(split)
-    right = F.sum(F.when(F.col("truth") == F.col("predicted"), F.col("n")).otherwise(0)).over(split)
-    return cells.select(
-        "split", "truth", "predicted", "n", total.alias("n_rows"), (F.lit(100.0) * right / total).alias("accuracy")
+    folded = metrics.folded_cells(pred, k, by=["split"])
+
+    def count(cell):
+        return F.coalesce(F.try_element_at("_cells", cell), F.lit(0).cast("long"))
+
+    classes = F.sequence(F.lit(0), F.lit(k - 1))
+    rows = folded.select("*", F.explode(classes).alias("truth")).select("*", F.explode(classes).alias("predicted"))
+    return rows.select(
+        "split", "truth", "predicted", count(F.col("truth") * F.lit(k) + F.col("predicted")).alias("n"),
+        F.col("_rows").alias("n_rows"), (F.lit(100.0) * F.col("_right") / F.col("_rows")).alias("accuracy"),
+        count(F.lit(metrics.OUTSIDE)).alias("n_outside"),
     )

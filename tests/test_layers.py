@@ -55,6 +55,19 @@ def test_ragged_rows_fail(spark):
         layers.dense(df, [[1, 1, 1]], [0]).collect()
 
 
+def test_a_null_value_fails(spark):
+    df = spark.createDataFrame([([1, 2],), ([1, None],)], "px array<int>").coalesce(1)
+    with pytest.raises(PySparkException, match="null value"):
+        layers.dense(df, [[1, 1]], [0]).collect()
+
+
+def test_batch_norm_far_from_zero(spark):
+    x = 1e8 + np.random.default_rng(1).normal(0, 1, (60, 1, 4))
+    parts = frame(spark, x.reshape(60, -1), "double").repartition(6)
+    got = layers.batch_norm_fit(parts, 1, 4, "px").first()
+    assert got["mean"] == pytest.approx(x.mean(), rel=1e-12) and got.variance == pytest.approx(x.var(), rel=1e-4)
+
+
 def test_batch_norm_figures(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(2, 3, (50, 3, 4))

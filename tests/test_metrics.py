@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.operators import metrics, parameters
+from gridloom.training import model
 
 
 def predictions(spark, pairs):
@@ -38,11 +39,31 @@ def test_confusion_counts_keep_zero_cells_and_agree_with_accuracy(spark):
     assert sum(n for (a, b), n in cells.items() if a == b) == 4
 
 
-def test_confusion_leaves_out_classes_beyond_k(spark):
-    cells = metrics.confusion_matrix(predictions(spark, PAIRS + [(5, 0), (0, 9)]), 3)
+def test_confusion_has_no_cell_for_classes_beyond_k(spark):
+    cells = metrics.confusion_matrix(predictions(spark, PAIRS + [(5, 0), (0, 9)]), 3, outside="count")
     assert cells.agg(F.sum("n")).first()[0] == 6
 
 
+ODD = PAIRS + [(12, 12), (11, 0), (0, None), (None, 0), (3, -1)]
+
+
+def test_rows_outside_the_classes_are_counted_or_refused(spark):
+    df = predictions(spark, ODD)
+    cells = metrics.confusion_matrix(df, 3, outside="count").collect()
+    assert {r.n_outside for r in cells} == {5} and sum(r.n for r in cells) == 6 and len(cells) == 9
+    with pytest.raises(Exception, match="5 rows outside the classes"):
+        metrics.confusion_matrix(df, 3).collect()
+    only = metrics.confusion_matrix(predictions(spark, [(7, 7)]), 2, outside="count").collect()
+    assert [(r.n, r.n_outside) for r in only] == [(0, 1)] * 4
+
+
+def test_evaluation_counts_every_row(spark):
+    df = predictions(spark, ODD)
+    rows, whole = model.evaluate(df, 3).collect(), metrics.accuracy(df).first()
+    assert {(r.n_rows, r.accuracy, r.n_outside) for r in rows} == {(11, whole.accuracy, 5)} and whole.n_correct == 5
+    assert sum(r.n for r in rows) == 6
+
+
 def test_confusion_of_nothing_is_all_zero(spark):
     rows = metrics.confusion_matrix(predictions(spark, []), 2).collect()
     assert len(rows) == 4 and {r.n for r in rows} == {0}

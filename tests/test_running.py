@@ -93,6 +93,19 @@ def test_smoothing(log, records, alpha, chunk, monkeypatch):
         assert got[k][0] == pytest.approx(want[k][0], rel=1e-9)
 
 
+@pytest.mark.parametrize("value, later", [(float("nan"), "nan"), (float("inf"), "inf"), (1e300, None)])
+def test_smoothing_never_forgets(spark, value, later):
+    """One odd loss at the start of 20,000 batches, against the recurrence itself."""
+    rows = spark.range(20_000).selectExpr(
+        "'r' AS run_id", "0 AS rank", "cast(id div 10000 AS int) AS epoch", "id % 10000 AS batch_idx",
+        f"CASE WHEN id = 3 THEN double('{value}') ELSE 0.0D END AS loss")
+    got = {r.epoch * 10_000 + r.batch_idx: r.smoothed for r in running.smooth_loss(rows, 0.1, span=1000).collect()}
+    s = 0.0
+    for i in range(20_000):
+        s = 0.1 * (value if i == 3 else 0.0) + 0.9 * s
+        assert str(got[i]) == later if later and i >= 3 else got[i] == pytest.approx(s, rel=1e-6, abs=1e-320)
+
+
 def test_smoothing_needs_a_proper_weight(log):
     with pytest.raises(ValueError):
         running.smooth_loss(log, 1.0)

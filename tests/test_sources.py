@@ -45,6 +45,44 @@ def test_csv_bad_cell_fails(spark, tmp_path):
         df.collect()
 
 
+def test_csv_label_is_found_by_name(spark, tmp_path):
+    names = HEADER.split(",")
+    moved = [",".join(names[1:] + names[:1])] + [",".join(x.split(",")[1:] + x.split(",")[:1]) for x in lines(20)]
+    want = tables.read_labeled_csv(spark, write(tmp_path / "a.csv", [HEADER] + lines(20)), side=SIDE)
+    got = tables.read_labeled_csv(spark, write(tmp_path / "b.csv", moved), side=SIDE)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_csv_without_the_label_or_with_another_width_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="expected one column"):
+        tables.read_labeled_csv(spark, write(tmp_path / "a.csv", [HEADER] + lines(2)), side=SIDE, label="class")
+    with pytest.raises(ValueError, match="expected one column"):
+        tables.read_labeled_csv(spark, write(tmp_path / "a.csv", [HEADER] + lines(2)), side=SIDE + 1)
+
+
+def test_csv_files_with_different_headers_fail(spark, tmp_path):
+    names = HEADER.split(",")
+    write(tmp_path / "a.csv", [HEADER] + lines(3))
+    write(tmp_path / "b.csv", [",".join(names[1:] + names[:1])] + lines(3))
+    with pytest.raises(JOB_FAILED):
+        tables.read_labeled_csv(spark, str(tmp_path), side=SIDE).collect()
+
+
+@pytest.mark.parametrize("cell", [0, 3])
+def test_csv_empty_cell_fails(spark, tmp_path, cell):
+    row = lines(1)[0].split(",")
+    row[cell] = ""
+    df = tables.read_labeled_csv(spark, write(tmp_path / "a.csv", [HEADER, ",".join(row)]), side=SIDE)
+    with pytest.raises(JOB_FAILED, match="empty"):
+        df.collect()
+
+
+def test_header_comes_from_the_first_file_by_name(spark, tmp_path):
+    write(tmp_path / "a.csv", [HEADER])
+    write(tmp_path / "b.csv", lines(40))
+    assert tables.read_labeled_text(spark, str(tmp_path), "first_line", N).count() == 40
+
+
 def test_empty_file_gives_no_rows(spark, tmp_path):
     path = tmp_path / "a.csv"
     path.write_text("")
@@ -254,5 +292,13 @@ def test_strict_pairing_refuses_unmatched_rows(spark, images, labels, message):
         paired.count()
 
 
+@pytest.mark.parametrize("twice", ["px", "label"])
+def test_strict_pairing_refuses_repeated_positions(spark, twice):
+    sides = {n: numbered(spark, 5, n) for n in ("px", "label")}
+    sides[twice] = sides[twice].union(sides[twice].limit(1))
+    with pytest.raises(JOB_FAILED, match="repeated position train/"):
+        pairing.pair_by_position(sides["px"], sides["label"]).count()
+
+
 def test_loose_pairing_leaves_unmatched_rows_out(spark):
     assert pairing.pair_by_position(numbered(spark, 5, "px"), numbered(spark, 4, "label"), strict=False).count() == 4

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from gridloom import schemas
@@ -59,6 +60,14 @@ def test_publishing_keeps_the_run_resumable(spark, tmp_path):
     assert store.load_checkpoint(spark, root, "a")["start_epoch"] == 4
 
 
+def test_publishing_twice_in_a_second_is_refused(spark, tmp_path):
+    store.save_checkpoint(spark, str(tmp_path), "a", 0, PARAMS, loss=1.0)
+    at = dt.datetime(2024, 2, 3, 4, 5, 6)
+    store.publish_version(spark, str(tmp_path), "a", at)
+    with pytest.raises(FileExistsError):
+        store.publish_version(spark, str(tmp_path), "a", at)
+
+
 def test_publishing_nothing_is_no_error(spark, tmp_path, capsys):
     assert store.publish_version(spark, str(tmp_path), "a") is None
     assert "nothing to publish" in capsys.readouterr().out

@@ -1,5 +1,7 @@
 """Training on generated separable images: the class decides which block of the image is bright."""
 
+import shutil
+
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
@@ -95,6 +97,23 @@ def test_replicas_differ_by_what_each_rank_saw(spark, train, tmp_path):
     assert all(r.consistent for r in rows) and done.params.keys() == one.params.keys()
 
 
+def test_replicas_leave_out_a_lost_attempt(spark, train, tmp_path):
+    fit.fit(train, net("softmax"), world=4, root=str(tmp_path), run_id="a")
+    lost = tmp_path / "a" / "epochs" / "epoch=0"
+    done = next(lost.glob("save_id=*"))
+    fit.fit(train, net("softmax"), world=2, root=str(tmp_path), run_id="b")
+    shutil.copytree(done, tmp_path / "b" / "epochs" / "epoch=0" / "save_id=lost")
+    rows = parameters.replica_check(fit.replicas(spark, str(tmp_path), "b", 0)).collect()
+    assert {r.n_replicas for r in rows} == {2}
+
+
+def test_wrong_labels_and_no_rows_are_refused(train):
+    with pytest.raises(Exception, match="label not in"):
+        fit.fit(train.withColumn("label", F.when(F.col("idx") == 3, -1).otherwise(F.col("label"))), net("softmax"), world=2)
+    with pytest.raises(ValueError, match="no rows"):
+        fit.fit(train.limit(0), net("softmax"))
+
+
 def test_more_ranks_than_rows(train):
     done = fit.fit(train.orderBy("idx").limit(3), net("softmax"), world=8, batch=4)
     assert done.log.agg(F.sum("n_samples")).first()[0] == 8
