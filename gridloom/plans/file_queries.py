@@ -5,11 +5,11 @@ import uuid
 import numpy as np
 from pyspark.sql import functions as F
 
-from gridloom.operators import layers, pairing
-from gridloom.plans.views import IMAGES_SQL, LOG_SQL, SIDE, images, text_lines, train_log
+from gridloom.operators import layers, ordering, pairing
+from gridloom.plans.views import HEADER, IMAGES_SQL, LOG_SQL, SIDE, images, text_lines, train_log
 from gridloom.session import shared_dir
 from gridloom.sinks import store
-from gridloom.sources import logs, tables
+from gridloom.sources import idx, logs, tables
 
 QUERIES, ORACLE = {}, {}
 N = SIDE * SIDE
@@ -26,17 +26,68 @@ def _folder(spark, kind):
     return f"{shared_dir(spark)}/queries/{uuid.uuid4().hex}/{kind}"
 
 
-def _write_csv(spark, sf):
-    """One column per pixel; every part file starts with the header line."""
+def _write_csv(spark, data, label_first=False):
+    """One column per pixel and the label; every part file starts with the header line."""
     folder = _folder(spark, "csv")
-    wide = images(spark, sf).select("label", *[F.get("px", F.lit(i)).alias(f"p{i}") for i in range(N)])
+    cells = [F.get("px", F.lit(i)).alias(f"p{i}") for i in range(N)]
+    wide = data.select("label", *cells) if label_first else data.select(*cells, "label")
     wide.write.option("header", True).csv(folder)
     return folder
 
 
+def _in_order(data):
+    return data.repartitionByRange("idx").sortWithinPartitions("idx")
+
+
+#: The images numbered inside each split, as files written in order number them.
+NUMBERED_SQL = f"""{IMAGES_SQL},
+numbered AS (SELECT split, row_number() OVER (PARTITION BY split ORDER BY idx) - 1 AS idx, label, px FROM img)"""
+
+
 @query("q_csv_read", f"WITH {IMAGES_SQL} SELECT label, px FROM img")
 def q_csv_read(spark, sf):
-    return tables.read_labeled_csv(spark, _write_csv(spark, sf), side=SIDE)
+    return tables.read_labeled_csv(spark, _write_csv(spark, images(spark, sf)), side=SIDE)
+
+
+def _read_csv_splits(spark, sf):
+    data = _in_order(images(spark, sf))
+    folders = {split: _write_csv(spark, data.filter(F.col("split") == split)) for split in ("train", "test")}
+    return tables.read_splits(lambda path: tables.read_labeled_csv(spark, path, side=SIDE), **folders)
+
+
+@query("q_csv_splits", f"WITH {NUMBERED_SQL} SELECT * FROM numbered")
+def q_csv_splits(spark, sf):
+    return _read_csv_splits(spark, sf)
+
+
+@query("q_csv_batches", f"""WITH {NUMBERED_SQL},
+placed AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY md5('7:0:' || split || ':' || idx)) - 1 AS p FROM numbered
+           WHERE split = 'train')
+SELECT CAST(p % 4 AS INTEGER) AS rank, p // 4 // 64 AS batch_idx, count(*) AS n, CAST(sum(label) AS BIGINT) AS labels,
+       CAST(sum(list_sum(px)) AS BIGINT) AS cells FROM placed GROUP BY ALL""")
+def q_csv_batches(spark, sf):
+    """From CSV files to the minibatches of four ranks."""
+    train = _read_csv_splits(spark, sf).filter("split = 'train'")
+    dealt = ordering.minibatch(ordering.shard(train, ["split", "idx"], 4, 7, pad=False), 64)
+    cells = F.aggregate("px", F.lit(0).cast("bigint"), lambda a, v: a + v)
+    return dealt.groupBy("rank", "batch_idx").agg(F.count("*").alias("n"), F.sum("label").alias("labels"), F.sum(cells).alias("cells"))
+
+
+@query("q_idx_read", f"WITH {IMAGES_SQL} SELECT 'train' AS split, row_number() OVER (ORDER BY idx) - 1 AS idx, label, px FROM img")
+def q_idx_read(spark, sf):
+    """IDX files written by the tasks, read back paired."""
+    pixels, labels = _folder(spark, "idx"), _folder(spark, "idx")
+    idx.write_idx(_in_order(images(spark, sf)), pixels, labels, file_records=200)
+    return idx.read_idx(spark, pixels, labels=labels, range_bytes=100 * N)
+
+
+@query("q_idx_split", f"WITH {NUMBERED_SQL} SELECT * FROM numbered")
+def q_idx_split(spark, sf):
+    """The four parts of a data set folder."""
+    folder, data = _folder(spark, "idx"), _in_order(images(spark, sf))
+    for split, (pixels, labels) in idx.FILES.items():
+        idx.write_idx(data.filter(F.col("split") == split), f"{folder}/{pixels}", f"{folder}/{labels}")
+    return idx.read_idx_split(spark, folder)
 
 
 @query("q_text_read", f"WITH {IMAGES_SQL} SELECT label, px FROM img")
@@ -49,7 +100,16 @@ def q_text_read(spark, sf):
 @query("q_text_read_first_line", f"""WITH {IMAGES_SQL}
 SELECT label, list_transform(px, lambda v: CAST(v AS FLOAT)) AS px FROM img""")
 def q_text_read_first_line(spark, sf):
-    return tables.read_labeled_text(spark, _write_csv(spark, sf), "first_line", n_pixels=N, values="float")
+    return tables.read_labeled_text(spark, _write_csv(spark, images(spark, sf), label_first=True), "first_line", n_pixels=N, values="float")
+
+
+@query("q_text_read_small_header", f"WITH {IMAGES_SQL} SELECT label, px FROM img")
+def q_text_read_small_header(spark, sf):
+    """The header line alone in the first and smallest file."""
+    folder = _folder(spark, "text")
+    header = spark.createDataFrame([(HEADER,)], "value string").coalesce(1)
+    header.union(text_lines(spark, sf).filter("idx >= 0").select("value")).write.text(folder)
+    return tables.read_labeled_text(spark, folder, "first_line", n_pixels=N)
 
 
 @query("q_file_position", """

@@ -8,13 +8,19 @@ same record range from both, which pairs them by position without a join or a sh
     spark.dataSource.register(IdxDataSource)
     spark.read.format("idx").option("kind", "images").load(path)
     spark.read.format("idx").option("labels", label_path).load(image_path)
+
+Writing makes files of at most FILE_RECORDS records from the tasks, in the order of the partitions and of their rows; readers
+give the rows their places in that order. Files get their names when the whole job commits.
+
+    df.write.format("idx").option("labels", label_folder).mode("append").save(image_folder)
 """
 
 import struct
+import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 # Fixed values of the format: magic number per kind; the big-endian header is 16 or 8 bytes long.
 MAGIC = {"images": 2051, "labels": 2049}
@@ -27,7 +33,7 @@ FILES = {
 }
 
 RANGE_BYTES = 64 << 20
-MAX_RANGES = 100_000
+FILE_RECORDS = 65_536
 BATCH_BYTES = 1 << 20
 
 
@@ -110,11 +116,10 @@ class IdxReader(DataSourceReader):
             count, record = headers.get("images") or headers["labels"]
             found.append((files, base, count, record))
             base += count
-        range_bytes = max(self.range_bytes, sum(count * record for _, _, count, record in found) // MAX_RANGES)
         return [
             RecordRange(files, base, first, min(first + step, count), record)
             for files, base, count, record in found
-            for step in [max(1, range_bytes // record)]
+            for step in [max(1, self.range_bytes // record)]
             for first in range(0, max(count, 1), step)
         ]
 
@@ -140,8 +145,94 @@ class IdxReader(DataSourceReader):
                 f.close()
 
 
+class Written(WriterCommitMessage):
+    """Names of the files that a task has left in the staging folders."""
+
+    def __init__(self, names):
+        self.names = names
+
+
+class IdxWriter(DataSourceArrowWriter):
+    """`folders` maps kind to folder. Values must be whole numbers from 0 to 255, images square and of one size."""
+
+    def __init__(self, folders, file_records):
+        self.folders, self.file_records, self.job = folders, file_records, uuid.uuid4().hex
+
+    def _staging(self, kind):
+        return f"{self.folders[kind].rstrip('/')}/_staging-{self.job}"
+
+    def write(self, iterator):
+        from pyspark import TaskContext
+
+        part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex[:8]
+        held, size, names = {kind: [] for kind in self.folders}, 0, []
+
+        def flush():
+            name = f"part-{part:06d}-{len(names):06d}"
+            for kind in self.folders:
+                self._write_file(f"{self._staging(kind)}/{name}.{attempt}", kind, np.concatenate(held[kind]))
+                held[kind] = []
+            names.append(f"{name}.{attempt}")
+
+        for batch in iterator:
+            start = 0
+            while start < batch.num_rows:
+                rows = batch.slice(start, self.file_records - size)
+                for kind in self.folders:
+                    held[kind].append(self._cells(rows, kind))
+                start, size = start + rows.num_rows, size + rows.num_rows
+                if size == self.file_records:
+                    flush()
+                    size = 0
+        if size:
+            flush()
+        return Written(names)
+
+    @staticmethod
+    def _cells(rows, kind):
+        column = rows.column("px" if kind == "images" else "label")
+        values = column.flatten() if kind == "images" else column
+        if column.null_count or values.null_count:
+            raise ValueError("a null cannot be written")
+        cells = values.to_numpy(zero_copy_only=False)
+        if len(cells) and (cells.min() < 0 or cells.max() > 255):
+            raise ValueError("values must lie between 0 and 255")
+        return cells.astype(np.uint8).reshape(rows.num_rows, -1)
+
+    def _write_file(self, path, kind, cells):
+        dims = [len(cells)]
+        if kind == "images":
+            side = round(cells.shape[1] ** 0.5)
+            if side * side != cells.shape[1]:
+                raise ValueError(f"{cells.shape[1]} values make no square image")
+            dims += [side, side]
+        system, inner = _locate(path)
+        system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+        with system.open_output_stream(inner) as f:
+            f.write(struct.pack(f">{1 + len(dims)}i", MAGIC[kind], *dims))
+            f.write(cells.tobytes())
+
+    def commit(self, messages):
+        names = [n for m in messages if m is not None for n in m.names]
+        for kind in self.folders:
+            system, target = _locate(self.folders[kind].rstrip("/"))
+            _, staged = _locate(self._staging(kind))
+            system.create_dir(target, recursive=True)
+            for name in names:
+                system.move(f"{staged}/{name}", f"{target}/{name.split('.')[0]}")
+        self.abort(messages)
+
+    def abort(self, messages):
+        from pyarrow import fs
+
+        for kind in self.folders:
+            system, staged = _locate(self._staging(kind))
+            if system.get_file_info(staged).type == fs.FileType.Directory:
+                system.delete_dir(staged)
+
+
 class IdxDataSource(DataSource):
-    """Options: kind ("images" or "labels"), labels (path of the label file to pair with), split, rangeBytes."""
+    """Options: kind ("images" or "labels"), labels (path of the label file to pair with), split, rangeBytes, fileRecords."""
 
     @classmethod
     def name(cls):
@@ -163,12 +254,23 @@ class IdxDataSource(DataSource):
             + (", label int" if "labels" in paths else "") + (", px array<int>" if "images" in paths else "")
         )
 
+    def writer(self, schema, overwrite):
+        if overwrite:
+            raise ValueError("IDX files are not overwritten, give a new folder")
+        return IdxWriter(self._paths(), int(self.options.get("fileRecords", FILE_RECORDS)))
+
     def reader(self, schema):
         return IdxReader(
             self._paths(), self.options.get("split", "train"), int(self.options.get("rangeBytes", RANGE_BYTES))
         )
 
 
+def write_idx(df, images, labels, file_records=FILE_RECORDS):
+    """Writes px and label of every row as IDX files in two folders, in the order of partitions and rows."""
+    df.sparkSession.dataSource.register(IdxDataSource)
+    df.select("px", "label").write.format("idx").option("labels", labels).option("fileRecords", file_records).mode("append").save(images)
+
+
 def read_idx(spark, path, kind="images", labels=None, split="train", range_bytes=RANGE_BYTES):
     spark.dataSource.register(IdxDataSource)
     source = (

@@ -1,12 +1,14 @@
 """Labelled CSV, labelled text lines, whole data sets, listings and previews."""
 
 import csv
+from functools import reduce
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom import schemas
 from gridloom.functions import pixels
+from gridloom.operators.pairing import with_file_position
 
 
 def first_line(spark, path):
@@ -18,12 +20,11 @@ def first_line(spark, path):
     return None
 
 
-def read_labeled_csv(spark, path, side=28, label="label", extra=()):
+def read_labeled_csv(spark, path, side=28, label="label"):
     """CSV with a header row: the column named `label` and side * side pixel columns, in header order.
 
     The names come from the first file's header, so the label may stand anywhere; a file with another header, a wrong
-    number of columns, a bad or an empty cell fails the job. There is no inference pass over the data. extra: columns
-    of the file source to keep, such as _metadata.
+    number of columns, a bad or an empty cell fails the job. There is no inference pass over the data.
     """
     line = first_line(spark, path)
     if line is None:
@@ -33,19 +34,18 @@ def read_labeled_csv(spark, path, side=28, label="label", extra=()):
         raise ValueError(f"expected one column {label!r} and {side * side} others, found {len(names)}: {names[:5]}")
     wide = spark.read.schema(T.StructType([T.StructField(n, T.IntegerType()) for n in names]))
     wide = wide.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
-    return pack_wide(wide.select(*[F.col(f"`{n}`") for n in names], *extra), label, extra)
+    return pack_wide(wide, label)
 
 
-def pack_wide(wide, label="label", extra=()):
+def pack_wide(wide, label="label"):
     """One label column plus pixel columns to (label, px); a null cell fails the job."""
-    held = [c.split(".")[-1] for c in extra]
-    cells = [c for c in wide.columns if c != label and c not in held]
-    packed = wide.select(F.col(f"`{label}`").alias("label"), pixels.pack([f"`{c}`" for c in cells]).alias("px"), *held)
+    cells = [f"`{c}`" for c in wide.columns if c != label]
+    packed = wide.select(F.col(f"`{label}`").alias("label"), pixels.pack(cells).alias("px"))
     # each column checks itself, so that reading the label alone reads nothing else
     empty = F.exists("px", lambda v: v.isNull())
     return packed.select(
         F.coalesce("label", F.raise_error(F.lit("empty label cell")).cast("int")).alias("label"),
-        F.when(empty, F.raise_error(F.lit("empty pixel cell")).cast("array<int>")).otherwise(F.col("px")).alias("px"), *held,
+        F.when(empty, F.raise_error(F.lit("empty pixel cell")).cast("array<int>")).otherwise(F.col("px")).alias("px"),
     )
 
 
@@ -134,6 +134,16 @@ def read_labeled_text(spark, path, header="first_line", n_pixels=None, values="i
     return parse_labeled_lines(lines, n_pixels, values, mode)
 
 
+def read_splits(read, **paths):
+    """(split, idx, label, px) of several labelled files or folders, such as train=... and test=...
+
+    read: path -> rows, for example lambda p: read_labeled_csv(spark, p). idx numbers each split's rows from 0 in the order of
+    its files' names and lines.
+    """
+    parts = [with_file_position(read(path).withColumn("split", F.lit(name))) for name, path in paths.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts).select("split", "idx", "label", "px")
+
+
 def file_inventory(spark, path):
     """Name, size and time of every file. The content column is never read."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(

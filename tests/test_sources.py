@@ -235,6 +235,33 @@ def test_idx_pairs_without_a_shuffle(spark, tmp_path):
     assert all(r.label == r.idx % 10 and r.px[0] == r.idx * 9 % 256 for r in df.collect())
 
 
+def test_idx_written_by_tasks_reads_back_in_order(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id AS idx", "cast(id % 10 AS int) AS label", "transform(array(0, 1, 2, 3), v -> cast((id + 50 * v) % 256 AS int)) AS px")
+    pixels, labels = str(tmp_path / "px"), str(tmp_path / "label")
+    idx.write_idx(rows.repartitionByRange(7, "idx").sortWithinPartitions("idx"), pixels, labels, file_records=64)
+    assert len([p for p in (tmp_path / "px").iterdir() if p.name[0] not in "._"]) >= 16 and not list((tmp_path / "px").glob("_*"))
+    got = idx.read_idx(spark, pixels, labels=labels, range_bytes=100)
+    assert sorted((r.idx, r.label, r.px) for r in got.collect()) == [(r.idx, r.label, r.px) for r in rows.collect()]
+
+
+@pytest.mark.parametrize("px, message", [([1, 256], "between"), ([1, None], "null"), ([1, 2], "square")])
+def test_idx_refuses_what_it_cannot_write(spark, tmp_path, px, message):
+    with pytest.raises(JOB_FAILED, match=message):
+        idx.write_idx(spark.createDataFrame([(px, 1)], "px array<int>, label int"), str(tmp_path / "p"), str(tmp_path / "l"))
+    assert not list(tmp_path.glob("*/part*"))
+
+
+def test_splits_are_numbered_on_their_own(spark, tmp_path):
+    for name, n in (("train", 30), ("test", 7)):
+        (tmp_path / name).mkdir()
+        write(tmp_path / name / "b.csv", [HEADER] + lines(n))
+        write(tmp_path / name / "a.csv", [HEADER] + lines(2))
+    for read in (lambda p: tables.read_labeled_csv(spark, p, side=SIDE), lambda p: tables.read_labeled_text(spark, p, "first_line", N)):
+        got = tables.read_splits(read, train=str(tmp_path / "train"), test=str(tmp_path / "test")).collect()
+        assert sorted((r.split, r.idx) for r in got) == [("test", i) for i in range(9)] + [("train", i) for i in range(32)]
+        assert all(r.label == (r.idx if r.idx < 2 else r.idx - 2) % 10 for r in got)
+
+
 def test_idx_pairing_refuses_unequal_counts(spark, tmp_path):
     with pytest.raises(JOB_FAILED, match="cannot pair 7 images with 6 labels"):
         idx.read_idx(spark, idx_images(tmp_path / "img", 7), labels=idx_labels(tmp_path / "lab", 6)).collect()
