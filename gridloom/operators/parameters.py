@@ -6,25 +6,19 @@ from pyspark.sql import functions as F
 def replica_check(params, atol=1e-4, rtol=1e-5):
     """Per parameter: do all ranks agree with rank 0, element by element, within atol + rtol * |value|?
 
-    The distance from rank 0's value less the relative allowance is largest at the smallest or largest value,
-    so three aggregates per element decide for any number of ranks.
+    Arrays are compared whole, each with rank 0's of the same name, so one row per array is joined and grouped, not one per element.
+    A name without a rank 0, or with arrays of another length, is not consistent.
     """
-    cells = params.select("name", "rank", F.posexplode("vals").alias("pos", "v")).withColumn(
-        "v", F.col("v").cast("double")
-    )
-    per_cell = cells.groupBy("name", "pos").agg(
-        F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n"),
-        F.max(F.when(F.col("rank") == 0, F.col("v"))).alias("base"),
-    )
-
-    def near(v):
-        return F.abs(F.col("base") - F.col(v)) <= F.lit(atol) + F.lit(rtol) * F.abs(F.col(v))
-
-    return per_cell.groupBy("name").agg(
-        F.count("*").alias("n_elements"),
-        F.max("n").alias("n_replicas"),
-        F.max(F.greatest(F.col("hi") - F.col("base"), F.col("base") - F.col("lo"))).alias("max_gap"),
-        F.bool_and(F.coalesce(near("lo") & near("hi"), F.lit(False)) & (F.col("n") > 0)).alias("consistent"),
+    base = params.filter("rank = 0").select("name", F.col("vals").cast("array<double>").alias("_base"))
+    both = params.select("name", F.col("vals").cast("array<double>").alias("_v")).join(base, "name", "left")
+    gaps = F.zip_with("_v", "_base", lambda v, b: F.abs(b - v))
+    allowed = F.transform("_v", lambda v: F.lit(atol) + F.lit(rtol) * F.abs(v))
+    near = F.forall(F.zip_with(gaps, allowed, lambda g, most: F.coalesce(g <= most, F.lit(False))), lambda ok: ok)
+    return both.groupBy("name").agg(
+        F.max(F.size("_v")).cast("long").alias("n_elements"),
+        F.count("*").alias("n_replicas"),
+        F.max(F.array_max(gaps)).alias("max_gap"),
+        F.bool_and(F.coalesce(near & (F.size("_v") == F.size("_base")), F.lit(False))).alias("consistent"),
     )
 
 

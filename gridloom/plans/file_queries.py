@@ -97,6 +97,27 @@ def q_text_read(spark, sf):
     return tables.read_labeled_text(spark, folder, "contains_label", n_pixels=N)
 
 
+@query("q_drop_skipped", f"WITH {IMAGES_SQL} SELECT label, px FROM img")
+def q_drop_skipped(spark, sf):
+    """Header lines are marked as skipped by the parser and dropped afterwards."""
+    folder = _folder(spark, "text")
+    text_lines(spark, sf).select("value").write.text(folder)
+    parsed = tables.read_labeled_text(spark, folder, "none", n_pixels=N, mode="quarantine")
+    return tables.drop_skipped(parsed).select("label", "px")
+
+
+@query("q_rows_per_file", " UNION ALL ".join(
+    f"SELECT '{t}.parquet' AS name, count(*) AS n FROM {t}" for t in ("orders", "lineitem", "customer")))
+def q_rows_per_file(spark, sf):
+    """Rows of each file of several tables, by the file they come from."""
+    parts = [
+        spark.read.parquet(f"{sf}/{t}.parquet").select(F.lit(f"{t}.parquet").alias("name"), F.col("_metadata.file_path").alias("file"))
+        for t in ("orders", "lineitem", "customer")
+    ]
+    files = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("name", "file").agg(F.count("*").alias("n"))
+    return files.groupBy("name").agg(F.sum("n").alias("n"))
+
+
 @query("q_text_read_first_line", f"""WITH {IMAGES_SQL}
 SELECT label, list_transform(px, lambda v: CAST(v AS FLOAT)) AS px FROM img""")
 def q_text_read_first_line(spark, sf):

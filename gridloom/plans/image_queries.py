@@ -355,13 +355,13 @@ def q_dropout(spark, sf):
 
 
 @query("q_cross_entropy", """
-WITH t AS (SELECT vec_id // 64 AS batch_idx, label, list_transform(embedding[1:10], lambda v: v::DOUBLE * 10) AS s
+WITH t AS (SELECT vec_id // 64 AS batch_idx, label, list_transform(embedding, lambda v: v::DOUBLE * 10) AS s
            FROM embeddings)
 SELECT batch_idx, count(*) AS n_samples,
        round(avg(ln(list_sum(list_transform(s, lambda v: exp(v - list_max(s))))) + list_max(s) - s[label + 1]), 6) AS loss
 FROM t GROUP BY batch_idx""")
 def q_cross_entropy(spark, sf):
-    s = F.transform(F.slice("embedding", 1, 10), lambda v: v.cast("double") * 10)
+    s = F.transform("embedding", lambda v: v.cast("double") * 10)
     rows = table(spark, sf, "embeddings").select(
         F.floor(F.col("vec_id") / 64).alias("batch_idx"), scores.cross_entropy(s, F.col("label")).alias("loss")
     )
@@ -449,6 +449,15 @@ def q_accuracy(spark, sf):
     return out.withColumn("accuracy", F.round("accuracy", 6))
 
 
+@query("q_accuracy_fraction", f"""WITH {PREDICT_SQL}
+SELECT label, count(*) AS n_rows, CAST(sum(CAST(label = pred AS INTEGER)) AS BIGINT) AS n_correct,
+       round(sum(CAST(label = pred AS INTEGER))::DOUBLE / count(*), 6) AS accuracy
+FROM predicted GROUP BY label""")
+def q_accuracy_fraction(spark, sf):
+    out = metrics.accuracy(predict_template(spark, sf), "fraction", ["label"])
+    return out.withColumn("accuracy", F.round("accuracy", 6))
+
+
 @query("q_confusion_matrix", f"""WITH {PREDICT_SQL}
 SELECT CAST(g.truth AS INTEGER) AS truth, CAST(g.predicted AS INTEGER) AS predicted, count(p.idx) AS n
 FROM {GRID_SQL} g LEFT JOIN predicted p ON p.label = g.truth AND p.pred = g.predicted GROUP BY ALL""")
