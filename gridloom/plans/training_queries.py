@@ -35,9 +35,7 @@ def _first_step(spark, sf, sync):
     done = fit.fit(
         images(spark, sf), net, world=4, batch=1 << 30, opt=arch.sgd(lr=10.0, momentum=0.0), params=zeros, sync=sync
     )
-    weights = [(c, p, float(w)) for (c, p), w in np.ndenumerate(done.params["fc.weight"])]
-    table = spark.createDataFrame(weights, "class int, pos int, weight double")
-    return table.withColumn("weight", F.round("weight", 4) + 0.0)
+    return _weights(spark, done, 4)
 
 
 for _sync in ("epoch", "step"):
@@ -45,6 +43,56 @@ for _sync in ("epoch", "step"):
     ORACLE[f"q_fit_first_step_{_sync}"] = FIRST_STEP_SQL
 
 
+def _weights(spark, done, places):
+    weights = [(c, p, float(w)) for (c, p), w in np.ndenumerate(done.params["fc.weight"])]
+    table = spark.createDataFrame(weights, "class int, pos int, weight double")
+    return table.withColumn("weight", F.round("weight", places) + 0.0)
+
+
+def _from_zero(spark, sf, **options):
+    """One worker, all rows in one batch, from zero parameters."""
+    net = arch.arch("softmax", SIDE, SIDE)
+    zeros = {name: np.zeros(shape, np.float32) for name, shape, _ in arch.param_shapes(net)}
+    return fit.fit(images(spark, sf), net, world=1, batch=1 << 30, params=zeros, **options)
+
+
+FIRST_GRADIENT_SQL = f"""{IMAGES_SQL},
+cells AS (SELECT idx, label, unnest(px) / 255.0::DOUBLE AS v, unnest(range({N})) AS j FROM img),
+rows AS (SELECT idx, label FROM img),
+g1 AS (SELECT c.range AS c, j, avg((0.1::DOUBLE - CAST(label = c.range AS INTEGER)) * v) AS g FROM cells, range(10) c GROUP BY 1, 2),
+b1 AS (SELECT c.range AS c, avg(0.1::DOUBLE - CAST(label = c.range AS INTEGER)) AS g FROM rows, range(10) c GROUP BY 1)"""
+
+#: Second step: v = 0.9 v + gradient + 0.01 w, w = w - 2 v, where the first step left w = -2 g1.
+MOMENTUM_SQL = f"""WITH {FIRST_GRADIENT_SQL},
+score AS (SELECT idx, label, g1.c, sum(-2 * g1.g * v) + any_value(-2 * b1.g) AS s FROM cells JOIN g1 USING (j) JOIN b1 ON b1.c = g1.c GROUP BY 1, 2, 3),
+top AS (SELECT idx, ln(sum(exp(s))) AS z FROM score GROUP BY idx),
+off AS (SELECT idx, c, exp(s - z) - CAST(label = c AS INTEGER) AS d FROM score JOIN top USING (idx)),
+g2 AS (SELECT c, j, avg(d * v) AS g FROM off JOIN cells USING (idx) GROUP BY 1, 2)
+SELECT CAST(c AS INTEGER) AS class, CAST(j AS INTEGER) AS pos,
+       round(-2 * g1.g - 2 * (0.9::DOUBLE * g1.g + g2.g + 0.01::DOUBLE * -2 * g1.g), 3) + 0.0::DOUBLE AS weight
+FROM g1 JOIN g2 USING (c, j)"""
+
+#: Without a history the mean and the square of the gradient are the gradient itself.
+ADAM_SQL = f"""WITH {FIRST_GRADIENT_SQL}
+SELECT CAST(c AS INTEGER) AS class, CAST(j AS INTEGER) AS pos, round(-0.25::DOUBLE * g / (abs(g) + 1e-8::DOUBLE), 3) + 0.0::DOUBLE AS weight
+FROM g1"""
+
+
+@query
+def q_fit_momentum(spark, sf):
+    """Two full-batch steps with momentum and weight decay."""
+    opt = arch.sgd(lr=2.0, momentum=0.9, weight_decay=0.01)
+    return _weights(spark, _from_zero(spark, sf, epochs=2, opt=opt), 3)
+
+
+@query
+def q_fit_adam(spark, sf):
+    return _weights(spark, _from_zero(spark, sf, opt=arch.adam(lr=0.25)), 3)
+
+
+ORACLE |= {"q_fit_momentum": MOMENTUM_SQL, "q_fit_adam": ADAM_SQL}
+
+
 def _log(result):
     return result.log.drop("run_id", "ts").withColumn("loss", F.round("loss", 4))
 
