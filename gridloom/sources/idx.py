@@ -265,10 +265,23 @@ class IdxDataSource(DataSource):
         )
 
 
+def _qualified(spark, paths):
+    """Comma-separated paths with scheme and host of the file system that Spark resolves them on."""
+    conf = spark._jsc.hadoopConfiguration()
+
+    def full(path):
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(conf).makeQualified(p).toString().replace("s3a://", "s3://", 1)
+
+    return ",".join(map(full, paths.split(",")))
+
+
 def write_idx(df, images, labels, file_records=FILE_RECORDS):
     """Writes px and label of every row as IDX files in two folders, in the order of partitions and rows."""
-    df.sparkSession.dataSource.register(IdxDataSource)
-    df.select("px", "label").write.format("idx").option("labels", labels).option("fileRecords", file_records).mode("append").save(images)
+    spark = df.sparkSession
+    spark.dataSource.register(IdxDataSource)
+    writer = df.select("px", "label").write.format("idx").option("labels", _qualified(spark, labels))
+    writer.option("fileRecords", file_records).mode("append").save(_qualified(spark, images))
 
 
 def read_idx(spark, path, kind="images", labels=None, split="train", range_bytes=RANGE_BYTES):
@@ -277,8 +290,8 @@ def read_idx(spark, path, kind="images", labels=None, split="train", range_bytes
         spark.read.format("idx").option("kind", kind).option("split", split).option("rangeBytes", range_bytes)
     )
     if labels:
-        source = source.option("labels", labels)
-    return source.load(path)
+        source = source.option("labels", _qualified(spark, labels))
+    return source.load(_qualified(spark, path))
 
 
 def read_idx_split(spark, folder, range_bytes=RANGE_BYTES):
