@@ -4,10 +4,12 @@
 2. Classes are posted under each coordinate's value. Two sets that are linked agree, but for a chance of some 1e-5, in
    `match` coordinates or more; so a class counts only values it shares, needs `match` of them, and is kept under
    its rarest ones only (the prefix): two classes with `match` common values meet in at least one.
-3. Every posting list is first compared with its smallest class only. What that links is one component. Lists whose classes are
-   not yet one component are then compared in full, in blocks, but only across components and skipping pairs already
-   confirmed or refused. So a large group of near copies costs a few pairs a document, and no link between components is lost.
-4. A pair that agrees in `match` coordinates is a link if the full sets are similar enough.
+3. Every posting list is first compared with its smallest class only. What that links is one component. In lists whose classes
+   are not yet one component each class is then compared with its closest ones of other components, and at last all classes
+   across components, in blocks; a pair is looked at in one of its common lists only. So a large group of near copies
+   costs a few pairs a document, and no link between components is lost.
+4. A pair is a candidate if it agrees in `wide_match` of `wide` coordinates, of which 16 bits are kept (linked sets fail that with
+   a chance of some 1e-5), and a link if the full sets are similar enough.
 """
 
 import numpy as np
@@ -17,32 +19,33 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import read, slices, texts, written
 from gridloom.llm.words import SPACES, Words, mix, numbers, shingle_sets
 
-#: Classes in one block of a posting list.
-BLOCK = 256
+#: Classes of a posting list that are at home in one block.
+BLOCK = 512
 
 
 def signed(values):
     return np.ascontiguousarray(values, np.uint64).view(np.int64)
 
 
-def signatures(docs, size, length, id_col, text_col):
-    """doc_id, n (runs), d1 and d2 (digest of the set) and sig, one value per coordinate, of every row."""
+def signatures(docs, size, wide, length, id_col, text_col):
+    """doc_id, n (runs), d1 and d2 (digest of the set), sig (a value for each of size coordinates) and wide of every row."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        times, plus = numbers(11, size) | np.uint64(1), numbers(12, size)
+        times, plus = numbers(11, wide) | np.uint64(1), numbers(12, wide)
         for part in slices(batches):
             sets = shingle_sets(Words(texts(part), SPACES, lower=True), length)
-            sig = [signed(_least(s, times, plus)) if len(s) else [] for s in sets]
+            least = [_least(s, times, plus) if len(s) else np.empty(0, np.uint64) for s in sets]
             d1, d2 = (signed([mix(s ^ np.uint64(salt)).sum(dtype=np.uint64) for s in sets]) for salt in (1, 2))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(d1), pa.array(d2),
-                 pa.array(sig, pa.list_(pa.int64()))], ["doc_id", "n", "d1", "d2", "sig"])
+                 pa.array([signed(x[:size]) for x in least], pa.list_(pa.int64())),
+                 pa.array([x.astype("<u2").tobytes() for x in least], pa.binary())], ["doc_id", "n", "d1", "d2", "sig", "wide"])
 
-    return source.mapInArrow(run, "doc_id long, n long, d1 long, d2 long, sig array<long>")
+    return source.mapInArrow(run, "doc_id long, n long, d1 long, d2 long, sig array<long>, wide binary")
 
 
-def _least(values, times, plus, most=1 << 14):
+def _least(values, times, plus, most=1 << 12):
     """Smallest value of each coordinate's hash over a set, a bounded part of the set at a time."""
     parts = [(values[i:i + most, None] * times + plus).min(0) for i in range(0, len(values), most)]
     return np.minimum.reduce(parts)
@@ -112,38 +115,54 @@ def components(edges):
         now = written(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "edges")
 
 
-def across(lists, match, most):
-    """Pairs of classes of one posting list, but of different components, that agree in `match` coordinates.
+def likely(pairs, wide, match):
+    """Those pairs (a, b) that agree in `match` wide coordinates or more."""
 
-    lists: token, rep, root, sig. Long lists are cut into blocks and every two blocks meet in one group. Per class and other
-    component at most `most` pairs of a group are returned, the best first.
+    def run(batches):
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16) for c in ("wa", "wb"))
+            agree = (a == b).reshape(batch.num_rows, -1).sum(1) if batch.num_rows else np.empty(0, int)
+            yield batch.select(["a", "b"]).filter(pa.array(agree >= match))
+
+    left, right = wide.toDF("a", "wa"), wide.toDF("b", "wb")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "wa", "wb").mapInArrow(run, "a long, b long")
+
+
+def across(lists, match, most=None):
+    """Pairs of classes of one posting list, but of different components, that agree in `match` wide coordinates.
+
+    lists: token, rep, root, wide, mine (the ascending tokens of all lists that rep is in). Long lists are cut into blocks. A list's
+    largest component needs no comparison with itself: its classes stay in their block, all others visit every block
+    and are compared with what is at home there. A visitor brings at most `most` pairs of a block, the best first (None: all
+    that agree enough). A pair is returned only for the smallest token that both have.
     """
-    sizes = lists.groupBy("token").agg(F.count("*").alias("s"))
+    parts = lists.groupBy("token", "root").agg(F.count("*").alias("c"))
+    sizes = parts.groupBy("token").agg(F.sum("c").alias("s"), F.max_by("root", F.struct("c", "root")).alias("main"))
     cut = lists.join(sizes, "token").withColumn("n", F.ceil(F.col("s") / BLOCK).cast("int"))
     cut = cut.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
-    cut = cut.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    cut = cut.select("token", F.least("own", "with").alias("lo"), F.greatest("own", "with").alias("hi"), "own", "rep", "root", "sig")
-    groups = cut.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
+    visits = F.when(F.col("root") == F.col("main"), F.array("own")).otherwise(F.sequence(F.lit(0), F.col("n") - 1))
+    cut = cut.select(
+        "token", F.explode(visits).alias("block"), "own", "rep", "root", (F.col("root") != F.col("main")).alias("asks"), "wide", "mine")
+    groups = cut.repartition("token", "block").sortWithinPartitions("token", "block")
 
     def run(batches):
-        for group in _groups(batches, ["token", "lo", "hi"]):
-            rep, root, own = (group.column(c).to_numpy() for c in ("rep", "root", "own"))
-            one_block = group.column("lo")[0].as_py() == group.column("hi")[0].as_py()
-            sig = np.stack(group.column("sig").to_pylist())
+        for group in _groups(batches, ["token", "block"]):
+            rep, root, own, asks = (group.column(c).to_numpy() for c in ("rep", "root", "own", "asks"))
+            token, block = (group.column(c)[0].as_py() for c in ("token", "block"))
+            wide = np.frombuffer(b"".join(group.column("wide").to_pylist()), np.uint16).reshape(len(rep), -1)
+            before = [{t for t in x if t < token} for x in group.column("mine").to_pylist()]
+            home = np.flatnonzero(own == block)
             a, b = [], []
-            for i in range(len(rep)):
-                same = (sig == sig[i]).sum(1)
-                fit = (same >= match) & (root != root[i])
-                if not one_block:
-                    fit &= own != own[i]
-                k = np.flatnonzero(fit)
-                k = k[np.lexsort((rep[k], -same[k], root[k]))]
-                nth = np.arange(len(k)) - np.searchsorted(root[k], root[k])
-                k = k[nth < most]
-                a.append(np.full(len(k), rep[i]))
-                b.append(rep[k])
-            a, b = np.concatenate(a), np.concatenate(b)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            for i in np.flatnonzero(asks).tolist():
+                k = home[root[home] != root[i]]
+                agree = (wide[k] == wide[i]).sum(1)
+                best = np.lexsort((rep[k], -agree))[:most]
+                for j in k[best[agree[best] >= match]].tolist():
+                    if before[i].isdisjoint(before[j]):
+                        a.append(min(rep[i], rep[j]))
+                        b.append(max(rep[i], rep[j]))
+            pairs = np.unique(np.array([a, b], np.int64).reshape(2, -1), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
     return groups.mapInArrow(run, "a long, b long").distinct()
 
@@ -165,7 +184,7 @@ def _groups(batches, keys):
         yield held
 
 
-def near_duplicates(docs, id_col="doc_id", text_col="text", length=5, percent=75, size=32, match=14):
+def near_duplicates(docs, id_col="doc_id", text_col="text", length=5, percent=75, size=32, match=14, wide=128, wide_match=76):
     """id_col, n_shingles, component_id and kept of every row.
 
     A row's set: its distinct runs of `length` words (A-Z lower-cased, words end at ASCII white space); with fewer words the whole
@@ -174,27 +193,28 @@ def near_duplicates(docs, id_col="doc_id", text_col="text", length=5, percent=75
     one id count as one document, of which the classes use one row for each different set; a null id is kept as null
     and linked with nothing (kept = true). Other columns are left out.
     """
-    rows = written(signatures(docs, size, length, id_col, text_col), "signatures")
+    rows = written(signatures(docs, size, wide, length, id_col, text_col), "signatures")
     # rows without an id or a set stay out
     full = rows.filter("n > 0 AND doc_id IS NOT NULL")
-    smallest = full.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig"))
+    smallest = full.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig"), F.min("wide").alias("wide"))
     classes = written(smallest, "classes")
     posted = written(postings(classes, match), "postings")
     leaders = posted.groupBy("token").agg(F.min("rep").alias("a"), F.count("*").alias("s")).filter("s > 1").drop("s")
     pairs = posted.join(leaders, "token").filter("rep > a").select("a", F.col("rep").alias("b")).distinct()
-    sig = classes.select("rep", "sig")
-    pairs = pairs.join(sig.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a").join(sig.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b")
-    pairs = pairs.filter(F.size(F.array_intersect("sa", "sb")) >= match).select("a", "b")
+    bits = classes.select("rep", "wide")
+    pairs = likely(pairs, bits, wide_match)
     met = posted.join(leaders, "token", "left_semi").select("rep").distinct()
     sets = written(full_sets(docs, met, length, id_col, text_col), "sets")
     tried = written(pairs, "pairs")
     links = written(confirm(tried, sets, percent), "links")
     roots = components(links)
-    for most in (8, 2 * BLOCK):  # the last one leaves no pair of a block out
+    for most in (2, None):  # at last all pairs
         named = posted.join(roots, posted.rep == roots.vertex, "left").select("token", "rep", F.coalesce("root", "rep").alias("root"))
         mixed = named.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
-        lists = written(named.join(mixed, "token", "left_semi").join(sig, "rep").select("token", "rep", "root", "sig"), "lists")
-        found = written(across(lists, match, most).join(tried, ["a", "b"], "left_anti"), "pairs")
+        lists = named.join(mixed, "token", "left_semi")
+        mine = lists.groupBy("rep").agg(F.sort_array(F.collect_list("token")).alias("mine"))
+        lists = written(lists.join(mine.join(bits, "rep"), "rep").select("token", "rep", "root", "wide", "mine"), "lists")
+        found = written(across(lists, wide_match, most).join(tried, ["a", "b"], "left_anti"), "pairs")
         if found.isEmpty():
             continue
         tried = tried.unionByName(found)

@@ -60,13 +60,14 @@ def test_near_duplicates_of_repeated_rows_null_ids_and_nothing(spark):
 
 def test_lists_are_compared_across_components_in_blocks(spark):
     """Every pair of different components that is close enough is found once, whatever the number of blocks."""
-    rng = np.random.default_rng(5)
-    wide = rng.integers(0, 3, (700, 8)).astype(np.uint16)
-    rows = [(t, i, i // 2, wide[i].tobytes(), [1, 3] if i % 3 else [1]) for i in range(700) for t in ([1, 3] if i % 3 else [1])]
+    rng, n = np.random.default_rng(5), 3 * near_dup.BLOCK // 2
+    wide = rng.integers(0, 3, (n, 8)).astype(np.uint16)
+    root = np.where(rng.random(n) < 0.4, 0, np.arange(n) // 2)
+    rows = [(t, i, int(root[i]), wide[i].tobytes(), [1, 3] if i % 3 else [1]) for i in range(n) for t in ([1, 3] if i % 3 else [1])]
     rows += [(2, 1000 + i, 0, wide[0].tobytes(), [2]) for i in range(5)]
     lists = spark.createDataFrame(rows, "token long, rep long, root long, wide binary, mine array<long>")
-    got = [tuple(r) for r in near_dup.across(lists, 6, 2 * near_dup.BLOCK).collect()]
-    want = {(i, j) for i in range(700) for j in range(i + 1, 700) if i // 2 != j // 2 and (wide[i] == wide[j]).sum() >= 6}
+    got = [tuple(r) for r in near_dup.across(lists, 6).collect()]
+    want = {(i, j) for i in range(n) for j in range(i + 1, n) if root[i] != root[j] and (wide[i] == wide[j]).sum() >= 6}
     assert sorted(got) == sorted(want) and want
 
 
