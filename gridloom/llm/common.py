@@ -101,14 +101,17 @@ class Pieces:
         """rows: a list of pieces per text. All ids in order, and their number per text."""
         if len(self.place) > self.most:
             self._clear()
-        new = [p for p in dict.fromkeys(itertools.chain.from_iterable(rows)) if p not in self.place]
-        if new:
-            self._add(new)
-        if not self.place:
+        n = np.fromiter(map(len, rows), np.int64, len(rows))
+        pieces = list(itertools.chain.from_iterable(rows))
+        if not pieces:
             return np.empty(0, np.int32), np.zeros(len(rows), np.int64)
+        at = np.fromiter(map(self.place.get, pieces, itertools.repeat(-1)), np.int64, len(pieces))
+        unknown = np.flatnonzero(at < 0)
+        if len(unknown):
+            missing = [pieces[i] for i in unknown.tolist()]
+            self._add(list(dict.fromkeys(missing)))
+            at[unknown] = np.fromiter(map(self.place.__getitem__, missing), np.int64, len(missing))
         self.starts, self.sizes = [np.concatenate(self.starts)], [np.concatenate(self.sizes)]
-        n = np.fromiter(map(len, rows), np.int64, len(rows))
-        at = np.fromiter(map(self.place.__getitem__, itertools.chain.from_iterable(rows)), np.int64, n.sum())
         lengths = self.sizes[0][at]
         total = np.concatenate([[0], np.cumsum(lengths)])
         ends = np.cumsum(n)

@@ -11,6 +11,7 @@ its id i64 and per document and one more its offset u64; then the bit fields, le
 import json
 import os
 import struct
+import unicodedata
 import uuid
 import zlib
 
@@ -19,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import Pieces, by_words, even_bounds, lists, read, slices, texts
+from gridloom.llm.common import even_bounds, lists, ranges, read, slices, texts
+from gridloom.llm.words import Words
 from gridloom.session import shared_dir
 
 MAGIC, VERSION, HEAD = b"GLTB", 1, "<4sHHIQ"
@@ -83,8 +85,42 @@ class Block:
         return unpack(self.fields, self.width, 0, self.n_tokens)
 
 
+#: The pattern that WordEncoder splits by, a fixed value.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SPACE, LETTER, NUMBER, OTHER = range(4)
+ENDINGS = (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d")
+
+
+def kind_of(char):
+    if char.isspace() and char not in "\x1c\x1d\x1e\x1f":
+        return SPACE
+    return {"L": LETTER, "N": NUMBER}.get(unicodedata.category(char)[0], OTHER)
+
+
+class LatinWords(Words):
+    """Matches of SPLIT in texts of characters up to U+00FF, one byte a character."""
+
+    def _edges(self, raw, separators):
+        kind = np.array([kind_of(chr(i)) for i in range(256)], np.uint8)[raw]
+        begins = np.ones(len(raw), bool)
+        begins[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == NUMBER)
+        quotes = np.flatnonzero(raw == ord("'"))
+        for i in quotes[(quotes == 0) | (kind[quotes - 1] != OTHER)].tolist():
+            for ending in ENDINGS:
+                after = i + 1 + len(ending)
+                if self.data[i + 1:after] == ending:
+                    # a quote at the start of a word takes its ending along
+                    begins[i + 1] = False
+                    begins[after] = True
+                    break
+        begins |= kind == SPACE
+        at = np.flatnonzero(begins)
+        word = kind[at] != SPACE
+        return at[word], np.append(at[1:], len(raw))[word]
+
+
 class WordEncoder:
-    """Ids of a text by a tokenizer file, from ids of its white-space separated pieces.
+    """Ids of a text by a tokenizer file, from ids of its different words.
 
     Holds only for tokenizers that drop white space, lower-case character by character, split by a pattern and mark word
     ends, which is checked. Texts of
@@ -94,7 +130,6 @@ class WordEncoder:
 
     def __init__(self, path):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        import regex
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -102,9 +137,13 @@ class WordEncoder:
             given = json.load(f)
         splits = [x["pattern"]["Regex"] for x in given["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split"]
         suffix = given["model"]["end_of_word_suffix"]
-        if len(splits) != 1 or not suffix:
-            raise ValueError("the tokenizer needs one split pattern and marked word ends")
-        self.pattern = regex.compile(splits[0])
+        if splits != [SPLIT] or not suffix:
+            raise ValueError("the tokenizer must split by SPLIT and mark word ends")
+        # the same model for words that are lower-cased and split already
+        steps = [x for x in given["pre_tokenizer"]["pretokenizers"] if x["type"] != "Split"]
+        bare = given | {"normalizer": None, "added_tokens": [], "pre_tokenizer": {
+            "type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *steps]}}
+        self.bare = Tokenizer.from_str(json.dumps(bare))
         vocabulary = self.library.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
@@ -114,35 +153,64 @@ class WordEncoder:
             raise ValueError("the tokenizer does not work on white-space separated pieces")
         added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.odd = ["\x1c", "\x1d", "\x1e", "\x1f", *added]
-        self.known = Pieces(self._pieces)
-
-    def _pieces(self, pieces):
-        return by_words([self.pattern.findall(p) for p in pieces], self._words)
+        self._forget()
+
+    def _forget(self):
+        self.values = self.place = self.starts = self.sizes = np.empty(0, np.int64)
+        self.values, self.flat = self.values.astype(np.uint64), np.empty(0, np.int32)
+
+    def _learn(self, values, words):
+        """Remembers the ids of words, found again by their 64-bit values."""
+        flat, n = self._words(words)
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(n) - n])
+        self.sizes = np.concatenate([self.sizes, n])
+        self.flat = np.concatenate([self.flat, flat])
+        values = np.concatenate([self.values, values])
+        place = np.concatenate([self.place, np.arange(len(self.place), len(values))])
+        order = np.argsort(values)
+        self.values, self.place = values[order], place[order]
+
+    def _known(self, words):
+        """Ids of all words of a Words, in order, and their number per text."""
+        if len(self.values) > 1_000_000:
+            self._forget()
+        distinct, example, of = np.unique(words.values, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.values, distinct)
+        new = np.flatnonzero(np.append(self.values, np.uint64(0))[at] != distinct)
+        new = np.union1d(new, np.flatnonzero(at == len(self.values)))
+        if len(new):
+            k = example[new]
+            self._learn(distinct[new], [words.data[a:b].decode("latin-1") for a, b in zip(words.starts[k].tolist(), words.ends[k].tolist())])
+            at = np.searchsorted(self.values, distinct)
+        place = self.place[at][of]
+        lengths = self.sizes[place]
+        total = np.concatenate([[0], np.cumsum(lengths)])
+        return self.flat[ranges(self.starts[place], lengths)], total[words.first + words.counts] - total[words.first]
 
     def _words(self, words, most=4096):
         """The words go through the library as one text; each ends with a token that ends a word."""
         flat, sizes = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
         for i in range(0, len(words), most):
             part = words[i:i + most]
-            ids = np.asarray(self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int32)
+            ids = np.asarray(self.bare.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int32)
             sizes.append(np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1))
             if len(sizes[-1]) != len(part):
                 raise ValueError("the tokenizer's words are not the pattern's")
             flat.append(ids)
         return np.concatenate(flat), np.concatenate(sizes)
 
-    def split(self, text):
-        """Pieces whose ids, in order, are the text's; None if the library must see the whole text."""
+    def plain(self, text):
+        """The lower-cased text, one byte a character, if its words' ids are the text's; None if the library must see it."""
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
             return None
-        return None if any(x in text for x in self.odd) else text.lower().split()
+        return None if any(x in text for x in self.odd) else text.lower().encode("latin-1")
 
     def ids(self, texts, end):
         """Ids of all texts, each with end behind it, and their number per text."""
-        rows = [self.split(t) for t in texts]
-        flat, n = self.known.ids([r or [] for r in rows])
+        rows = [self.plain(t) for t in texts]
+        flat, n = self._known(LatinWords([r or b"" for r in rows]))
         whole = [i for i, r in enumerate(rows) if r is None]
         ends = np.cumsum(n)
         parts, sizes = [], n + 1

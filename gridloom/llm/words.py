@@ -32,26 +32,19 @@ NO_WORD = bytes(i for i in range(128) if not chr(i).isalnum())
 class Words:
     """Words of some texts: value, first and last byte + 1 in data, and for each text the place of its first word.
 
-    separators: bytes between words; lower: whether A-Z count as a-z. Buffers are hashed at most `most` bytes at
+    texts: strings, taken as UTF-8, or bytes. separators: bytes between words; lower: whether A-Z count as a-z. Buffers are hashed at most `most` bytes at
     once, unless one word is longer.
     """
 
     BASE = 0xD6E8FEB86659FD93
 
     def __init__(self, texts, separators=SPACES, lower=False, most=1 << 20):
-        encoded = [t.encode("utf-8", "surrogatepass") for t in texts]
-        self.data = b" ".join(encoded) + b" "
+        encoded = [t if isinstance(t, bytes) else t.encode("utf-8", "surrogatepass") for t in texts]
+        self.data = b" ".join(encoded) + b" "  # at least one byte
         sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) + 1
         self.text_starts = np.cumsum(sizes) - sizes
         raw = np.frombuffer(self.data, np.uint8)
-        between = np.zeros(256, bool)
-        between[list(separators)] = True
-        sep = between[raw]
-        edge = np.diff(sep.view(np.int8))
-        self.ends = np.flatnonzero(edge == 1) + 1
-        self.starts = np.flatnonzero(edge == -1) + 1
-        if len(raw) and not sep[0]:
-            self.starts = np.concatenate([[0], self.starts])
+        self.starts, self.ends = self._edges(raw, separators)
         table = numbers(1, 256)
         if lower:
             table[65:91] = table[97:123]
@@ -59,6 +52,14 @@ class Words:
         self.first = np.searchsorted(self.starts, self.text_starts)
         self.counts = np.diff(np.append(self.first, len(self.starts)))
 
+    def _edges(self, raw, separators):
+        between = np.zeros(256, bool)
+        between[list(separators)] = True
+        sep = between[raw]
+        edge = np.diff(sep.view(np.int8))
+        starts = np.flatnonzero(edge == -1) + 1
+        return starts if sep[0] else np.concatenate([[0], starts]), np.flatnonzero(edge == 1) + 1
+
     def _hash(self, raw, table, most):
         out, i, n = np.empty(len(self.starts), np.uint64), 0, len(self.starts)
         power = inverse = np.empty(0, np.uint64)

@@ -128,3 +128,16 @@ def test_bit_fields_round_trip(width):
 def test_rank_files_are_read(tmp_path):
     (tmp_path / "r").write_bytes(base64.b64encode(b"ab") + b" 5\n\n")
     assert bpe.read_ranks(tmp_path / "r") == {b"ab": 5}
+
+
+def test_words_of_latin_texts_are_those_of_the_library():
+    import tokenizers
+
+    path = P.path("word_bpe_49k.json")
+    library, encoder = tokenizers.Tokenizer.from_file(path), packed.WordEncoder(path)
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("aStTrelvdDmM''''\"-12² \t\n\x85\xa0éÉß½ªµ\x1c\x7f") for _ in range(rng.randint(0, 25))) for _ in range(3000)]
+    flat, n = encoder.ids(texts, 2)
+    ends = np.cumsum(n)
+    for text, k, e in zip(texts, n, ends):
+        assert flat[e - k:e].tolist() == library.encode(text, add_special_tokens=False).ids + [2], repr(text)
