@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from gridloom.session import shared_dir
 
 #: Bytes of text that a task handles at once.
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 
 def read(spark, sf_dir, name):

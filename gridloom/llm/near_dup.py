@@ -184,7 +184,7 @@ def _groups(batches, keys):
         yield held
 
 
-def near_duplicates(docs, id_col="doc_id", text_col="text", length=5, percent=75, size=32, match=14, wide=128, wide_match=76):
+def near_duplicates(docs, id_col="doc_id", text_col="text", length=5, percent=75, size=32, match=14, wide=256, wide_match=164):
     """id_col, n_shingles, component_id and kept of every row.
 
     A row's set: its distinct runs of `length` words (A-Z lower-cased, words end at ASCII white space); with fewer words the whole
@@ -208,7 +208,7 @@ def near_duplicates(docs, id_col="doc_id", text_col="text", length=5, percent=75
     tried = written(pairs, "pairs")
     links = written(confirm(tried, sets, percent), "links")
     roots = components(links)
-    for most in (2, None):  # at last all pairs
+    for most in (4, None):  # at last all pairs
         named = posted.join(roots, posted.rep == roots.vertex, "left").select("token", "rep", F.coalesce("root", "rep").alias("root"))
         mixed = named.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
         lists = named.join(mixed, "token", "left_semi")
