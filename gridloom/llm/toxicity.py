@@ -1,7 +1,7 @@
 """Toxic passages as maximum-scoring segments.
 
-Learning: log-odds of words between toxic and other labelled rows, with an informative Dirichlet prior; words whose log-odds are
-large and significant get them as score, all others a small negative score. Scoring: one linear scan finds every
+Learning: log-odds of words between toxic and other labelled rows, with an informative Dirichlet prior and shrunk by their standard
+error; words with log-odds left get them as score, all others a small negative score. Scoring: one linear scan finds every
 maximal scoring segment of a text. A segment's score is turned into the expected number of such segments in a clean text of
 that length (extreme-value law); the evidence of all segments is added up and calibrated to a chance of label 1.
 """
@@ -87,13 +87,15 @@ def is_held_out(column):
     return F.crc32(column.cast("string").cast("binary")) % 4 == 2
 
 
-def learn(docs, labels, id_col="doc_id", text_col="text", label_col="toxic", sample_rows=20_000, least_odds=2.0, least_z=4.0,
-          strength=0.1, other=-0.2, most_words=50_000):
+def learn(docs, labels, id_col="doc_id", text_col="text", label_col="toxic", sample_rows=20_000, strength=0.1,
+          other=-0.2, most_words=1_000_000):
     """The model, from at most about sample_rows labelled rows that are not held out.
 
     The sample is drawn by a hash of the id, so it is the same in every run. Of rows that are near copies of each other
     (a common smallest value in one of four hashes of word runs) one counts. Three quarters of the rows give word counts, the others the
-    calibration. strength: weight of the prior against the rows. Rows with a null id or label are left out; a
+    calibration. strength: weight of the prior against the rows. No word is left out for being rare: its log-odds less their standard
+    error is its score, and what many weak words are worth is up to the extreme-value law and the calibration. most_words bounds the
+    driver's memory, not the choice: the words of sample_rows rows are far fewer, unless the rows are very long. Rows with a null id or label are left out; a
     repeated labelled id counts as toxic if any of its rows is. Without any labelled row every text gets 0.5; with one class only,
     that class's share.
     """
@@ -130,10 +132,11 @@ def learn(docs, labels, id_col="doc_id", text_col="text", label_col="toxic", sam
     t, c = F.col("t") + prior, F.col("c") + prior
     add = strength * n.n
     odds = F.log(t / (n_toxic + add * 2 - t)) - F.log(c / (n_clean + add * 2 - c))
-    scored = counts.select("w", "t", "c", odds.alias("odds"), (odds / F.sqrt(1 / t + 1 / c)).alias("z"))
-    chosen = scored.filter((F.abs("odds") >= least_odds) & (F.abs("z") >= least_z)) if n_toxic and n_clean else scored.limit(0)
-    table = chosen.orderBy(F.desc(F.abs("z")), "w").limit(most_words).toPandas()
-    values, scores = table["w"].to_numpy(np.int64).view(np.uint64), table["odds"].to_numpy(float)
+    shrunk = F.signum(odds) * F.greatest(F.abs(odds) - F.sqrt(1 / t + 1 / c), F.lit(0.0))
+    scored = counts.select("w", "t", "c", shrunk.alias("score"))
+    chosen = scored.filter("score != 0") if n_toxic and n_clean else scored.limit(0)
+    table = chosen.orderBy(F.desc(F.abs("score")), "w").limit(most_words).toPandas()
+    values, scores = table["w"].to_numpy(np.int64).view(np.uint64), table["score"].to_numpy(float)
     order = np.argsort(values)
     model = Model(values[order], scores[order], other, 1.0, 1.0, 0.0, 0.0)
     clean = (table["c"].to_numpy(float) + strength * (table["t"] + table["c"]).to_numpy(float)) / max(1.0, n_clean)

@@ -105,6 +105,26 @@ def test_toxic_rows_are_found_held_out(spark):
     assert kept.columns == docs.columns and kept.count() == sum(1 - r.predicted for r in got)
 
 
+def test_rare_telling_words_are_found_held_out(spark):
+    """Thirty telling words, each in few toxic rows: none is certain alone."""
+    rng = random.Random(5)
+    words, telling = ["w%d" % i for i in range(300)], ["bad%d" % i for i in range(30)]
+    rows, labels = [], []
+    for i in range(1600):
+        text, toxic = [rng.choice(words) for _ in range(rng.randint(20, 60))], int(rng.random() < 0.15)
+        for _ in range(2 * toxic):
+            text.insert(rng.randrange(len(text)), rng.choice(telling))
+        rows.append((i, " ".join(text)))
+        labels.append((i, toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.learn(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    toxic = dict(labels)
+    held = [r for r in toxicity.score(docs, model).collect() if r.held_out]
+    hits = sum(r.predicted and toxic[r.doc_id] for r in held)
+    assert hits >= 0.85 * sum(toxic[r.doc_id] for r in held)
+    assert sum(r.predicted for r in held) - hits <= 0.03 * len(held)
+
+
 def test_learning_without_labels_or_documents(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
