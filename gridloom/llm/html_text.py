@@ -1,8 +1,9 @@
 """Main text of HTML pages by tree scoring.
 
 Every paragraph passes points for its length and commas to its ancestors, less the farther up; a container's points are
-discounted by the share of link text in it. The best container and those siblings that score alike are kept, without menus, forms,
-adverts and the like inside them. A page is one row: no shuffle, memory bounded by the largest page.
+discounted by the share of link text in it. The best container and those siblings that score alike are kept, with headings, lists and
+short paragraphs next to them, without menus, forms, adverts and the like inside them. Names judge late: an element goes by its class or
+id only if the page's prose is elsewhere. A page is one row: no shuffle, memory bounded by the largest page.
 """
 
 import re
@@ -40,18 +41,34 @@ NOT_MAIN = frozenset(
     "consent disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices overlay pager pagination "
     "popup promo promoted promotion recommended related replies respond reply share sharing sidebar signup skip social sponsor "
     "sponsored subscribe subscription tagcloud toc toolbar widget widgets".split())
+#: Words that turn the meaning of a name around: no-sidebar, has-comments, ad-free.
+TURNED = frozenset("no non not without has with free hide hidden disable disabled is".split())
 MAIN_WORDS = frozenset("article body content entry hentry main page post story text".split())
 BASE = {"article": 25, "main": 25, "section": 5, "div": 5, "pre": 3, "td": 3, "blockquote": 3, "ul": -3, "ol": -3, "dl": -3}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Small blocks that belong to the container they stand next to.
+BESIDE = HEADINGS | frozenset("p pre blockquote ul ol dl figure hr table".split()) | INLINE
+#: Length in code points from which a block counts as prose.
+PROSE = 80
 NO_CONTAINER = frozenset("p h1 h2 h3 h4 h5 h6 li tr tbody thead tfoot".split()) | INLINE
 WORDS = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "names", "points", "length", "links")
+    __slots__ = ("tag", "parent", "parts", "names", "mark", "points", "length", "links", "own", "prose", "long", "holds")
 
-    def __init__(self, tag, parent, names):
-        self.tag, self.parent, self.names, self.parts = tag, parent, names, []
-        self.points = self.length = self.links = 0
+    def __init__(self, tag, parent, names, mark=None):
+        self.tag, self.parent, self.names, self.mark, self.parts = tag, parent, names, mark, []
+        self.points = self.length = self.links = self.prose = 0
+        self.own, self.long, self.holds = (), False, tag in ("article", "main")
+
+
+def mark_of(tokens):
+    """'whole' if a class or id is a word of NOT_MAIN, 'part' if one has such a word among others, else None."""
+    if not NOT_MAIN.isdisjoint(tokens):
+        return "whole"
+    parts = [set(WORDS.findall(t)) for t in tokens]
+    return "part" if any(p & NOT_MAIN and not p & TURNED for p in parts) else None
 
 
 class Tree(HTMLParser):
@@ -64,17 +81,18 @@ class Tree(HTMLParser):
         self.skipped = []  # open elements inside a dropped one
 
     def _names(self, attrs):
-        """Words of class and id; None if the element is dropped because of its attributes."""
-        names = set()
+        """Words of class and id and their mark; None if the element is dropped because of its other attributes."""
+        names, tokens = set(), set()
         for key, value in attrs:
             value = (value or "").lower()
             if key in ("class", "id"):
                 names.update(WORDS.findall(value))
+                tokens.update(value.split())
             elif key == "role" and value in ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
                 return None
             elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 return None
-        return frozenset(names)
+        return frozenset(names), mark_of(tokens)
 
     def _inside(self, tags):
         node = self.open
@@ -93,8 +111,6 @@ class Tree(HTMLParser):
         self._close_implied(tag)
         names = self._names(attrs)
         dropped = tag in DROPPED or names is None or tag == "header" and not self._inside({"article", "main"})
-        if not dropped and tag not in ("html", "body", "main", "article"):
-            dropped = bool(names & NOT_MAIN)
         if tag in VOID:
             if tag == "br":
                 self.open.parts.append(" ")
@@ -105,7 +121,7 @@ class Tree(HTMLParser):
             return
         if tag == "html":
             return
-        node = Node(tag, self.open, names)
+        node = Node(tag, self.open, *names)
         self.open.parts.append(node)
         self.nodes.append(node)
         self.open = node
@@ -167,37 +183,99 @@ def _own_blocks(node):
     return out
 
 
+def _weigh(tree):
+    """Length, link text, points of paragraphs and what else is known of an element and all below it."""
+    for node in reversed(tree.nodes):  # children stand behind their parents
+        node.length += sum(len(p.strip()) for p in node.parts if isinstance(p, str))
+        if node.tag == "a":
+            node.links = node.length
+        if node.tag not in INLINE or node is tree.root:
+            blocks = _own_blocks(node)
+            node.own = [1 + text.count(",") + min(len(text) / 100, 3) for text in blocks]
+            node.prose += sum(node.own)
+            node.long = node.long or 2 * node.links < node.length and any(len(text) > PROSE for text in blocks)
+        up = node.parent
+        if up is not None:
+            up.length += node.length
+            up.links += node.links
+            up.prose += node.prose
+            up.long, up.holds = up.long or node.long, up.holds or node.holds
+
+
+def _in_article(node):
+    while node is not None and node.tag not in ("article", "main"):
+        node = node.parent
+    return node is not None
+
+
+def _unnamed(tree):
+    """Takes out the elements that their class or id calls no main text.
+
+    One named so by a whole class stays if it holds an article or main, or prose that outweighs fourfold what is left
+    without it; one with such a word among others goes only if it is mostly links and has no prose.
+    """
+    def judged(node):
+        if node.mark is None or node.holds or node.tag in ("html", "body"):
+            return False
+        if node.mark == "part":
+            return 2 * node.links > node.length and not node.long
+        # as with the element header: inside an article it has its heading
+        return not (_in_article(node) and "header" in node.names and not node.names & (NOT_MAIN - {"header"}))
+
+    def outermost(node):
+        found, stack = [], [node]
+        while stack:
+            for part in stack.pop().parts:
+                if isinstance(part, Node):
+                    (found if judged(part) else stack).append(part)
+        return found
+
+    out = outermost(tree.root)
+    rest = tree.root.prose - sum(n.prose for n in out)
+    while kept := [n for n in out if n.long and n.prose > 4 * rest]:
+        best = max(kept, key=lambda n: n.prose)
+        inner = outermost(best)
+        out = [n for n in out if n is not best] + inner
+        rest += best.prose - sum(n.prose for n in inner)
+    if not out:
+        return
+    gone, stack = set(out), list(out)
+    for up in {n.parent for n in out}:
+        up.parts = [p if isinstance(p, str) or p not in gone else "" if p.tag in INLINE else "\n" for p in up.parts]
+    while stack:
+        node = stack.pop()
+        gone.add(node)
+        stack += [p for p in node.parts if isinstance(p, Node)]
+    tree.nodes = [n for n in tree.nodes if n not in gone]
+    for node in tree.nodes:
+        node.length = node.links = node.prose = 0
+        node.long, node.holds = False, node.tag in ("article", "main")
+    _weigh(tree)
+
+
 def _score(tree):
+    _weigh(tree)
+    if any(n.mark for n in tree.nodes):
+        _unnamed(tree)
     for node in tree.nodes:
-        if node.tag in INLINE and node is not tree.root:
-            continue
-        for text in _own_blocks(node):
-            points = 1 + text.count(",") + min(len(text) / 100, 3)
-            # a paragraph's container is its parent; bare text counts for the node it stands in
-            up = node.parent if node.tag in ("p", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6", "li", "td", "dd") else node
-            level = 0
+        # a paragraph's container is its parent; bare text counts for the node it stands in
+        first = node.parent if node.tag in HEADINGS or node.tag in ("p", "pre", "blockquote", "li", "td", "dd") else node
+        for points in node.own:
+            up, level = first, 0
             while up is not None:
                 up.points += points / (1, 2, 6, 9, 12)[min(level, 4)]
                 up, level = up.parent, level + 1
-    for node in reversed(tree.nodes):  # children stand behind their parents
-        own = sum(len(p.strip()) for p in node.parts if isinstance(p, str))
-        node.length += own
-        if node.tag == "a":
-            node.links = node.length
-        if node.parent is not None:
-            node.parent.length += node.length
-            node.parent.links += node.links
 
 
 def _rank(node):
     density = node.links / node.length if node.length else 0.0
-    bonus = BASE.get(node.tag, 0) + (25 if node.names & MAIN_WORDS else 0)
+    bonus = BASE.get(node.tag, 0) + (25 if node.names & MAIN_WORDS else 0) - (25 if node.mark == "part" else 0)
     return (node.points + (bonus if node.points else 0)) * (1 - density)
 
 
-def _blocks(node):
-    """All blocks at and below a node, in page order."""
-    out, held, stack = [], [], [(node, iter(node.parts))]
+def _blocks(node, parts=None):
+    """All blocks at and below a node, or in some of its parts, in page order."""
+    out, held, stack = [], [], [(node, iter(node.parts if parts is None else parts))]
 
     def flush():
         text = " ".join("".join(held).split())
@@ -240,19 +318,35 @@ def main_text(html):
     node = best
     while node is not None and node.tag not in ("article", "main"):
         node = node.parent
-    best = node or best  # parts of one article stay together
+    whole, best = node is not None, node or best  # parts of one article stay together
     if best.parent is None:
         return "\n".join(_blocks(best))
-    least, kept = max(2.0, 0.2 * _rank(best)), []
-    for part in best.parent.parts:
+    least, parts = max(2.0, 0.2 * _rank(best)), best.parent.parts
+
+    def link(part):
+        return part.links / part.length if part.length else 1.0
+
+    def main(part):
         if part is best:
-            kept += _blocks(part)
-        elif isinstance(part, Node) and part.tag not in INLINE:
-            link = part.links / part.length if part.length else 1.0
-            prose = part.tag == "p" and link < 0.25 and part.length > 80
-            if prose or part.tag == best.tag and _rank(part) >= least:
-                kept += _blocks(part)
-    return "\n".join(kept)
+            return True
+        if isinstance(part, str) or part.tag in INLINE:
+            return False
+        prose = part.tag == "p" and link(part) < 0.25 and part.length > PROSE
+        return prose or part.tag == best.tag and _rank(part) >= least
+
+    def beside(part):
+        if isinstance(part, str):
+            return part != "\n"
+        return part.tag in BESIDE and (link(part) < 0.25 or not part.length or part.tag in HEADINGS)
+
+    kept = [main(part) for part in parts]
+    if not whole:  # without an article, small blocks belong to what is kept before or behind them
+        for order in (range(len(parts)), reversed(range(len(parts)))):
+            near = False
+            for i in order:
+                near = kept[i] or near and beside(parts[i])
+                kept[i] = near
+    return "\n".join(_blocks(best.parent, [p if k else "\n" for p, k in zip(parts, kept)]))
 
 
 def extract(pages, id_col="page_id", html_col="html", keep=("url",)):

@@ -23,6 +23,22 @@ def test_main_text(html, text):
     assert html_text.main_text(html) == text
 
 
+LONG = "A paragraph, with commas, and with so many words that it is prose by any measure that one could think of."
+
+
+@pytest.mark.parametrize("html, text", [
+    (f"<div class='site no-sidebar'><p>{LONG}</div>", LONG), (f"<div class='post-content has-comments'><p>{LONG}</div>", LONG),
+    (f"<div class='site sidebar'><p>{LONG}</div>", LONG), ("<div id=sidebar><article><p>x</article></div>", "x"),
+    ("<article><p>one<p class='ad-free'>two<div class='page-header'><h2>three</h2></div></article>", "one\ntwo\nthree"),
+    (f"<div id=content><p>{LONG}</div><div id=comments><p>{LONG}</div>", LONG),
+    (f"<div class='related-posts'><a href=x>more</a></div><div><p>{LONG}</div>", LONG),
+    (f"<h1>Head</h1><div id=content><p>{LONG}</div><p>short</p><ul><li>a<li>b</ul>in <b>the</b> parent<div><a href=x>link</a></div>",
+     f"Head\n{LONG}\nshort\na\nb\nin the parent"),
+])
+def test_names_and_neighbours_lose_no_main_text(html, text):
+    assert html_text.main_text(html) == text
+
+
 def test_pages_keep_their_rows(spark):
     rows = [(1, None, None, "x", 3), (1, "u", "<p>a &lt; b</p>", "x", 3), (None, "u", "", "x", 3)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")
