@@ -4,8 +4,9 @@ A block is one binary value: a header, the documents' ids and offsets, then all
 that hold the vocabulary. Any document can be read alone: its offset times the width is its first bit. Blocks are rows of a
 Parquet table in ascending document order, so writing has Spark's commit protocol and reading survives lost executors.
 
-Layout of a block, little-endian: magic 'GLTB', version u16, width u16, documents u32, tokens u64; then per document
-its id i64 and per document and one more its offset u64; then the bit fields, least significant bit first.
+Layout of a block, little-endian: magic 'GLTB', version u16, width u16, documents u32, documents without id u32, tokens u64; then per
+document its id i64 and per document and one more its offset u64; then the bit fields, least significant bit first. Documents without
+id come first; their place among the ids holds 0.
 """
 
 import json
@@ -17,6 +18,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ from gridloom.llm.common import even_bounds, lists, ranges, read, slices, texts
 from gridloom.llm.words import Words
 from gridloom.session import shared_dir
 
-MAGIC, VERSION, HEAD = b"GLTB", 1, "<4sHHIQ"
+MAGIC, VERSION, HEAD = b"GLTB", 2, "<4sHHIIQ"
 BLOCK = "part int, block int, before long, first_doc long, last_doc long, n_docs int, n_tokens long, payload binary"
 
 
@@ -59,17 +61,19 @@ def unpack(data, width, start, count):
 
 
 def make_block(doc_ids, counts, ids, width):
+    """doc_ids: a list, None for no id; those come first."""
+    nulls = sum(d is None for d in doc_ids)
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype("<u8")
-    head = struct.pack(HEAD, MAGIC, VERSION, width, len(doc_ids), len(ids))
-    return head + np.asarray(doc_ids, "<i8").tobytes() + offsets.tobytes() + pack(ids, width)
+    head = struct.pack(HEAD, MAGIC, VERSION, width, len(doc_ids), nulls, len(ids))
+    return head + np.asarray([0] * nulls + list(doc_ids[nulls:]), "<i8").tobytes() + offsets.tobytes() + pack(ids, width)
 
 
 class Block:
-    """Reads a block; doc(i) unpacks the ids of its i-th document only."""
+    """Reads a block; doc(i) unpacks the ids of its i-th document only. The first `nulls` documents have no id."""
 
     def __init__(self, payload):
         size = struct.calcsize(HEAD)
-        magic, version, self.width, n, self.n_tokens = struct.unpack_from(HEAD, payload)
+        magic, version, self.width, n, self.nulls, self.n_tokens = struct.unpack_from(HEAD, payload)
         if magic != MAGIC or version != VERSION:
             raise ValueError("not a block of token ids")
         self.doc_ids = np.frombuffer(payload, "<i8", n, size)
@@ -251,12 +255,12 @@ def _narrowing(width, bounds):
             rows = batch.column("ids")
             n = np.asarray(rows.value_lengths().fill_null(0))
             flat = np.asarray(rows.flatten(), np.int32)
-            if batch.column("doc_id").null_count:
-                raise ValueError("a row has no doc_id")
             data = [pack(flat[e - k:e], width) for e, k in zip(np.cumsum(n), n)]
-            part = np.searchsorted(bounds, batch.column("doc_id").to_numpy(), side="right").astype(np.int32)
+            docs = batch.column("doc_id")
+            part = np.searchsorted(bounds, pc.fill_null(docs, 0).to_numpy(), side="right").astype(np.int32)
+            part[docs.is_null().to_numpy(zero_copy_only=False)] = 0  # a row without id comes first
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part), batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(data, pa.binary())],
+                [pa.array(part), docs, pa.array(n, pa.int32()), pa.array(data, pa.binary())],
                 ["part", "doc_id", "n", "packed"])
 
     return run
@@ -266,10 +270,10 @@ PACKED = "part int, doc_id long, n int, packed binary"
 
 
 def write(encoded, path, width, bounds, block_tokens=1 << 18):
-    """Writes doc_id and ids as blocks in ascending doc_id order; rows of one doc_id keep no particular order.
+    """Writes doc_id and ids as blocks in ascending doc_id order; rows of one doc_id, or without one, keep no particular order.
 
-    Ids are packed before the only shuffle, which deals them by the ranges that the ascending doc_ids in bounds cut. Every
-    row needs a doc_id. part numbers the ranges, block the blocks inside one, before counts the part's tokens in earlier
+    Ids are packed before the only shuffle, which deals them by the ranges that the ascending doc_ids in bounds cut. Rows
+    without a doc_id come first. part numbers the ranges, block the blocks inside one, before counts the part's tokens in earlier
     blocks; a block ends after the document that fills it.
     """
     _write(encoded.mapInArrow(_narrowing(width, bounds), PACKED), path, width, len(bounds) + 1, block_tokens)
@@ -306,12 +310,15 @@ def _write(packed, path, width, parts, block_tokens):
         if ids:
             yield flush()
 
-    dealt = packed.repartitionById(parts, "part").sortWithinPartitions("part", "doc_id")
+    dealt = packed.repartitionById(parts, "part").sortWithinPartitions("part", F.asc_nulls_first("doc_id"))
     dealt.mapInArrow(block, BLOCK).write.parquet(path)
 
 
 def read_back(spark, path):
-    """doc_id, start (ids of all documents before it), n_tokens and ids_crc32 of every document in the blocks."""
+    """doc_id, start (ids of all documents before it), n_tokens and ids_crc32 of every document in the blocks.
+
+    A document without an id has a null doc_id again.
+    """
     blocks = spark.read.schema(BLOCK).parquet(path)
     sizes = blocks.groupBy("part").agg(F.sum("n_tokens").alias("size"))
     # one row per part: as many as the writer was given bounds, however many documents there are
@@ -325,9 +332,10 @@ def read_back(spark, path):
             for base, payload in zip(batch.column("base").to_pylist(), batch.column("payload")):
                 b = Block(payload.as_py())
                 ids = b.all().astype("<u4")
+                docs = pa.array(b.doc_ids, mask=np.arange(len(b.doc_ids)) < b.nulls)
                 crc = [zlib.crc32(ids[i:j]) for i, j in zip(b.offsets[:-1], b.offsets[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(b.doc_ids), pa.array(base + b.offsets[:-1]), pa.array(np.diff(b.offsets)), pa.array(crc, pa.int64())],
+                    [docs, pa.array(base + b.offsets[:-1]), pa.array(np.diff(b.offsets)), pa.array(crc, pa.int64())],
                     ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return placed.mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -111,6 +111,26 @@ def test_packed_blocks_give_back_what_the_library_encodes(spark, docs, tmp_path)
     assert packed.read_back(spark, empty).collect() == []
 
 
+def test_packed_rows_without_an_id_come_first(spark, tmp_path):
+    import tokenizers
+
+    path = P.path("word_bpe_49k.json")
+    library = tokenizers.Tokenizer.from_file(path)
+    rows = [(3, "c d e"), (None, "the same"), (-(1 << 63), "low"), (1, None), (None, "the same"), (0, "a b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for name, bounds, block_tokens in (("one", [], 1 << 18), ("more", [-(1 << 63), 1], 3)):
+        out = str(tmp_path / name)
+        packed.write_texts(docs, out, path, 2, 16, bounds, block_tokens=block_tokens)
+        want, start = [], 0
+        for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0])):
+            ids = library.encode(t or "", add_special_tokens=False).ids + [2]
+            want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+            start += len(ids)
+        assert sorted(map(tuple, packed.read_back(spark, out).collect()), key=lambda r: r[1]) == want
+        first = spark.read.parquet(out).orderBy("part", "block").first()
+        assert packed.Block(bytes(first.payload)).nulls >= 1 and first.first_doc is None
+
+
 @pytest.mark.parametrize("width", [1, 3, 8, 13, 16, 17, 31, 32])
 def test_bit_fields_round_trip(width):
     rng = np.random.default_rng(width)
