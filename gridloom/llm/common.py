@@ -43,9 +43,12 @@ def texts(batch, name="text"):
 
 
 def even_bounds(df, parts, column="doc_id"):
-    """At most parts - 1 ascending values that cut the column into about even ranges; reads that column only."""
+    """At most parts - 1 ascending values that cut the column into about even ranges; reads that column only.
+
+    They are whole numbers near the quantiles and need not occur: beyond 2^53 quantiles are rounded.
+    """
     cuts = df.approxQuantile(column, [i / parts for i in range(1, parts)], 0.1 / parts)
-    return sorted({int(x) for x in cuts})
+    return sorted({min(int(x), (1 << 63) - 1) for x in cuts})
 
 
 def lists(flat, counts, kind):

@@ -81,9 +81,11 @@ def fingerprints(docs, id_col="doc_id", text_col="text", parts=None):
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     source = source.withColumn("key", F.coalesce("doc_id", F.lit(-(1 << 63))))
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    low = source.agg(F.min("key")).first()[0]
-    bounds = sorted({low if low is not None else 0, *even_bounds(docs.select(F.col(id_col).cast("long").alias("doc_id")), parts)})
-    limits = F.array(*[F.lit(b) for b in bounds])
+    cuts = F.array(*[F.lit(b).cast("long") for b in even_bounds(source, parts)]).cast("array<bigint>")
+    # quantiles are doubles, so a range is named by the least key in it: that row is there, also beyond 2^53
+    firsts = source.groupBy(F.size(F.filter(cuts, lambda b: b <= F.col("key")))).agg(F.min("key").alias("first"))
+    bounds = sorted(r.first for r in firsts.select("first").collect()) or [0]
+    limits = F.array(*[F.lit(b).cast("long") for b in bounds])
     bucket = F.size(F.filter(limits, lambda b: b <= F.col("key"))) - 1
     # the first document of each range is also a guest behind the last one of the range before
     before = F.when(F.col("bucket") == 0, len(bounds) - 1).otherwise(F.col("bucket") - 1)

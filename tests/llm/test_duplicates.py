@@ -148,6 +148,20 @@ def test_fingerprints_are_alike_as_the_texts_are(spark):
         assert by_text.setdefault(t, got[i].fingerprint) == got[i].fingerprint
 
 
+@pytest.mark.parametrize("near", [[], [(1 << 63) - k for k in range(1, 30)]])
+def test_fingerprints_of_64_bit_ids_follow_the_next_document(spark, near):
+    rng = random.Random(8)
+    ids = [rng.randrange(-(1 << 62), 1 << 62) for _ in range(60)] + [(1 << 62) + k for k in range(1, 40)] + near
+    docs = [(i, " ".join(rng.choice("abcdefgh") for _ in range(20))) for i in [*ids, None]]
+    got = {r.doc_id: r for r in fingerprints.fingerprints(spark.createDataFrame(docs, "doc_id long, text string"), parts=7).collect()}
+    order = sorted(docs, key=lambda d: (d[0] is not None, d[0]))
+    assert len(got) == len(docs)
+    for k, (i, t) in enumerate(order):
+        half = len(t) // 2
+        assert got[i].edited_sha256 == brute.sha((t[:len(t) - half] + order[(k + 1) % len(order)][1][:half]).encode())
+        assert got[i].near_edited > 0
+
+
 def test_fingerprints_of_few_rows(spark):
     one = fingerprints.fingerprints(spark.createDataFrame([(4, "a b c d")], "doc_id long, text string")).first()
     assert one.near_next == 1.0 and one.edited_sha256 == brute.sha(b"a b a b")
