@@ -1,6 +1,8 @@
 """Registered queries of this subpackage and the SQL of those that SQL can express."""
 
-from gridloom.llm import bpe, contamination, fingerprints, html_text, near_dup, packed, substrings, token_counts, toxicity, url_rules
+from gridloom.llm import (
+    bpe, contamination, fingerprints, html_text, near_dup, packed, quality, substrings, token_counts, toxicity, url_rules,
+)
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1,
@@ -13,6 +15,7 @@ QUERIES = {
     "op8_packed_ids": packed.op8,
     "op9_url_rules": url_rules.op9,
     "op10_suffix_trees": substrings.op10,
+    "op11_weak_supervision": quality.op11,
 }
 
-ORACLE = {"op9_url_rules": url_rules.OP9_SQL}
+ORACLE = {"op9_url_rules": url_rules.OP9_SQL, "op11_weak_supervision": quality.OP11_SQL}
