@@ -6,7 +6,7 @@ labels, and a text is kept if its posterior probability of being good is high en
 
 1. Counts and votes of every text are made in one pass over the texts and written as a narrow table; no text is shuffled.
 2. Texts with equal votes are one pattern. There are at most 3 ** len(RULES) patterns whatever the number of texts, so a step of
-   the estimation reads that table only and brings back four sums a rule.
+   the estimation reads that table only and brings back two sums for each rule and vote.
 3. The posterior is an expression of a text's own votes with the estimated figures as constants; nothing is joined.
 """
 
@@ -77,7 +77,8 @@ def repeated(hashes, length=WINDOW):
         ordered = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("at"))))
         return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0).cast("long")).otherwise(let(ordered, doubles))
 
-    windows = F.transform(F.sequence(F.lit(1), n - (length - 1)), lambda i: F.xxhash64(F.slice(hashes, i, length)))
+    whole = F.slice(hashes, 1, n - (length - 1))
+    windows = F.transform(whole, lambda h, i: F.xxhash64(h, *[F.get(hashes, i + j) for j in range(1, length)]))
     return F.when(n > length, let(windows, found)).otherwise(F.lit(0).cast("long"))
 
 
@@ -137,22 +138,23 @@ def estimate(patterns, steps=STEPS):
     round moves none by more than STILL. Without texts the first values stay."""
     k = len(NAMES)
     figures = {"good": START["good"], "on_good": [START["on_good"]] * k, "on_bad": [START["on_bad"]] * k}
+    given = F.array(*[F.col(f"v_{name}") for name in NAMES])
     for _ in range(steps):
-        good = F.col("n") * F.col("_p")
-        bad = F.col("n") * (F.lit(1.0) - F.col("_p"))
-        sums = [F.sum("n").alias("n"), F.sum(good).alias("good")]
-        for i, name in enumerate(NAMES):
-            vote = F.col(f"v_{name}")
-            sums += [
-                F.sum(F.when(vote == 1, good).otherwise(0.0)).alias(f"gg{i}"), F.sum(F.when(vote != 0, good).otherwise(0.0)).alias(f"g{i}"),
-                F.sum(F.when(vote == -1, bad).otherwise(0.0)).alias(f"bb{i}"), F.sum(F.when(vote != 0, bad).otherwise(0.0)).alias(f"b{i}")]
-        found = patterns.withColumn("_p", posterior(figures)).agg(*sums).first()
-        if not found.n:
+        shares = patterns.select("n", posterior(figures).alias("p"), F.posexplode(given).alias("rule", "vote"))
+        sums = shares.groupBy("rule", "vote").agg(F.sum(F.col("n") * F.col("p")).alias("good"), F.sum(F.col("n") * (1 - F.col("p"))).alias("bad"))
+        found = {(r.rule, r.vote): (r.good, r.bad) for r in sums.collect()}
+        if not found:
             return figures
+        good, bad = (sum(found.get((0, v), (0, 0))[side] for v in (-1, 0, 1)) for side in (0, 1))
+
+        def accuracy(i, side, right):
+            hits, misses = (found.get((i, v), (0.0, 0.0))[side] for v in (right, -right))
+            return (hits + PRIOR_RIGHT) / (hits + misses + PRIOR_VOTES)
+
         before, figures = figures, {
-            "good": clipped(found.good / found.n, (0.01, 0.99)),
-            "on_good": [clipped((found[f"gg{i}"] + PRIOR_RIGHT) / (found[f"g{i}"] + PRIOR_VOTES), GOOD_BOUNDS) for i in range(k)],
-            "on_bad": [clipped((found[f"bb{i}"] + PRIOR_RIGHT) / (found[f"b{i}"] + PRIOR_VOTES), BAD_BOUNDS) for i in range(k)]}
+            "good": clipped(good / (good + bad), (0.01, 0.99)),
+            "on_good": [clipped(accuracy(i, 0, 1), GOOD_BOUNDS) for i in range(k)],
+            "on_bad": [clipped(accuracy(i, 1, -1), BAD_BOUNDS) for i in range(k)]}
         if max(abs(x - y) for x, y in zip(_flat(before), _flat(figures))) < STILL:
             break
     return figures

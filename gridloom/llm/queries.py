@@ -1,7 +1,7 @@
 """Registered queries of this subpackage and the SQL of those that SQL can express."""
 
 from gridloom.llm import (
-    bpe, contamination, fingerprints, html_text, near_dup, packed, quality, substrings, token_counts, toxicity, url_rules,
+    bpe, contamination, conversations, fingerprints, html_text, near_dup, packed, quality, substrings, token_counts, toxicity, url_rules,
 )
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_url_rules": url_rules.op9,
     "op10_suffix_trees": substrings.op10,
     "op11_weak_supervision": quality.op11,
+    "op12_interval_repair": conversations.op12,
 }
 
-ORACLE = {"op9_url_rules": url_rules.OP9_SQL, "op11_weak_supervision": quality.OP11_SQL}
+ORACLE = {"op9_url_rules": url_rules.OP9_SQL, "op11_weak_supervision": quality.OP11_SQL, "op12_interval_repair": conversations.OP12_SQL}
