@@ -1,7 +1,7 @@
 """Registered queries of this subpackage and the SQL of those that SQL can express."""
 
 from gridloom.llm import (
-    bpe, contamination, conversations, fingerprints, html_text, near_dup, packed, quality, substrings, token_counts, toxicity, url_rules,
+    bpe, contamination, conversations, fingerprints, html_text, near_dup, packed, quality, substrings, token_counts, toxicity, url_rules, whitening,
 )
 
 QUERIES = {
@@ -17,6 +17,9 @@ QUERIES = {
     "op10_suffix_trees": substrings.op10,
     "op11_weak_supervision": quality.op11,
     "op12_interval_repair": conversations.op12,
+    "op13_weighted_whitening": whitening.op13,
 }
 
-ORACLE = {"op9_url_rules": url_rules.OP9_SQL, "op11_weak_supervision": quality.OP11_SQL, "op12_interval_repair": conversations.OP12_SQL}
+ORACLE = {
+    "op9_url_rules": url_rules.OP9_SQL, "op11_weak_supervision": quality.OP11_SQL, "op12_interval_repair": conversations.OP12_SQL,
+}
