@@ -6,8 +6,14 @@ numbers its own rows and is shifted by the row count of the partitions before it
 partition, at most 65,536 whatever the data size, which is why it may be summed in one task and broadcast.
 
 Key columns must identify a row.
+
+What is dealt out again and again, such as once per epoch, is written in order once (write_in_order); from then on a new order is a
+permutation of the places, computed from a place alone.
 """
 
+import hashlib
+import math
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -32,29 +38,97 @@ def epoch_order(df, keys, seed=42, epoch=0, pos="pos", total=None, parts=None):
     of more than 2 ** 33 rows fails the job.
     """
     parts = min(PREFIXES, parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    hashed = _hashed(df, keys, seed, epoch, parts)
+    offsets = _offsets(hashed.groupBy("_part").agg(F.count("*").alias("_n")))
+    placed = _numbered(hashed, keys, parts).join(F.broadcast(offsets), "_part").withColumn(
+        pos, F.col("_before") + F.col("_inside"))
+    if total:
+        placed = placed.withColumn(total, F.col("_total"))
+    return placed.drop("_key", "_part", "_inside", "_before", "_total")
+
+
+def _hashed(df, keys, seed, epoch, parts):
     prefix = F.conv(F.substring("_key", 1, 4), 16, 10).cast("bigint")
-    hashed = (
+    return (
         df.withColumn("_key", order_key(keys, seed, epoch))
         .withColumn("_part", F.call_function("div", prefix * F.lit(parts), F.lit(PREFIXES)).cast("int"))
     )
-    counts = hashed.groupBy("_part").agg(F.count("*").alias("_n"))
+
+
+def _offsets(counts):
+    """Rows before each part and rows in total, from the rows _n of each part."""
     counts = counts.withColumn("_n", F.when(F.col("_n") <= ROW_BITS, F.col("_n")).otherwise(
         F.raise_error(F.lit("a partition has too many rows, give more parts")).cast("bigint")))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
+    return counts.select(
         "_part",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
         F.sum("_n").over(Window.partitionBy()).alias("_total"),
     )
-    placed = (
-        hashed.repartitionById(parts, F.col("_part")).sortWithinPartitions("_key", *keys)
-        .withColumn("_inside", F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS)))
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(pos, F.col("_before") + F.col("_inside"))
+
+
+def _numbered(hashed, keys, parts):
+    """Rows in their parts, each with its place inside its part."""
+    return hashed.repartitionById(parts, F.col("_part")).sortWithinPartitions("_key", *keys).withColumn(
+        "_inside", F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS)))
+
+
+def write_in_order(df, keys, folder, seed=42, parts=None):
+    """Write the rows in the shuffled order of epoch_order, a range of places per file, without the keys.
+
+    df is read once; the row counts that turn places inside a file into places in the whole are taken from the written rows.
+    """
+    spark = df.sparkSession
+    parts = min(PREFIXES, parts or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = _numbered(_hashed(df, keys, seed, 0, parts), keys, parts).drop("_key", *keys)
+    rows.write.mode("overwrite").parquet(f"{folder}/rows")
+    counts = spark.read.schema(rows.schema).parquet(f"{folder}/rows").groupBy("_part").agg(F.count("*").alias("_n"))
+    _offsets(counts).coalesce(1).write.mode("overwrite").parquet(f"{folder}/offsets")
+
+
+def read_in_order(spark, folder):
+    """What write_in_order has written, with its place `pos` from 0 on, and the number of rows."""
+    rows = spark.read.parquet(f"{folder}/rows")
+    offsets = spark.read.schema("_part int, _before bigint, _total bigint").parquet(f"{folder}/offsets")
+    first = offsets.select("_total").first()
+    placed = rows.join(F.broadcast(offsets), "_part").withColumn("pos", F.col("_before") + F.col("_inside"))
+    return placed.drop("_part", "_inside", "_before", "_total"), first._total if first else 0
+
+
+#: Rounds of the permutation, and how often a place outside the rows is permuted again.
+ROUNDS, WALKS = 6, 64
+
+
+def permuted(pos, n, seed=42, epoch=0):
+    """Place in 0..n-1 of each place in 0..n-1 under a permutation that depends on (n, seed, epoch) only; no sort, no shuffle.
+
+    A place is written with two digits of base ceil(sqrt(n)). A round swaps them and adds a hash of one to the other, which loses
+    nothing; so the rounds permute all two-digit numbers. A result beyond n - 1 is permuted again until it lies within. At most
+    2 sqrt(n) numbers lie beyond, so that happens seldom; more than WALKS times, with a chance below 1e-60 a row, is an error.
+    """
+    side = math.isqrt(max(n, 1) - 1) + 1
+    keys = F.array(*[
+        F.lit(int.from_bytes(hashlib.md5(f"{seed}:{epoch}:{i}".encode()).digest()[:8], "big", signed=True)) for i in range(ROUNDS)])
+
+    def once(place):
+        digits = F.struct(F.call_function("div", place, F.lit(side)).alias("a"), F.pmod(place, F.lit(side)).cast("bigint").alias("b"))
+        return F.aggregate(keys, digits, lambda d, key: F.struct(
+            d["b"].alias("a"), F.pmod(d["a"] + F.pmod(F.xxhash64(d["b"], key), F.lit(side)), F.lit(side)).cast("bigint").alias("b")),
+            lambda d: d["a"] * F.lit(side) + d["b"])
+
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), once(pos), lambda p, _: F.when(p < n, p).otherwise(once(p)))
+    return F.when(walked < n, walked).otherwise(F.raise_error(F.lit("no place within the rows")).cast("bigint"))
+
+
+def deal(placed, n, world, seed=42, epoch=0):
+    """Deal n rows with places `pos` to ranks as shard does, with padding, by a permutation of their places: rank, pos_in_rank."""
+    last = -(-n // world) * world - 1
+    return (
+        placed.select("*", F.explode(F.sequence(permuted(F.col("pos"), n, seed, epoch), F.lit(last).cast("bigint"), F.lit(max(n, 1)).cast("bigint"))).alias("_place"))
+        .withColumn("rank", F.pmod("_place", F.lit(world)).cast("int"))
+        .withColumn("pos_in_rank", F.call_function("div", F.col("_place"), F.lit(world)))
+        .drop("_place", "pos")
     )
-    if total:
-        placed = placed.withColumn(total, F.col("_total"))
-    return placed.drop("_key", "_part", "_inside", "_before", "_total")
 
 
 def shard(df, keys, world, seed=42, epoch=0, mode="split", pad=True):

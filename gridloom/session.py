@@ -15,3 +15,21 @@ def shared_dir(spark):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gridloom-"))
     return spark.sparkContext.getCheckpointDir()
+
+
+def _file_system(spark, path):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def is_written(spark, folder):
+    """Whether a write job has finished in the folder."""
+    system, path = _file_system(spark, f"{folder}/_SUCCESS")
+    return system.exists(path)
+
+
+def remove(spark, pattern):
+    """Delete the folders that a path pattern names; none is fine."""
+    system, path = _file_system(spark, pattern)
+    for found in system.globStatus(path) or []:
+        system.delete(found.getPath(), True)

@@ -1,16 +1,19 @@
 """Data-parallel training as Spark jobs.
 
-The rows are shuffled per epoch and dealt to `world` ranks.
+The source is read once a run: its rows are written in a shuffled order, with their values packed into bytes. An epoch's order is a
+permutation of the places in that order, so dealing the rows to `world` ranks is one shuffle of packed rows and nothing else.
 
-sync="epoch"  One job per epoch. Each rank's rows go to one partition and stream through mapInArrow in
-              minibatches, so they never sit in memory together; the ranks' parameters are averaged once per
-              epoch. Tasks are independent and a lost one is simply run again. The form for large clusters.
+sync="epoch"  One job per epoch. Each rank's rows go to one partition and stream through mapInArrow; the ranks' parameters are averaged
+              once per epoch. Tasks are independent and a lost one is simply run again. The form for large clusters.
 sync="step"   One job per step: every rank computes the gradient of its minibatch, the gradients are averaged and
-              one update follows. Exact data-parallel steps at the price of a job each.
+              one update follows. Exact data-parallel steps at the price of a job each. The epoch's rows are kept as packed minibatches,
+              one row per rank and step, of which a step reads its own only.
 
-Parameters and gradients of all ranks come to the driver only while together they stay below GATHER_LIMIT;
-beyond that they are averaged in Spark first, one group per chunk of parameters with one row per rank. Rows never
-reach the driver.
+Gradients of a minibatch are added up over pieces of at most PIECE_BYTES, so its size does not bound memory. Batch-norm needs a whole
+minibatch at once; one of more than WHOLE_BYTES is refused there.
+
+Parameters and gradients of the ranks are averaged in Spark, chunk by chunk, FAN ranks at a time, level by level; what comes to the
+driver is one model. Rows never reach the driver.
 """
 
 import uuid
@@ -23,15 +26,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.operators import layers, ordering
-from gridloom.session import shared_dir
+from gridloom.session import is_written, remove, shared_dir
 from gridloom.sinks import store
 from gridloom.training import kernels
 from gridloom.training.arch import Arch, init_params, n_classes, sgd
 from gridloom.training.model import featurize, share_arrays
 
 CHUNK = 16384
-BLOCK_STEPS = 128
-GATHER_LIMIT = 64 << 20
+FAN = 32
+BLOCK_STEPS = 128  # log records of so many steps are written together
+PIECE_BYTES = 1 << 20
+WHOLE_BYTES = 256 << 20
 
 OUTPUT = (
     "kind string, rank int, batch_idx bigint, n_samples int, n_correct int, loss double, ts timestamp, "
@@ -83,17 +88,44 @@ def _chunks(kind, rank, arrays):
             }
 
 
-def _gradients(cfg, params, rank, step, x, y):
-    """Log record, gradients and batch-norm statistics of one minibatch."""
-    net = cfg.net
-    x = x.astype(np.float32).reshape(-1, net.channels, net.height, net.width) / np.float32(cfg.denom)
-    rng = np.random.default_rng([cfg.seed, cfg.epoch, rank, step])
-    scores, tape, stats = kernels.forward(net.layers, params, x, rng)
-    loss, g = kernels.cross_entropy(scores, y)
-    grads = kernels.backward(net.layers, params, tape, g)
-    if cfg.train_only:
-        grads = {n: v for n, v in grads.items() if n.startswith(cfg.train_only)}
-    return _record("log", rank, step, len(y), int((scores.argmax(axis=1) == y).sum()), loss), grads, stats
+def _batch_norm(net):
+    return any(layer[0] == "batch_norm" for layer in net.layers)
+
+
+def _piece_rows(net, batch):
+    """Rows of a minibatch that are held at once."""
+    row = 4 * net.channels * net.height * net.width
+    if not _batch_norm(net):
+        return max(1, PIECE_BYTES // row)
+    if batch * row > WHOLE_BYTES:
+        raise ValueError(f"batch-norm needs all {batch} rows of a minibatch at once, more than {WHOLE_BYTES} bytes")
+    return batch
+
+
+class Minibatch:
+    """Loss, gradients and batch-norm statistics of one minibatch, added up piece by piece."""
+
+    def __init__(self, cfg, params, rank, step):
+        self.cfg, self.params, self.rank, self.step = cfg, params, rank, step
+        self.rng = np.random.default_rng([cfg.seed, cfg.epoch, rank, step])
+        self.n, self.right, self.loss, self.sums, self.stats = 0, 0, 0.0, {}, {}
+
+    def add(self, x, y):
+        net = self.cfg.net
+        x = x.astype(np.float32).reshape(-1, net.channels, net.height, net.width) / np.float32(self.cfg.denom)
+        scores, tape, self.stats = kernels.forward(net.layers, self.params, x, self.rng)
+        loss, g = kernels.cross_entropy(scores, y)
+        grads = kernels.backward(net.layers, self.params, tape, g)
+        self.n, self.right, self.loss = self.n + len(y), self.right + int((scores.argmax(axis=1) == y).sum()), self.loss + loss * len(y)
+        for name, v in grads.items():
+            if not self.cfg.train_only or name.startswith(self.cfg.train_only):
+                self.sums[name] = self.sums.get(name, 0) + v * np.float32(len(y))
+
+    def record(self):
+        return _record("log", self.rank, self.step, self.n, self.right, self.loss / self.n)
+
+    def gradients(self):
+        return {name: v / np.float32(self.n) for name, v in self.sums.items()}
 
 
 def _mix_statistics(params, stats):
@@ -104,11 +136,50 @@ def _mix_statistics(params, stats):
             params[f"{name}.{key}"] = (0.9 * old + 0.1 * new).astype(old.dtype)
 
 
+# --- packed rows ---------------------------------------------------------------------------------------------
+
+def _byte_rows(x):
+    """Each row of a matrix as bytes: one byte a value if all are whole numbers from 0 to 255, else four."""
+    small = np.issubdtype(x.dtype, np.integer) and (not x.size or (x.min() >= 0 and x.max() <= 255))
+    x = np.ascontiguousarray(x, np.uint8 if small else np.float32)
+    offsets = np.arange(len(x) + 1, dtype=np.int64) * (x.shape[1] * x.itemsize)
+    return pa.Array.from_buffers(pa.large_binary(), len(x), [None, pa.py_buffer(offsets), pa.py_buffer(x)]).cast(pa.binary())
+
+
+def _unpacked(column, width):
+    """Matrix of a column of packed rows."""
+    rows = column.to_pylist()
+    sizes = {len(r) for r in rows}
+    if sizes == {width}:
+        return np.frombuffer(b"".join(rows), np.uint8).reshape(-1, width)
+    if sizes == {4 * width}:
+        return np.frombuffer(b"".join(rows), np.float32).reshape(-1, width)
+    return np.stack([np.frombuffer(r, np.uint8 if len(r) == width else np.float32).astype(np.float32) for r in rows])
+
+
+def write_rows(examples, keys, folder, width, classes, source, label, seed):
+    """Pack x and y of all rows and write them in shuffled order; reads the source once."""
+    y = F.col(label).cast("int")
+    known = F.when(y.between(0, classes - 1), y).otherwise(F.raise_error(F.concat(
+        F.lit(f"label not in 0..{classes - 1}: "), F.coalesce(F.col(label).cast("string"), F.lit("null")))).cast("int"))
+    needed = examples.select(*keys, known.alias("y"), F.col(source).alias("x"))
+
+    def pack(batches):
+        for batch in batches:
+            packed = _byte_rows(layers.to_matrix(batch.column("x"), width))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], packed], names=batch.schema.names)
+
+    fields = needed.schema.fields[:-1]
+    packed = needed.mapInArrow(pack, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", x binary")
+    ordering.write_in_order(packed, list(keys), folder, seed)
+
+
 # --- one job per epoch ---------------------------------------------------------------------------------------
 
-def _minibatches(batches, size, width):
-    """(rank, matrix, labels) of exactly `size` rows each, the last one shorter."""
-    xs, ys, held, rank = [], [], 0, None
+def _pieces(batches, size, most, width):
+    """(rank, matrix, labels, last) of at most `most` rows each; `last` ends a minibatch of `size` rows. Where a minibatch is cut
+    depends on its own rows only."""
+    xs, ys, held, done, rank = [], [], 0, 0, None
     for batch in batches:
         if not len(batch):
             continue
@@ -116,17 +187,20 @@ def _minibatches(batches, size, width):
         if (ranks != (ranks[0] if rank is None else rank)).any():
             raise RuntimeError("a partition holds rows of more than one rank")
         rank = int(ranks[0])
-        x, y = layers.to_matrix(batch.column(1), width), batch.column(2).to_numpy(zero_copy_only=False)
+        x, y = _unpacked(batch.column(1), width), batch.column(2).to_numpy(zero_copy_only=False)
         while len(y):
-            take = min(size - held, len(y))
+            take = min(most - held, size - done - held, len(y))
             xs.append(x[:take])
             ys.append(y[:take])
             held, x, y = held + take, x[take:], y[take:]
-            if held == size:
-                yield rank, np.concatenate(xs), np.concatenate(ys)
+            if held == most or done + held == size:
+                done = (done + held) % size
+                yield rank, np.concatenate(xs), np.concatenate(ys), done == 0
                 xs, ys, held = [], [], 0
     if held:
-        yield rank, np.concatenate(xs), np.concatenate(ys)
+        yield rank, np.concatenate(xs), np.concatenate(ys), True
+    elif done:
+        yield rank, None, None, True
 
 
 def _rank_task(cfg, shared):
@@ -136,12 +210,18 @@ def _rank_task(cfg, shared):
     def run(batches):
         params = {n: a.copy() for n, a in shared.value["model"].items()}
         state = {n: a.copy() for n, a in shared.value["optimizer"].items()}
-        rank, log = None, []
-        for step, (rank, x, y) in enumerate(_minibatches(batches, cfg.batch, width)):
-            record, grads, stats = _gradients(cfg, params, rank, step, x, y)
-            kernels.update(cfg.opt, params, grads, state)
-            _mix_statistics(params, stats)
+        rank, log, step, now = None, [], 0, None
+        for rank, x, y, last in _pieces(batches, cfg.batch, _piece_rows(cfg.net, cfg.batch), width):
+            now = now or Minibatch(cfg, params, rank, step)
+            if x is not None:
+                now.add(x, y)
+            if not last:
+                continue
+            kernels.update(cfg.opt, params, now.gradients(), state)
+            _mix_statistics(params, now.stats)
+            record = now.record()
             log.append(record)
+            step, now = step + 1, None
             if len(log) == 1000:
                 yield pa.RecordBatch.from_pylist(log, schema=ARROW_OUTPUT)
                 log = []
@@ -156,34 +236,36 @@ def _rank_task(cfg, shared):
     return run
 
 
-def _mean_chunk(table):
-    """Average over ranks, added up in rank order; the other columns are those of the lowest rank."""
+def _sum_chunk(table):
+    """Sum over some ranks of one chunk, in rank order; the other columns are those of the lowest rank."""
     table = table.sort_by("rank")
-    mean = np.mean([v.values.to_numpy() for v in table.column("vals")], axis=0, dtype=np.float64)
+    vals = pa.array([np.add.reduce([v.values.to_numpy() for v in table.column("vals")])], pa.list_(pa.float64()))
     first = table.slice(0, 1)
-    return first.set_column(
-        first.schema.get_field_index("vals"), "vals", pa.array([mean.astype(np.float32)], pa.list_(pa.float32()))
-    )
+    first = first.set_column(first.schema.get_field_index("vals"), "vals", vals)
+    return first.set_column(first.schema.get_field_index("n"), "n", pa.array([sum(table.column("n").to_pylist())], pa.int32()))
+
 
+def _average(rows, world, fan=None):
+    """Mean over ranks of every parameter chunk, as arrays by kind and name, plus all other rows.
 
-def _average(rows, world, model, limit=None):
-    """Mean over ranks of every parameter chunk, as arrays by kind and name, plus all other rows."""
-    gathered = 2 * world * sum(a.nbytes for a in model.values())
-    if gathered > (GATHER_LIMIT if limit is None else limit):
-        rows = rows.groupBy("kind", "name", "chunk").applyInArrow(_mean_chunk, rows.schema)
-    table = rows.toArrow().sort_by([("name", "ascending"), ("chunk", "ascending"), ("rank", "ascending")])
+    Ranks are added up `fan` at a time, then those sums, until one is left for each chunk: that one comes to the driver.
+    """
+    fan = fan or FAN
+    rows = rows.withColumn("vals", F.col("vals").cast("array<double>")).withColumn("n", F.lit(1))
+    while world > 1:
+        rows = rows.withColumn("rank", F.call_function("div", F.col("rank"), F.lit(fan)).cast("int")) if world > fan else rows
+        by = ["kind", "name", "chunk", "rank"] if world > fan else ["kind", "name", "chunk"]
+        rows = rows.groupBy(*by).applyInArrow(_sum_chunk, rows.schema)
+        world = -(-world // fan) if world > fan else 1
+    table = rows.toArrow().sort_by([("name", "ascending"), ("chunk", "ascending")])
     chunks, others = {}, []
-    small = table.drop_columns("vals").to_pylist()
-    for r, vals in zip(small, table.column("vals")):
+    for r, vals in zip(table.drop_columns("vals").to_pylist(), table.column("vals")):
         if r["kind"] in ("model", "optimizer", "gradient"):
-            chunks.setdefault((r["kind"], r["name"], tuple(r["shape"])), {}).setdefault(r["chunk"], []).append(
-                vals.values.to_numpy()
-            )
+            chunks.setdefault((r["kind"], r["name"], tuple(r["shape"])), []).append((vals.values.to_numpy() / r["n"]).astype(np.float32))
         else:
             others.append(r | {"vals": vals.values.to_numpy() if vals.is_valid else None})
     arrays = {}
-    for (kind, name, shape), by_chunk in chunks.items():
-        means = [np.mean(v, axis=0, dtype=np.float64).astype(np.float32) for v in by_chunk.values()]
+    for (kind, name, shape), means in chunks.items():
         arrays.setdefault(kind, {})[name] = np.concatenate(means).reshape(shape)
     return arrays, others
 
@@ -195,34 +277,60 @@ def _epoch_job(spark, cfg, dealt, world, state, out):
         .sortWithinPartitions("pos_in_rank").select("rank", "x", "y")
     )
     # Written out because both the log and the parameters are read from it.
-    ordered.mapInArrow(_rank_task(cfg, shared), OUTPUT).write.parquet(out)
+    ordered.mapInArrow(_rank_task(cfg, shared), OUTPUT).write.partitionBy("kind").parquet(out)
     shared.unpersist()
     written = spark.read.schema(OUTPUT).parquet(out).filter(F.col("kind") != "log")
-    averaged, lasts = _average(
-        written.select("kind", "rank", "name", "shape", "chunk", "loss", "vals"), world, state["model"]
-    )
-    return {"model": averaged["model"], "optimizer": averaged.get("optimizer", {})}, lasts[0]["loss"]
+    averaged, lasts = _average(written.select("kind", "rank", "name", "shape", "chunk", "loss", "vals"), world)
+    loss = min((r for r in lasts if r["kind"] == "last"), key=lambda r: r["rank"])["loss"]
+    return {"model": averaged["model"], "optimizer": averaged.get("optimizer", {})}, loss
 
 
 # --- one job per step ----------------------------------------------------------------------------------------
 
+PACKED = "rank int, step bigint, piece int, n int, x binary, y binary"
+
+
+def _packed_minibatches(cfg, dealt, world):
+    """One row per rank and step, or a few where a minibatch is cut into pieces; a partition per rank, in order."""
+    net = cfg.net
+    width = net.channels * net.height * net.width
+    most = _piece_rows(net, cfg.batch)
+    batch = cfg.batch
+
+    def run(batches):
+        step, piece = 0, 0
+        for rank, x, y, last in _pieces(batches, batch, most, width):
+            if x is not None:
+                yield pa.RecordBatch.from_pydict({
+                    "rank": pa.array([rank], pa.int32()), "step": pa.array([step], pa.int64()), "piece": pa.array([piece], pa.int32()),
+                    "n": pa.array([len(y)], pa.int32()), "x": pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()),
+                    "y": pa.array([y.astype(np.int32).tobytes()], pa.binary())})
+            step, piece = (step + 1, 0) if last else (step, piece + 1)
+
+    return (
+        dealt.select("rank", "pos_in_rank", "x", "y").repartitionById(world, F.col("rank"))
+        .sortWithinPartitions("pos_in_rank").select("rank", "x", "y").mapInArrow(run, PACKED)
+    )
+
+
 def _step_task(cfg, shared):
-    """Gradient of one minibatch; a partition holds at most one rank's rows of the step."""
+    """Gradient of one minibatch; a partition holds one rank's pieces of the step."""
     width = cfg.net.channels * cfg.net.height * cfg.net.width
 
     def run(batches):
-        held = [b for b in batches if len(b)]
-        if not held:
+        now = None
+        for batch in batches:
+            for r in batch.to_pylist():
+                now = now or Minibatch(cfg, shared.value["model"], r["rank"], r["step"])
+                kind = np.uint8 if len(r["x"]) == r["n"] * width else np.float32
+                now.add(np.frombuffer(r["x"], kind).reshape(-1, width), np.frombuffer(r["y"], np.int32))
+        if now is None:
             return
-        table = pa.Table.from_batches(held).combine_chunks()
-        rank, step = table.column("rank")[0].as_py(), table.column("batch_idx")[0].as_py()
-        x, y = layers.to_matrix(table.column("x").chunk(0), width), table.column("y").to_numpy()
-        record, grads, stats = _gradients(cfg, shared.value["model"], rank, step, x, y)
-        rows = [record | {"name": f"log {rank}", "chunk": 0, "vals": []}]
-        rows += _chunks("gradient", rank, grads)
-        if rank == 0:
-            for name, (mean, var, n) in stats.items():
-                rows.append({"kind": "statistics", "rank": rank, "name": name, "chunk": n, "vals": [*mean, *var]})
+        rows = [now.record() | {"name": f"log {now.rank}", "chunk": 0, "vals": []}]
+        rows += _chunks("gradient", now.rank, now.gradients())
+        if now.rank == 0:
+            for name, (mean, var, n) in now.stats.items():
+                rows.append({"kind": "statistics", "rank": now.rank, "name": name, "chunk": n, "vals": [*mean, *var]})
         yield pa.RecordBatch.from_pylist(rows, schema=ARROW_OUTPUT)
 
     return run
@@ -238,40 +346,42 @@ def _statistics(rows):
     return found
 
 
-def _step_jobs(spark, cfg, dealt, world, state, out, folder):
-    """All steps of an epoch. The dealt rows are written once, cut into blocks of steps, and each block is kept
-    in memory while its steps run."""
-    rows = (
-        ordering.minibatch(dealt, cfg.batch)
-        .withColumn("block", F.call_function("div", F.col("batch_idx"), F.lit(BLOCK_STEPS)))
-        .select("block", "rank", "batch_idx", "slot", "x", "y")
-    )
-    (
-        rows.repartition("block", "rank").sortWithinPartitions("block", "batch_idx")
-        .write.mode("overwrite").partitionBy("block").parquet(folder)
-    )
-    stored = spark.read.schema(rows.schema).parquet(folder)
-    n_steps = (stored.agg(F.max("batch_idx").alias("n")).first().n or 0) + 1
-    params, opt_state, last = dict(state["model"]), dict(state["optimizer"]), None
-    for first in range(0, n_steps, BLOCK_STEPS):
-        block = (
-            stored.filter(F.col("block") == first // BLOCK_STEPS).repartitionById(world, F.col("rank"))
-            .sortWithinPartitions("batch_idx", "slot").select("rank", "batch_idx", "x", "y").persist()
-        )
-        records = []
-        for step in range(first, min(first + BLOCK_STEPS, n_steps)):
-            shared = share_arrays(spark, {"model": params})
-            found = block.filter(F.col("batch_idx") == step).mapInArrow(_step_task(cfg, shared), OUTPUT)
-            grads, others = _average(found, world, params)
-            shared.unpersist()
-            kernels.update(cfg.opt, params, grads["gradient"], opt_state)
-            log = sorted((r for r in others if r["kind"] == "log"), key=lambda r: r["rank"])
-            _mix_statistics(params, _statistics(others))
-            records += log
-            last = log[0]["loss"]
-        block.unpersist()
-        table = pa.Table.from_pylist(records, schema=ARROW_OUTPUT)
-        spark.createDataFrame(table).write.mode("append").parquet(out)
+def _kept_row_by_row(df):
+    """Persist with statistics for each row, so that a filter on the step skips all other rows.
+
+    The number of rows that share statistics is taken from the session when a table is marked for keeping; it is put back at once.
+    """
+    spark, name = df.sparkSession, "spark.sql.inMemoryColumnarStorage.batchSize"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1")
+    try:
+        return df.persist()
+    finally:
+        spark.conf.set(name, before)
+
+
+def _step_jobs(spark, cfg, dealt, world, state, out):
+    """All steps of an epoch over its packed minibatches, which are kept in memory or on the executors' disks."""
+    packed = _kept_row_by_row(_packed_minibatches(cfg, dealt, world))
+    n_steps = packed.agg(F.max("step").alias("n")).first().n + 1
+    params, opt_state, last, records = dict(state["model"]), dict(state["optimizer"]), None, []
+    for step in range(n_steps):
+        shared = share_arrays(spark, {"model": params})
+        found = packed.filter(F.col("step") == step).mapInArrow(_step_task(cfg, shared), OUTPUT)
+        grads, others = _average(found, world)
+        shared.unpersist()
+        kernels.update(cfg.opt, params, grads["gradient"], opt_state)
+        # a level of the averaging has replaced the rank by its group's number
+        log = [r | {"rank": int(r["name"].removeprefix("log "))} for r in others if r["kind"] == "log"]
+        log.sort(key=lambda r: r["rank"])
+        _mix_statistics(params, _statistics(others))
+        records += log
+        last = log[0]["loss"]
+        if (step + 1) % BLOCK_STEPS == 0 or step + 1 == n_steps:
+            table = pa.Table.from_pylist(records, schema=ARROW_OUTPUT)
+            spark.createDataFrame(table).write.partitionBy("kind").mode("append").parquet(out)
+            records = []
+    packed.unpersist()
     return {"model": params, "optimizer": opt_state}, last
 
 
@@ -284,12 +394,14 @@ def fit(
     """Train `net` and return its parameters and the per-batch log.
 
     A checkpoint is saved after every epoch under root; calling fit again with the same run_id goes on after the
-    last finished epoch, and does nothing if all epochs are done. A resumed run keeps the seed it was started
-    with. A label outside the classes of the last layer fails the job; no rows are an error. The model is broadcast, so
+    last finished epoch, and does nothing if all epochs are done. A resumed run keeps the seed and, if its packed rows are still
+    there, the rows it was started with; a finished run deletes them. What every rank ended an epoch with (`replicas`) stays for the
+    newest epoch only. A label outside the classes of the last layer fails the job; no rows are an error. The model is broadcast, so
     one of more than model.MODEL_LIMIT bytes is refused. train_only: name prefixes of the parameters to train; the others stay frozen.
     """
     if sync not in ("epoch", "step"):
         raise ValueError(f"unknown sync {sync!r}")
+    _piece_rows(net, batch)
     spark = examples.sparkSession
     root = root or f"{shared_dir(spark)}/runs"
     run_id = run_id or uuid.uuid4().hex
@@ -301,23 +413,26 @@ def fit(
     else:
         state = {"model": params or init_params(net, seed), "optimizer": {}}
 
-    classes = n_classes(net)
-    y = F.col(label).cast("int")
-    known = F.when(y.between(0, classes - 1), y).otherwise(F.raise_error(F.concat(
-        F.lit(f"label not in 0..{classes - 1}: "), F.coalesce(F.col(label).cast("string"), F.lit("null")))).cast("int"))
-    needed = examples.select(*keys, F.col(source).alias("x"), known.alias("y"))
-    if saved["start_epoch"] < epochs and examples.isEmpty():
-        raise ValueError("no rows to train on")
+    folder = f"{root}/{run_id}/rows"
+    if saved["start_epoch"] < epochs:
+        if not is_written(spark, f"{folder}/offsets"):
+            write_rows(examples, keys, folder, net.channels * net.height * net.width, n_classes(net), source, label, seed)
+        placed, n = ordering.read_in_order(spark, folder)
+        if not n:
+            raise ValueError("no rows to train on")
     for epoch in range(saved["start_epoch"], epochs):
         save_id = uuid.uuid4().hex
         out = f"{root}/{run_id}/epochs/epoch={epoch}/save_id={save_id}"
         cfg = Settings(net, opt, batch, seed, epoch, denom, tuple(train_only) if train_only else None)
-        dealt = ordering.shard(needed, list(keys), world, seed, epoch)
+        dealt = ordering.deal(placed, n, world, seed, epoch)
         if sync == "epoch":
             state, loss = _epoch_job(spark, cfg, dealt, world, state, out)
         else:
-            state, loss = _step_jobs(spark, cfg, dealt, world, state, out, f"{root}/{run_id}/dealt")
+            state, loss = _step_jobs(spark, cfg, dealt, world, state, out)
         store.save_checkpoint(spark, root, run_id, epoch, state["model"], state["optimizer"], loss, seed, save_id)
+        if epoch:
+            remove(spark, f"{root}/{run_id}/epochs/epoch={epoch - 1}/save_id=*/kind={{model,optimizer,last}}")
+    remove(spark, folder)
     return FitResult(run_id, state["model"], state["optimizer"], fit_log(spark, root, run_id), root)
 
 
@@ -335,7 +450,7 @@ def fit_log(spark, root, run_id):
 
 
 def replicas(spark, root, run_id, epoch):
-    """What every rank ended an epoch with, before averaging (sync="epoch" only): name, rank, vals.
+    """What every rank ended the run's newest epoch with, before averaging (sync="epoch" only): name, rank, vals.
 
     Long parameters come in chunks, `name/chunk`. Made for parameters.replica_check. Only the epoch's newest finished
     save counts; what an attempt left that was lost before its checkpoint does not.

@@ -106,3 +106,31 @@ def test_sample_is_cut_to_the_row_count_and_repeatable(spark):
     take = lambda n, k, seed=1: [r.idx for r in ordering.sample_k(rows(spark, n), ["idx"], k, seed).collect()]
     assert sorted(take(5, 10)) == list(range(5)) and take(0, 10) == []
     assert len(set(take(1000, 10))) == 10 and take(1000, 10) == take(1000, 10) != take(1000, 10, 2)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 50, 99, 101, 1000, 5000])
+def test_permuted_places_are_a_permutation_that_changes_with_the_epoch(spark, n):
+    first, second = (
+        [r.p for r in spark.range(n).orderBy("id").select(ordering.permuted(F.col("id"), n, 3, epoch).alias("p")).collect()] for epoch in (0, 1))
+    assert sorted(first) == sorted(second) == list(range(n))
+    if n > 50:
+        assert sum(a == b for a, b in zip(first, second)) < n / 10 and sum(a + 1 == b for a, b in zip(first, first[1:])) < n / 10
+
+
+def test_rows_written_in_order_have_the_places_of_the_epoch_order(spark, tmp_path):
+    df = spark.range(500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    ordering.write_in_order(df, ["k"], str(tmp_path / "a"), seed=9)
+    rows, n = ordering.read_in_order(spark, str(tmp_path / "a"))
+    want = {r.v: r.pos for r in ordering.epoch_order(df, ["k"], seed=9).collect()}
+    assert n == 500 and {r.v: r.pos for r in rows.collect()} == want
+    ordering.write_in_order(df.limit(0), ["k"], str(tmp_path / "b"))
+    assert ordering.read_in_order(spark, str(tmp_path / "b"))[1] == 0
+
+
+@pytest.mark.parametrize("n, world", [(10, 3), (9, 3), (2, 8), (1, 1), (100, 7)])
+def test_deal_gives_every_rank_the_same_number_of_rows(spark, n, world):
+    rows = ordering.deal(spark.range(n).withColumn("pos", F.col("id")), n, world, 5, 2).collect()
+    per = -(-n // world)
+    assert sorted((r.rank, r.pos_in_rank) for r in rows) == [(k, i) for k in range(world) for i in range(per)]
+    by_place = {r.pos_in_rank * world + r.rank: r.id for r in rows}
+    assert {by_place[i] for i in range(n)} == set(range(n)) and all(by_place[i] == by_place[i - n] for i in range(n, per * world))

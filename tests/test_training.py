@@ -54,13 +54,92 @@ def test_step_sync_in_blocks_gives_the_same(train, monkeypatch):
 
 
 @pytest.mark.parametrize("sync", ["epoch", "step"])
-def test_averaging_in_spark_equals_averaging_on_the_driver(train, monkeypatch, sync):
-    small = fit.fit(train, net("C"), world=3, sync=sync)
-    monkeypatch.setattr(fit, "GATHER_LIMIT", 0)
+def test_averaging_level_by_level_gives_the_same(train, monkeypatch, sync):
+    flat = fit.fit(train, net("C"), world=5, batch=20, sync=sync)
+    monkeypatch.setattr(fit, "FAN", 2)
     monkeypatch.setattr(fit, "CHUNK", 1000)
-    large = fit.fit(train, net("C"), world=3, sync=sync)
-    assert same(small.params, large.params, rtol=0, atol=0)
-    assert small.log.count() == large.log.count() == 6
+    tree = fit.fit(train, net("C"), world=5, batch=20, sync=sync)
+    assert same(flat.params, tree.params, rtol=0, atol=1e-6)
+    rows = [sorted((r.rank, r.batch_idx, r.n_samples, r.n_correct) for r in done.log.collect()) for done in (flat, tree)]
+    assert rows[0] == rows[1] and len(rows[0]) == 20 and {r[0] for r in rows[0]} == set(range(5))
+
+
+@pytest.mark.parametrize("sync", ["epoch", "step"])
+def test_gradients_over_pieces_equal_those_of_whole_minibatches(train, monkeypatch, sync):
+    whole = fit.fit(train, net("B"), world=2, batch=50, sync=sync)
+    monkeypatch.setattr(fit, "PIECE_BYTES", 7 * 64 * 4)
+    cut = fit.fit(train, net("B"), world=2, batch=50, sync=sync)
+    assert same(whole.params, cut.params, atol=1e-5)
+    logs = [sorted((r.rank, r.batch_idx, r.n_samples, r.n_correct, round(r.loss, 4)) for r in x.log.collect()) for x in (whole, cut)]
+    assert logs[0] == logs[1] and len(logs[0]) == 8
+
+
+def test_a_minibatch_too_large_for_batch_norm_is_refused(train):
+    with pytest.raises(ValueError, match="batch-norm"):
+        fit.fit(train, net("C"), batch=1 << 30)
+
+
+def test_pieces_depend_on_the_minibatch_only():
+    import pyarrow as pa
+
+    x = np.arange(46, dtype=np.uint8).reshape(23, 2)
+    for cuts in ([0, 23], [0, 1, 4, 9, 23], list(range(24))):
+        batches = [
+            pa.RecordBatch.from_arrays([pa.array([3] * (j - i), pa.int32()), fit._byte_rows(x[i:j]), pa.array(x[i:j, 0].astype(np.int32))], ["rank", "x", "y"])
+            for i, j in zip(cuts, cuts[1:])]
+        got = list(fit._pieces(batches, 10, 4, 2))
+        assert [len(y) for _, _, y, _ in got] == [4, 4, 2, 4, 4, 2, 3] and [last for *_, last in got] == [False, False, True] * 2 + [True]
+        assert (np.concatenate([p[1] for p in got]) == x).all() and {p[0] for p in got} == {3}
+
+
+def test_values_beyond_a_byte_keep_their_size():
+    import pyarrow as pa
+
+    for x in ([[0, 255]], [[-1, 7]], [[0, 256]]):
+        assert (fit._unpacked(fit._byte_rows(np.array(x)), 2) == np.array(x)).all()
+    assert (fit._unpacked(fit._byte_rows(np.array([[0.5, -3.0]])), 2) == [[0.5, -3.0]]).all()
+    mixed = pa.concat_arrays([fit._byte_rows(np.array([[1, 2]])), fit._byte_rows(np.array([[0.5, 2.0]]))])
+    assert (fit._unpacked(mixed, 2) == [[1, 2], [0.5, 2]]).all()
+
+
+def test_a_run_reads_its_source_once_and_leaves_no_copy(spark, train, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    source = train.mapInArrow(counted, train.schema)
+    fit.fit(source, net("softmax"), world=3, epochs=3, root=str(tmp_path), run_id="a")
+    assert reads.value == train.count()
+    assert not (tmp_path / "a" / "rows").exists()
+    left = {p.parent.parent.name for p in (tmp_path / "a" / "epochs").glob("epoch=*/save_id=*/kind=model")}
+    assert left == {"epoch=2"}
+    assert fit.fit_log(spark, str(tmp_path), "a").select("epoch").distinct().count() == 3
+
+
+def test_an_epoch_shuffles_its_rows_once_and_a_step_reads_its_own_minibatches(spark, train, tmp_path):
+    from gridloom.operators import ordering
+
+    fit.write_rows(train, ["split", "idx"], str(tmp_path / "rows"), 64, CLASSES, "px", "label", 1)
+    placed, n = ordering.read_in_order(spark, str(tmp_path / "rows"))
+    dealt = ordering.deal(placed, n, 4, 1, 0).repartitionById(4, F.col("rank"))
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") - plan.count("BroadcastExchange") == 1
+    cfg = fit.Settings(net("softmax"), arch.sgd(), 16, 1, 0, 255.0, None)
+    packed = fit._kept_row_by_row(fit._packed_minibatches(cfg, ordering.deal(placed, n, 4, 1, 0), 4))
+    assert packed.count() == 4 * 6
+    step = packed.filter("step = 2")
+    assert step.count() == 4
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = packed.filter("step = 2")._jdf.queryExecution().executedPlan()
+        plan.execute().count()
+        assert plan.collectLeaves().head().metrics().get("numOutputRows").get().value() == 4
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    packed.unpersist()
 
 
 def test_result_does_not_depend_on_partitions(train):
