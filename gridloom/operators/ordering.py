@@ -78,21 +78,27 @@ def write_in_order(df, keys, folder, seed=42, parts=None):
 
     df is read once; the row counts that turn places inside a file into places in the whole are taken from the written rows.
     """
-    spark = df.sparkSession
-    parts = min(PREFIXES, parts or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = min(PREFIXES, parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = _numbered(_hashed(df, keys, seed, 0, parts), keys, parts).drop("_key", *keys)
-    rows.write.mode("overwrite").parquet(f"{folder}/rows")
-    counts = spark.read.schema(rows.schema).parquet(f"{folder}/rows").groupBy("_part").agg(F.count("*").alias("_n"))
-    _offsets(counts).coalesce(1).write.mode("overwrite").parquet(f"{folder}/offsets")
-
-
-def read_in_order(spark, folder):
-    """What write_in_order has written, with its place `pos` from 0 on, and the number of rows."""
-    rows = spark.read.parquet(f"{folder}/rows")
-    offsets = spark.read.schema("_part int, _before bigint, _total bigint").parquet(f"{folder}/offsets")
-    first = offsets.select("_total").first()
-    placed = rows.join(F.broadcast(offsets), "_part").withColumn("pos", F.col("_before") + F.col("_inside"))
-    return placed.drop("_part", "_inside", "_before", "_total"), first._total if first else 0
+    rows.write.mode("overwrite").parquet(folder)
+
+
+def read_in_order(spark, folder, columns):
+    """What write_in_order has written, with its place `pos` from 0 on, and the number of rows. columns: DDL of the written columns.
+
+    The counts of the files, at most PREFIXES, pass through the driver.
+    """
+    rows = spark.read.schema(f"{columns}, _part int, _inside bigint").parquet(folder)
+    counts, before = sorted((r._part, r.n) for r in rows.groupBy("_part").agg(F.count("*").alias("n")).collect()), 0
+    offsets = []
+    for part, n in counts:
+        if n > ROW_BITS:
+            raise ValueError("a partition has too many rows, give more parts")
+        offsets.append((part, before))
+        before += n
+    table = spark.createDataFrame(offsets, "_part int, _before bigint")
+    placed = rows.join(F.broadcast(table), "_part").withColumn("pos", F.col("_before") + F.col("_inside"))
+    return placed.drop("_part", "_inside", "_before"), before
 
 
 #: Rounds of the permutation, and how often a place outside the rows is permuted again.

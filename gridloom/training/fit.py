@@ -415,9 +415,9 @@ def fit(
 
     folder = f"{root}/{run_id}/rows"
     if saved["start_epoch"] < epochs:
-        if not is_written(spark, f"{folder}/offsets"):
+        if not is_written(spark, folder):
             write_rows(examples, keys, folder, net.channels * net.height * net.width, n_classes(net), source, label, seed)
-        placed, n = ordering.read_in_order(spark, folder)
+        placed, n = ordering.read_in_order(spark, folder, "y int, x binary")
         if not n:
             raise ValueError("no rows to train on")
     for epoch in range(saved["start_epoch"], epochs):

@@ -120,11 +120,11 @@ def test_permuted_places_are_a_permutation_that_changes_with_the_epoch(spark, n)
 def test_rows_written_in_order_have_the_places_of_the_epoch_order(spark, tmp_path):
     df = spark.range(500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     ordering.write_in_order(df, ["k"], str(tmp_path / "a"), seed=9)
-    rows, n = ordering.read_in_order(spark, str(tmp_path / "a"))
+    rows, n = ordering.read_in_order(spark, str(tmp_path / "a"), "v bigint")
     want = {r.v: r.pos for r in ordering.epoch_order(df, ["k"], seed=9).collect()}
     assert n == 500 and {r.v: r.pos for r in rows.collect()} == want
     ordering.write_in_order(df.limit(0), ["k"], str(tmp_path / "b"))
-    assert ordering.read_in_order(spark, str(tmp_path / "b"))[1] == 0
+    assert ordering.read_in_order(spark, str(tmp_path / "b"), "v bigint")[1] == 0
 
 
 @pytest.mark.parametrize("n, world", [(10, 3), (9, 3), (2, 8), (1, 1), (100, 7)])

@@ -123,7 +123,7 @@ def test_an_epoch_shuffles_its_rows_once_and_a_step_reads_its_own_minibatches(sp
     from gridloom.operators import ordering
 
     fit.write_rows(train, ["split", "idx"], str(tmp_path / "rows"), 64, CLASSES, "px", "label", 1)
-    placed, n = ordering.read_in_order(spark, str(tmp_path / "rows"))
+    placed, n = ordering.read_in_order(spark, str(tmp_path / "rows"), "y int, x binary")
     dealt = ordering.deal(placed, n, 4, 1, 0).repartitionById(4, F.col("rank"))
     plan = dealt._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") - plan.count("BroadcastExchange") == 1
