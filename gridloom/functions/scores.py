@@ -38,7 +38,15 @@ def dropout(x, keys, p=0.5, seed=42, epoch=0):
 
 
 def cross_entropy(scores, label):
-    """-log softmax(scores)[label], shifted by the largest score so that exp cannot overflow."""
-    top = F.array_max(scores)
-    total = F.aggregate(scores, F.lit(0.0), lambda acc, s: acc + F.exp(s - top))
-    return F.log(total) + top - F.get(scores, label)
+    """-log softmax(scores)[label].
+
+    One pass over the scores keeps the largest one so far and the sum of exp(score - largest), which is scaled down whenever a larger one
+    comes, so exp cannot overflow and no expression over all scores stands inside the pass.
+    """
+    def step(acc, s):
+        grown = F.struct(s.alias("top"), (acc["total"] * F.exp(acc["top"] - s) + F.lit(1.0)).alias("total"))
+        return F.when(s > acc["top"], grown).otherwise(F.struct(acc["top"].alias("top"), (acc["total"] + F.exp(s - acc["top"])).alias("total")))
+
+    start = F.struct(F.lit(float("-inf")).alias("top"), F.lit(0.0).alias("total"))
+    log_sum = F.aggregate(scores, start, step, lambda acc: F.log(acc["total"]) + acc["top"])
+    return log_sum - F.get(scores, label)

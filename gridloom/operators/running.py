@@ -84,9 +84,9 @@ def running_loss(log, span=SPAN):
 def smooth_loss(log, alpha=0.1, span=SPAN):
     """Exponential smoothing s = alpha * loss + (1 - alpha) * s per (run, rank), from s = 0.
 
-    Rows are cut into spans of batch numbers inside an epoch. A span's own recurrence runs from 0 in one task; it ends with
-    a state and passes on (1 - alpha) ** rows of the state before it. The states before the spans come from the same
-    recurrence over one row per span, so nothing is left out, however old: a NaN or an infinite loss stays.
+    Rows are cut into spans of batch numbers inside an epoch, which are shuffled once. A span's own recurrence runs from 0 in one task; it
+    ends with a state and passes on (1 - alpha) ** rows of the state before it. The states before the spans come from one row per span, so
+    nothing is left out, however old: a NaN or an infinite loss stays.
     """
     if not 0.0 < alpha < 1.0:
         raise ValueError("alpha must lie between 0 and 1")
@@ -95,7 +95,7 @@ def smooth_loss(log, alpha=0.1, span=SPAN):
 
     def fold(table):
         table = table.sort_by("batch_idx")
-        return table, _recurrence(table.column("loss").to_numpy(zero_copy_only=False), alpha, decay)
+        return table, recurrence(alpha * table.column("loss").to_numpy(zero_copy_only=False), decay)
 
     def inside(table):
         table, s = fold(table)
@@ -112,24 +112,51 @@ def smooth_loss(log, alpha=0.1, span=SPAN):
             state = own + _left_of(state, decay ** n)
         return table.select(keys).append_column("_before", pa.array(before, pa.float64()))
 
-    key_types = [f for f in rows.schema.fields if f.name in keys]
+    key_types = [next(f for f in rows.schema.fields if f.name == k) for k in keys]
     double = [T.StructField(n, T.DoubleType()) for n in ("_s", "_i")]
-    local = rows.groupBy(*keys).applyInArrow(inside, T.StructType(rows.schema.fields + double))
-    ends = rows.select(*keys, "batch_idx", "loss").groupBy(*keys).applyInArrow(
-        end, T.StructType([next(f for f in key_types if f.name == k) for k in keys] + [T.StructField("_n", T.LongType()), T.StructField("_end", T.DoubleType())]))
+    # both read the same groups of the same columns, so Spark shuffles the rows for the first and uses that again
+    groups = rows.groupBy(*keys)
+    local = groups.applyInArrow(inside, T.StructType(rows.schema.fields + double))
+    ends = groups.applyInArrow(end, T.StructType(key_types + [T.StructField("_n", T.LongType()), T.StructField("_end", T.DoubleType())]))
     # one row per span of up to SPAN rows
-    states = ends.groupBy(*RANK).applyInArrow(
-        carry, T.StructType([next(f for f in key_types if f.name == k) for k in keys] + [T.StructField("_before", T.DoubleType())]))
+    states = ends.groupBy(*RANK).applyInArrow(carry, T.StructType(key_types + [T.StructField("_before", T.DoubleType())]))
     left = F.when(F.abs("_before") == float("inf"), F.col("_before")).otherwise(F.col("_before") * F.pow(F.lit(decay), F.col("_i")))
     return local.join(states, keys).select(*log.columns, (F.col("_s") + left).alias("smoothed"))
 
 
-def _recurrence(x, alpha, decay):
-    s, out = 0.0, np.empty(len(x))
-    for i, v in enumerate(x.tolist()):
-        s = alpha * v + decay * s
-        out[i] = s
-    return out
+#: Values that one matrix row of the recurrence covers.
+STRIDE = 64
+
+
+def recurrence(x, decay):
+    """s[i] = x[i] + decay * s[i - 1] from s = 0, without a step per value.
+
+    The values are cut into rows of STRIDE. A product with the triangle of powers of decay gives every row as if it began at 0; the rows' last
+    values follow the same recurrence with decay ** STRIDE, and what each hands on is added. An infinite value never
+    fades, and NaN or both infinities give NaN from there on; products would spread them to earlier values, so they are put in last.
+    """
+    x = np.asarray(x, np.float64)
+    whole = np.isfinite(x)
+    powers = decay ** np.arange(STRIDE + 1)
+    if len(x) <= STRIDE:
+        s = _triangle(powers, len(x)) @ np.where(whole, x, 0.0)
+    else:
+        rows = np.zeros((-(-len(x) // STRIDE), STRIDE))
+        rows.ravel()[:len(x)] = np.where(whole, x, 0.0)
+        own = rows @ _triangle(powers, STRIDE).T
+        before = np.concatenate([[0.0], recurrence(own[:, -1], powers[-1])[:-1]])
+        s = (own + before[:, None] * powers[1:]).ravel()[:len(x)]
+    if whole.all():
+        return s
+    plus, minus = (np.logical_or.accumulate(x == sign) for sign in (np.inf, -np.inf))
+    broken = np.logical_or.accumulate(np.isnan(x)) | (plus & minus)
+    return np.where(broken, np.nan, np.where(plus, np.inf, np.where(minus, -np.inf, s)))
+
+
+def _triangle(powers, n):
+    """powers[i - j] at (i, j) for j <= i, else 0."""
+    gap = np.subtract.outer(np.arange(n), np.arange(n))
+    return np.where(gap >= 0, powers[np.abs(gap)], 0.0)
 
 
 def _left_of(state, weight):

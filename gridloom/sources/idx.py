@@ -1,7 +1,8 @@
 """IDX binary files as a Spark data source.
 
 All records of an IDX file have the same size, so a file is cut into record ranges and every task reads only
-its own bytes. The row number is the record's place in the file (files of a folder or of a comma-separated list
+its own bytes; ranges of small files share a task. A read is planned from the listing alone: lengths give the counts, and each task checks
+the headers of the files it opens. Of image files without label files beside them one header is opened for the size of an image. The row number is the record's place in the file (files of a folder or of a comma-separated list
 follow one another by name); no numbering pass is needed. Given label files beside the image files, a task reads the
 same record range from both, which pairs them by position without a join or a shuffle.
 
@@ -20,6 +21,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 # Fixed values of the format: magic number per kind; the big-endian header is 16 or 8 bytes long.
@@ -35,6 +37,7 @@ FILES = {
 RANGE_BYTES = 64 << 20
 FILE_RECORDS = 65_536
 BATCH_BYTES = 1 << 20
+OPEN_BYTES = 1 << 16  # what opening a file counts for when ranges are put together
 
 
 def _locate(path):
@@ -52,35 +55,36 @@ def _open(path):
 
 
 def _files(paths):
-    """Single files of a comma-separated list of files and folders; a folder's files are sorted by name."""
+    """(file, bytes) of a comma-separated list of files and folders; a folder's files are sorted by name and listed in one go."""
     from pyarrow import fs
 
     found = []
     for path in paths.split(","):
         system, inner = _locate(path)
-        if system.get_file_info(inner).type != fs.FileType.Directory:
-            found.append(path)
+        info = system.get_file_info(inner)
+        if info.type == fs.FileType.NotFound:
+            raise FileNotFoundError(path)
+        if info.type != fs.FileType.Directory:
+            found.append((path, info.size))
             continue
-        names = sorted(
-            f.base_name for f in system.get_file_info(fs.FileSelector(inner)) if f.type == fs.FileType.File
+        listed = sorted(
+            (f.base_name, f.size) for f in system.get_file_info(fs.FileSelector(inner)) if f.type == fs.FileType.File
         )
-        found += [f"{path.rstrip('/')}/{name}" for name in names if name[0] not in "._"]
+        found += [(f"{path.rstrip('/')}/{name}", size) for name, size in listed if name[0] not in "._"]
     return found
 
 
-def _header(path, kind):
-    """(records, bytes per record) after checking magic number and file length."""
-    with _open(path) as f:
-        head = f.read(HEADER[kind])
-        size = f.size()
+def _header(f, path, kind):
+    """(records, bytes per record) of an open file after checking magic number and file length."""
+    head = f.read(HEADER[kind])
     if len(head) < HEADER[kind]:
         raise ValueError(f"{path}: header cut off")
     magic, count, *dims = struct.unpack(f">{HEADER[kind] // 4}i", head)
     if magic != MAGIC[kind]:
         raise ValueError(f"{path}: magic number {magic}, expected {MAGIC[kind]} for {kind}")
     record = int(np.prod(dims)) if dims else 1
-    if size != HEADER[kind] + count * record:
-        raise ValueError(f"{path}: header promises {count} records of {record} bytes, file has {size} bytes")
+    if f.size() != HEADER[kind] + count * record:
+        raise ValueError(f"{path}: header promises {count} records of {record} bytes, file has {f.size()} bytes")
     return count, record
 
 
@@ -90,11 +94,18 @@ def _bytes(f, kind, record, first, n):
     return np.frombuffer(f.read(n * record), np.uint8).astype(np.int32)
 
 
-class RecordRange(InputPartition):
-    """Records first..last-1 of a file (of an image file and its label file); row numbers start at `base`."""
+class RecordRange:
+    """Records first..last-1 of a file (of an image file and its label file) of `count`; row numbers start at `base`."""
 
-    def __init__(self, files, base, first, last, record):
-        self.files, self.base, self.first, self.last, self.record = files, base, first, last, record
+    def __init__(self, files, base, first, last, count):
+        self.files, self.base, self.first, self.last, self.count = files, base, first, last, count
+
+
+class RecordRanges(InputPartition):
+    """What one task reads."""
+
+    def __init__(self, ranges):
+        self.ranges = ranges
 
 
 class IdxReader(DataSourceReader):
@@ -103,30 +114,57 @@ class IdxReader(DataSourceReader):
     def __init__(self, paths, split, range_bytes):
         self.paths, self.split, self.range_bytes = paths, split, range_bytes
 
-    def partitions(self):
+    def _counted(self):
+        """Files that belong together, their records and the bytes of one, from the lengths of the files."""
         lists = {kind: _files(path) for kind, path in self.paths.items()}
         if len({len(files) for files in lists.values()}) > 1:
             raise ValueError(f"cannot pair {len(lists['images'])} image files with {len(lists['labels'])} label files")
-        found, base = [], 0
-        for files in ({kind: f for kind, f in zip(lists, row)} for row in zip(*lists.values())):
-            headers = {kind: _header(path, kind) for kind, path in files.items()}
-            counts = {kind: count for kind, (count, _) in headers.items()}
-            if len(set(counts.values())) > 1:
-                raise ValueError(f"cannot pair {counts['images']} images with {counts['labels']} labels")
-            count, record = headers.get("images") or headers["labels"]
-            found.append((files, base, count, record))
+        for kind, files in lists.items():
+            for path, size in files:
+                if size < HEADER[kind]:
+                    raise ValueError(f"{path}: header cut off")
+        record = 0
+        for row in zip(*lists.values()):
+            files, sizes = ({kind: f[i] for kind, f in zip(lists, row)} for i in (0, 1))
+            if "labels" in sizes:
+                count = sizes["labels"] - HEADER["labels"]
+                record = max(1, (sizes["images"] - HEADER["images"]) // max(count, 1)) if "images" in sizes else 1
+            else:
+                if not record:
+                    with _open(files["images"]) as f:
+                        record = _header(f, files["images"], "images")[1]
+                count = (sizes["images"] - HEADER["images"]) // max(record, 1)
+            yield files, count, max(record, 1)
+
+    def partitions(self):
+        tasks, held, size, base = [], [], 0, 0
+        for files, count, record in self._counted():
+            step = max(1, self.range_bytes // record)
+            for first in range(0, max(count, 1), step):
+                last = min(first + step, count)
+                if held and size + (last - first) * record + OPEN_BYTES > self.range_bytes:
+                    tasks.append(RecordRanges(held))
+                    held, size = [], 0
+                held.append(RecordRange(files, base, first, last, count))
+                size += (last - first) * record + OPEN_BYTES
             base += count
-        return [
-            RecordRange(files, base, first, min(first + step, count), record)
-            for files, base, count, record in found
-            for step in [max(1, self.range_bytes // record)]
-            for first in range(0, max(count, 1), step)
-        ]
+        return tasks + [RecordRanges(held)]
 
     def read(self, part):
-        per_batch = max(1, BATCH_BYTES // part.record)
+        for one in part.ranges:
+            yield from self._range(one)
+
+    def _range(self, part):
         handles = {kind: _open(path) for kind, path in part.files.items()}
         try:
+            headers = {kind: _header(f, part.files[kind], kind) for kind, f in handles.items()}
+            counts = {kind: count for kind, (count, _) in headers.items()}
+            if len(set(counts.values())) > 1:
+                raise ValueError(f"cannot pair {counts['images']} images with {counts['labels']} labels")
+            count, record = headers.get("images") or headers["labels"]
+            if count != part.count:
+                raise ValueError(f"{part.files['images']}: images of {record} bytes, others have another size; read them apart")
+            per_batch = max(1, BATCH_BYTES // max(record, 1))
             for first in range(part.first, part.last, per_batch):
                 n = min(per_batch, part.last - first)
                 columns = {
@@ -136,8 +174,8 @@ class IdxReader(DataSourceReader):
                 if "labels" in handles:
                     columns["label"] = pa.array(_bytes(handles["labels"], "labels", 1, first, n))
                 if "images" in handles:
-                    cells = _bytes(handles["images"], "images", part.record, first, n)
-                    offsets = np.arange(n + 1, dtype=np.int32) * part.record
+                    cells = _bytes(handles["images"], "images", record, first, n)
+                    offsets = np.arange(n + 1, dtype=np.int32) * record
                     columns["px"] = pa.ListArray.from_arrays(pa.array(offsets), pa.array(cells))
                 yield pa.RecordBatch.from_pydict(columns)
         finally:
@@ -285,17 +323,20 @@ def write_idx(df, images, labels, file_records=FILE_RECORDS):
 
 
 def read_idx(spark, path, kind="images", labels=None, split="train", range_bytes=RANGE_BYTES):
+    """split, idx and label, px or both of IDX files.
+
+    The split is a constant beside the scan, so a filter that it does not meet leaves the files unlisted and unopened.
+    """
     spark.dataSource.register(IdxDataSource)
-    source = (
-        spark.read.format("idx").option("kind", kind).option("split", split).option("rangeBytes", range_bytes)
-    )
+    source = spark.read.format("idx").option("kind", kind).option("rangeBytes", range_bytes)
     if labels:
         source = source.option("labels", _qualified(spark, labels))
-    return source.load(_qualified(spark, path))
+    rows = source.load(_qualified(spark, path))
+    return rows.select(F.lit(split).alias("split"), *rows.columns[1:])
 
 
 def read_idx_split(spark, folder, range_bytes=RANGE_BYTES):
-    """All four files of a data set folder as (split, idx, label, px)."""
+    """All four files of a data set folder as (split, idx, label, px); a filter on the split opens the files of that split only."""
     train, test = (
         read_idx(spark, f"{folder}/{images}", labels=f"{folder}/{labels}", split=split, range_bytes=range_bytes)
         for split, (images, labels) in FILES.items()

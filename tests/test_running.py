@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from gridloom.operators import running
@@ -142,3 +143,27 @@ def test_no_task_holds_a_whole_rank(log):
     plan = running.running_loss(log)._jdf.queryExecution().executedPlan().toString()
     wide = [line for line in plan.splitlines() if "Exchange hashpartitioning(run_id" in line and "_span" not in line]
     assert len(wide) == 1  # the totals
+
+
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 5000])
+@pytest.mark.parametrize("odd", [{}, {0.3: "nan"}, {0.2: "inf"}, {0.1: "-inf", 0.7: "inf"}, {0.5: "-inf"}])
+def test_blocked_recurrence_equals_a_loop(n, odd):
+    x = np.random.default_rng(n).normal(size=n)
+    for place, value in odd.items():
+        if n:
+            x[int(place * n)] = float(value)
+    for decay in (0.9, 1e-5, 0.99999):
+        want, s = [], 0.0
+        for v in x.tolist():
+            s = v + decay * s
+            want.append(s)
+        assert np.allclose(running.recurrence(x, decay), want, rtol=1e-12, atol=1e-12, equal_nan=True)
+
+
+def test_smoothing_shuffles_its_rows_once(spark):
+    log = spark.range(100).selectExpr("'a' AS run_id", "0 AS rank", "0 AS epoch", "id AS batch_idx", "1.0D AS loss", "'long text' AS note")
+    done = running.smooth_loss(log)
+    done.collect()
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    assert final.count("ReusedExchange") == 1 and final.count("FlatMapGroupsInArrow") == 3

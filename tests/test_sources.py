@@ -284,6 +284,48 @@ def test_idx_folders_follow_one_another(spark, tmp_path):
         idx.read_idx(spark, listed, labels=str(tmp_path / "lab")).collect()
 
 
+def test_idx_many_small_files_are_planned_from_their_lengths(spark, tmp_path, monkeypatch):
+    sizes = [i % 4 for i in range(300)]
+    for name, make in (("px", idx_images), ("lab", idx_labels)):
+        (tmp_path / name).mkdir()
+        for i, n in enumerate(sizes):
+            make(tmp_path / name / f"{i:04d}", n)
+    opened = []
+    monkeypatch.setattr(idx, "_open", lambda path, own=idx._open: opened.append(path) or own(path))
+    paired = idx.IdxReader({"images": str(tmp_path / "px"), "labels": str(tmp_path / "lab")}, "train", 1 << 22)
+    assert len(paired.partitions()) == 5 and opened == []
+    alone = idx.IdxReader({"images": str(tmp_path / "px")}, "train", 1 << 22).partitions()
+    assert len(alone) == 5 and len(opened) == 1
+    df = idx.read_idx(spark, str(tmp_path / "px"), labels=str(tmp_path / "lab"), range_bytes=1 << 22)
+    rows = sorted(df.collect(), key=lambda r: r.idx)
+    assert [r.idx for r in rows] == list(range(sum(sizes)))
+    assert [r.label for r in rows] == [i for n in sizes for i in range(n)]
+    assert [r.px[0] for r in rows] == [i * 9 % 256 for n in sizes for i in range(n)]
+
+
+def test_idx_images_of_several_sizes(spark, tmp_path):
+    for name in ("px", "lab"):
+        (tmp_path / name).mkdir()
+    for i, (n, record) in enumerate([(4, 9), (3, 16)]):
+        idx_images(tmp_path / "px" / str(i), n, record)
+        idx_labels(tmp_path / "lab" / str(i), n)
+    rows = sorted(idx.read_idx(spark, str(tmp_path / "px"), labels=str(tmp_path / "lab")).collect(), key=lambda r: r.idx)
+    assert [len(r.px) for r in rows] == [9] * 4 + [16] * 3
+    with pytest.raises(JOB_FAILED, match="another size"):
+        idx.read_idx(spark, str(tmp_path / "px")).collect()
+
+
+def test_a_filter_on_the_split_leaves_the_other_files_alone(spark, tmp_path):
+    images, labels = idx.FILES["train"]
+    idx_images(tmp_path / images, 5)
+    idx_labels(tmp_path / labels, 5)
+    both = idx.read_idx_split(spark, str(tmp_path))
+    assert both.filter("split = 'train'").count() == 5
+    with pytest.raises(JOB_FAILED):
+        both.collect()
+    assert "Union" not in both.filter("split = 'train'")._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_idx_without_records(spark, tmp_path):
     assert idx.read_idx(spark, idx_labels(tmp_path / "lab", 0), "labels").collect() == []
 
