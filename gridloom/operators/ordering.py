@@ -11,7 +11,6 @@ What is dealt out again and again, such as once per epoch, is written in order o
 permutation of the places, computed from a place alone.
 """
 
-import hashlib
 import math
 
 from pyspark.sql import Window
@@ -108,18 +107,20 @@ ROUNDS, WALKS = 6, 64
 def permuted(pos, n, seed=42, epoch=0):
     """Place in 0..n-1 of each place in 0..n-1 under a permutation that depends on (n, seed, epoch) only; no sort, no shuffle.
 
-    A place is written with two digits of base ceil(sqrt(n)). A round swaps them and adds a hash of one to the other, which loses
+    A place is written with two digits of base ceil(sqrt(n)). A round swaps them and adds to one the leading hex digits of an md5 of the other, which loses
     nothing; so the rounds permute all two-digit numbers. A result beyond n - 1 is permuted again until it lies within. At most
     2 sqrt(n) numbers lie beyond, so that happens seldom; more than WALKS times, with a chance below 1e-60 a row, is an error.
     """
     side = math.isqrt(max(n, 1) - 1) + 1
-    keys = F.array(*[
-        F.lit(int.from_bytes(hashlib.md5(f"{seed}:{epoch}:{i}".encode()).digest()[:8], "big", signed=True)) for i in range(ROUNDS)])
+    rounds = F.lit([f"{seed}:{epoch}:{i}:" for i in range(ROUNDS)])
+
+    def added(key, digit):
+        return F.conv(F.substring(F.md5(F.concat(key, digit.cast("string"))), 1, 8), 16, 10).cast("bigint")
 
     def once(place):
         digits = F.struct(F.call_function("div", place, F.lit(side)).alias("a"), F.pmod(place, F.lit(side)).cast("bigint").alias("b"))
-        return F.aggregate(keys, digits, lambda d, key: F.struct(
-            d["b"].alias("a"), F.pmod(d["a"] + F.pmod(F.xxhash64(d["b"], key), F.lit(side)), F.lit(side)).cast("bigint").alias("b")),
+        return F.aggregate(rounds, digits, lambda d, key: F.struct(
+            d["b"].alias("a"), F.pmod(d["a"] + added(key, d["b"]), F.lit(side)).cast("bigint").alias("b")),
             lambda d: d["a"] * F.lit(side) + d["b"])
 
     walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), once(pos), lambda p, _: F.when(p < n, p).otherwise(once(p)))

@@ -8,7 +8,7 @@ from gridloom.operators import layers, metrics, ordering, pairing
 from gridloom.plans.views import HEADER, IMAGES_SQL, KEYS, LINES_SQL, SIDE, images, table, text_lines
 from gridloom.sources import tables
 from gridloom.training import model
-from gridloom.training.arch import Arch
+from gridloom.training.arch import Arch, arch, param_shapes
 
 N = SIDE * SIDE
 KERNEL = [[1, 2, -1], [0, 3, -2], [2, -1, 1]]
@@ -434,6 +434,40 @@ def q_predict_cnn(spark, sf):
     return predicted.select("idx", "pred", "scores")
 
 
+def _layout_a_weights(shapes):
+    """Small whole numbers by a rule of their places; LAYOUT_A_SQL states the same rules."""
+    rules = {
+        "conv1.weight": lambda f, _, i, j: (f + 3 * i + 5 * j) % 5 - 2, "conv1.bias": lambda f: f - 40,
+        "fc1.weight": lambda o, k: (3 * o + 5 * k) % 7 - 3, "fc1.bias": lambda o: 10 * o,
+        "fc2.weight": lambda c, o: (5 * c + 3 * o) % 7 - 3, "fc2.bias": lambda c: c,
+    }
+    return {name: np.fromfunction(np.vectorize(rules[name], otypes=[float]), shape, dtype=int) for name, shape, _ in shapes}
+
+
+def _layout_a_sql():
+    """32 filters, ReLU, pooling, 128 units, ReLU, 10 scores, arg-max."""
+    terms = " + ".join(
+        f"((f.range + {3 * i + 5 * j}) % 5 - 2) * px[(r.range + {i}) * {SIDE} + c.range + {j + 1}]" for i in range(3) for j in range(3))
+    half = (SIDE - 2) // 2
+    return f"""WITH {IMAGES_SQL},
+conv AS (SELECT idx, f.range AS f, r.range AS r, c.range AS c, greatest(0, {terms} + f.range - 40) AS v
+         FROM img, range(32) f, range({SIDE - 2}) r, range({SIDE - 2}) c),
+pooled AS (SELECT idx, f * {half * half} + (r // 2) * {half} + c // 2 AS k, max(v) AS v FROM conv GROUP BY 1, 2),
+flat AS (SELECT idx, list(v::DOUBLE ORDER BY k) AS x FROM pooled GROUP BY idx),
+hidden AS (SELECT idx, o.range AS o, greatest(0, list_dot_product(x, list_transform(range({32 * half * half}), lambda k: ((3 * o.range + 5 * k) % 7 - 3)::DOUBLE)) + 10 * o.range) AS v
+           FROM flat, range(128) o),
+score AS (SELECT idx, c.range AS c, sum(v * ((5 * c.range + 3 * o) % 7 - 3)) + c.range AS s FROM hidden, range(10) c GROUP BY 1, 2)
+SELECT idx, CAST(arg_max(c, s * 100 - c) AS INTEGER) AS pred, list(s::DOUBLE ORDER BY c) AS scores FROM score GROUP BY idx"""
+
+
+@query("q_predict_layout_a", _layout_a_sql())
+def q_predict_layout_a(spark, sf):
+    """The named layout A with whole-number weights, so that every score is exact."""
+    net = arch("A", SIDE, SIDE)
+    params = _layout_a_weights(param_shapes(net))
+    return model.predict(images(spark, sf).select("idx", "px"), net, params, denom=1.0, element="double").select("idx", "pred", "scores")
+
+
 @query("q_class_sums", f"""WITH {IMAGES_SQL}, cells AS (SELECT label, unnest(px) AS v, unnest(range({N})) AS j FROM img)
 SELECT label, CAST(j AS INTEGER) AS pos, CAST(sum(v) AS BIGINT) AS total, count(*) AS n FROM cells GROUP BY 1, 2""")
 def q_class_sums(spark, sf):

@@ -17,6 +17,15 @@ def shared_dir(spark):
     return spark.sparkContext.getCheckpointDir()
 
 
+def locate(path):
+    """pyarrow file system and inner path of whatever the path names."""
+    from pyarrow import fs
+
+    if "://" in path:
+        return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    return fs.LocalFileSystem(), path.removeprefix("file:")
+
+
 def _file_system(spark, path):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
+from gridloom.session import locate
+
 # Fixed values of the format: magic number per kind; the big-endian header is 16 or 8 bytes long.
 MAGIC = {"images": 2051, "labels": 2049}
 HEADER = {"images": 16, "labels": 8}
@@ -40,17 +42,8 @@ BATCH_BYTES = 1 << 20
 OPEN_BYTES = 1 << 16  # what opening a file counts for when ranges are put together
 
 
-def _locate(path):
-    """File system and inner path of whatever the path names."""
-    from pyarrow import fs
-
-    if "://" in path:
-        return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), path.removeprefix("file:")
-
-
 def _open(path):
-    system, inner = _locate(path)
+    system, inner = locate(path)
     return system.open_input_file(inner)
 
 
@@ -60,7 +53,7 @@ def _files(paths):
 
     found = []
     for path in paths.split(","):
-        system, inner = _locate(path)
+        system, inner = locate(path)
         info = system.get_file_info(inner)
         if info.type == fs.FileType.NotFound:
             raise FileNotFoundError(path)
@@ -244,7 +237,7 @@ class IdxWriter(DataSourceArrowWriter):
             if side * side != cells.shape[1]:
                 raise ValueError(f"{cells.shape[1]} values make no square image")
             dims += [side, side]
-        system, inner = _locate(path)
+        system, inner = locate(path)
         system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
         with system.open_output_stream(inner) as f:
             f.write(struct.pack(f">{1 + len(dims)}i", MAGIC[kind], *dims))
@@ -253,8 +246,8 @@ class IdxWriter(DataSourceArrowWriter):
     def commit(self, messages):
         names = [n for m in messages if m is not None for n in m.names]
         for kind in self.folders:
-            system, target = _locate(self.folders[kind].rstrip("/"))
-            _, staged = _locate(self._staging(kind))
+            system, target = locate(self.folders[kind].rstrip("/"))
+            _, staged = locate(self._staging(kind))
             system.create_dir(target, recursive=True)
             for name in names:
                 system.move(f"{staged}/{name}", f"{target}/{name.split('.')[0]}")
@@ -264,7 +257,7 @@ class IdxWriter(DataSourceArrowWriter):
         from pyarrow import fs
 
         for kind in self.folders:
-            system, staged = _locate(self._staging(kind))
+            system, staged = locate(self._staging(kind))
             if system.get_file_info(staged).type == fs.FileType.Directory:
                 system.delete_dir(staged)
 

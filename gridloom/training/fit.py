@@ -396,8 +396,8 @@ def fit(
     A checkpoint is saved after every epoch under root; calling fit again with the same run_id goes on after the
     last finished epoch, and does nothing if all epochs are done. A resumed run keeps the seed and, if its packed rows are still
     there, the rows it was started with; a finished run deletes them. What every rank ended an epoch with (`replicas`) stays for the
-    newest epoch only. A label outside the classes of the last layer fails the job; no rows are an error. The model is broadcast, so
-    one of more than model.MODEL_LIMIT bytes is refused. train_only: name prefixes of the parameters to train; the others stay frozen.
+    newest epoch only. A label outside the classes of the last layer fails the job; no rows are an error. Workers map the
+    model from the shared folder. train_only: name prefixes of the parameters to train; the others stay frozen.
     """
     if sync not in ("epoch", "step"):
         raise ValueError(f"unknown sync {sync!r}")
@@ -467,11 +467,11 @@ def replicas(spark, root, run_id, epoch):
 
 def fit_head(
     examples, net, params, n_layers, *, keys=("split", "idx"), label="label", classes=10, source="px", denom=255.0,
-    root=None, run_id=None, **options,
+    root=None, run_id=None, head_params=None, **options,
 ):
     """Transfer learning: frozen features are computed once, written out and reused by every epoch of the head.
 
-    Returns the head's layout and its FitResult.
+    head_params: first values of the head, by default random. Returns the head's layout and its FitResult.
     """
     spark = examples.sparkSession
     root = root or f"{shared_dir(spark)}/runs"
@@ -486,5 +486,5 @@ def fit_head(
     options.setdefault("opt", sgd(lr=0.001))
     return head, fit(
         spark.read.parquet(folder), head, keys=keys, label=label, source="features", denom=1.0, root=root,
-        run_id=run_id, **options,
+        run_id=run_id, params=head_params, **options,
     )

@@ -259,3 +259,30 @@ def test_rows_do_not_pass_through_one_task(train):
 def test_unknown_sync(train):
     with pytest.raises(ValueError):
         fit.fit(train, net("softmax"), sync="never")
+
+
+def test_shared_arrays_are_mapped_read_only_and_written_once(spark):
+    arrays = {"model": {"a": np.arange(5, dtype=np.float32), "b": np.ones((2, 3)), "none": np.empty((0, 4), np.int64)}, "empty": {}}
+    first, again = (model.share_arrays(spark, arrays, kept=True) for _ in range(2))
+    other = model.share_arrays(spark, {"model": {"a": np.arange(1, 6, dtype=np.float32)}})
+    assert first.path == again.path != other.path
+    assert same(first.value["model"], arrays["model"], rtol=0, atol=0) and first.value["empty"] == {}
+    with pytest.raises(ValueError):
+        first.value["model"]["a"][0] = 1
+    other.unpersist()
+    with pytest.raises(FileNotFoundError):
+        other.value
+    read = spark.range(4, numPartitions=4).mapInPandas(lambda parts: (p.assign(x=first.value["model"]["b"].sum()) for p in parts), "id long, x double")
+    assert {r.x for r in read.collect()} == {6.0}
+
+
+def test_a_model_of_more_than_two_gigabytes_is_mapped(spark, tmp_path):
+    """A file with holes stands for the model, so that the test needs no room."""
+    path, size = tmp_path / "model", (2 << 30) + 4096
+    with open(path, "wb") as f:
+        f.truncate(size)
+        f.seek(size - 4)
+        f.write(np.float32(7).tobytes())
+    shared = model.SharedArrays(str(path), {"model": [("w", "<f4", (size // 4,), 0)]})
+    got = spark.range(2, numPartitions=2).mapInPandas(lambda parts: (p.assign(x=float(shared.value["model"]["w"][-1])) for p in parts), "id long, x double")
+    assert {r.x for r in got.collect()} == {7.0}
