@@ -3,26 +3,37 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from gridloom.session import shared_dir
+
+
 def pair_by_position(images, labels, keys=("split", "idx"), strict=True):
     """One row per position with the image and its label.
 
-    Positions come from the readers, so no numbering pass is needed and a hot label cannot skew the join. Images are
-    joined from the left, so that labels may be broadcast if they turn out small.
-    strict: an image without a label, a label without an image and a position that occurs twice on one side are errors,
-    found by a subquery that counts the keys alone, and fail the job. Otherwise rows without a partner are left out and repeated
-    positions give every combination.
+    Positions come from the readers, so no numbering pass is needed and a hot label cannot skew the join.
+    strict: an image without a label, a label without an image and a position that occurs twice on one side are errors, and fail the job.
+    They are seen in the join itself: it keeps unmatched rows of both sides, and each side counts its rows per position under the
+    partitioning that the join needs anyway. Otherwise rows without a partner are left out and repeated positions give every combination.
+
+    Tables of write_by_position with equal `buckets` are paired without any shuffle.
     """
     keys = list(keys)
-    if strict:
-        sides = images.select(*keys, F.lit(1).alias("_i"), F.lit(0).alias("_l")).unionByName(
-            labels.select(*keys, F.lit(0).alias("_i"), F.lit(1).alias("_l")))
-        bad = sides.groupBy(*keys).agg(F.sum("_i").alias("_i"), F.sum("_l").alias("_l")).filter("_i <> 1 OR _l <> 1")
-        what = F.when(F.col("_l") == 0, "image without label at ").when(F.col("_i") == 0, "label without image at ")
-        said = F.concat(what.otherwise("repeated position "), F.concat_ws("/", *[F.col(k).cast("string") for k in keys]))
-        first = bad.agg(F.min(said).alias("said")).scalar()
-        fine = F.when(first.isNotNull(), F.raise_error(first).cast("boolean")).otherwise(True)
-        return images.join(labels, keys).filter(fine)
-    return images.join(labels, keys)
+    if not strict:
+        return images.join(labels, keys)
+    at = Window.partitionBy(*keys)
+    both = images.withColumn("_i", F.count("*").over(at)).join(labels.withColumn("_l", F.count("*").over(at)), keys, "full_outer")
+    what = F.when(F.col("_i").isNull(), "label without image at ").when(F.col("_l").isNull(), "image without label at ")
+    said = F.concat(what.otherwise("repeated position "), F.concat_ws("/", *[F.col(k).cast("string") for k in keys]))
+    fine = F.coalesce((F.col("_i") == 1) & (F.col("_l") == 1), F.lit(False))
+    return both.filter(F.when(fine, True).otherwise(F.raise_error(said).cast("boolean"))).drop("_i", "_l")
+
+
+def write_by_position(df, name, buckets, keys=("split", "idx"), path=None):
+    """Write df as table `name` (files under `path`, by default in the shared folder), cut into buckets by position and sorted by it
+    inside them; returns the table."""
+    spark, keys = df.sparkSession, list(keys)
+    writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+    writer.mode("overwrite").option("path", path or f"{shared_dir(spark)}/tables/{name}").saveAsTable(name)
+    return spark.table(name)
 
 
 def with_file_position(df, group="split", out="idx"):

@@ -118,6 +118,25 @@ def q_rows_per_file(spark, sf):
     return files.groupBy("name").agg(F.sum("n").alias("n"))
 
 
+@query("q_pair_written_tables", f"WITH {IMAGES_SQL} SELECT split, idx, px, label FROM img")
+def q_pair_written_tables(spark, sf):
+    """Images and labels as tables in buckets of positions, paired without a shuffle."""
+    data, run = images(spark, sf), uuid.uuid4().hex
+    written = [
+        pairing.write_by_position(data.select("split", "idx", column), f"by_position_{column}_{run}", 8) for column in ("px", "label")]
+    return pairing.pair_by_position(*written)
+
+
+@query("q_file_inventory", f"""WITH {IMAGES_SQL}
+SELECT label, CAST(sum(length(array_to_string(px, ',')) + 1) AS BIGINT) AS bytes FROM img GROUP BY label""")
+def q_file_inventory(spark, sf):
+    """Bytes of the listed text files that hold the images, by the label in their folder's name."""
+    folder = _folder(spark, "listed")
+    images(spark, sf).select(F.array_join("px", ",").alias("value"), "label").write.partitionBy("label").text(folder)
+    files = tables.file_inventory(spark, folder).filter(F.col("name").startswith("part-"))
+    return files.groupBy(F.regexp_extract("path", "label=([0-9]+)", 1).cast("int").alias("label")).agg(F.sum("length").alias("bytes"))
+
+
 @query("q_text_read_first_line", f"""WITH {IMAGES_SQL}
 SELECT label, list_transform(px, lambda v: CAST(v AS FLOAT)) AS px FROM img""")
 def q_text_read_first_line(spark, sf):

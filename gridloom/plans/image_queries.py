@@ -138,11 +138,6 @@ def q_text_parse_lineitem(spark, sf):
     )
 
 
-@query("q_file_inventory")
-def q_file_inventory(spark, sf):
-    return tables.file_inventory(spark, sf)
-
-
 # --- pairing -------------------------------------------------------------------------------------------------
 
 @query("q_pair_by_position", f"WITH {IMAGES_SQL} SELECT split, idx, px, label FROM img")

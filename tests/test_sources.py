@@ -371,3 +371,21 @@ def test_strict_pairing_refuses_repeated_positions(spark, twice):
 
 def test_loose_pairing_leaves_unmatched_rows_out(spark):
     assert pairing.pair_by_position(numbered(spark, 5, "px"), numbered(spark, 4, "label"), strict=False).count() == 4
+
+
+def test_tables_written_by_position_are_paired_without_a_shuffle(spark):
+    from gridloom.operators import pairing
+
+    images = spark.range(500).selectExpr("if(id % 5 = 0, 'test', 'train') AS split", "id AS idx", "array(id, id + 1) AS px")
+    labels = images.selectExpr("split", "idx", "cast(idx % 7 AS int) AS label")
+    a, b = pairing.write_by_position(images, "paired_px", 4), pairing.write_by_position(labels, "paired_label", 4)
+    try:
+        paired = pairing.pair_by_position(a, b)
+        assert "Exchange" not in paired._jdf.queryExecution().executedPlan().toString()
+        got = sorted((r.split, r.idx, r.px[0], r.label) for r in paired.collect())
+        assert got == sorted(("test" if i % 5 == 0 else "train", i, i, i % 7) for i in range(500))
+        plan = pairing.pair_by_position(images, labels)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2
+    finally:
+        spark.sql("DROP TABLE paired_px")
+        spark.sql("DROP TABLE paired_label")
