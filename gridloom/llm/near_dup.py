@@ -5,11 +5,11 @@
    `match` coordinates or more; so a class counts only values it shares, needs `match` of them, and is kept under
    its rarest ones only (the prefix): two classes with `match` common values meet in at least one.
 3. Every posting list is first compared with its smallest class only. What that links is one component. In lists whose classes
-   are not yet one component each class is then compared with its closest ones of other components, and at last all classes
-   across components, in blocks; a pair is looked at in one of its common lists only. So a large group of near copies
-   costs a few pairs a document, and no link between components is lost.
-4. A pair is a candidate if it agrees in `wide_match` of `wide` coordinates, of which 16 bits are kept (linked sets fail that with
-   a chance of some 1e-5), and a link if the full sets are similar enough.
+   are not yet one component all classes are then compared across components, in blocks that hold the full sets; a pair is looked at in one
+   of its common lists only. Inside a block a link joins two components at once, and what is in one component is not compared any more. A block
+   returns the links that joined components, fewer than it has rows; pairs that are refused never leave it.
+4. A pair is a candidate if its sets' sizes allow a link and it agrees in `wide_match` of `wide` coordinates, of which 16 bits are kept (linked
+   sets fail that with a chance of some 1e-5), and a link if the full sets are similar enough.
 """
 
 import numpy as np
@@ -128,60 +128,101 @@ def likely(pairs, wide, match):
     return pairs.join(left, "a").join(right, "b").select("a", "b", "wa", "wb").mapInArrow(run, "a long, b long")
 
 
-def across(lists, match, most=None):
-    """Pairs of classes of one posting list, but of different components, that agree in `match` wide coordinates.
-
-    lists: token, rep, root, wide, mine (the ascending tokens of all lists that rep is in). Long lists are cut into blocks. A list's
-    largest component needs no comparison with itself: its classes stay in their block, all others visit every block
-    and are compared with what is at home there. A visitor brings at most `most` pairs of a block, the best first (None: all
-    that agree enough). A pair is returned only for the smallest token that both have.
+class Block:
+    """Classes at home in a block of a posting list, and which of the components that meet there are linked so far."""
+
+    def __init__(self, token, percent, match):
+        self.token, self.percent, self.match = token, percent, match
+        self.rows, self.parent, self.links = [], {}, []
+
+    def find(self, root):
+        top = root
+        while self.parent.get(top, top) != top:
+            top = self.parent[top]
+        while self.parent.get(root, root) != top:
+            self.parent[root], root = top, self.parent[root]
+        return top
+
+    def settle(self):
+        """All classes at home are there: arrays for the comparisons, and those that ask are compared with the others."""
+        self.rep = np.array([r["rep"] for r in self.rows], np.int64)
+        self.wide = np.frombuffer(b"".join(r["wide"] for r in self.rows), np.uint16).reshape(len(self.rows), -1)
+        self.component = np.array([r["root"] for r in self.rows], np.int64)
+        self.runs = [np.frombuffer(r["runs"], np.uint64) for r in self.rows]
+        self.sizes = np.array([len(x) for x in self.runs], np.int64)
+        self.before = [self._before(r) for r in self.rows]
+        for i, r in enumerate(self.rows):
+            if r["asks"]:
+                self.ask(r, self.wide[i], self.runs[i], self.before[i])
+        self.rows = None
+
+    def _before(self, row):
+        """Tokens before this one under which the class is posted: a pair with one of them in common is looked at there."""
+        return {t for t in row["mine"] if t < self.token}
+
+    def visit(self, row):
+        self.ask(row, np.frombuffer(row["wide"], np.uint16), np.frombuffer(row["runs"], np.uint64), self._before(row))
+
+    def ask(self, row, wide, runs, before):
+        mine, n = self.find(row["root"]), len(runs)
+        k = np.flatnonzero(
+            (self.component != mine) & (100 * np.minimum(self.sizes, n) >= self.percent * np.maximum(self.sizes, n)))
+        agree = (self.wide[k] == wide).sum(1)
+        for at in np.argsort(-agree, kind="stable"):
+            if agree[at] < self.match:
+                return
+            j = k[at]
+            if self.component[j] == mine or not before.isdisjoint(self.before[j]):
+                continue
+            both = _common(runs, self.runs[j])
+            if 100 * both >= self.percent * (n + self.sizes[j] - both):
+                self.links.append((min(row["rep"], self.rep[j]), max(row["rep"], self.rep[j])))
+                other = self.component[j]
+                self.parent[other] = mine
+                self.component[self.component == other] = mine
+
+
+def across(lists, match, percent):
+    """Links between classes of one posting list, but of different components, as far as they join components inside a block.
+
+    lists: token, rep, root, wide, runs (the full set), mine (the ascending tokens of all lists that rep is in). Long lists are cut into blocks. A
+    list's largest component needs no comparison with itself: its classes stay in their block, all others visit every block
+    and are compared with what is at home there; visitors are read one by one. A pair is looked at only under the smallest token that both have.
     """
     parts = lists.groupBy("token", "root").agg(F.count("*").alias("c"))
     sizes = parts.groupBy("token").agg(F.sum("c").alias("s"), F.max_by("root", F.struct("c", "root")).alias("main"))
     cut = lists.join(sizes, "token").withColumn("n", F.ceil(F.col("s") / BLOCK).cast("int"))
     cut = cut.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
     visits = F.when(F.col("root") == F.col("main"), F.array("own")).otherwise(F.sequence(F.lit(0), F.col("n") - 1))
-    cut = cut.select(
-        "token", F.explode(visits).alias("block"), "own", "rep", "root", (F.col("root") != F.col("main")).alias("asks"), "wide", "mine")
-    groups = cut.repartition("token", "block").sortWithinPartitions("token", "block")
+    cut = cut.select("token", F.explode(visits).alias("block"), "own", "rep", "root", (F.col("root") != F.col("main")).alias("asks"), "wide", "mine", "runs")
+    groups = cut.repartition("token", "block").sortWithinPartitions("token", "block", F.expr("own <> block"), "rep")
 
     def run(batches):
-        for group in _groups(batches, ["token", "block"]):
-            rep, root, own, asks = (group.column(c).to_numpy() for c in ("rep", "root", "own", "asks"))
-            token, block = (group.column(c)[0].as_py() for c in ("token", "block"))
-            wide = np.frombuffer(b"".join(group.column("wide").to_pylist()), np.uint16).reshape(len(rep), -1)
-            before = [{t for t in x if t < token} for x in group.column("mine").to_pylist()]
-            home = np.flatnonzero(own == block)
-            a, b = [], []
-            for i in np.flatnonzero(asks).tolist():
-                k = home[root[home] != root[i]]
-                agree = (wide[k] == wide[i]).sum(1)
-                best = np.lexsort((rep[k], -agree))[:most]
-                for j in k[best[agree[best] >= match]].tolist():
-                    if before[i].isdisjoint(before[j]):
-                        a.append(min(rep[i], rep[j]))
-                        b.append(max(rep[i], rep[j]))
-            pairs = np.unique(np.array([a, b], np.int64).reshape(2, -1), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+        key, now, settled = None, None, False
 
-    return groups.mapInArrow(run, "a long, b long").distinct()
+        def links():
+            if not settled:
+                now.settle()
+            a, b = np.array(now.links, np.int64).reshape(-1, 2).T
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
+        for batch in batches:
+            for row in batch.to_pylist():
+                if key != (row["token"], row["block"]):
+                    if now is not None:
+                        yield links()
+                    key, now, settled = (row["token"], row["block"]), Block(row["token"], percent, match), False
+                if row["own"] == row["block"]:
+                    now.rows.append(row)
+                    continue
+                if not settled:
+                    now.settle()
+                    settled = True
+                now.visit(row)
+        if now is not None:
+            yield links()
 
-def _groups(batches, keys):
-    """Tables of rows with equal keys, from batches sorted by them."""
-    held = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        held = table if held is None else pa.concat_tables([held, table]).combine_chunks()
-        columns = [held.column(k).to_numpy() for k in keys]
-        cut = np.flatnonzero(np.any([np.diff(c) != 0 for c in columns], axis=0)) + 1
-        start = 0
-        for stop in cut.tolist():
-            yield held.slice(start, stop - start)
-            start = stop
-        held = held.slice(start)
-    if held is not None and held.num_rows:
-        yield held
+    return groups.mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs, id_col="doc_id", text_col="text", length=5, percent=75, size=32, match=14, wide=256, wide_match=164):
@@ -205,22 +246,16 @@ def near_duplicates(docs, id_col="doc_id", text_col="text", length=5, percent=75
     pairs = likely(pairs, bits, wide_match)
     met = posted.join(leaders, "token", "left_semi").select("rep").distinct()
     sets = written(full_sets(docs, met, length, id_col, text_col), "sets")
-    tried = written(pairs, "pairs")
-    links = written(confirm(tried, sets, percent), "links")
+    links = written(confirm(pairs, sets, percent), "links")
     roots = components(links)
-    for most in (4, None):  # at last all pairs
-        named = posted.join(roots, posted.rep == roots.vertex, "left").select("token", "rep", F.coalesce("root", "rep").alias("root"))
-        mixed = named.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
-        lists = named.join(mixed, "token", "left_semi")
-        mine = lists.groupBy("rep").agg(F.sort_array(F.collect_list("token")).alias("mine"))
-        lists = written(lists.join(mine.join(bits, "rep"), "rep").select("token", "rep", "root", "wide", "mine"), "lists")
-        found = written(across(lists, wide_match, most).join(tried, ["a", "b"], "left_anti"), "pairs")
-        if found.isEmpty():
-            continue
-        tried = tried.unionByName(found)
-        new = written(confirm(found, sets, percent), "links")
-        named = lists.select("rep", "root").distinct()
-        ends = new.join(named.toDF("a", "ra"), "a").join(named.toDF("b", "rb"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    named = posted.join(roots, posted.rep == roots.vertex, "left").select("token", "rep", F.coalesce("root", "rep").alias("root"))
+    mixed = named.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
+    lists = written(named.join(mixed, "token", "left_semi"), "lists")
+    mine = lists.groupBy("rep").agg(F.sort_array(F.collect_list("token")).alias("mine"))
+    found = written(across(lists.join(mine.join(bits, "rep").join(sets, "rep"), "rep"), wide_match, percent), "links")
+    if not found.isEmpty():
+        ends = lists.select("rep", "root").distinct()
+        ends = found.join(ends.toDF("a", "ra"), "a").join(ends.toDF("b", "rb"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
         merged = components(ends)
         old = roots.join(merged.select(F.col("vertex").alias("root"), F.col("root").alias("to")), "root", "left")
         old = old.select("vertex", F.coalesce("to", "root").alias("root"))

@@ -58,17 +58,43 @@ def test_near_duplicates_of_repeated_rows_null_ids_and_nothing(spark):
     assert near_dup.near_duplicates(frame(spark, rows).limit(0)).collect() == []
 
 
+def joined(roots, links):
+    """For each class the smallest class that its component and the links reach."""
+    top = {}
+
+    def find(x):
+        while top.get(x, x) != x:
+            x = top[x]
+        return x
+
+    for x, y in [(("r", int(r)), i) for i, r in enumerate(roots)] + [tuple(p) for p in links]:
+        top[find(x)] = find(y)
+    first = {}
+    for i in range(len(roots)):
+        first.setdefault(find(i), i)
+    return [first[find(i)] for i in range(len(roots))]
+
+
 def test_lists_are_compared_across_components_in_blocks(spark):
-    """Every pair of different components that is close enough is found once, whatever the number of blocks."""
+    """All that true links join is joined, by true links only and by fewer of them than a block has rows, whatever the number of blocks."""
     rng, n = np.random.default_rng(5), 3 * near_dup.BLOCK // 2
-    wide = rng.integers(0, 3, (n, 8)).astype(np.uint16)
-    root = np.where(rng.random(n) < 0.4, 0, np.arange(n) // 2)
-    rows = [(t, i, int(root[i]), wide[i].tobytes(), [1, 3] if i % 3 else [1]) for i in range(n) for t in ([1, 3] if i % 3 else [1])]
-    rows += [(2, 1000 + i, 0, wide[0].tobytes(), [2]) for i in range(5)]
-    lists = spark.createDataFrame(rows, "token long, rep long, root long, wide binary, mine array<long>")
-    got = [tuple(r) for r in near_dup.across(lists, 6).collect()]
-    want = {(i, j) for i in range(n) for j in range(i + 1, n) if root[i] != root[j] and (wide[i] == wide[j]).sum() >= 6}
-    assert sorted(got) == sorted(want) and want
+    base = rng.choice(10_000, 40, replace=False)
+    sets = [np.unique(np.where(rng.random(40) < rng.choice([0.03, 0.12, 0.2]), rng.integers(10_000, 10**6, 40), base)).astype(np.uint64) for _ in range(n)]
+    wide = np.zeros((n, 8), np.uint16)
+    wide[rng.random((n, 8)) < 0.1] = 1
+    root = np.where(rng.random(n) < 0.2, 0, np.arange(n) // 2)
+    rows = [(t, i, int(root[i]), wide[i].tobytes(), [1, 3] if i % 3 else [1], sets[i].tobytes()) for i in range(n) for t in ([1, 3] if i % 3 else [1])]
+    rows += [(2, 1000 + i, 0, wide[0].tobytes(), [2], sets[0].tobytes()) for i in range(5)]
+    lists = spark.createDataFrame(rows, "token long, rep long, root long, wide binary, mine array<long>, runs binary")
+    got = [tuple(r) for r in near_dup.across(lists, 6, 75).collect()]
+
+    def alike(i, j):
+        both = len(np.intersect1d(sets[i], sets[j]))
+        return 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both) and (wide[i] == wide[j]).sum() >= 6
+
+    want = [(i, j) for i in range(n) for j in range(i + 1, n) if root[i] != root[j] and alike(i, j)]
+    assert got and all(i < j and root[i] != root[j] and alike(i, j) for i, j in got)
+    assert joined(root, got) == joined(root, want) and len(got) < 3 * n < len(want)
 
 
 def test_components_are_the_smallest_reachable(spark):
