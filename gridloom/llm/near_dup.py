@@ -182,20 +182,21 @@ class Block:
                 self.component[self.component == other] = mine
 
 
-def across(lists, match, percent):
+def across(lists, classes, match, percent):
     """Links between classes of one posting list, but of different components, as far as they join components inside a block.
 
-    lists: token, rep, root, wide, runs (the full set), mine (the ascending tokens of all lists that rep is in). Long lists are cut into blocks. A
-    list's largest component needs no comparison with itself: its classes stay in their block, all others visit every block
-    and are compared with what is at home there; visitors are read one by one. A pair is looked at only under the smallest token that both have.
+    lists: token, rep, root. classes: rep, wide, runs (the full set), mine (the ascending tokens of all lists that rep is in); they are joined
+    when the blocks are known, so the sets travel once. Long lists are cut into blocks. A list's largest component needs no comparison with
+    itself: its classes stay in their block, all others visit every block and are compared with what is at home there; visitors are read
+    one by one. A pair is looked at only under the smallest token that both have.
     """
     parts = lists.groupBy("token", "root").agg(F.count("*").alias("c"))
     sizes = parts.groupBy("token").agg(F.sum("c").alias("s"), F.max_by("root", F.struct("c", "root")).alias("main"))
     cut = lists.join(sizes, "token").withColumn("n", F.ceil(F.col("s") / BLOCK).cast("int"))
     cut = cut.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
     visits = F.when(F.col("root") == F.col("main"), F.array("own")).otherwise(F.sequence(F.lit(0), F.col("n") - 1))
-    cut = cut.select("token", F.explode(visits).alias("block"), "own", "rep", "root", (F.col("root") != F.col("main")).alias("asks"), "wide", "mine", "runs")
-    groups = cut.repartition("token", "block").sortWithinPartitions("token", "block", F.expr("own <> block"), "rep")
+    cut = cut.select("token", F.explode(visits).alias("block"), "own", "rep", "root", (F.col("root") != F.col("main")).alias("asks"))
+    groups = cut.join(classes, "rep").repartition("token", "block").sortWithinPartitions("token", "block", F.expr("own <> block"), "rep")
 
     def run(batches):
         key, now, settled = None, None, False
@@ -252,7 +253,7 @@ def near_duplicates(docs, id_col="doc_id", text_col="text", length=5, percent=75
     mixed = named.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
     lists = written(named.join(mixed, "token", "left_semi"), "lists")
     mine = lists.groupBy("rep").agg(F.sort_array(F.collect_list("token")).alias("mine"))
-    found = written(across(lists.join(mine.join(bits, "rep").join(sets, "rep"), "rep"), wide_match, percent), "links")
+    found = written(across(lists, mine.join(bits, "rep").join(sets, "rep"), wide_match, percent), "links")
     if not found.isEmpty():
         ends = lists.select("rep", "root").distinct()
         ends = found.join(ends.toDF("a", "ra"), "a").join(ends.toDF("b", "rb"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))

@@ -86,7 +86,8 @@ def test_lists_are_compared_across_components_in_blocks(spark):
     rows = [(t, i, int(root[i]), wide[i].tobytes(), [1, 3] if i % 3 else [1], sets[i].tobytes()) for i in range(n) for t in ([1, 3] if i % 3 else [1])]
     rows += [(2, 1000 + i, 0, wide[0].tobytes(), [2], sets[0].tobytes()) for i in range(5)]
     lists = spark.createDataFrame(rows, "token long, rep long, root long, wide binary, mine array<long>, runs binary")
-    got = [tuple(r) for r in near_dup.across(lists, 6, 75).collect()]
+    classes = lists.select("rep", "wide", "runs", "mine").distinct()
+    got = [tuple(r) for r in near_dup.across(lists.select("token", "rep", "root"), classes, 6, 75).collect()]
 
     def alike(i, j):
         both = len(np.intersect1d(sets[i], sets[j]))
