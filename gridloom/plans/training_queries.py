@@ -1,6 +1,6 @@
 """Registered training queries.
 
-A whole run depends on floating-point details, so most have no SQL twin. The first step from zero parameters does: with
+A long run depends on floating-point details and has no SQL twin; single steps and a short epoch do. The first step from zero parameters is the simplest: with
 equal scores its gradient is a plain mean over all rows. Its weights are multiples of 1 / (255 n), which never fall half-way
 between two numbers of four decimals for the row counts n of the test tables.
 """
