@@ -42,13 +42,18 @@ def texts(batch, name="text"):
     return pc.fill_null(batch.column(name), "").to_pylist()
 
 
-def even_bounds(df, parts, column="doc_id"):
-    """At most parts - 1 ascending values that cut the column into about even ranges; reads that column only.
+def quantiles(df, parts, column="doc_id"):
+    """At most parts - 1 ascending values that cut the column into about even ranges; a frequent one comes several times.
 
-    They are whole numbers near the quantiles and need not occur: beyond 2^53 quantiles are rounded.
+    Reads that column only. The values are whole numbers near the quantiles and need not occur: beyond 2^53 quantiles are rounded.
     """
     cuts = df.approxQuantile(column, [i / parts for i in range(1, parts)], 0.1 / parts)
-    return sorted({min(int(x), (1 << 63) - 1) for x in cuts})
+    return sorted(min(int(x), (1 << 63) - 1) for x in cuts)
+
+
+def even_bounds(df, parts, column="doc_id"):
+    """The different values among the quantiles."""
+    return sorted(set(quantiles(df, parts, column)))
 
 
 def lists(flat, counts, kind):

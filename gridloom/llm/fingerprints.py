@@ -8,10 +8,12 @@ Jaccard similarity of their weights, the sum of the smaller weights over the sum
 The texts are shuffled once, by ranges of ids; counting, sampling and comparing happen inside a range.
 """
 
+from collections import Counter
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import even_bounds, read
+from gridloom.llm.common import quantiles, read
 
 #: Samples in a fingerprint.
 SAMPLES = 32
@@ -74,28 +76,40 @@ def fingerprints(docs, id_col="doc_id", text_col="text", parts=None):
 
     The edited text: the last floor(n_chars / 2) code points are replaced by the first as many (or all) of the next document by ascending
     id, after the last the first. Returns id_col, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and
-    near_next. Null texts count as empty; equal texts have equal fingerprints; rows with one id are ordered by text; a null
-    id comes first. A table of one row is its own next. Other columns are left out.
+    near_next. Null texts count as empty; equal texts have equal fingerprints; rows with one id are ordered by a hash of
+    the text; a null id comes first. With 32 samples a likeness has a standard error of up to 0.09. A table of one row is its own next. Other columns are left out.
     """
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     source = source.withColumn("key", F.coalesce("doc_id", F.lit(-(1 << 63))))
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = F.array(*[F.lit(b).cast("long") for b in even_bounds(source, parts)]).cast("array<bigint>")
-    # quantiles are doubles, so a range is named by the least key in it: that row is there, also beyond 2^53
-    firsts = source.groupBy(F.size(F.filter(cuts, lambda b: b <= F.col("key")))).agg(F.min("key").alias("first"))
-    bounds = sorted(r.first for r in firsts.select("first").collect()) or [0]
-    limits = F.array(*[F.lit(b).cast("long") for b in bounds])
-    bucket = F.size(F.filter(limits, lambda b: b <= F.col("key"))) - 1
+    # a key with a range's worth of rows or more is cut further, by a hash of the text
+    cuts, hot = [], []
+    for value, times in sorted(Counter(quantiles(source, parts, "key")).items()):
+        cuts += [(value, -(1 << 63) + k * ((1 << 64) // times)) for k in range(times)]
+        hot += [value] if times > 1 else []
+    h = F.when(F.col("key").isin(hot), F.xxhash64("text")).otherwise(F.lit(0)) if hot else F.lit(0)
+
+    def places(pairs):
+        made = [F.struct(F.lit(k).cast("long").alias("key"), F.lit(x).cast("long").alias("h")) for k, x in pairs]
+        return F.array(*made).cast("array<struct<key:bigint,h:bigint>>")
+
+    place = F.struct(F.col("key"), h.cast("long").alias("h"))
+    # quantiles are doubles, so a range is named by the least place in it: that row is there, also beyond 2^53
+    at = F.size(F.filter(places(cuts), lambda b: b <= F.col("place")))
+    firsts = source.withColumn("place", place).groupBy(at).agg(F.min("place").alias("first"))
+    bounds = sorted((r.first.key, r.first.h) for r in firsts.select("first").collect()) or [(0, 0)]
+    limits = places(bounds)
+    bucket = F.size(F.filter(limits, lambda b: b <= F.col("place"))) - 1
     # the first document of each range is also a guest behind the last one of the range before
     before = F.when(F.col("bucket") == 0, len(bounds) - 1).otherwise(F.col("bucket") - 1)
     home = F.struct(F.col("bucket"), F.lit(0).alias("guest"))
     visit = F.struct(before.alias("bucket"), F.lit(1).alias("guest"))
-    first = F.array_contains(limits, F.col("key"))
-    rows = source.withColumn("bucket", bucket).withColumn("at", F.explode(F.when(first, F.array(home, visit)).otherwise(F.array(home))))
-    rows = rows.select("key", "doc_id", "text", "at.bucket", "at.guest").repartition(len(bounds), "bucket")
-    order = ["guest", "key", "text"]
-    inside = Window.partitionBy("bucket").orderBy(*order)
+    first = F.array_contains(limits, F.col("place"))
+    rows = source.withColumn("place", place).withColumn("bucket", bucket)
+    rows = rows.withColumn("at", F.explode(F.when(first, F.array(home, visit)).otherwise(F.array(home))))
+    rows = rows.select("key", "doc_id", "text", "at.bucket", "at.guest").repartitionById(len(bounds), "bucket")
+    inside = Window.partitionBy("bucket").orderBy("guest", "key", F.xxhash64("text"), "text")
     rows = rows.withColumn("nth", F.row_number().over(inside)).withColumn("next", F.lead("text").over(inside))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")

@@ -198,6 +198,17 @@ def test_fingerprints_of_few_rows(spark):
     assert fingerprints.fingerprints(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_a_frequent_id_is_spread_over_ranges(spark):
+    rows = [(None, f"text {i} of many") for i in range(400)] + [(i, f"other {i}") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = fingerprints.fingerprints(docs, parts=20)
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 10 and max(sizes) < 100
+    got = found.collect()
+    again = fingerprints.fingerprints(docs.repartition(3), parts=3).collect()
+    assert len(got) == 500 and sorted(got, key=str) == sorted(again, key=str)
+
+
 def test_equal_words_have_equal_values():
     w = Words(["a bb ccc", "", "ccc  bb", "x" * 3000 + " a"], most=16)
     assert w.counts.tolist() == [3, 0, 2, 2]
