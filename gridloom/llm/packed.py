@@ -270,7 +270,7 @@ PACKED = "part int, doc_id long, n int, packed binary"
 
 
 def write(encoded, path, width, bounds, block_tokens=1 << 18):
-    """Writes doc_id and ids as blocks in ascending doc_id order; rows of one doc_id, or without one, keep no particular order.
+    """Writes doc_id and ids as blocks in ascending doc_id order; rows of one doc_id, or without one, are ordered by length and ids.
 
     Ids are packed before the only shuffle, which deals them by the ranges that the ascending doc_ids in bounds cut. Rows
     without a doc_id come first. part numbers the ranges, block the blocks inside one, before counts the part's tokens in earlier
@@ -310,7 +310,7 @@ def _write(packed, path, width, parts, block_tokens):
         if ids:
             yield flush()
 
-    dealt = packed.repartitionById(parts, "part").sortWithinPartitions("part", F.asc_nulls_first("doc_id"))
+    dealt = packed.repartitionById(parts, "part").sortWithinPartitions("part", F.asc_nulls_first("doc_id"), "n", "packed")
     dealt.mapInArrow(block, BLOCK).write.parquet(path)
 
 
@@ -344,9 +344,11 @@ def read_back(spark, path):
 def op8(spark, sf_dir):
     """Writes all documents' ids as packed blocks and reads them back."""
     import public_tokenizers
+    import tokenizers
 
-    path = f"{shared_dir(spark)}/llm/tokens-{uuid.uuid4().hex}"
+    path, model, end = f"{shared_dir(spark)}/llm/tokens-{uuid.uuid4().hex}", public_tokenizers.path("word_bpe_49k.json"), 2
+    width = width_of(1 + max(end, *tokenizers.Tokenizer.from_file(model).get_vocab().values()))
     docs = read(spark, sf_dir, "documents")
     bounds = even_bounds(docs, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    write_texts(docs, path, public_tokenizers.path("word_bpe_49k.json"), 2, width_of(49_408), bounds)
+    write_texts(docs, path, model, end, width, bounds)
     return read_back(spark, path)

@@ -131,6 +131,16 @@ def test_packed_rows_without_an_id_come_first(spark, tmp_path):
         assert packed.Block(bytes(first.payload)).nulls >= 1 and first.first_doc is None
 
 
+def test_packed_rows_of_one_id_do_not_depend_on_their_order(spark, tmp_path):
+    rows = [(1, t) for t in ("b b b", "a", "c d", "a", None, "long " * 20)] + [(None, "x y"), (None, "x"), (0, "z")]
+    found = []
+    for name, some in (("one", rows), ("two", rows[::-1]), ("three", rows[4:] + rows[:4])):
+        docs = spark.createDataFrame(some, "doc_id long, text string").repartition(3)
+        packed.write_texts(docs, str(tmp_path / name), P.path("word_bpe_49k.json"), 2, 16, [1])
+        found.append(sorted(map(tuple, packed.read_back(spark, str(tmp_path / name)).collect()), key=lambda r: r[1]))
+    assert len(found[0]) == len(rows) and found[0] == found[1] == found[2]
+
+
 @pytest.mark.parametrize("width", [1, 3, 8, 13, 16, 17, 31, 32])
 def test_bit_fields_round_trip(width):
     rng = np.random.default_rng(width)
