@@ -1,12 +1,15 @@
 """Main text of HTML pages by tree scoring.
 
 Every paragraph passes points for its length and commas to its ancestors, less the farther up; a container's points are
-discounted by the share of link text in it. The best container and those siblings that score alike are kept, with headings, lists and
-short paragraphs next to them, without menus, forms, adverts and the like inside them. Names judge late: an element goes by its class or
-id only if the page's prose is elsewhere. A page is one row: no shuffle, memory bounded by the largest page.
+discounted by the share of link text in it. The best container and those siblings and cousins that score alike are kept, with headings,
+lists and short paragraphs next to them, without menus, forms, adverts and the like inside them. Names judge late: an element goes by its
+class or id, or as a form, only if the page's prose is elsewhere. A page is one row: no shuffle, memory bounded by the largest page, time
+in proportion to its length however deep its tags are nested.
 """
 
+import heapq
 import re
+from collections import Counter, defaultdict, deque
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -18,7 +21,9 @@ from gridloom.llm.common import read, slices
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rb rp rt s samp small "
-    "span strike strong sub sup time tt u var wbr".split())
+    "span strike strong sub sup time tt u var wbr button "
+    "math merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext "
+    "mtr munder munderover semantics".split())
 #: Start tags that end an open paragraph.
 CLOSE_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -32,12 +37,15 @@ CLOSE_SAME = {
 
 #: Elements that never hold main text.
 DROPPED = frozenset(
-    "head script style noscript template iframe object embed applet svg canvas math audio video map nav footer aside menu form "
-    "button select textarea input label fieldset dialog search".split())
+    "head script style noscript template iframe object embed applet svg canvas audio video map nav footer aside menu "
+    "select textarea input label fieldset dialog search annotation annotation-xml".split())
+#: What a dropped element leaves: nothing, or a space where it had a place in its line; others end a block.
+LEAVES = dict.fromkeys("script style noscript template annotation annotation-xml".split(), "") | dict.fromkeys(
+    "iframe object embed applet svg canvas audio video map select textarea input label".split(), " ")
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 #: Words in class and id of what is not main text.
 NOT_MAIN = frozenset(
-    "ad ads adbox advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline comment comments cookie cookies "
+    "ad ads adbox advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments cookie cookies "
     "consent disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices overlay pager pagination "
     "popup promo promoted promotion recommended related replies respond reply share sharing sidebar signup skip social sponsor "
     "sponsored subscribe subscription tagcloud toc toolbar widget widgets".split())
@@ -50,14 +58,20 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BESIDE = HEADINGS | frozenset("p pre blockquote ul ol dl figure hr table".split()) | INLINE
 #: Length in code points from which a block counts as prose.
 PROSE = 80
+#: Blocks of running text, where a button can be a word of a sentence.
+SENTENCES = HEADINGS | frozenset("p li td th dd dt blockquote figcaption caption".split())
 NO_CONTAINER = frozenset("p h1 h2 h3 h4 h5 h6 li tr tbody thead tfoot".split()) | INLINE
 WORDS = re.compile(r"[a-z]+")
+COMMENT_END, COMMENT_CLOSE = re.compile(r"-?>"), re.compile(r"--!?>")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "names", "mark", "points", "length", "links", "own", "prose", "long", "holds")
+    __slots__ = ("tag", "parent", "parts", "names", "mark", "points", "length", "links", "own", "prose", "long", "holds", "depth", "article", "block")
 
     def __init__(self, tag, parent, names, mark=None):
+        self.depth = parent.depth + 1 if parent else 0
+        self.article = tag in ("article", "main") or parent is not None and parent.article
+        self.block = parent.block if tag in INLINE else self
         self.tag, self.parent, self.names, self.mark, self.parts = tag, parent, names, mark, []
         self.points = self.length = self.links = self.prose = 0
         self.own, self.long, self.holds = (), False, tag in ("article", "main")
@@ -78,7 +92,28 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = self.open = Node("html", None, frozenset())
         self.nodes = [self.root]
-        self.skipped = []  # open elements inside a dropped one
+        self.path, self.places = [self.root], defaultdict(list, html=[self.root])  # open nodes, also by tag
+        self.skipped, self.skipping = [], Counter()  # open elements inside a dropped one
+
+    def _open(self, node):
+        self.open = node
+        self.path.append(node)
+        self.places[node.tag].append(node)
+
+    def _close(self, node):
+        """Closes a node and all that is open in it."""
+        while len(self.path) > node.depth:
+            self.places[self.path.pop().tag].pop()
+        self.open = node.parent
+
+    def _skip(self, tag):
+        self.skipped.append(tag)
+        self.skipping[tag] += 1
+
+    def parse_comment(self, i, report=1):
+        """A comment without an end goes to the end of the page, as in browsers."""
+        end = COMMENT_END.match(self.rawdata, i + 4) or COMMENT_CLOSE.search(self.rawdata, i + 4)
+        return end.end() if end else len(self.rawdata)
 
     def _names(self, attrs):
         """Words of class and id and their mark; None if the element is dropped because of its other attributes."""
@@ -95,16 +130,14 @@ class Tree(HTMLParser):
         return frozenset(names), mark_of(tokens)
 
     def _inside(self, tags):
-        node = self.open
-        while node is not None and node.tag not in tags:
-            node = node.parent
-        return node
+        """The innermost open node with one of the tags."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), key=lambda node: node.depth, default=None)
 
     def handle_starttag(self, tag, attrs):
         if self.skipped:
-            if tag not in VOID and not (tag in CLOSE_SAME and tag in self.skipped):
+            if tag not in VOID and not (tag in CLOSE_SAME and self.skipping[tag]):
                 if not (tag in ("p", "li", "option", "td", "tr") and self.skipped[-1] == tag):
-                    self.skipped.append(tag)
+                    self._skip(tag)
             return
         if tag in ("html", "body") and self._inside({"body"}):
             return
@@ -116,39 +149,46 @@ class Tree(HTMLParser):
                 self.open.parts.append(" ")
             return
         if dropped:
-            self.skipped.append(tag)
-            self.open.parts.append("\n" if tag not in INLINE else "")
+            self._skip(tag)
+            self.open.parts.append(LEAVES.get(tag, "\n" if tag not in INLINE else ""))
             return
         if tag == "html":
             return
         node = Node(tag, self.open, *names)
+        if tag == "form":
+            node.mark = "whole"
         self.open.parts.append(node)
         self.nodes.append(node)
-        self.open = node
+        self._open(node)
 
     def _close_implied(self, tag):
-        if tag in CLOSE_P and (p := self._inside({"p", "table", "body"})) is not None and p.tag == "p":
-            self.open = p.parent
+        if tag in CLOSE_P and (p := self._inside(("p", "table", "body"))) is not None and p.tag == "p":
+            self._close(p)
         if tag in CLOSE_SAME:
             same, stop = CLOSE_SAME[tag]
             node = self._inside(same | stop)
             while node is not None and node.tag in same:
-                self.open = node.parent
+                self._close(node)
                 node = self._inside(same | stop)
 
     def handle_endtag(self, tag):
         if self.skipped:
-            if tag in self.skipped:
-                del self.skipped[len(self.skipped) - 1 - self.skipped[::-1].index(tag):]
+            if self.skipping[tag]:
+                while True:
+                    last = self.skipped.pop()
+                    self.skipping[last] -= 1
+                    if last == tag:
+                        break
             elif tag in ("body", "html"):
                 self.skipped.clear()
+                self.skipping.clear()
             return
         if tag == "br":
             self.open.parts.append(" ")
         elif tag not in ("html", "body"):
-            node = self._inside({tag})
+            node = self._inside((tag,))
             if node is not None and node is not self.root:
-                self.open = node.parent
+                self._close(node)
 
     def handle_data(self, data):
         if not self.skipped:
@@ -202,25 +242,26 @@ def _weigh(tree):
             up.long, up.holds = up.long or node.long, up.holds or node.holds
 
 
-def _in_article(node):
-    while node is not None and node.tag not in ("article", "main"):
-        node = node.parent
-    return node is not None
+def _in_sentence(button):
+    """Whether a button is a smaller part of a block of running text."""
+    return button.block.tag in SENTENCES and 2 * button.length < button.block.length
 
 
 def _unnamed(tree):
-    """Takes out the elements that their class or id calls no main text.
+    """Takes out forms, buttons outside sentences and the elements that their class or id calls no main text.
 
-    One named so by a whole class stays if it holds an article or main, or prose that outweighs fourfold what is left
+    A form, or one named so by a whole class, stays if it holds an article or main, or prose that outweighs fourfold what is left
     without it; one with such a word among others goes only if it is mostly links and has no prose.
     """
     def judged(node):
+        if node.tag == "button" and not _in_sentence(node):
+            return True
         if node.mark is None or node.holds or node.tag in ("html", "body"):
             return False
         if node.mark == "part":
             return 2 * node.links > node.length and not node.long
         # as with the element header: inside an article it has its heading
-        return not (_in_article(node) and "header" in node.names and not node.names & (NOT_MAIN - {"header"}))
+        return not (node.article and "header" in node.names and not node.names & (NOT_MAIN - {"header"}))
 
     def outermost(node):
         found, stack = [], [node]
@@ -230,18 +271,27 @@ def _unnamed(tree):
                     (found if judged(part) else stack).append(part)
         return found
 
-    out = outermost(tree.root)
-    rest = tree.root.prose - sum(n.prose for n in out)
-    while kept := [n for n in out if n.long and n.prose > 4 * rest]:
-        best = max(kept, key=lambda n: n.prose)
-        inner = outermost(best)
-        out = [n for n in out if n is not best] + inner
-        rest += best.prose - sum(n.prose for n in inner)
+    rest, out, long = tree.root.prose, {}, []
+
+    def take(nodes):
+        nonlocal rest
+        for n in nodes:
+            rest -= n.prose
+            out[n] = True
+            if n.long and n.tag != "button":
+                heapq.heappush(long, (-n.prose, len(out), n.depth, id(n), n))
+
+    take(outermost(tree.root))
+    while long and long[0][-1].prose > 4 * rest:
+        best = heapq.heappop(long)[-1]
+        del out[best]
+        rest += best.prose
+        take(outermost(best))
     if not out:
         return
     gone, stack = set(out), list(out)
     for up in {n.parent for n in out}:
-        up.parts = [p if isinstance(p, str) or p not in gone else "" if p.tag in INLINE else "\n" for p in up.parts]
+        up.parts = [p if isinstance(p, str) or p not in gone else " " if p.tag in INLINE else "\n" for p in up.parts]
     while stack:
         node = stack.pop()
         gone.add(node)
@@ -253,24 +303,33 @@ def _unnamed(tree):
     _weigh(tree)
 
 
+#: What is left of a paragraph's points in its container and those above it; the last holds for all farther ones.
+LEVELS = (1, 2, 6, 9, 12)
+
+
 def _score(tree):
     _weigh(tree)
-    if any(n.mark for n in tree.nodes):
+    if any(n.mark or n.tag == "button" for n in tree.nodes):
         _unnamed(tree)
+    below = defaultdict(lambda: [0.0] * len(LEVELS))  # points of paragraphs by their distance
     for node in tree.nodes:
         # a paragraph's container is its parent; bare text counts for the node it stands in
-        first = node.parent if node.tag in HEADINGS or node.tag in ("p", "pre", "blockquote", "li", "td", "dd") else node
-        for points in node.own:
-            up, level = first, 0
-            while up is not None:
-                up.points += points / (1, 2, 6, 9, 12)[min(level, 4)]
-                up, level = up.parent, level + 1
+        if node.own:
+            below[node.parent if node.tag in HEADINGS or node.tag in ("p", "pre", "blockquote", "li", "td", "dd") else node][0] += sum(node.own)
+    for node in reversed(tree.nodes):
+        mine = below.pop(node, None)
+        if mine is not None:
+            node.points = sum(points / share for points, share in zip(mine, LEVELS))
+            if node.parent is not None:
+                up = below[node.parent]
+                for level, points in enumerate(mine):
+                    up[min(level + 1, len(LEVELS) - 1)] += points
 
 
 def _rank(node):
     density = node.links / node.length if node.length else 0.0
     bonus = BASE.get(node.tag, 0) + (25 if node.names & MAIN_WORDS else 0) - (25 if node.mark == "part" else 0)
-    return (node.points + (bonus if node.points else 0)) * (1 - density)
+    return round((node.points + (bonus if node.points else 0)) * (1 - density), 9)
 
 
 def _blocks(node, parts=None):
@@ -319,34 +378,83 @@ def main_text(html):
     while node is not None and node.tag not in ("article", "main"):
         node = node.parent
     whole, best = node is not None, node or best  # parts of one article stay together
-    if best.parent is None:
-        return "\n".join(_blocks(best))
-    least, parts = max(2.0, 0.2 * _rank(best)), best.parent.parts
+    least = max(2.0, 0.2 * _rank(best))
+    return "\n".join(_blocks(tree.root, _with_article(best, least) if whole else _with_neighbours(best, least)))
+
+
+def _link(part):
+    return part.links / part.length if part.length else 1.0
 
-    def link(part):
-        return part.links / part.length if part.length else 1.0
+
+def _prose(part):
+    return part.tag == "p" and _link(part) < 0.25 and part.length > PROSE
+
+
+def _with_article(best, least):
+    """An article and its siblings of one tag that score alike, with prose between them."""
+    if best.parent is None:
+        return [best]
 
     def main(part):
-        if part is best:
-            return True
-        if isinstance(part, str) or part.tag in INLINE:
-            return False
-        prose = part.tag == "p" and link(part) < 0.25 and part.length > PROSE
-        return prose or part.tag == best.tag and _rank(part) >= least
+        return part is best or isinstance(part, Node) and (_prose(part) or part.tag == best.tag and _rank(part) >= least)
+
+    return [part if main(part) else "\n" for part in best.parent.parts]
 
-    def beside(part):
-        if isinstance(part, str):
-            return part != "\n"
-        return part.tag in BESIDE and (link(part) < 0.25 or not part.length or part.tag in HEADINGS)
 
-    kept = [main(part) for part in parts]
-    if not whole:  # without an article, small blocks belong to what is kept before or behind them
-        for order in (range(len(parts)), reversed(range(len(parts)))):
+def _beside(part):
+    if isinstance(part, str):
+        return part != "\n"
+    return part.tag in BESIDE and (_link(part) < 0.25 or not part.length or part.tag in HEADINGS)
+
+
+def _alike(part, least):
+    """The containers at and below a part that score enough by themselves, in page order.
+
+    One that holds a better one is left for that, with the small blocks beside it.
+    """
+    found, stack = [], [(part, False)]
+    while stack:
+        node, within = stack.pop()
+        if isinstance(node, str):
+            found += [node] * within
+            continue
+        enough = node.tag not in NO_CONTAINER and _rank(node) >= least
+        if enough and all(isinstance(p, str) or p.tag in NO_CONTAINER or _rank(p) <= _rank(node) for p in node.parts):
+            found.append(node)
+        elif within and not enough and _beside(node):
+            found.append(node)
+        else:
+            found.append("\n")
+            stack.append(("\n", True))
+            stack.extend((p, enough) for p in reversed(node.parts))
+    return found if any(isinstance(p, Node) for p in found) else []
+
+
+def _with_neighbours(best, least):
+    """A container with those beside and around it that score alike, prose and small blocks beside it and headings around it."""
+    def heading(part):
+        return isinstance(part, Node) and part.tag in HEADINGS or isinstance(part, str) and not part.strip()
+
+    parts, node, near_by = deque([best]), best, _beside
+    while node.parent is not None:
+        level = node.parent.parts
+        at = next(i for i, part in enumerate(level) if part is node)
+        kept = [[part] if near_by is _beside and isinstance(part, Node) and _prose(part) else _alike(part, least) for part in level[:at]]
+        kept.append([node])
+        kept += [[part] if near_by is _beside and isinstance(part, Node) and _prose(part) else _alike(part, least) for part in level[at + 1:]]
+        # small blocks belong to what is kept before or behind them
+        for order in (range(len(level)), reversed(range(len(level)))):
             near = False
             for i in order:
-                near = kept[i] or near and beside(parts[i])
-                kept[i] = near
-    return "\n".join(_blocks(best.parent, [p if k else "\n" for p, k in zip(parts, kept)]))
+                near = bool(kept[i]) or near and near_by(level[i])
+                if near and not kept[i]:
+                    kept[i] = [level[i]]
+        for found in reversed(kept[:at]):
+            parts.extendleft(reversed(found or ["\n"]))
+        for found in kept[at + 1:]:
+            parts.extend(found or ["\n"])
+        node, near_by = node.parent, heading
+    return parts
 
 
 def extract(pages, id_col="page_id", html_col="html", keep=("url",)):

@@ -1,12 +1,19 @@
 """Main text, URL rules and toxic segments."""
 
 import random
+import sys
+import time
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
 
-from gridloom.llm import html_text, toxicity, url_rules
+sys.path.insert(0, str(Path(__file__).parent))
+
+import brute  # noqa: E402
+
+from gridloom.llm import html_text, toxicity, url_rules  # noqa: E402
 
 
 @pytest.mark.parametrize("html, text", [
@@ -39,6 +46,52 @@ def test_names_and_neighbours_lose_no_main_text(html, text):
     assert html_text.main_text(html) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    (f"<body><form id=aspnetForm><input name=state><div id=content><p>{LONG}<select><option>x</select></div></form>", LONG),
+    (f"<article><p>{LONG}<form><p>{LONG}<textarea>t</textarea></form></article>", LONG),
+    ("<p>If <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> holds", "If x=1 holds"),
+    ("<p>Press <button>OK</button> to go on<p><button>Share</button>", "Press OK to go on"),
+    ("<p>one <svg><text>no</text></svg>line<script>x</script>s", "one lines"),
+    (f"<div><div><p>{LONG}<p>{LONG}</div></div><div><div><p>{LONG}</div><ul><li><a href=x>link</a></ul></div>", "\n".join([LONG] * 3)),
+    (f"<h1>Head</h1><div><div><p>{LONG}</div><div><a href=x>link</a></div></div>", f"Head\n{LONG}"),
+    (f"<article><p class=byline>By X<p>{LONG}</article>", f"By X\n{LONG}"),
+    ("<p>text<!-- <p>no", "text"), ("<p>a<!-->b<!--->c<!-- d --!>e", "abce"),
+])
+def test_common_shapes_lose_no_main_text(html, text):
+    assert html_text.main_text(html) == text
+
+
+def test_random_trees_are_scored_by_the_definitions():
+    rng = random.Random(11)
+
+    def tree(depth):
+        tag = rng.choice(["div", "div", "section", "ul"] if depth else ["p", "p", "h2", "div"])
+        if tag == "ul":
+            return tag, [("li", words()) for _ in range(rng.randint(1, 3))]
+        if tag in ("p", "h2"):
+            return tag, words()
+        return tag, [rng.choice([words()[0], tree(depth - 1), tree(depth - 1)]) if depth else words()[0] for _ in range(rng.randint(1, 4))]
+
+    def words():
+        text = " ".join(rng.choice(["word", "more,", "x"]) for _ in range(rng.choice([1, 3, 30])))
+        return [text] + ([(rng.choice("ab"), [rng.choice([text, "y"])]), " end"] if rng.random() < 0.4 else [])
+
+    lost = 0
+    for _ in range(400):
+        root = ("html", [tree(rng.randint(1, 4)) for _ in range(rng.randint(1, 3))])
+        html = "".join(map(brute.markup, root[1]))
+        assert html_text.main_text(html) == brute.scored_text(root), html
+        lost += brute.scored_text(root) != brute.scored_text(("html", [("p", [html])]))
+    assert lost > 300
+
+
+@pytest.mark.parametrize("many", ["<div>", "<div class=sidebar>", "<nav>", "<nav><li>", "<p><b>", "<ul><li>", "<b><button>", "<!--", "</b><p>x"])
+def test_time_grows_with_the_length_of_a_page_only(many):
+    begin = time.process_time()
+    html_text.main_text(many * 100_000 + LONG)
+    assert time.process_time() - begin < 30
+
+
 def test_pages_keep_their_rows(spark):
     rows = [(1, None, None, "x", 3), (1, "u", "<p>a &lt; b</p>", "x", 3), (None, "u", "", "x", 3)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")
