@@ -127,6 +127,23 @@ def test_repeats_with_short_windows_and_odd_rows(spark):
     assert sorted((r.doc_id, r.text) for r in whole.filter("doc_id IS NOT NULL").collect()) == [(5, words), (5, words), (7, "end")]
 
 
+@pytest.mark.parametrize("group", [4096, 40, 3])
+def test_a_long_text_that_repeats_one_phrase(spark, group):
+    """Phrases repeated with equal and with changing words between them, held by other documents too; several rows of one id."""
+    rng = random.Random(12)
+    phrase, other = [f"p{i}" for i in range(14)], [f"q{i}" for i in range(60)]
+    word = lambda: rng.choice("uvwxyz")
+    changing = [x for _ in range(120) for x in (*phrase, *(word() for _ in range(rng.randint(0, 40))))]
+    docs = [(1, other * 30), (2, changing), (3, changing[500:900] + other), (4, phrase * 60), (5, ["a", "b"] * 300), (6, ["b"] + ["a", "b"] * 40),
+            (7, changing[:70] + phrase * 9 + other * 3), (8, changing[1000:1400] + ["end"]), (9, other[30:] + other[:30])]
+    docs = [(i, " ".join(w)) for i, w in docs]
+    got = substrings.remove_repeats(frame(spark, docs), group=group).collect()
+    assert sorted(map(tuple, got)) == brute.repeats(docs)
+    rows = [(2, docs[1][1]), (2, docs[1][1]), (2, docs[0][1]), (1, docs[6][1]), (3, docs[7][1])]
+    got = sorted(map(tuple, substrings.remove_repeats(frame(spark, rows), group=group).collect()))
+    assert got == brute.repeats(rows)
+
+
 def test_contamination_equals_brute_force(spark, monkeypatch):
     docs = passages(3) + [(910, "the cat sat"), (911, "a b " * 30), (912, "cat the CAT. sat")]
     rng = random.Random(6)
