@@ -88,14 +88,14 @@ def is_held_out(column):
 
 
 def learn(docs, labels, id_col="doc_id", text_col="text", label_col="toxic", sample_rows=20_000, strength=0.1,
-          other=-0.2, most_words=1_000_000):
+          other=-0.2, most_words=4_000_000):
     """The model, from at most about sample_rows labelled rows that are not held out.
 
     The sample is drawn by a hash of the id, so it is the same in every run. Of rows that are near copies of each other
     (a common smallest value in one of four hashes of word runs) one counts. Three quarters of the rows give word counts, the others the
     calibration. strength: weight of the prior against the rows. No word is left out for being rare: its log-odds less their standard
-    error is its score, and what many weak words are worth is up to the extreme-value law and the calibration. most_words bounds the
-    driver's memory, not the choice: the words of sample_rows rows are far fewer, unless the rows are very long. Rows with a null id or label are left out; a
+    error is its score, and what many weak words are worth is up to the extreme-value law and the calibration. A model of more
+    than most_words words is refused, never cut; the words of sample_rows rows are far fewer, unless the rows are very long. Rows with a null id or label are left out; a
     repeated labelled id counts as toxic if any of its rows is. Without any labelled row every text gets 0.5; with one class only,
     that class's share.
     """
@@ -135,7 +135,9 @@ def learn(docs, labels, id_col="doc_id", text_col="text", label_col="toxic", sam
     shrunk = F.signum(odds) * F.greatest(F.abs(odds) - F.sqrt(1 / t + 1 / c), F.lit(0.0))
     scored = counts.select("w", "t", "c", shrunk.alias("score"))
     chosen = scored.filter("score != 0") if n_toxic and n_clean else scored.limit(0)
-    table = chosen.orderBy(F.desc(F.abs("score")), "w").limit(most_words).toPandas()
+    table = chosen.limit(most_words + 1).toPandas().sort_values("w", ignore_index=True)
+    if len(table) > most_words:
+        raise ValueError(f"more than {most_words} words tell toxic rows from others; raise most_words or learn from fewer sample_rows")
     values, scores = table["w"].to_numpy(np.int64).view(np.uint64), table["score"].to_numpy(float)
     order = np.argsort(values)
     model = Model(values[order], scores[order], other, 1.0, 1.0, 0.0, 0.0)

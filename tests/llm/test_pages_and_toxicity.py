@@ -194,6 +194,15 @@ def test_rare_telling_words_are_found_held_out(spark):
     assert sum(r.predicted for r in held) - hits <= 0.03 * len(held)
 
 
+def test_a_model_of_too_many_words_is_refused(spark):
+    docs = spark.createDataFrame([(i, "vile words here" if i % 2 else "kind talk there") for i in range(40)], "doc_id long, text string")
+    docs = docs.selectExpr("doc_id", "concat(text, ' ', doc_id) AS text")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    assert len(toxicity.learn(docs, labels).values) > 2
+    with pytest.raises(ValueError, match="most_words"):
+        toxicity.learn(docs, labels, most_words=2)
+
+
 def test_learning_without_labels_or_documents(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
