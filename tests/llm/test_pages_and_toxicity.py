@@ -125,10 +125,23 @@ def test_rules_are_judged_exactly(spark):
 
 
 def test_cascade_has_no_wrong_answer_over_its_universe():
-    listed, others = [f"yes{i}" for i in range(50)], [f"no{i}" for i in range(20_000)]
-    cascade = url_rules.build(listed, 2000, lambda level: [k for k in others if k in level])
+    listed, others = [b"yes%d" % i for i in range(50)], [b"no%d" % i for i in range(20_000)]
+    level = url_rules.first_level(listed, 2000)
+    cascade = url_rules.build(listed, level, [k for k, taken in zip(others, level.has(others)) if taken])
     assert len(cascade.levels) > 1
-    assert all(k in cascade for k in listed) and not any(k in cascade for k in others)
+    assert cascade.has(listed).all() and not cascade.has(others).any() and not len(cascade.has([]))
+
+
+def test_many_rules_repeated_rules_and_equal_lengths(spark):
+    """Hundreds of rules of two verdicts whose hosts differ by little; the cascades have several levels."""
+    rules = [url_rules.Rule("block" if i % 3 else "allow", f"h{i}.net", "/" + "p" * (i % 4)) for i in range(400)]
+    rules += [url_rules.Rule("allow", "h1.net", "/p"), url_rules.Rule("allow", "net", "/ppppppp"), url_rules.Rule("block", "h7.net", "/ppp")]
+    urls = [f"http://{'www.' * (i % 2)}h{i}.net/{'p' * (i % 9)}" for i in range(3000)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    last = {(r.host, r.path): r for r in rules}.values()
+    for row in url_rules.judge(pages, rules, otherwise="unknown").collect():
+        best = max((r for r in last if fits(r, row.host, row.path)), key=lambda r: (len(r.host) + len(r.path), len(r.host)), default=None)
+        assert (row.rule, row.verdict) == ((best.host + best.path, best.verdict) if best else (None, "unknown")), row
 
 
 def maximal(scores):
