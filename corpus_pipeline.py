@@ -28,8 +28,9 @@ def drop_near_duplicates(spark, docs, sf_dir):
 
 
 def drop_repeats(spark, docs, sf_dir):
-    """Documents without the words that repeat earlier ones; a changed text is its kept words joined by one space."""
-    return substrings.without_repeats(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    """Documents without the words that repeat earlier ones; a changed text is its kept words joined by one space. Null texts keep their n_chars."""
+    n_chars = F.coalesce(F.length("text").cast("long"), "n_chars")
+    return substrings.without_repeats(docs).withColumn("n_chars", n_chars).select(docs.columns)
 
 
 def drop_contaminated(spark, docs, sf_dir):
