@@ -1,13 +1,15 @@
 """Reading, slicing and numbering shared by the text operators."""
 
 import itertools
+import mmap
 import uuid
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs
 
-from gridloom.session import shared_dir
+from gridloom.session import locate, shared_dir
 
 #: Bytes of text that a task handles at once.
 SLICE = 2 << 20
@@ -25,6 +27,37 @@ def written(df, kind):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def save_arrays(path, arrays):
+    """Write named arrays to one file of the shared folder, from a task; returns what mapped() needs."""
+    system, inner = locate(path)
+    system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    index, at = [], 0
+    with system.open_output_stream(inner) as out:
+        for name, a in arrays.items():
+            data = np.ascontiguousarray(a).tobytes()
+            index.append((name, a.dtype.str, a.shape, at))
+            out.write(data + bytes(-len(data) % 64))
+            at += -(-len(data) // 64) * 64
+        out.write(bytes(64))  # an empty file cannot be mapped
+    return path, index
+
+
+def mapped(saved):
+    """The arrays of a file, read-only; mapped where the folder is mounted, else read."""
+    path, index = saved
+    system, inner = locate(path)
+    if isinstance(system, pa.fs.LocalFileSystem):
+        with open(inner, "rb") as f:
+            data = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
+    else:
+        with system.open_input_file(inner) as f:
+            data = f.read()
+    out = {}
+    for name, dtype, shape, at in index:
+        out[name] = np.ndarray(shape, np.dtype(dtype), data, at)
+    return out
+
+
 def slices(batches, text="text", most=SLICE):
     """Record batches cut so that their texts hold at most `most` bytes, or a single row."""
     for batch in batches:

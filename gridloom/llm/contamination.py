@@ -2,19 +2,23 @@
 
 Each slice of documents is a shard. Its suffix array holds the places where a window can start, sorted by the next words; every
 suffix of a benchmark item is looked up in it by binary search. That gives all verbatim occurrences of its window with
-their places, and the longest verbatim match. The benchmark travels in blocks of bounded size to the documents,
-which are not shuffled.
+their places, and the longest verbatim match.
+
+The benchmark's windows are built in tasks, in blocks of bounded size, and written to the shared folder as arrays that the
+workers of a machine map together. The documents are read once, neither shuffled nor rewritten: a shard goes through all blocks, one after another.
 """
 
+import ast
 import hashlib
-from types import SimpleNamespace
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import ranges, read, slices, texts, written
+from gridloom.llm.common import mapped, ranges, read, save_arrays, slices, texts
 from gridloom.llm.words import NO_WORD, Words
+from gridloom.session import shared_dir
 
 
 class Windows:
@@ -50,6 +54,18 @@ class Windows:
         self.place = at - np.repeat(words.first, suffixes)
         self.items = np.asarray(items, np.int64)
 
+    def save(self, path):
+        """Write the arrays to a file; returns what load() needs to find it."""
+        arrays = {name: a for name, a in vars(self).items() if isinstance(a, np.ndarray)}
+        return {"arrays": save_arrays(path, arrays), "length": self.length, "shortest": self.shortest}
+
+    @classmethod
+    def load(cls, saved):
+        """The windows of a file; where the shared folder is mounted, its pages are mapped and not copied."""
+        out = cls.__new__(cls)
+        vars(out).update(mapped(saved["arrays"]), length=saved["length"], shortest=saved["shortest"])
+        return out
+
 
 def keys_of(rows):
     """Rows of word numbers as byte strings that sort like them."""
@@ -125,19 +141,41 @@ def _groups(pairs):
         yield group[0, 0], group[:, 1]
 
 
-def blocks(benchmark, item_col, text_col, most=8 << 20):
-    """Items and texts in blocks of at most `most` characters (or one item), one block at a time on the driver."""
-    items, held, size = [], [], 0
-    for row in benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t")).toLocalIterator():
-        if row.i is None or row.t is None:
-            continue
-        if held and size + len(row.t) > most:
-            yield items, held
-            items, held, size = [], [], 0
-        items.append(row.i)
-        held.append(row.t)
-        size += len(row.t)
-    yield items, held
+#: Bytes of benchmark text whose windows make one block; a task that builds it needs some 60 times as much for a while.
+BLOCK = 4 << 20
+
+
+def blocks(benchmark, item_col, text_col, length, most=None):
+    """Files with the windows of the benchmark, each of at most `most` (BLOCK) bytes of text or one item, written by tasks.
+
+    About two files for each `most` bytes at the most, however many partitions the benchmark has. The driver gets one short row for each
+    file. Files of tasks that ran twice are not in the list and stay unread.
+    """
+    folder, most = f"{shared_dir(benchmark.sparkSession)}/llm/windows-{uuid.uuid4().hex}", most or BLOCK
+    items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).cast("string").alias("text"))
+    items = items.filter("item IS NOT NULL AND length(text) > 0")
+    tasks = -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // most)
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            for part in slices([batch], most=most):
+                if held and size + part.nbytes > most:
+                    yield written(held)
+                    held, size = [], 0
+                held.append(part)
+                size += part.nbytes
+        if held:
+            yield written(held)
+
+    def written(held):
+        table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        path = f"{folder}/{uuid.uuid4().hex}"
+        saved = Windows(table.column("item").to_pylist(), texts(table), length).save(path)
+        return pa.RecordBatch.from_arrays([pa.array([repr(saved)])], ["saved"])
+
+    found = items.coalesce(max(1, tasks)).mapInArrow(run, "saved string").collect()
+    return [ast.literal_eval(r.saved) for r in found]
 
 
 def decontaminate(docs, benchmark, id_col="doc_id", text_col="text", item_col="item_id", item_text_col="text", length=13, share=20):
@@ -159,61 +197,52 @@ def clean(docs, benchmark, text_col="text", item_col="item_id", item_text_col="t
     return _over(rows, benchmark, item_col, item_text_col, length, share, CLEAN).select("row.*")
 
 
-#: What a pass returns behind the column row: what was found so far, the verdict, or only the clean rows.
-STATE = ", text string, cover binary, items array<long>, longest long, longest_item long, longest_at long"
+#: What is returned behind the column row: the verdict, or nothing, for clean rows only.
 VERDICT = (
     ", n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<long>, "
     "longest long, longest_item long, longest_at long")
 CLEAN = ""
 
 
-def _over(rows, benchmark, item_col, item_text_col, length, share, last):
-    """One pass over rows (row, text) for each block of the benchmark; the last one gives what `last` asks for."""
-    row = "row " + rows.schema["row"].dataType.simpleString()
-    following = blocks(benchmark, item_col, item_text_col)
-    block = next(following)
-    for later in following:
-        # what was found goes on with the text, so one block at a time is broadcast
-        rows = written(rows.mapInArrow(_pass(rows, block, length, share, STATE), row + STATE), "contamination")
-        block = later
-    return rows.mapInArrow(_pass(rows, block, length, share, last), row + last)
-
-
-def _pass(rows, block, length, share, wanted):
-    shared = rows.sparkSession.sparkContext.broadcast(vars(Windows(*block, length)))
+def _over(rows, benchmark, item_col, item_text_col, length, share, wanted):
+    """One pass over rows (row, text), each slice of them against all blocks of the benchmark."""
+    saved = blocks(benchmark, item_col, item_text_col, length)
     names = [x.split()[0] for x in wanted.split(", ")[1:]]
 
     def run(batches):
-        windows = SimpleNamespace(**shared.value)
+        windows = [Windows.load(s) for s in saved]
         for part in slices(batches):
             words = Words(texts(part), NO_WORD, lower=True)
-            cover, items, *longest = matches(windows, words)
+            cover, items, longest = over_blocks(windows, words)
             ends = words.first + words.counts
-            if "cover" in part.schema.names:
-                held = [np.unpackbits(np.frombuffer(c, np.uint8), count=n) for c, n in zip(part.column("cover").to_pylist(), words.counts)]
-                cover = cover | np.concatenate(held).astype(bool)
-                items = [np.append(a, np.asarray(b, np.int64)) for a, b in zip(items, part.column("items").to_pylist())]
-                was = [part.column(c).to_numpy() for c in ("longest", "longest_item", "longest_at")]
-                better = (longest[0] > was[0]) | ((longest[0] == was[0]) & (longest[1] < was[1]))
-                longest = [np.where(better, a, b) for a, b in zip(longest, was)]
             total = np.concatenate([[0], np.cumsum(cover)])
             n_hit = total[ends] - total[words.first]
             bad = (n_hit > 0) & (share * n_hit >= words.counts)
             if wanted == CLEAN:
                 yield part.select(["row"]).filter(pa.array(~bad))
                 continue
-            found = dict(zip(("longest", "longest_item", "longest_at"), map(pa.array, longest)), text=part.column("text"))
-            found["items"] = pa.array([np.unique(x).tolist() for x in items], pa.list_(pa.int64()))
-            if wanted == STATE:
-                found["cover"] = pa.array([np.packbits(cover[a:b]).tobytes() for a, b in zip(words.first, ends)], pa.binary())
-            else:
-                digest = [hashlib.sha256(",".join(sorted(map(str, x.tolist()))).encode()).hexdigest() for x in items]
-                found |= {
-                    "n_words": pa.array(words.counts), "n_hit": pa.array(n_hit), "n_items": pa.array([len(x) for x in items]),
-                    "items_sha256": pa.array(digest, pa.string()), "contaminated": pa.array(bad)}
+            digest = [hashlib.sha256(",".join(sorted(map(str, x.tolist()))).encode()).hexdigest() for x in items]
+            found = dict(zip(("longest", "longest_item", "longest_at"), map(pa.array, longest))) | {
+                "n_words": pa.array(words.counts), "n_hit": pa.array(n_hit), "n_items": pa.array([len(x) for x in items]),
+                "items": pa.array([x.tolist() for x in items], pa.list_(pa.int64())),
+                "items_sha256": pa.array(digest, pa.string()), "contaminated": pa.array(bad)}
             yield pa.RecordBatch.from_arrays([part.column("row"), *(found[x] for x in names)], ["row", *names])
 
-    return run
+    return rows.mapInArrow(run, "row " + rows.schema["row"].dataType.simpleString() + wanted)
+
+
+def over_blocks(blocks, words):
+    """matches() over all blocks: covered words, distinct items per text, and the longest match with its item and place."""
+    n_texts = len(words.counts)
+    cover, items = np.zeros(len(words.values), bool), [np.empty(0, np.int64)] * n_texts
+    longest = [np.zeros(n_texts, np.int64), np.full(n_texts, -1), np.full(n_texts, -1)]
+    for windows in blocks:
+        hit, more, *best = matches(windows, words)
+        cover |= hit
+        items = [np.append(a, b) if len(b) else a for a, b in zip(items, more)]
+        better = (best[0] > longest[0]) | ((best[0] == longest[0]) & (best[1] < longest[1]))
+        longest = [np.where(better, a, b) for a, b in zip(best, longest)]
+    return cover, [np.unique(x) for x in items], longest
 
 
 def op2(spark, sf_dir):

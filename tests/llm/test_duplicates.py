@@ -157,8 +157,9 @@ def test_contamination_equals_brute_force(spark, monkeypatch):
     assert sorted(tuple(r) for r in found.select("doc_id", *names).collect()) == want
     spare = {r.doc_id for r in contamination.clean(frame(spark, docs), bench).collect()}
     assert spare == {w[0] for w in want if not w[5]}
-    small = contamination.blocks
-    monkeypatch.setattr(contamination, "blocks", lambda *a: small(*a, most=150))
+    assert len(contamination.blocks(bench, "item_id", "text", 13, most=150)) > 5
+    assert len(contamination.blocks(bench.repartition(40), "item_id", "text", 13)) == 1
+    monkeypatch.setattr(contamination, "BLOCK", 150)
     again = contamination.decontaminate(frame(spark, docs), bench)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, found.collect()))
     none = contamination.decontaminate(frame(spark, docs), bench.limit(0))
