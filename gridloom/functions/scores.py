@@ -11,6 +11,19 @@ def silu(x):
     return F.transform(x, lambda v: v / (F.lit(1.0) + F.exp(-v)))
 
 
+def round_to(v, digits):
+    """SQL's round of a double: round(v * 10^digits) half away from zero, divided back.
+
+    Spark's round goes through a decimal and turns a negative value that rounds to zero into 0.0; this keeps -0.0,
+    and gives v back where the scaled value is not finite.
+    """
+    scale = F.lit(10.0 ** digits)
+    r = F.round(v * scale, 0) / scale
+    return (F.when(F.isnan(r) | (F.abs(r) == F.lit(float("inf"))), v)
+            .when(r == F.lit(0.0), v * F.lit(0.0))
+            .otherwise(r))
+
+
 def batch_norm(x, stats, area, eps=1e-5):
     """Normalise with fixed per-channel figures; stats is a list of (mean, var, gamma, beta) per channel."""
     mean, var, gamma, beta = (F.array(*[F.lit(float(s[i])) for s in stats]) for i in range(4))

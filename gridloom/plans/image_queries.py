@@ -308,7 +308,7 @@ def q_activation(spark, sf):
     x = F.transform("embedding", lambda v: v.cast("double"))
     return table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("idx"), scores.relu(x).alias("relu"),
-        F.transform(scores.silu(x), lambda v: F.round(v, 6)).alias("silu"),
+        F.transform(scores.silu(x), lambda v: scores.round_to(v, 6)).alias("silu"),
     )
 
 

@@ -60,6 +60,11 @@ def test_activations(spark):
     assert one(spark, scores.silu(F.col("x")), x=[2.0]) == pytest.approx([2 / (1 + math.exp(-2))])
 
 
+def test_round_to_keeps_the_sign_of_zero(spark):
+    got = one(spark, F.transform("x", lambda v: scores.round_to(v, 6)), x=[-1e-9, -0.0, 1e-9, 1.0000004, -3.0000006])
+    assert [(v, math.copysign(1, v)) for v in got] == [(0.0, -1), (0.0, -1), (0.0, 1), (1.0, 1), (-3.000001, -1)]
+
+
 def test_cross_entropy_survives_large_scores(spark):
     assert one(spark, scores.cross_entropy(F.col("x"), F.lit(0)), x=[1000.0, 0.0]) == 0.0
     got = one(spark, scores.cross_entropy(F.col("x"), F.lit(1)), x=[1.0, 2.0, 3.0])
