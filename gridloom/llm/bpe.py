@@ -1,14 +1,16 @@
-"""Byte-level BPE encoding and decoding by recursive SQL inside each partition.
+"""Byte-level BPE encoding and decoding inside each partition.
 
-Inside a task, the pre-tokens not met before become rows (word, position, token). A recursive DuckDB query joins
-neighbouring tokens to the merge table and contracts each word's leftmost pair of lowest rank, until no pair of a word
-has a rank. Decoding joins ids to the vocabulary and puts the bytes together by an ordered aggregation.
+Inside a task, each pre-token not met before is contracted as tiktoken does: its adjacent pair of lowest rank, the leftmost of equal
+ones, is merged until no pair has a rank. Short words are scanned directly; longer ones keep their pairs in a heap, so that a
+word of n bytes costs n log n. Decoding gathers the bytes of all ids of a slice with numpy.
 
 No shuffle: a document is encoded where it is read. Memory is bounded by the slice of text at hand, the remembered pieces
 and the longest single text.
 """
 
 import base64
+import heapq
+import itertools
 import re
 
 import numpy as np
@@ -17,52 +19,12 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.common import Pieces, by_words, lists, read, slices, texts
 
-#: Words longer than this contract all equal pairs of a round together, which gives the same tokens in fewer rounds.
-LONG = 256
+#: Words longer than this keep their pairs in a heap.
+LONG = 64
 
 #: A run of white space with the run of other characters behind it; U+001C to U+001F are no white space here.
 PIECE = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
 
-#: Key of a row: word << 32 | position. A pair's worth: rank << 32 | position.
-FIRST_PAIR = """
-WITH RECURSIVE step(k, tok, live) AS (
-  SELECT k, tok, true FROM word_bytes
-  UNION ALL
-  (WITH p AS (
-     SELECT s.k, s.tok, s.nk, m.tok AS t
-     FROM (SELECT k, tok, lead(tok) OVER v AS nt, lead(k) OVER v AS nk FROM step WHERE live WINDOW v AS (ORDER BY k)) s
-     LEFT JOIN merges m ON m.pair = (s.tok::BIGINT << 20) | s.nt AND s.nk >> 32 = s.k >> 32),
-   best AS (
-     SELECT k >> 32 AS w, min((t::BIGINT << 32) | (k & 4294967295)) AS hit,
-       arg_min(nk, (t::BIGINT << 32) | (k & 4294967295)) AS gone
-     FROM p GROUP BY k >> 32)
-   SELECT p.k, CASE WHEN p.k & 4294967295 = hit & 4294967295 THEN (hit >> 32)::INTEGER ELSE p.tok END,
-     hit IS NOT NULL
-   FROM p JOIN best ON p.k >> 32 = best.w WHERE p.k IS DISTINCT FROM gone))
-SELECT k, tok FROM step WHERE NOT live ORDER BY k"""
-
-ALL_EQUAL_PAIRS = """
-WITH RECURSIVE step(k, tok, live) AS (
-  SELECT k, tok, true FROM word_bytes
-  UNION ALL
-  (WITH p AS (
-     SELECT s.k, s.i, s.tok, m.tok AS t
-     FROM (SELECT k, tok, lead(tok) OVER v AS nt, lead(k) OVER v AS nk, row_number() OVER v AS i
-           FROM step WHERE live WINDOW v AS (ORDER BY k)) s
-     LEFT JOIN merges m ON m.pair = (s.tok::BIGINT << 20) | s.nt AND s.nk >> 32 = s.k >> 32),
-   best AS (SELECT k >> 32 AS w, min(t) AS t FROM p GROUP BY k >> 32),
-   hits AS (
-     SELECT i, i - row_number() OVER (ORDER BY i) AS run FROM p JOIN best ON p.k >> 32 = best.w AND p.t = best.t),
-   chosen AS (SELECT i FROM (SELECT i, i - min(i) OVER (PARTITION BY run) AS nth FROM hits) WHERE nth % 2 = 0)
-   SELECT p.k, CASE WHEN c.i IS NULL THEN p.tok ELSE p.t END, best.t IS NOT NULL
-   FROM p JOIN best ON p.k >> 32 = best.w LEFT JOIN chosen c ON c.i = p.i
-   WHERE NOT EXISTS (SELECT 1 FROM chosen g WHERE g.i + 1 = p.i)))
-SELECT k, tok FROM step WHERE NOT live ORDER BY k"""
-
-DECODE = """
-SELECT doc, string_agg(piece, '' ORDER BY pos) AS piece, count(*) AS n FROM id_rows JOIN vocabulary USING (tok)
-GROUP BY doc"""
-
 
 def read_ranks(path):
     """Token bytes to rank, from a file of base64 token and rank per line."""
@@ -70,49 +32,38 @@ def read_ranks(path):
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-def connect():
-    """A private in-memory database: one thread, no files."""
-    import duckdb
-
-    return duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
-
-
 class Encoder:
-    """Ids of words by the merge table of a rank file."""
+    """Ids of words by the ranks of a rank file."""
 
     def __init__(self, ranks, pattern):
         import regex
 
         self.pattern = regex.compile(pattern)
-        pairs, made = [], []
-        for token, rank in ranks.items():
-            for k in range(1, len(token)):
-                a, b = ranks.get(token[:k]), ranks.get(token[k:])
-                if a is not None and b is not None:
-                    pairs.append(a << 20 | b)
-                    made.append(rank)
-        self.con = connect()
-        self.con.register("given", pa.table({"pair": pa.array(pairs, pa.int64()), "tok": pa.array(made, pa.int32())}))
-        self.con.execute("CREATE TABLE merges AS FROM given")
-        self.of_byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
+        self.ranks = ranks
+        self.of_byte = [bytes([i]) for i in range(256)]
+
+    def word(self, word):
+        """Ids of one word: the pair of lowest rank, leftmost first, is merged until none has a rank."""
+        ranks = self.ranks
+        if len(word) > LONG:
+            return _merged_long(word, ranks)
+        parts = [self.of_byte[b] for b in word]
+        while len(parts) > 1:
+            best, at = None, -1
+            for i in range(len(parts) - 1):
+                r = ranks.get(parts[i] + parts[i + 1])
+                if r is not None and (best is None or r < best):
+                    best, at = r, i
+            if best is None:
+                break
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        return [ranks[p] for p in parts]
 
     def words(self, words):
         """Ids of all words in order and their number per word."""
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        taken, tokens = np.empty(0, np.int64), np.empty(0, np.int32)
-        for query, mine in ((FIRST_PAIR, sizes <= LONG), (ALL_EQUAL_PAIRS, sizes > LONG)):
-            which = np.flatnonzero(mine)
-            if not len(which):
-                continue
-            n = sizes[which]
-            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            data = np.frombuffer(b"".join(words[i] for i in which), np.uint8)
-            self.con.register("word_bytes", pa.table({"k": np.repeat(which, n) << 32 | place, "tok": self.of_byte[data]}))
-            out = self.con.sql(query).to_arrow_table()
-            taken = np.concatenate([taken, out.column("k").to_numpy() >> 32])
-            tokens = np.concatenate([tokens, out.column("tok").to_numpy()])
-        order = np.argsort(taken, kind="stable")
-        return tokens[order], np.bincount(taken, minlength=len(words))
+        ids = [self.word(w) for w in words]
+        n = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(n.sum())), n
 
     def pieces(self, pieces):
         """Ids of text pieces: each is cut by the pattern, equal words are encoded once."""
@@ -120,6 +71,46 @@ class Encoder:
         return by_words(rows, lambda words: self.words([w.encode("utf-8") for w in words]))
 
 
+def _merged_long(word, ranks):
+    """The same contraction over a linked list of parts, with the candidate pairs in a heap by (rank, start)."""
+    n = len(word)
+    end = list(range(1, n + 1))  # a part starting at i ends before end[i]
+    nxt, prev, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
+    heap = []
+
+    def push(i):
+        j = nxt[i]
+        if j < n:
+            r = ranks.get(word[i:end[j]])
+            if r is not None:
+                heap.append((r, i, end[j]))
+
+    for i in range(n - 1):
+        push(i)
+    heapq.heapify(heap)
+    while heap:
+        r, i, stop = heapq.heappop(heap)
+        j = nxt[i] if alive[i] else n
+        if j >= n or end[j] != stop:
+            continue  # the pair changed since it was pushed
+        end[i], alive[j] = stop, False
+        nxt[i] = nxt[j]
+        if nxt[i] < n:
+            prev[nxt[i]] = i
+        for k in (prev[i], i):
+            if k >= 0:
+                j = nxt[k]
+                if j < n:
+                    q = ranks.get(word[k:end[j]])
+                    if q is not None:
+                        heapq.heappush(heap, (q, k, end[j]))
+    out, i = [], 0
+    while i < n:
+        out.append(ranks[word[i:end[i]]])
+        i = nxt[i]
+    return out
+
+
 def encode(docs, vocabulary, pattern, id_col="doc_id", text_col="text"):
     """id_col and `ids`, the token ids of the whole text; null and empty texts have none.
 
@@ -145,10 +136,16 @@ def decode(encoded, vocabulary, id_col="doc_id", ids_col="ids", most=1 << 20):
     source = encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids"))
 
     def run(batches):
-        con = connect()
-        given = {rank: token.decode("latin-1") for token, rank in read_ranks(vocabulary).items()}
-        con.register("given", pa.table({"tok": pa.array(given.keys(), pa.int32()), "piece": list(given.values())}))
-        con.execute("CREATE TABLE vocabulary AS FROM given")
+        given = read_ranks(vocabulary)
+        size = max(given.values()) + 1
+        known = np.zeros(size, bool)
+        width = np.zeros(size, np.int64)
+        for token, rank in given.items():
+            known[rank], width[rank] = True, len(token)
+        at = np.cumsum(width) - width
+        data = np.empty(int(width.sum()), np.uint8)
+        for token, rank in given.items():
+            data[at[rank]:at[rank] + len(token)] = np.frombuffer(token, np.uint8)
         for batch in batches:
             rows = batch.column("ids")
             sizes = np.asarray(rows.value_lengths().fill_null(0))
@@ -156,20 +153,19 @@ def decode(encoded, vocabulary, id_col="doc_id", ids_col="ids", most=1 << 20):
             while start < batch.num_rows:
                 base = ends[start - 1] if start else 0
                 stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
-                yield _decoded(con, batch.slice(start, stop - start), sizes[start:stop])
+                yield _decoded(batch.slice(start, stop - start), sizes[start:stop], known, width, at, data)
                 start = stop
 
-    def _decoded(con, part, sizes):
-        flat = np.asarray(part.column("ids").flatten(), np.int32)
-        con.register("id_rows", pa.table({
-            "doc": np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), "pos": np.arange(len(flat)), "tok": flat}))
-        out = con.sql(DECODE).to_arrow_table()
-        if sum(out.column("n").to_pylist()) != len(flat):
+    def _decoded(part, sizes, known, width, at, data):
+        flat = np.asarray(part.column("ids").flatten(), np.int64)
+        if len(flat) and (flat.min() < 0 or flat.max() >= len(known) or not known[flat].all()):
             raise ValueError("an id is not in the vocabulary")
-        made = dict(zip(out.column("doc").to_pylist(), out.column("piece").to_pylist()))
-        back = [made.get(i, "").encode("latin-1") for i in range(len(sizes))]
-        return pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), part.column("ids"), pa.array(back, pa.binary())], ["doc_id", "ids", "bytes"])
+        n = width[flat]
+        taken = data[np.repeat(at[flat] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        total = np.concatenate([[0], np.cumsum(n)])
+        offsets = total[np.concatenate([[0], np.cumsum(sizes)])].astype(np.int32)
+        back = pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(taken.tobytes())])
+        return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), back], ["doc_id", "ids", "bytes"])
 
     return source.mapInArrow(run, "doc_id long, ids array<int>, bytes binary").withColumnRenamed("doc_id", id_col)
 

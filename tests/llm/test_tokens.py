@@ -171,3 +171,30 @@ def test_words_of_latin_texts_are_those_of_the_library():
     ends = np.cumsum(n)
     for text, k, e in zip(texts, n, ends):
         assert flat[e - k:e].tolist() == library.encode(text, add_special_tokens=False).ids + [2], repr(text)
+
+
+def test_bpe_runs_without_a_database_in_the_task():
+    """Encoding and decoding merge in the task itself: no DuckDB database is opened next to the Python worker."""
+    import subprocess
+    import sys
+
+    code = """
+import sys, numpy as np, pyarrow as pa, public_tokenizers as P
+from gridloom.llm import bpe
+path = P.path("byte_bpe_multi_50k.tiktoken")
+enc = bpe.Encoder(bpe.read_ranks(path), P.PATTERN)
+flat, n = enc.pieces(["Hello world, " * 50, "", "ab" * 300])
+assert n.tolist()[1] == 0 and flat.size == n.sum()
+assert "duckdb" not in sys.modules
+"""
+    root = __file__.rsplit("/tests/", 1)[0]
+    assert subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True).returncode == 0
+
+
+def test_long_words_merge_as_the_library():
+    ranks = bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
+    library = tiktoken_encoding("byte_bpe_multi_50k.tiktoken")
+    encoder = bpe.Encoder(ranks, P.PATTERN)
+    words = [bytes(range(256)) * 3, ("ab" * 40 + "c").encode(), " ".encode() * 65, "日本語のテキスト".encode() * 9, b"x" * 65]
+    for w in words:
+        assert encoder.word(w) == library._encode_single_piece(w)
