@@ -22,11 +22,12 @@ from datetime import datetime, timezone
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.operators import layers, ordering
-from gridloom.session import is_written, remove, shared_dir
+from gridloom.session import is_written, locate, remove, shared_dir
 from gridloom.sinks import store
 from gridloom.training import kernels
 from gridloom.training.arch import Arch, init_params, n_classes, sgd
@@ -313,15 +314,15 @@ def _packed_minibatches(cfg, dealt, world):
     )
 
 
-def _step_task(cfg, shared):
-    """Gradient of one minibatch; a partition holds one rank's pieces of the step."""
+def _step_task(cfg, model_path):
+    """Gradient of one minibatch; a partition holds one rank's pieces of the step. The model is read from the shared folder."""
     width = cfg.net.channels * cfg.net.height * cfg.net.width
 
     def run(batches):
         now = None
         for batch in batches:
             for r in batch.to_pylist():
-                now = now or Minibatch(cfg, shared.value["model"], r["rank"], r["step"])
+                now = now or Minibatch(cfg, _read_chunks(model_path), r["rank"], r["step"])
                 kind = np.uint8 if len(r["x"]) == r["n"] * width else np.float32
                 now.add(np.frombuffer(r["x"], kind).reshape(-1, width), np.frombuffer(r["y"], np.int32))
         if now is None:
@@ -329,21 +330,76 @@ def _step_task(cfg, shared):
         rows = [now.record() | {"name": f"log {now.rank}", "chunk": 0, "vals": []}]
         rows += _chunks("gradient", now.rank, now.gradients())
         if now.rank == 0:
+            # keyed by the running figure they go into, with the number of rows as its shape
             for name, (mean, var, n) in now.stats.items():
-                rows.append({"kind": "statistics", "rank": now.rank, "name": name, "chunk": n, "vals": [*mean, *var]})
+                for key, vals in (("running_mean", mean), ("running_var", var)):
+                    rows.append({"kind": "statistics", "rank": now.rank, "name": f"{name}.{key}", "shape": [n], "chunk": 0, "vals": vals})
         yield pa.RecordBatch.from_pylist(rows, schema=ARROW_OUTPUT)
 
     return run
 
 
-def _statistics(rows):
-    """Batch-norm figures of rank 0 (means, then variances), by layer."""
-    found = {}
-    for r in rows:
-        if r["kind"] == "statistics":
-            mean, var = np.split(np.asarray(r["vals"]), 2)
-            found[r["name"]] = (mean, var, r["chunk"])
-    return found
+def _write_chunks(path, kind, arrays):
+    """Arrays as chunk rows of one parquet file in the shared folder, written where the driver holds them."""
+    import pyarrow.parquet as pq
+
+    system, inner = locate(f"{path}/kind={kind}")
+    system.create_dir(inner, recursive=True)
+    rows = list(_chunks(kind, 0, arrays))
+    pq.write_table(pa.Table.from_pylist(rows, schema=ARROW_OUTPUT).select(["name", "shape", "chunk", "vals"]), f"{inner}/part-0.parquet",
+                   filesystem=system)
+
+
+def _read_chunks(path, kind="model"):
+    """Arrays by name from the chunk rows of a folder in the shared folder."""
+    import pyarrow.parquet as pq
+
+    system, inner = locate(f"{path}/kind={kind}")
+    if system.get_file_info(inner).type.name == "NotFound":
+        return {}
+    table = pq.read_table(inner, filesystem=system, columns=["name", "shape", "chunk", "vals"])
+    table = table.sort_by([("name", "ascending"), ("chunk", "ascending")])
+    parts = {}
+    for name, shape, vals in zip(table.column("name").to_pylist(), table.column("shape").to_pylist(), table.column("vals")):
+        parts.setdefault(name, (shape, []))[1].append(vals.values.to_numpy(zero_copy_only=False))
+    return {name: np.concatenate(v).astype(np.float32).reshape(shape) for name, (shape, v) in parts.items()}
+
+
+def _update_task(opt, t):
+    """Mean gradient of one parameter chunk over the ranks, then the optimizer step and the running figures of that chunk.
+
+    Gets the chunk's model row, its optimizer rows, its gradients (sums over groups of ranks, with their number) and its statistics;
+    a log row passes through. t: the optimizer's step count before this step.
+    """
+    def run(table):
+        kinds = table.column("kind").to_pylist()
+        if "model" not in kinds:
+            return table.select(UPDATED.names).cast(UPDATED)
+        rows = {k: table.filter(pa.compute.equal(table.column("kind"), k)) for k in set(kinds)}
+        model = rows["model"].slice(0, 1)
+        name = model.column("name")[0].as_py()
+        params = {name: model.column("vals")[0].values.to_numpy(zero_copy_only=False).astype(np.float32)}
+        state = {"step": np.array([t], np.float32)}
+        if "optimizer" in rows:
+            for r, vals in zip(rows["optimizer"].column("name").to_pylist(), rows["optimizer"].column("vals")):
+                state[r] = vals.values.to_numpy(zero_copy_only=False).astype(np.float32)
+        grads = {}
+        if "gradient" in rows:
+            summed = _sum_chunk(rows["gradient"])
+            grads[name] = (summed.column("vals")[0].values.to_numpy() / summed.column("n")[0].as_py()).astype(np.float32)
+        kernels.update(opt, params, grads, state)
+        if "statistics" in rows:
+            stat = rows["statistics"].slice(0, 1)
+            new, n = stat.column("vals")[0].values.to_numpy().astype(np.float64), stat.column("shape")[0].as_py()[0]
+            if name.endswith(".running_var"):
+                new = new * (n / max(n - 1, 1))
+            params[name] = (0.9 * params[name] + 0.1 * new).astype(params[name].dtype)
+        out = [("model", name, params[name])] + [("optimizer", k, v) for k, v in state.items() if k != "step"]
+        return pa.Table.from_pylist([
+            {"kind": kind, "rank": 0, "name": k, "shape": model.column("shape")[0].as_py(), "chunk": model.column("chunk")[0].as_py(),
+             "vals": v.astype(np.float64)} for kind, k, v in out], schema=UPDATED)
+
+    return run
 
 
 def _kept_row_by_row(df):
@@ -360,28 +416,57 @@ def _kept_row_by_row(df):
         spark.conf.set(name, before)
 
 
+UPDATED = pa.schema([
+    ("kind", pa.string()), ("rank", pa.int32()), ("batch_idx", pa.int64()), ("n_samples", pa.int32()), ("n_correct", pa.int32()),
+    ("loss", pa.float64()), ("ts", pa.timestamp("us", tz="UTC")), ("name", pa.string()), ("shape", pa.list_(pa.int32())),
+    ("chunk", pa.int32()), ("vals", pa.list_(pa.float64())),
+])
+
+
 def _step_jobs(spark, cfg, dealt, world, state, out):
-    """All steps of an epoch over its packed minibatches, which are kept in memory or on the executors' disks."""
+    """All steps of an epoch over its packed minibatches, which are kept in memory or on the executors' disks.
+
+    A step is one job: the ranks' gradients are added up in Spark, and the tasks that hold a parameter chunk's sum also take the
+    optimizer step for it; the new model, optimizer state and log go to a folder of the step in the shared folder, from which the next
+    step's tasks read the model. Neither gradients nor parameters come to the driver between the steps.
+    """
     packed = _kept_row_by_row(_packed_minibatches(cfg, dealt, world))
     n_steps = packed.agg(F.max("step").alias("n")).first().n + 1
-    params, opt_state, last, records = dict(state["model"]), dict(state["optimizer"]), None, []
+    base = float(state["optimizer"].get("step", np.zeros(1))[0])
+    steps = out.replace("/epochs/", "/steps/", 1)
+    _write_chunks(f"{steps}/step=start", "model", state["model"])
+    _write_chunks(f"{steps}/step=start", "optimizer", {k: v for k, v in state["optimizer"].items() if k != "step"})
+    before = f"{steps}/step=start"
     for step in range(n_steps):
-        shared = share_arrays(spark, {"model": params})
-        found = packed.filter(F.col("step") == step).mapInArrow(_step_task(cfg, shared), OUTPUT)
-        grads, others = _average(found, world)
-        shared.unpersist()
-        kernels.update(cfg.opt, params, grads["gradient"], opt_state)
-        # a level of the averaging has replaced the rank by its group's number
-        log = [r | {"rank": int(r["name"].removeprefix("log "))} for r in others if r["kind"] == "log"]
-        log.sort(key=lambda r: r["rank"])
-        _mix_statistics(params, _statistics(others))
-        records += log
-        last = log[0]["loss"]
-        if (step + 1) % BLOCK_STEPS == 0 or step + 1 == n_steps:
-            table = pa.Table.from_pylist(records, schema=ARROW_OUTPUT)
-            spark.createDataFrame(table).write.partitionBy("kind").mode("append").parquet(out)
-            records = []
+        found = packed.filter(F.col("step") == step).mapInArrow(_step_task(cfg, before), OUTPUT)
+        rows = found.withColumn("vals", F.col("vals").cast("array<double>")).withColumn("n", F.lit(1))
+        level = world
+        while level > FAN:
+            rows = rows.withColumn("rank", F.call_function("div", F.col("rank"), F.lit(FAN)).cast("int"))
+            rows = rows.groupBy("kind", "name", "chunk", "rank").applyInArrow(_sum_chunk, rows.schema)
+            level = -(-level // FAN)
+        held = spark.read.schema("name string, shape array<int>, chunk int, vals array<float>").parquet(f"{before}/kind={{model,optimizer}}")
+        held = held.select(
+            F.when(F.col("name").contains("/"), "optimizer").otherwise("model").alias("kind"), F.lit(0).alias("rank"), "name", "shape",
+            "chunk", F.col("vals").cast("array<double>").alias("vals"), F.lit(1).alias("n"))
+        rows = rows.unionByName(held, allowMissingColumns=True)
+        # optimizer rows are named slot/parameter; a log row is its own group
+        param = F.element_at(F.split("name", "/"), -1)
+        updated = rows.groupBy(param.alias("param"), "chunk").applyInArrow(
+            _update_task(cfg.opt, base + step), OUTPUT.replace("vals array<float>", "vals array<double>"))
+        here = f"{steps}/step={step}"
+        updated.select(*[F.col(c).cast("array<float>") if c == "vals" else F.col(c) for c in UPDATED.names]).write.partitionBy(
+            "kind").parquet(here)
+        remove(spark, f"{before}/kind={{model,optimizer}}")
+        before = here
     packed.unpersist()
+    logged = spark.read.schema(OUTPUT).parquet(f"{steps}/step=*/kind=log").withColumn("kind", F.lit("log"))
+    logged = logged.withColumn("rank", F.regexp_extract("name", r"^log (\d+)$", 1).cast("int"))
+    logged.select(*ARROW_OUTPUT.names).write.partitionBy("kind").mode("append").parquet(out)
+    last = logged.filter(F.col("batch_idx") == n_steps - 1).orderBy("rank").select("loss").first().loss
+    params, opt_state = _read_chunks(before), _read_chunks(before, "optimizer")
+    opt_state["step"] = np.array([base + n_steps], np.float32)
+    remove(spark, steps)
     return {"model": params, "optimizer": opt_state}, last
 
 

@@ -286,3 +286,15 @@ def test_a_model_of_more_than_two_gigabytes_is_mapped(spark, tmp_path):
     shared = model.SharedArrays(str(path), {"model": [("w", "<f4", (size // 4,), 0)]})
     got = spark.range(2, numPartitions=2).mapInPandas(lambda parts: (p.assign(x=float(shared.value["model"]["w"][-1])) for p in parts), "id long, x double")
     assert {r.x for r in got.collect()} == {7.0}
+
+
+def test_step_sync_sends_no_gradients_or_parameters_to_the_driver(train, monkeypatch):
+    """Steps are averaged and applied in tasks; before, every step brought the averaged gradient to the driver through toArrow."""
+    one = fit.fit(train, net("B"), world=1, batch=64, sync="epoch")
+
+    def refused(self):
+        raise AssertionError("a step sent its rows to the driver")
+
+    monkeypatch.setattr(type(train), "toArrow", refused)
+    two = fit.fit(train, net("B"), world=2, batch=32, sync="step")
+    assert same(two.params, one.params, atol=1e-5) and two.log.count() == 12
