@@ -17,6 +17,14 @@ def shared_dir(spark):
     return spark.sparkContext.getCheckpointDir()
 
 
+def barrier_slots(spark):
+    """How many tasks a barrier stage may have just now: all of them run at once. None with dynamic allocation, where Spark refuses such stages."""
+    if spark.sparkContext.getConf().get("spark.dynamicAllocation.enabled", "false").lower() == "true":
+        return 0
+    context = spark.sparkContext._jsc.sc()
+    return context.maxNumConcurrentTasks(context.resourceProfileManager().defaultResourceProfile())
+
+
 def locate(path):
     """pyarrow file system and inner path of whatever the path names."""
     from pyarrow import fs

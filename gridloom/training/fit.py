@@ -5,17 +5,20 @@ permutation of the places in that order, so dealing the rows to `world` ranks is
 
 sync="epoch"  One job per epoch. Each rank's rows go to one partition and stream through mapInArrow; the ranks' parameters are averaged
               once per epoch. Tasks are independent and a lost one is simply run again. The form for large clusters.
-sync="step"   One job per step: every rank computes the gradient of its minibatch, the gradients are averaged and
-              one update follows. Exact data-parallel steps at the price of a job each. The epoch's rows are kept as packed minibatches,
-              one row per rank and step, of which a step reads its own only.
+sync="step"   One job per epoch, a barrier stage of one task for each rank: every rank computes the gradient of its minibatch, the ranks
+              average them through files in the shared folder and every rank takes the same update. Exact data-parallel steps, at the
+              price of a few small files each; a lost task starts the epoch again. Where a barrier stage can't run, as with fewer slots
+              than ranks or with dynamic allocation, each step is a job of its own with the same results: the epoch's rows are kept as
+              packed minibatches, one row per rank and step, of which a step reads its own only.
 
 Gradients of a minibatch are added up over pieces of at most PIECE_BYTES, so its size does not bound memory. Batch-norm needs a whole
 minibatch at once; one of more than WHOLE_BYTES is refused there.
 
-Parameters and gradients of the ranks are averaged in Spark, chunk by chunk, FAN ranks at a time, level by level; what comes to the
-driver is one model. Rows never reach the driver.
+Between jobs, parameters and gradients of the ranks are averaged in Spark, chunk by chunk, FAN ranks at a time, level by level; what
+comes to the driver is one model an epoch. Rows never reach the driver.
 """
 
+import time
 import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.operators import layers, ordering
-from gridloom.session import is_written, locate, remove, shared_dir
+from gridloom.session import barrier_slots, is_written, locate, remove, shared_dir
 from gridloom.sinks import store
 from gridloom.training import kernels
 from gridloom.training.arch import Arch, init_params, n_classes, sgd
@@ -204,11 +207,15 @@ def _pieces(batches, size, most, width):
         yield rank, None, None, True
 
 
-def _rank_task(cfg, shared):
-    """Train on one rank's stream of rows; emit the log, then the final parameters."""
+def _rank_task(cfg, shared, folder=None, n_steps=None):
+    """Train on one rank's stream of rows; emit the log, then the final parameters.
+
+    folder: where the ranks average their gradients at every one of n_steps steps; all end with the same parameters, and rank 0 emits them.
+    """
     width = cfg.net.channels * cfg.net.height * cfg.net.width
 
     def run(batches):
+        ranks = Ranks(folder) if folder else None
         params = {n: a.copy() for n, a in shared.value["model"].items()}
         state = {n: a.copy() for n, a in shared.value["optimizer"].items()}
         rank, log, step, now = None, [], 0, None
@@ -218,16 +225,24 @@ def _rank_task(cfg, shared):
                 now.add(x, y)
             if not last:
                 continue
-            kernels.update(cfg.opt, params, now.gradients(), state)
-            _mix_statistics(params, now.stats)
+            if ranks and (rank != ranks.rank or step >= n_steps):
+                raise RuntimeError(f"minibatch {step} of rank {rank} is not one of the {n_steps} of rank {ranks.rank}")
+            grads, stats = ranks.mean(step, now.gradients(), now.stats) if ranks else (now.gradients(), now.stats)
+            kernels.update(cfg.opt, params, grads, state)
+            _mix_statistics(params, stats)
             record = now.record()
             log.append(record)
             step, now = step + 1, None
             if len(log) == 1000:
                 yield pa.RecordBatch.from_pylist(log, schema=ARROW_OUTPUT)
                 log = []
+        if ranks and step != n_steps:  # the others would wait for ever
+            raise RuntimeError(f"rank {ranks.rank} has {step} minibatches instead of {n_steps}")
         if rank is None:
             return
+        if ranks and rank:
+            yield pa.RecordBatch.from_pylist(log, schema=ARROW_OUTPUT)
+            return
         last = {"kind": "last", "rank": rank, "name": "loss", "shape": [], "chunk": 0, "loss": record["loss"], "vals": []}
         yield pa.RecordBatch.from_pylist(log + [last], schema=ARROW_OUTPUT)
         for kind, arrays in (("model", params), ("optimizer", state)):
@@ -271,14 +286,18 @@ def _average(rows, world, fan=None):
     return arrays, others
 
 
-def _epoch_job(spark, cfg, dealt, world, state, out):
-    shared = share_arrays(spark, state)
-    ordered = (
+def _by_rank(dealt, world):
+    """A partition per rank, in order."""
+    return (
         dealt.select("rank", "pos_in_rank", "x", "y").repartitionById(world, F.col("rank"))
         .sortWithinPartitions("pos_in_rank").select("rank", "x", "y")
     )
+
+
+def _epoch_job(spark, cfg, dealt, world, state, out):
+    shared = share_arrays(spark, state)
     # Written out because both the log and the parameters are read from it.
-    ordered.mapInArrow(_rank_task(cfg, shared), OUTPUT).write.partitionBy("kind").parquet(out)
+    _by_rank(dealt, world).mapInArrow(_rank_task(cfg, shared), OUTPUT).write.partitionBy("kind").parquet(out)
     shared.unpersist()
     written = spark.read.schema(OUTPUT).parquet(out).filter(F.col("kind") != "log")
     averaged, lasts = _average(written.select("kind", "rank", "name", "shape", "chunk", "loss", "vals"), world)
@@ -286,6 +305,85 @@ def _epoch_job(spark, cfg, dealt, world, state, out):
     return {"model": averaged["model"], "optimizer": averaged.get("optimizer", {})}, loss
 
 
+# --- one barrier stage per epoch -----------------------------------------------------------------------------
+
+class Ranks:
+    """The ranks of a barrier stage, one task each, seen from one of them; they hand their gradients on in a folder of the shared folder.
+
+    A rank writes its gradient, averages its own slice of all ranks' gradients and reads the other ranks' slices. So it reads and writes
+    about two gradients each a step, however many ranks there are. The sums are taken in rank order.
+
+    A barrier stage runs all its tasks at once and ends them together, so a rank may wait for a file of another. It looks for the file
+    itself: a call of BarrierTaskContext.barrier takes a second at least.
+    """
+
+    def __init__(self, folder):
+        from pyspark import BarrierTaskContext
+
+        context = BarrierTaskContext.get()
+        self.rank = context.partitionId()
+        # a folder for each attempt: tasks of a lost one may still write
+        names = context.allGather(uuid.uuid4().hex)
+        self.world = len(names)
+        self.system, inner = locate(folder)
+        self.folder = f"{inner}/{names[0]}"
+        self.system.create_dir(self.folder, recursive=True)
+
+    def _write(self, name, a):
+        with self.system.open_output_stream(f"{self.folder}/{name}.part") as out:
+            out.write(a.astype(np.float32).tobytes())
+        self.system.move(f"{self.folder}/{name}.part", f"{self.folder}/{name}")
+
+    def _read(self, name, at=0, end=None):
+        pause = 0.0005
+        while self.system.get_file_info(f"{self.folder}/{name}").type.name == "NotFound":
+            time.sleep(pause)
+            pause = min(1.2 * pause, 0.1)
+        with self.system.open_input_file(f"{self.folder}/{name}") as f:
+            end = f.size() // 4 if end is None else end
+            return np.frombuffer(f.read_at(4 * (end - at), 4 * at), np.float32)
+
+    def mean(self, step, grads, stats):
+        """Gradients averaged over the ranks, and the batch-norm statistics of rank 0."""
+        flat = np.concatenate([np.zeros(0, np.float32), *[g.ravel() for g in grads.values()]])
+        cuts = [len(flat) * r // self.world for r in range(self.world + 1)]
+        at, end = cuts[self.rank:self.rank + 2]
+        self._write(f"gradient-{step}-{self.rank}", flat)
+        total = np.zeros(end - at)
+        for r in range(self.world):
+            total += self._read(f"gradient-{step}-{r}", at, end)
+        own = [total / self.world] + [v for mean, var, _ in stats.values() for v in (mean, var) if not self.rank]
+        self._write(f"mean-{step}-{self.rank}", np.concatenate(own))
+        if step:  # whoever has written a gradient has read the means of the step before
+            self.system.delete_file(f"{self.folder}/mean-{step - 1}-{self.rank}")
+        means = [self._read(f"mean-{step}-{r}") for r in range(self.world)]
+        self.system.delete_file(f"{self.folder}/gradient-{step}-{self.rank}")  # whoever has written a mean has read the gradients
+        means[0], first = np.split(means[0], [cuts[1]])
+        flat, at, averaged, mixed = np.concatenate(means), 0, {}, {}
+        for name, g in grads.items():
+            averaged[name], at = flat[at:at + g.size].reshape(g.shape), at + g.size
+        for name, (mean, _, n) in stats.items():
+            new, first = first[:2 * len(mean)].astype(np.float64), first[2 * len(mean):]
+            mixed[name] = (*np.split(new, 2), n)
+        return averaged, mixed
+
+
+def _step_job(spark, cfg, dealt, n, world, state, out):
+    """All steps of an epoch over n rows in one job; gradients and parameters stay in its tasks and the shared folder."""
+    shared = share_arrays(spark, state)
+    folder = out.replace("/epochs/", "/steps/", 1)
+    n_steps = -(-(-(-n // world)) // cfg.batch)  # of every rank
+    trained = _by_rank(dealt, world).mapInArrow(_rank_task(cfg, shared, folder, n_steps), OUTPUT, barrier=True)
+    # Shuffled before it is written: Spark runs a barrier stage again only if it is not the one that writes.
+    trained.repartition(world, "kind", "rank").write.partitionBy("kind").parquet(out)
+    shared.unpersist()
+    remove(spark, folder)
+    last = spark.read.schema(OUTPUT).parquet(f"{out}/kind=last").select("loss").first().loss
+    params, opt_state = _read_chunks(out), _read_chunks(out, "optimizer")
+    remove(spark, f"{out}/kind={{model,optimizer,last}}")
+    return {"model": params, "optimizer": opt_state}, last
+
+
 # --- one job per step ----------------------------------------------------------------------------------------
 
 PACKED = "rank int, step bigint, piece int, n int, x binary, y binary"
@@ -308,10 +406,7 @@ def _packed_minibatches(cfg, dealt, world):
                     "y": pa.array([y.astype(np.int32).tobytes()], pa.binary())})
             step, piece = (step + 1, 0) if last else (step, piece + 1)
 
-    return (
-        dealt.select("rank", "pos_in_rank", "x", "y").repartitionById(world, F.col("rank"))
-        .sortWithinPartitions("pos_in_rank").select("rank", "x", "y").mapInArrow(run, PACKED)
-    )
+    return _by_rank(dealt, world).mapInArrow(run, PACKED)
 
 
 def _step_task(cfg, model_path):
@@ -512,6 +607,8 @@ def fit(
         dealt = ordering.deal(placed, n, world, seed, epoch)
         if sync == "epoch":
             state, loss = _epoch_job(spark, cfg, dealt, world, state, out)
+        elif world <= barrier_slots(spark):
+            state, loss = _step_job(spark, cfg, dealt, n, world, state, out)
         else:
             state, loss = _step_jobs(spark, cfg, dealt, world, state, out)
         store.save_checkpoint(spark, root, run_id, epoch, state["model"], state["optimizer"], loss, seed, save_id)

@@ -298,3 +298,52 @@ def test_step_sync_sends_no_gradients_or_parameters_to_the_driver(train, monkeyp
     monkeypatch.setattr(type(train), "toArrow", refused)
     two = fit.fit(train, net("B"), world=2, batch=32, sync="step")
     assert same(two.params, one.params, atol=1e-5) and two.log.count() == 12
+
+
+def _jobs(spark, group, run):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        done = run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return done, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_step_sync_takes_as_many_jobs_for_many_steps_as_for_few(spark, train):
+    """Before, every step was a job of its own, so the time grew by a job's start-up with every minibatch."""
+    few, jobs = _jobs(spark, "few", lambda: fit.fit(train, net("softmax"), world=2, batch=96, sync="step"))
+    many, same_jobs = _jobs(spark, "many", lambda: fit.fit(train, net("softmax"), world=2, batch=8, sync="step"))
+    assert few.log.count() == 4 and many.log.count() == 48 and jobs == same_jobs
+
+
+@pytest.mark.parametrize("options", [{"opt": arch.adam(), "epochs": 2}, {"train_only": ("fc2", "bn")}, {"opt": arch.sgd(weight_decay=0.1), "batch": 50}])
+def test_step_sync_in_one_job_equals_a_job_for_each_step(train, monkeypatch, tmp_path, options):
+    def run(name):
+        return fit.fit(train, net("C"), world=3, **({"batch": 32} | options), sync="step", root=str(tmp_path), run_id=name)
+
+    one = run("one")
+    monkeypatch.setattr(fit, "barrier_slots", lambda spark: 2)
+    each = run("each")
+    assert same(one.params, each.params, rtol=0, atol=0) and same(one.opt, each.opt, rtol=0, atol=0)
+    logs = [sorted(tuple(r) for r in done.log.drop("run_id", "ts").collect()) for done in (one, each)]
+    assert logs[0] == logs[1] and len(logs[0]) >= 9
+    assert not [p for name in ("one", "each") for p in (tmp_path / name).glob("steps/*/*")]
+    assert not list((tmp_path / "one").glob("epochs/*/*/kind=[!l]*"))
+
+
+def test_a_rank_that_fails_starts_the_epoch_again(train, monkeypatch, tmp_path):
+    whole = fit.fit(train, net("C"), world=2, batch=32, sync="step")
+    mean, failed = fit.Ranks.mean, str(tmp_path / "failed")
+
+    def once(self, step, grads, stats):
+        import os
+
+        if self.rank == 1 and step == 3 and not os.path.exists(failed):
+            open(failed, "w").close()
+            raise OSError("lost")
+        return mean(self, step, grads, stats)
+
+    monkeypatch.setattr(fit.Ranks, "mean", once)
+    again = fit.fit(train, net("C"), world=2, batch=32, sync="step")
+    assert (tmp_path / "failed").exists() and again.log.count() == whole.log.count() == 12
+    assert same(whole.params, again.params, rtol=0, atol=0) and same(whole.opt, again.opt, rtol=0, atol=0)
